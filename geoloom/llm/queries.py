@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import bpe, mixing, quality_rules, warc
+from geoloom.llm import bpe, compression_quality, mixing, quality_rules, simhash, warc
 from geoloom.llm.shared import written
 
 
@@ -13,11 +13,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives, read back and assembled per capture."""
     return warc.captures(_table(spark, sf_dir, "pages"))
 
 
+def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and prediction of every document, learned outside the held-out quarter."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    model = compression_quality.fit(docs, _table(spark, sf_dir, "labels"), learn_from=compression_quality.learnable())
+    out = compression_quality.scores(docs, model)
+    return out.select(
+        F.col("row").alias("doc_id"),
+        (F.crc32(F.col("row").cast("string").cast("binary")) % 4 == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= compression_quality.CUT).cast("int").alias("predicted"),
+    )
+
+
 def op8_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the verdict of the robust estimates, per document."""
     return quality_rules.judged(_table(spark, sf_dir, "documents"))
@@ -36,7 +54,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_warc_transactions, op8_robust_outliers, op9_mix_to_targets, op10_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_duplicates, op6_warc_transactions, op7_compression_quality, op8_robust_outliers, op9_mix_to_targets, op10_bpe_round_trip)}
 
 ORACLES = {
     "op6_warc_transactions": """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import bpe, compression_quality, mixing, quality_rules, simhash, warc
+from geoloom.llm import bpe, compression_quality, embedding_dedup, html_extract, line_dedup, mixing, quality_rules, simhash, warc
 from geoloom.llm.shared import written
 
 
@@ -18,6 +18,21 @@ def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_line_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines cut from every document, and what stays, as a digest."""
+    return line_dedup.report(_table(spark, sf_dir, "documents"))
+
+
+def op4_sorted_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to archives, read back and assembled per capture."""
     return warc.captures(_table(spark, sf_dir, "pages"))
@@ -54,7 +69,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_duplicates, op6_warc_transactions, op7_compression_quality, op8_robust_outliers, op9_mix_to_targets, op10_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op2_simhash_near_duplicates, op3_line_chunk_dedup, op4_sorted_projection_dedup, op5_page_differencing, op6_warc_transactions, op7_compression_quality, op8_robust_outliers, op9_mix_to_targets, op10_bpe_round_trip)}
 
 ORACLES = {
     "op6_warc_transactions": """

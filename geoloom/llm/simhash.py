@@ -193,3 +193,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     of_class = rooted.join(first, "root").select(F.col("fp").alias("class_fp"), "component_id")
     joined = fps.join(of_class, fps.fp == of_class.class_fp)
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """One document of each near-duplicate group, that with the smallest id; columns as given.
+
+    Groups are settled over ids and fingerprints alone; documents then meet the ids that stay in one join. Rows that
+    share an id are one document, of which one row stays; rows without an id belong to no group and all stay.
+    """
+    grouped = near_duplicates(docs.where(F.col(doc_id).isNotNull()), doc_id, text, **options)
+    stay = grouped.where("doc_id = component_id").select(F.col("doc_id").alias("stay_id")).distinct()
+    kept = docs.join(stay, docs[doc_id] == stay["stay_id"], "left_semi").dropDuplicates([doc_id])
+    return kept.unionAll(docs.where(F.col(doc_id).isNull()))

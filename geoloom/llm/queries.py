@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import bpe, compression_quality, embedding_dedup, html_extract, line_dedup, mixing, quality_rules, simhash, warc
+from geoloom.llm import bpe, compression_quality, embedding_dedup, html_extract, line_dedup, mixing, quality_rules, simhash, suffix_dedup, warc
 from geoloom.llm.shared import written
 
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated 200-byte strings."""
+    return suffix_dedup.removed(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -69,7 +74,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_duplicates, op3_line_chunk_dedup, op4_sorted_projection_dedup, op5_page_differencing, op6_warc_transactions, op7_compression_quality, op8_robust_outliers, op9_mix_to_targets, op10_bpe_round_trip)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_simhash_near_duplicates, op3_line_chunk_dedup, op4_sorted_projection_dedup, op5_page_differencing, op6_warc_transactions, op7_compression_quality, op8_robust_outliers, op9_mix_to_targets, op10_bpe_round_trip)}
 
 ORACLES = {
     "op6_warc_transactions": """

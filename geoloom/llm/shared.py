@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def text_of(column: str | Column) -> Column:
@@ -39,10 +40,20 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder: lineage ends here, and a lost executor loses nothing."""
-    path = new_folder(frame.sparkSession, name)
-    frame.write.option("compression", "zstd").parquet(path)
-    table = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    """The frame as a table in the shared folder: lineage ends here, and a lost executor loses nothing.
+
+    The write's own shuffle files are of no use once it is done and are removed then, not when the driver next happens
+    to collect its garbage.
+    """
+    spark = frame.sparkSession
+    path = new_folder(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    table = spark.read.schema(frame.schema).parquet(path)
     table._written_at = path
     return table
 

@@ -77,6 +77,31 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_simhash_near_duplicates, op3_line_chunk_dedup, op4_sorted_projection_dedup, op5_page_differencing, op6_warc_transactions, op7_compression_quality, op8_robust_outliers, op9_mix_to_targets, op10_bpe_round_trip)}
 
 ORACLES = {
+    "op1_suffix_array_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+blocks AS (SELECT doc_id, base, least(1000, n - 199 - base) AS m, substr(h, 2 * base + 1, 2398) AS bh
+           FROM (SELECT doc_id, h, n, unnest(range(0, greatest(n - 199, 0), 1000)) AS base FROM d)),
+w AS (SELECT doc_id, base + j AS i, md5(substr(bh, 2 * j + 1, 400)) AS k FROM (SELECT doc_id, base, bh, unnest(range(m)) AS j FROM blocks)),
+hit AS (SELECT doc_id, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)),
+marked AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS opens FROM hit),
+numbered AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked),
+runs AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS s, a AS e FROM runs
+         UNION ALL SELECT d.doc_id, coalesce(max(r.b), 0), any_value(d.n) FROM d LEFT JOIN runs r USING (doc_id) GROUP BY d.doc_id),
+kept AS (SELECT g.doc_id, string_agg(substr(d.h, 2 * s + 1, 2 * (e - s)), '' ORDER BY s) AS h FROM gaps g JOIN d USING (doc_id) GROUP BY g.doc_id)
+SELECT d.doc_id, d.n AS n_bytes, coalesce(x.n_removed, 0)::BIGINT AS n_removed, coalesce(x.n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id) x USING (doc_id)
+""",
+    "op4_sorted_projection_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, p.b FROM reach r JOIN p ON r.b = p.a),
+low AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT v.vec_id, (SELECT count(*) FROM p WHERE p.a = v.vec_id)::BIGINT AS n_links, low.component_id, v.vec_id = low.component_id AS kept
+FROM v JOIN low ON low.a = v.vec_id
+""",
     "op6_warc_transactions": """
 WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_id FROM p)

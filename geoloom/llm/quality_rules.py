@@ -98,7 +98,7 @@ def outlier_limits(rows: DataFrame) -> DataFrame:
     def quantile(x: Column, q: float) -> Column:
         return F.percentile_approx(x, q, ACCURACY)
 
-    middle = rows.groupBy("key").agg(*[quantile(F.col(f), 0.5).alias(f"m{i}") for i, f in enumerate(FEATURES)])
+    middle = written(rows.groupBy("key").agg(*[quantile(F.col(f), 0.5).alias(f"m{i}") for i, f in enumerate(FEATURES)]), "middle")
     spread = rows.join(middle, "key").groupBy("key").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(len(FEATURES))], *[quantile(F.abs(F.col(f) - F.col(f"m{i}")), 0.5).alias(f"s{i}") for i, f in enumerate(FEATURES)])
     start = [F.col("key"), *[F.col(f"m{i}") for i in range(len(FEATURES))]]
     start += [(F.pow(1.4826 * F.col(f"s{i}"), 2) if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i in range(len(FEATURES)) for j in range(i + 1)]

@@ -20,7 +20,7 @@ from geoloom.llm.shared import components, written
 
 SHINGLE, BITS, SEED = 3, 2, 42
 #: Fingerprints in a shard before its boundary copies, shards at most, sampled fingerprints per shard.
-SHARD_ROWS, MOST_SHARDS, SAMPLE_ROWS = 20_000, 1024, 32
+SHARD_ROWS, MOST_SHARDS, SAMPLE_ROWS = 2_000, 1024, 32
 LEAF_ROWS = 256
 
 

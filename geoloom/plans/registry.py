@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-FLAGSHIP = "AGG-01"
+from geoloom.plans import queries as queries_
+
+FLAGSHIP = "fuzzy_spatial_fusion"
 
 
 def queries() -> dict:
     """Query functions by name."""
-    return QUERIES
+    return dict(queries_.QUERIES)
 
 
 def oracles() -> dict:
     """SQL text by query name."""
-    return ORACLES
+    return dict(queries_.ORACLES)

@@ -203,5 +203,5 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     grouped = near_duplicates(docs.where(F.col(doc_id).isNotNull()), doc_id, text, **options)
     stay = grouped.where("doc_id = component_id").select(F.col("doc_id").alias("stay_id")).distinct()
-    kept = docs.join(stay, docs[doc_id] == stay["stay_id"], "left_semi").dropDuplicates([doc_id])
+    kept = docs.join(stay.hint("merge"), docs[doc_id] == stay["stay_id"], "left_semi").dropDuplicates([doc_id])
     return kept.unionAll(docs.where(F.col(doc_id).isNull()))

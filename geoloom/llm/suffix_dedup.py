@@ -242,22 +242,27 @@ def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
-    """(doc, th, start, stop) of byte ranges covered by repeated windows, for (doc, th, text); ranges may overlap."""
+    """(doc, th, spans) of byte ranges covered by repeated windows, for (doc, th, text); ranges may overlap.
+
+    All joined sides grow with the corpus, so none is ever broadcast, however small it happens to be.
+    """
     kinds = ["v", "h1", "h2"]
     found = written(docs.mapInPandas(lambda b: keyed(b, width, gram), "v long, doc long, th long, lo int, hi int, twice boolean"), "records")
     often = found.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("any")).where("n > 1 or any").select(F.col("v").alias("often_v"))
-    listed = found.join(often, found.v == often.often_v).groupBy("doc", "th").agg(F.collect_set(F.struct("v", "lo", "hi", "twice")).alias("found"))
+    often = written(often, "often")
+    listed = found.join(often.hint("merge"), found.v == often.often_v).groupBy("doc", "th").agg(F.collect_set(F.struct("v", "lo", "hi", "twice")).alias("found"))
     lists = written(listed, "lists")
     drop_written(found)
+    drop_written(often)
     schema = "v long, h1 long, h2 long, doc long, th long, lo int, hi int, twice boolean, content binary"
-    parts = written(docs.join(lists, ["doc", "th"]).mapInArrow(lambda b: pieces(b, width), schema), "pieces")
+    parts = written(docs.join(lists.hint("merge"), ["doc", "th"]).mapInArrow(lambda b: pieces(b, width), schema), "pieces")
     drop_written(lists)
 
     counted = written(parts.groupBy(*kinds).agg(F.count(F.lit(1)).alias("n"), F.max("twice").alias("twice")), "kinds")
     per_key = counted.groupBy("v").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"), F.max("twice").alias("any"))
     # Records that occur once may share windows with other records of their key, or within themselves.
     per_key = written(per_key.where("(least = 1 and kinds > 1) or any").select(F.col("v").alias("open_v"), "kinds"), "open")
-    opened = parts.where("content is not null").join(per_key, F.col("v") == F.col("open_v"))
+    opened = parts.where("content is not null").join(per_key.hint("merge"), F.col("v") == F.col("open_v"))
 
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     few = opened.where(F.col("kinds") <= crowd).select(*kinds, "content", "doc", "th", "lo")
@@ -267,14 +272,14 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd:
     place = F.min(F.struct("doc", "th", "lo", "content")).alias("x")
     many = opened.where(F.col("kinds") > crowd).groupBy(*kinds).agg(place).select("x.*")
     dealt = written(many.mapInArrow(lambda b: windows(b, width), "w1 long, w2 long, doc long, th long, at int"), "windows")
-    twice = dealt.groupBy("w1", "w2").count().where("count > 1").select(F.col("w1").alias("t1"), F.col("w2").alias("t2"))
-    window_spans = dealt.join(twice, (F.col("w1") == F.col("t1")) & (F.col("w2") == F.col("t2"))).select("doc", "th", F.col("at").alias("start"), (F.col("at") + width).alias("stop"))
+    twice = written(dealt.groupBy("w1", "w2").count().where("count > 1").select(F.col("w1").alias("t1"), F.col("w2").alias("t2")), "twice")
+    window_spans = dealt.join(twice.hint("merge"), (F.col("w1") == F.col("t1")) & (F.col("w2") == F.col("t2"))).select("doc", "th", F.col("at").alias("start"), (F.col("at") + width).alias("stop"))
 
     whole = counted.where("n > 1").select(*[F.col(k).alias(f"c_{k}") for k in kinds])
-    whole_spans = parts.join(whole, [F.col(k) == F.col(f"c_{k}") for k in kinds]).select("doc", "th", F.col("lo").alias("start"), (F.col("hi") + (width - 1)).alias("stop"))
+    whole_spans = parts.join(whole.hint("merge"), [F.col(k) == F.col(f"c_{k}") for k in kinds]).select("doc", "th", F.col("lo").alias("start"), (F.col("hi") + (width - 1)).alias("stop"))
     lists = sorted_spans.unionAll(window_spans).unionAll(whole_spans).groupBy("doc", "th").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     out = written(lists, "spans")
-    for table in (parts, counted, per_key, dealt):
+    for table in (parts, counted, per_key, dealt, twice):
         drop_written(table)
     return out
 
@@ -290,6 +295,6 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     body = F.coalesce(F.col(text), F.lit(""))
     own = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(body).alias("th"), body.alias("text"))
     spans = repeated_spans(own, width, gram, crowd)
-    joined = own.join(spans, ["doc", "th"], "left").select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "text", "spans")
+    joined = own.join(spans.hint("merge"), ["doc", "th"], "left").select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "text", "spans")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,stop:int>>"
     return joined.mapInPandas(cut, schema)

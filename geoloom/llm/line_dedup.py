@@ -70,11 +70,11 @@ def chunk_texts(batches: Iterator[pa.RecordBatch], text: str, marks: str) -> Ite
         found = set()
         for body, starts in zip(rows.column(names.index(text)).to_pylist(), rows.column(names.index(marks)).to_pylist(), strict=True):
             if starts:
-                lines, wanted = text_lines(body), {x["start"] for x in starts}
+                lines, wanted = text_lines(body), {(x["start"], x["h1"], x["h2"]) for x in starts}
                 for a, b in chunk_bounds(lines):
-                    if a in wanted:
-                        chunk = b"\n".join(lines[a:b])
-                        found.add((*digest(chunk), chunk))
+                    chunk = b"\n".join(lines[a:b])
+                    if (a, *(h := digest(chunk))) in wanted:
+                        found.add((*h, chunk))
         h1, h2, chunks = zip(*found, strict=True) if found else ((), (), ())
         yield pa.record_batch([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(chunks, pa.binary())], names=["h1", "h2", "chunk"])
 
@@ -85,12 +85,12 @@ def without_chunks(batches: Iterator[pa.RecordBatch], text: str, marks: str, cou
         at, cut_at = rows.schema.names.index(text), rows.schema.names.index(marks)
         texts, cuts = [], []
         for body, starts in zip(rows.column(at).to_pylist(), rows.column(cut_at).to_pylist(), strict=True):
-            gone = {x["start"] for x in starts or () if not x["first"]}
+            gone = {x["start"]: (x["h1"], x["h2"]) for x in starts or () if not x["first"]}
             cut = 0
             if gone:
                 lines, kept = text_lines(body), []
                 for a, b in chunk_bounds(lines):
-                    if a in gone:
+                    if a in gone and digest(b"\n".join(lines[a:b])) == gone[a]:
                         cut += b - a
                     else:
                         kept += lines[a:b]
@@ -119,8 +119,8 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", co
     Places of chunks go by hash without their text and are counted before the shuffle, so a chunk that a third of the
     documents have is one row per task. Each document then meets its own list (one shuffle of texts by id); the marked
     chunks' bytes, equal ones once a batch, are compared by hash, and hashes with unequal bytes, if any, mark nothing.
-    Null texts and null ids stay as they are; an emptied document stays with an empty text; rows of one doc_id are
-    treated alike; an empty table gives an empty one.
+    Null texts and null ids stay as they are; an emptied document stays with an empty text; equal rows of one
+    doc_id are one place; an empty table gives an empty one.
     """
     place = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     found = written(place.mapInPandas(spans, "doc_id long, start long, h1 long, h2 long"), "chunks")
@@ -131,7 +131,7 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", co
     mark, key = free_name(docs, "chunk_marks"), free_name(docs, "chunk_doc")
 
     def joined(places: DataFrame) -> DataFrame:
-        lists = places.groupBy("doc_id").agg(F.collect_set(F.struct("start", "first")).alias(mark)).withColumnRenamed("doc_id", key)
+        lists = places.groupBy("doc_id").agg(F.collect_set(F.struct("start", "first", "h1", "h2")).alias(mark)).withColumnRenamed("doc_id", key)
         return docs.join(lists, docs[doc_id].cast("long") == F.col(key), "left").drop(key)
 
     together = written(joined(marked), "together")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from geoloom.plans import queries as queries_
+from geoloom.plans import queries_more  # noqa: F401  registers further queries
 
 FLAGSHIP = "fuzzy_spatial_fusion"
 

@@ -17,8 +17,12 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from geoloom.llm.shared import id_or_none, known_id
 
 TOKENIZER = "byte_bpe_50k.json"
 #: The pre-tokenizer's pattern for ByteLevel with use_regex, as its library documents it.
@@ -200,16 +204,18 @@ def digests(batches: Iterator[pd.DataFrame], path: str | None) -> Iterator[pd.Da
         yield pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-def encoded(batches: Iterator[pd.DataFrame], path: str | None) -> Iterator[pd.DataFrame]:
+def encoded(batches: Iterator[pa.RecordBatch], path: str | None) -> Iterator[pa.RecordBatch]:
     """(doc_id, ids) of each batch of (doc_id, text)."""
     coder = Coder(path or tokenizer_path())
     for docs in batches:
-        yield pd.DataFrame({"doc_id": docs["doc_id"], "ids": [coder.encode(t if isinstance(t, str) else "") for t in docs["text"]]})
+        ids = pa.array([coder.encode(t or "") for t in docs.column(1).to_pylist()], pa.list_(pa.int32()))
+        yield pa.record_batch([docs.column(0), ids], names=["doc_id", "ids"])
 
 
 def encode(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id, ids array<int>) of whole texts; null is empty and has no ids; rows stay where they are (no shuffle)."""
-    return docs.selectExpr(f"`{doc_id}` as doc_id", f"`{text}` as text").mapInPandas(lambda b: encoded(b, path), f"doc_id {docs.schema[doc_id].dataType.simpleString()}, ids array<int>")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(lambda b: encoded(b, path), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
@@ -218,4 +224,5 @@ def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     Null and empty texts have no ids; repeated rows give equal rows; other columns are left out. One pass without a
     shuffle: a lost task encodes its own rows again. `path` is the tokenizer's file on the executors.
     """
-    return docs.selectExpr(f"cast(`{doc_id}` as long) as doc_id", f"`{text}` as text").mapInPandas(lambda b: digests(b, path), RESULT)
+    rows = docs.select(id_or_none(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInPandas(lambda b: digests(b, path), RESULT).withColumn("doc_id", known_id("doc_id"))

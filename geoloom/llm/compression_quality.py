@@ -10,7 +10,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -117,14 +116,13 @@ def learnable(doc_id: str = "id") -> str:
     return f"crc32(cast(cast({doc_id} as string) as binary)) % 4 <> 2"
 
 
-def scored(batches: Iterator[pd.DataFrame], model: Model) -> Iterator[pd.DataFrame]:
+def scored(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """(row, score) of each (row, text)."""
     compressors = model.opened()
     weights = np.array(model.weights)
     for docs in batches:
-        rows = np.array([features(t if isinstance(t, str) else None, compressors) for t in docs["text"]]).reshape(-1, len(weights))
-        score = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
-        yield pd.DataFrame({"row": docs["row"], "score": score})
+        rows = np.array([features(t, compressors) for t in docs.column(1).to_pylist()]).reshape(-1, len(weights))
+        yield pa.record_batch([docs.column(0), pa.array(1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30))))], names=["row", "score"])
 
 
 def scores(docs: DataFrame, model: Model, keep: str = "doc_id", text: str = "text") -> DataFrame:
@@ -134,7 +132,7 @@ def scores(docs: DataFrame, model: Model, keep: str = "doc_id", text: str = "tex
     own, so clashing names don't matter.
     """
     rows = docs.select(F.col(keep).alias("row"), F.col(text).alias("text"))
-    return rows.mapInPandas(lambda b: scored(b, model), f"row {rows.schema['row'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(lambda b: scored(b, model), f"row {rows.schema['row'].dataType.simpleString()}, score double")
 
 
 def kept_rows(batches: Iterator[pa.RecordBatch], model: Model, text: str, cut: float) -> Iterator[pa.RecordBatch]:

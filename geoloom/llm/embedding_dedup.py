@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.shared import components, written
+from geoloom.llm.shared import components, id_or_none, known_id, written
 from geoloom.llm.simhash import Forest
 
 COSINE = 0.9
@@ -122,7 +122,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     null or non-finite components link with nothing. Repeated rows count as copies; an empty table gives an empty one;
     other columns, labels included, are ignored.
     """
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("vector"))
+    rows = vectors.select(id_or_none(vec_id).alias("vec_id"), F.col(embedding).alias("vector"))
     rows = rows.withColumn("vector", F.when(usable(F.col("vector")), F.col("vector")))
     classes = written(rows.where("vector is not null").groupBy("vector").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
     found = class_links(classes, cosine, window, reach, seed)
@@ -131,5 +131,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     known = written(classes.join(links, "id", "left").join(roots, "id", "left").select(F.col("vector").alias("class_vector"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "id").alias("component_id")), "roots")
     out = rows.join(known, rows.vector == known.class_vector, "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    # A null id counts as the smallest inside; as a name of a component it is null again.
+    out = out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return out.select(known_id("vec_id").alias("vec_id"), "n_links", known_id("component_id").alias("component_id"), "kept")
 

@@ -14,6 +14,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Stands for a null id inside operators, where Arrow batches would turn ids with nulls into floating point.
+NO_ID = -(2**63)
+
+
+def id_or_none(column: str) -> Column:
+    """An id as a long, null as NO_ID."""
+    return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
+
+
+def known_id(column: str | Column) -> Column:
+    """An id, NO_ID as null again."""
+    c = F.col(column) if isinstance(column, str) else column
+    return F.when(c != NO_ID, c)
+
+
 def text_of(column: str | Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
@@ -67,6 +82,15 @@ def drop_written(frame: DataFrame) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def hash_sample(frame: DataFrame, column: str, rows: int, total: int) -> DataFrame:
+    """About `rows` of `total` rows, those with the least hashes of a column: for fitting bounds only.
+
+    A condition on each row, so that what reaches the driver is the sample itself, however many partitions there are.
+    """
+    steps = 1 << 30
+    return frame.where(F.pmod(F.xxhash64(column), F.lit(steps)) < min(steps, max(1, steps * rows // max(1, total))))
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """Smallest id reachable from each end of undirected edges (a long, b long) -> (id long, root long).
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.shared import new_folder
+from geoloom.llm.shared import id_or_none, known_id, new_folder
 
 LEAST_REVISIT = 1000
 #: Records in a file at most, a multiple of three: it bounds what the reader holds at once.
@@ -25,14 +25,14 @@ RECORD = "record_id string, record_type string, target_uri string, concurrent_to
 
 
 def revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """(page_id, digest, bytes) -> (page_id, refers_to) of the pages that repeat a payload of at least `least` bytes.
+    """(page_id, id, digest, bytes) -> (again_id, refers_to), ids of the pages that repeat a payload of at least `least` bytes.
 
     The page with the largest id keeps the payload. Digests are counted before they are shuffled; only pages of repeated
     digests travel, as ids, and Spark can split a digest that many pages share, since nothing above the join groups.
     """
     large = pages.where(F.col("bytes") >= least)
-    kept = large.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return large.select("page_id", "digest").join(kept, "digest").where("page_id <> refers_to").select(F.col("page_id").alias("again_id"), "refers_to")
+    kept = large.groupBy("digest").agg(F.max(F.struct("page_id", "id")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", F.col("kept.id").alias("refers_to"))
+    return large.select("id", "digest").join(kept, "digest").where("id <> refers_to").select(F.col("id").alias("again_id"), "refers_to").distinct()
 
 
 def record(kind: str, own_id: str, uri, date, headers: list, body):
@@ -47,17 +47,18 @@ def write_archive(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     """Three records a page: request, response or revisit (without payload, referring to the page that has it), metadata.
 
     Null html is an empty payload and null urls an empty target; line ends in urls become %0D and %0A so that a header
-    stays one line. Page ids are unique; an empty table writes no records.
+    stays one line. An identifier has the page's id and a hash of its URL and payload, so that pages that share an id are
+    captures of their own; an empty table writes no records.
     """
-    p = pages.select(F.col(page_id).cast("long").alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    p = p.select("page_id", F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A").alias("url"), "html", F.sha1(F.col("html").cast("binary")).alias("digest"), F.octet_length("html").cast("long").alias("bytes"))
-    again = revisits(p.select("page_id", "digest", "bytes"), least)
-    p = p.join(again, p.page_id == again.again_id, "left").withColumn("id", F.col("page_id").cast("string"))
+    p = pages.select(id_or_none(page_id).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+    p = p.select("page_id", F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A").alias("url"), "html", F.sha1(F.col("html").cast("binary")).alias("digest"), F.octet_length("html").cast("long").alias("bytes"), F.concat_ws(":", F.col("page_id").cast("string"), F.xxhash64("url", "html").cast("string")).alias("id"))
+    again = revisits(p.select("page_id", "id", "digest", "bytes"), least)
+    p = p.join(again, p.id == again.again_id, "left")
     digest, size = F.concat(F.lit("sha1:"), F.col("digest")), F.col("bytes").cast("string")
     own = [("WARC-Payload-Digest", digest)]
     ok = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n")
     response = record("response", "response:", F.col("url"), date, [("Content-Type", F.lit("application/http;msgtype=response")), *own], F.concat(ok, F.col("html")))
-    refers = F.concat(F.lit("<urn:capture:response:"), F.col("refers_to").cast("string"), F.lit(">"))
+    refers = F.concat(F.lit("<urn:capture:response:"), F.col("refers_to"), F.lit(">"))
     profile = F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
     revisit = record("revisit", "response:", F.col("url"), date, [("WARC-Profile", profile), ("WARC-Refers-To", refers), ("Content-Type", F.lit("application/http;msgtype=response")), *own], ok)
     same = ("WARC-Concurrent-To", F.concat(F.lit("<urn:capture:response:"), F.col("id"), F.lit(">")))
@@ -123,13 +124,14 @@ def assembled(records: DataFrame) -> DataFrame:
     """One nested row per capture: (capture_id, request, response, metadata), joined through concurrent-to identifiers.
 
     Responses and revisits are the captures; a request or metadata record belongs to the one that its
-    WARC-Concurrent-To names. A capture without one of them has null there; records naming no capture are left out.
-    Identifiers are unique, so that no key is hot.
+    WARC-Concurrent-To names. A capture without one of them has null there; records naming no capture are left out, and
+    records that repeat an identifier are one, so that no key is hot.
     """
+    one = lambda rows, name: rows.groupBy("capture_id").agg(F.first(name).alias(name))
     main = records.where(F.col("record_type").isin("response", "revisit")).select(F.col("record_id").alias("capture_id"), F.struct("*").alias("response"))
     asked = records.where(F.col("record_type") == "request").select(F.col("concurrent_to").alias("capture_id"), F.struct("record_id", "target_uri").alias("request"))
     noted = records.where(F.col("record_type") == "metadata").select(F.col("concurrent_to").alias("capture_id"), F.struct("record_id", "payload_bytes").alias("metadata"))
-    return main.join(asked, "capture_id", "left").join(noted, "capture_id", "left").select("capture_id", "request", "response", "metadata")
+    return one(main, "response").join(one(asked, "request"), "capture_id", "left").join(one(noted, "metadata"), "capture_id", "left").select("capture_id", "request", "response", "metadata")
 
 
 def captures(pages: DataFrame) -> DataFrame:
@@ -141,13 +143,13 @@ def captures(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     folder = new_folder(spark, "warc")
     write_archive(pages, folder)
-    number = lambda c: F.regexp_extract(c, r"response:(-?\d+)>", 1).cast("long")
+    number = lambda c: F.regexp_extract(c, r"response:(-?\d+):", 1).cast("long")
     c = assembled(read_archive(spark, folder, payloads=False))
     r = F.col("response")
     return c.select(
-        number("capture_id").alias("page_id"),
+        known_id(number("capture_id")).alias("page_id"),
         F.coalesce(r["computed_bytes"], F.col("metadata")["payload_bytes"]).alias("payload_bytes"),
         F.coalesce(r["computed_digest"], F.regexp_replace(r["payload_digest"], "^sha1:", "")).alias("payload_digest"),
         r["record_type"].alias("record_type"),
-        number(r["refers_to"]).alias("refers_to"),
+        known_id(number(r["refers_to"])).alias("refers_to"),
     )

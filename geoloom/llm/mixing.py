@@ -9,6 +9,8 @@ from geoloom.llm.shared import WORD
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
+#: A document with over one part in HEAVY of its source's size is a heavy one.
+HEAVY = 2000
 SEED = "mix-1"
 
 
@@ -56,18 +58,31 @@ def with_copies(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     """Add `mix` struct<source_size, target, copies> to each row.
 
     copies = floor(rate) plus one with probability equal to the fraction, rate = target / source size, never above
-    `most`. The only shuffle of documents is none: sizes are pre-aggregated per source and the table of sources joins
-    back (Spark broadcasts it while its measured size is below the session's threshold and splits a hot source in a
-    sort-merge join beyond it). Null sources are one source; empty texts take part and contribute nothing; repeated
-    rows draw alike; an empty table gives an empty table. Other columns pass through.
+    `most`. Documents draw by the hash of their id. Those that hold over 1 / HEAVY of their source's size, of which no
+    source can have more than HEAVY, draw by one hashed number per source instead, moved on by the fraction from each to
+    the next smaller: the probability is the same, and large documents can't all be drawn, or none. Only they are
+    shuffled; sizes are pre-aggregated per source, and the table of sources joins back (Spark broadcasts it while its
+    measured size is below the session's threshold and splits a hot source in a sort-merge join beyond it). Null sources
+    are one source; empty texts take part and contribute nothing; an empty table gives an empty table. Other columns
+    pass through.
     """
     sizes = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
-    targets = source_targets(sizes, weights, most).select(F.struct("source", "source_size", "target").alias("of"))
-    joined = docs.join(targets, docs[source].eqNullSafe(F.col("of.source")))
-    rate = F.when(F.col("of.source_size") > 0, F.col("of.target") / F.col("of.source_size")).otherwise(F.lit(0.0))
-    copies = F.floor(rate) + F.when(draw(docs[doc_id], seed) < rate - F.floor(rate), 1).otherwise(0)
-    mix = F.struct(F.col("of.source_size").alias("source_size"), F.col("of.target").alias("target"), F.least(copies, F.lit(most)).cast("long").alias("copies"))
-    return joined.select(*[docs[c] for c in docs.columns], mix.alias("mix"))
+    targets = source_targets(sizes, weights, most).select(F.struct("source", "source_size", "target").alias("target_of_source"))
+    own = targets["target_of_source"]
+    joined = docs.join(targets, docs[source].eqNullSafe(own["source"]))
+    rate = F.when(own["source_size"] > 0, own["target"] / own["source_size"]).otherwise(F.lit(0.0))
+    rated = joined.select(*[docs[c] for c in docs.columns], F.struct(own["source_size"].alias("source_size"), own["target"].alias("target"), rate.alias("rate")).alias("mix"))
+    heavy = F.col(size) * HEAVY > F.col("mix.source_size")
+    fraction = F.col("mix.rate") - F.floor("mix.rate")
+    order = Window.partitionBy(source).orderBy(F.col(size).desc(), draw(F.col(doc_id), seed), F.col(doc_id))
+    moved = draw(F.concat(F.lit("source:"), F.coalesce(F.col(source), F.lit(""))), seed) + F.row_number().over(order) * fraction
+
+    def copied(rows: DataFrame, number: Column) -> DataFrame:
+        copies = F.floor("mix.rate") + F.when(number < fraction, 1).otherwise(0)
+        mix = F.struct("mix.source_size", "mix.target", F.least(copies, F.lit(most)).cast("long").alias("copies"))
+        return rows.select(*[F.col(c) for c in docs.columns], mix.alias("mix"))
+
+    return copied(rated.where(~F.coalesce(heavy, F.lit(False))), draw(F.col(doc_id), seed)).unionAll(copied(rated.where(heavy), moved - F.floor(moved)))
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: str = SEED) -> DataFrame:

@@ -124,13 +124,16 @@ levels AS (
          after AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 settled AS (SELECT *, (SELECT arg_min(level, rank) FROM levels WHERE level * weight <= 3 * source_size) AS final FROM levels),
 targets AS (SELECT source, source_size, least((3 * source_size)::DOUBLE, coalesce(final * weight, (3 * source_size)::DOUBLE)) AS target FROM settled),
-drawn AS (
-  SELECT s.doc_id, s.size, s.source, t.source_size, t.target,
+rated AS (
+  SELECT s.doc_id, s.size, s.source, t.source_size, t.target, s.size * 2000 > t.source_size AS heavy,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-         ('0x' || substr(md5('mix-1:' || s.doc_id::VARCHAR), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+         ('0x' || substr(md5('mix-1:' || s.doc_id::VARCHAR), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u,
+         ('0x' || substr(md5('mix-1:source:' || coalesce(s.source, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS su
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+placed AS (SELECT *, su + row_number() OVER (PARTITION BY source, heavy ORDER BY size DESC, u, doc_id) * (rate - floor(rate)) AS moved FROM rated),
+drawn AS (SELECT *, CASE WHEN heavy THEN moved - floor(moved) ELSE u END AS d FROM placed)
 SELECT doc_id, size, source, source_size, target,
-       (least(floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END, 3) * size)::BIGINT AS taken
+       (least(floor(rate) + CASE WHEN d < rate - floor(rate) THEN 1 ELSE 0 END, 3) * size)::BIGINT AS taken
 FROM drawn
 """,
 }

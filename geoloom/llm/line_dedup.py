@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geoloom.llm.shared import drop_written, written
 
@@ -117,8 +118,9 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", co
     """Documents without repeated multi-line chunks; columns as given, plus `count` (lines removed) if named.
 
     Places of chunks go by hash without their text and are counted before the shuffle, so a chunk that a third of the
-    documents have is one row per task. Each document then meets its own list (one shuffle of texts by id); the marked
-    chunks' bytes, equal ones once a batch, are compared by hash, and hashes with unequal bytes, if any, mark nothing.
+    documents have is one row per task. Each document then meets its own list (one shuffle of texts by id; joined sides
+    grow with the corpus and are never broadcast); the marked chunks' bytes, equal ones once a batch, are compared by
+    hash, and hashes with unequal bytes, if any, mark nothing.
     Null texts and null ids stay as they are; an emptied document stays with an empty text; equal rows of one
     doc_id are one place; an empty table gives an empty one.
     """
@@ -126,13 +128,14 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", co
     found = written(place.mapInPandas(spans, "doc_id long, start long, h1 long, h2 long"), "chunks")
     per_hash = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("low"), F.max(F.struct("doc_id", "start")).alias("high"))
     repeated = per_hash.where("low <> high").select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "low")
-    marked = found.join(repeated, (found.h1 == repeated.r1) & (found.h2 == repeated.r2)).select("doc_id", "start", "h1", "h2", (F.struct("doc_id", "start") == F.col("low")).alias("first"))
+    repeated = written(repeated, "repeated")
+    marked = found.join(repeated.hint("merge"), (found.h1 == repeated.r1) & (found.h2 == repeated.r2)).select("doc_id", "start", "h1", "h2", (F.struct("doc_id", "start") == F.col("low")).alias("first"))
     marked = written(marked, "marked")
     mark, key = free_name(docs, "chunk_marks"), free_name(docs, "chunk_doc")
 
     def joined(places: DataFrame) -> DataFrame:
         lists = places.groupBy("doc_id").agg(F.collect_set(F.struct("start", "first", "h1", "h2")).alias(mark)).withColumnRenamed("doc_id", key)
-        return docs.join(lists, docs[doc_id].cast("long") == F.col(key), "left").drop(key)
+        return docs.join(lists.hint("merge"), docs[doc_id].cast("long") == F.col(key), "left").drop(key)
 
     together = written(joined(marked), "together")
     chunks = together.where(F.col(mark).isNotNull()).mapInArrow(lambda b: chunk_texts(b, text, mark), "h1 long, h2 long, chunk binary")
@@ -140,8 +143,8 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", co
     if unequal.limit(1).count():
         drop_written(together)
         together = written(joined(marked.join(unequal, ["h1", "h2"], "left_anti")), "together")
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return together.mapInArrow(lambda b: without_chunks(b, text, mark, count), ", ".join(schema + ([f"`{count}` long"] if count else [])))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema] + ([T.StructField(count, T.LongType())] if count else []))
+    return together.mapInArrow(lambda b: without_chunks(b, text, mark, count), schema)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.functions import text as ft
 from geoloom.functions.geometry import distance, interpolated, legs, length, length_metres, point
-from geoloom.operators.relational import numbered
+from geoloom.operators.lineage import checkpointed
+from geoloom.operators.relational import numbered, running_total
 
 #: Effort added per percent of slope up and down; slopes beyond the limit count as these fixed efforts.
 UP_EFFORT, DOWN_EFFORT, SLOPE_LIMIT, STEEP_UP, STEEP_DOWN = 0.0430815, 0.0363248, 9, 3.0, 0.65
@@ -139,10 +139,6 @@ def component_of(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star rounds; each is checkpointed in the folder that spark.checkpoint.dir names.
     """
-    context = edges.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = edges.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="geoloom-"))
     now = edges.select(F.greatest("source", "target").alias("a"), F.least("source", "target").alias("b")).where("a <> b").distinct()
     alone = edges.select(F.col("source").alias("node")).unionAll(edges.select(F.col("target").alias("node"))).distinct()
     before = None
@@ -152,7 +148,7 @@ def component_of(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(least, F.col("a") == F.col("n")).where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         root = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
         ends = F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
-        now = large.join(root, F.col("a") == F.col("n")).select(F.explode(ends).alias("e")).select("e.*").where("a <> b").distinct().checkpoint()
+        now = checkpointed(large.join(root, F.col("a") == F.col("n")).select(F.explode(ends).alias("e")).select("e.*").where("a <> b").distinct())
         state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == before:
             break
@@ -206,10 +202,8 @@ def way_xml(way_id: Column, refs: Column, tags: Column) -> Column:
 
 def ways_as_osm(ways: DataFrame, start: int = 1, line: str = "geom") -> DataFrame:
     """(kind, id, xml) of every way and its own nodes; node ids count on from `start` in the order of ways and points."""
-    sized = ways.withColumn("points", F.size(line))
-    before = F.coalesce(F.sum("points").over(Window.orderBy("id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sized.select("id", "points").withColumn("first_node", (before + start).cast("long")).select(F.col("id").alias("way_id"), "first_node")
-    rows = sized.join(offsets, F.col("id") == F.col("way_id"))
+    sized = running_total(ways.withColumn("points", F.size(line)), ["id"], F.col("points"), "points_so_far")
+    rows = sized.withColumn("first_node", F.col("points_so_far") - F.col("points") + start)
     refs = F.transform(F.sequence(F.lit(0), F.col("points") - 1), lambda i: F.col("first_node") + i)
     nodes = rows.select(F.posexplode(line).alias("i", "p"), "first_node").select(F.lit("node").alias("kind"), (F.col("first_node") + F.col("i")).alias("id"), node_xml(F.col("first_node") + F.col("i"), F.col("p")).alias("xml"))
     return nodes.unionByName(rows.select(F.lit("way").alias("kind"), F.col("id").cast("long").alias("id"), way_xml(F.col("id"), refs, F.col("tags")).alias("xml")))

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import collections as fc
 from geoloom.functions import text as ft
-from geoloom.functions.geometry import in_polygon
-from geoloom.operators.spatial_joins import nearest, ranked_partners, within_distance, without_near
+from geoloom.operators.spatial_joins import nearest, points_in_polygons, ranked_partners, within_distance, without_near
 
 
 @dataclass(frozen=True)
@@ -211,18 +210,16 @@ def matching_key(source: Column, extended: Column) -> Column:
     return F.when(source.isNotNull() & extended.isNotNull(), F.to_json(F.struct(source.alias("source"), extended.alias("extended_source"))))
 
 
-def in_area(points: DataFrame, areas: DataFrame, rule: str = "rule") -> DataFrame:
-    """Points that lie in a subscribed area and in no excluded one. The areas' polygons are few and join by containment."""
-    inside = in_polygon(F.struct(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")), F.col("area_geom"))
-    yes = areas.where(F.col(rule) == "subscribe").select(F.col("geom").alias("area_geom"))
-    no = areas.where(F.col(rule) == "exclude").select(F.col("geom").alias("area_geom"))
-    return points.join(yes, inside, "left_semi").join(no, inside, "left_anti")
+def in_area(points: DataFrame, areas: DataFrame, cell: float, rule: str = "rule") -> DataFrame:
+    """Points that lie in a subscribed area and in no excluded one; `cell` is about as wide as the areas."""
+    yes = points_in_polygons(points, areas.where(F.col(rule) == "subscribe"), cell, how="left_semi").select("l.*")
+    return points_in_polygons(yes, areas.where(F.col(rule) == "exclude"), cell, how="left_anti").select("l.*")
 
 
-def published(points: DataFrame, areas: DataFrame, category: str, sources: Sequence[str]) -> DataFrame:
+def published(points: DataFrame, areas: DataFrame, category: str, sources: Sequence[str], cell: float = 1.0) -> DataFrame:
     """Clean points of a category and of listed sources inside the subscribed area."""
     rows = points.where((F.col("category") == category) & F.col("source").isin(list(sources)))
-    clean = in_area(rows, areas)
+    clean = in_area(rows, areas, cell)
     return clean.withColumns({"name": ft.blank_to_null(F.col("name")), "email": ft.valid_email(F.col("email")), "website": ft.valid_url(F.col("website"))})
 
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from geoloom.operators.lineage import checkpointed
+
 
 def representative(rows: DataFrame, keys: Sequence[str], tie_break: str) -> DataFrame:
     """One whole row per key, that with the least `tie_break`; combined before the shuffle."""
@@ -38,18 +40,26 @@ def delete_using(table: DataFrame, gone: DataFrame, keys: Sequence[str]) -> Data
     return table.join(gone, list(keys), "left_anti")
 
 
-def numbered(rows: DataFrame, order: Sequence[str], name: str = "id", start: int = 1) -> DataFrame:
-    """Consecutive numbers in a total order, without gathering the rows in one task.
+def running_total(rows: DataFrame, order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """The sum of a value over all rows up to and with each row in a total order, without gathering rows in one task.
 
-    Rows are range-partitioned and counted per partition; each partition's offset is the sum of the counts before it, a
-    table of one row per partition.
+    Rows are range-partitioned and kept (their partitions must not be drawn anew), totalled within each partition, and
+    moved on by the totals of the partitions before it: a table of one row per partition.
     """
     parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("part_id", F.spark_partition_id())
-    placed = ranged.withColumn("place_in_part", F.row_number().over(Window.partitionBy("part_id").orderBy(*order)))
-    counts = placed.groupBy("part_id").agg(F.count(F.lit(1)).alias("part_rows"))
-    before = counts.withColumn("offset", F.coalesce(F.sum("part_rows").over(Window.orderBy("part_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part_id", "offset")
-    return placed.join(before, "part_id").withColumn(name, (F.col("offset") + F.col("place_in_part") + (start - 1)).cast("long")).drop("part_id", "place_in_part", "offset")
+    ranged = rows.withColumn("part_value", value.cast("long")).repartitionByRange(parts, *order)
+    kept = checkpointed(ranged.withColumn("part_id", F.spark_partition_id()))
+    inside = Window.partitionBy("part_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = kept.groupBy("part_id").agg(F.sum("part_value").alias("part_total"))
+    before = F.coalesce(F.sum("part_total").over(Window.orderBy("part_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = totals.select("part_id", before.alias("part_offset"))
+    out = kept.withColumn("part_sum", F.sum("part_value").over(inside)).join(offsets, "part_id")
+    return out.withColumn(name, F.col("part_offset") + F.col("part_sum")).drop("part_id", "part_value", "part_sum", "part_offset")
+
+
+def numbered(rows: DataFrame, order: Sequence[str], name: str = "id", start: int = 1) -> DataFrame:
+    """Consecutive numbers in a total order."""
+    return running_total(rows, order, F.lit(1), "running_number").withColumn(name, F.col("running_number") + (start - 1)).drop("running_number")
 
 
 def rebased(rows: DataFrame, id_column: str, last: int) -> DataFrame:

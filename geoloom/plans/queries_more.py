@@ -95,7 +95,7 @@ def subscription_area(spark, sf_dir):
     ring = F.array(corner(200, 0), corner(0, 200), corner(-200, 0), corner(0, -200), corner(200, 0))
     rule = F.when(F.col("n_nationkey") % 2 == 0, "subscribe").when(F.col("n_nationkey") % 5 == 1, "exclude")
     areas = z.select(F.array(ring).alias("geom"), rule.alias("rule"))
-    return poi.in_area(_whole(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey"), areas).select("c_custkey")
+    return poi.in_area(_whole(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey"), areas, 400.0).select("c_custkey")
 
 
 @query(f"""

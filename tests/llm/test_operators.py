@@ -142,6 +142,21 @@ def test_representatives(spark, docs):
     assert kept.columns == docs.columns and sorted(i for i in ids if i is not None) == sorted(groups) and ids.count(None) == 1
 
 
+def test_ids_may_be_null(spark):
+    big = 2**60 + 1
+    df = frame(spark, [(None, "some words here", "a"), (big, "some words here", None), (None, None, "a")])
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in simhash.near_duplicates(df).collect()) == [(0, 0), (0, big), (big, big)]
+    assert sorted((r.doc_id or 0, r.n_tokens > 0) for r in bpe.round_trip(df).collect()) == [(0, False), (0, True), (big, True)]
+    assert sorted(r.doc_id or 0 for r in suffix_dedup.removed(df).collect()) == [0, 0, big]
+    assert sorted(r.doc_id or 0 for r in quality_rules.judged(df).collect()) == [0, 0, big]
+    assert sorted(r.doc_id or 0 for r in line_dedup.deduplicated(df).collect()) == [0, 0, big]
+    assert len(mixing.mixed(df).collect()) >= 0
+    pages = spark.createDataFrame([(None, "http://a/b", "<article>x</article>"), (big, None, None)], "page_id long, url string, html string")
+    assert sorted((r.page_id or 0, r.text) for r in html_extract.main_texts(pages).collect()) == [(0, "x"), (big, "")]
+    vecs = spark.createDataFrame([(None, [1.0, 0.0]), (big, [1.0, 0.1]), (5, None)], "vec_id long, embedding array<float>")
+    assert sorted((r.vec_id or 0, r.n_links) for r in embedding_dedup.near_duplicates(vecs).collect()) == [(0, 1), (5, 0), (big, 1)]
+
+
 def test_components_of_a_path(spark):
     n = 60
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 101), (7, 7)], "a long, b long")
@@ -279,8 +294,10 @@ def test_warc_round_trip(spark):
     folder = warc.new_folder(spark, "warc")
     warc.write_archive(df, folder)
     nested = {r.capture_id: r for r in warc.assembled(warc.read_archive(spark, folder)).collect()}
-    assert nested["<urn:capture:response:8>"].response.payload == trap and all(r.request and r.metadata for r in nested.values())
+    assert next(r for k, r in nested.items() if ":8:" in k).response.payload == trap and all(r.request and r.metadata for r in nested.values())
     assert warc.captures(df.limit(0)).collect() == []
+    odd = spark.createDataFrame([(1, "u", "one"), (1, "v", "two"), (1, "v", "two"), (None, None, None)], "page_id long, url string, html string")
+    assert sorted((r.page_id or 0, r.payload_bytes) for r in warc.captures(odd).collect()) == [(0, 0), (1, 3), (1, 3)]
 
 
 def test_classifier_holds_out(spark):
@@ -346,7 +363,7 @@ def test_mixing(spark):
         rate = r.target / r.source_size if r.source_size else 0
         assert int(rate) <= r.copies <= min(3, int(rate) + 1)
         taken[r.source] += r.copies * r.size
-    assert all(abs(taken[s] - t) <= 0.15 * t + 60 for s, (t, _) in target.items())
+    assert all(abs(taken[s] - t) <= 0.03 * t + 60 for s, (t, _) in target.items())
     mixed = mixing.mixed(df)
     assert mixed.columns == df.columns and Counter(r.doc_id for r in mixed.collect()) == Counter({r.doc_id: r.copies for r in out if r.copies})
     assert mixing.with_copies(sized.limit(0)).collect() == [] and mixing.mixed(df.limit(0)).collect() == []

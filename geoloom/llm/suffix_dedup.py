@@ -21,14 +21,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.shared import drop_written, written
+from geoloom.llm.shared import drop_written, id_or_none, known_id, written
 from geoloom.llm.suffix_array import repeated_starts
 
 WIDTH, GRAM = 200, 100
 #: Windows in a record at most, different records of a key that go to one suffix array, and bytes sorted at once.
 MOST_RUN, CROWD, SORT_BYTES = 256, 64, 262_144
 BASE = 0x9E3779B97F4A7C15
-NO_ID = -(2**63)
 
 
 @cache
@@ -238,7 +237,7 @@ def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 at = b
             kept.update(data[at:])
             rows.append((doc_id, len(data), sum(b - a for a, b in gone), len(gone), kept.hexdigest(), [{"start": a, "stop": b} for a, b in gone]))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]).astype({"doc_id": "Int64"})
+        yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
@@ -293,8 +292,8 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     are allowed; an empty table gives an empty one.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    own = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), F.xxhash64(body).alias("th"), body.alias("text"))
+    own = docs.select(id_or_none(doc_id).alias("doc"), F.xxhash64(body).alias("th"), body.alias("text"))
     spans = repeated_spans(own, width, gram, crowd)
-    joined = own.join(spans.hint("merge"), ["doc", "th"], "left").select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "text", "spans")
+    joined = own.join(spans.hint("merge"), ["doc", "th"], "left").select(F.col("doc").alias("doc_id"), "text", "spans")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,stop:int>>"
-    return joined.mapInPandas(cut, schema)
+    return joined.mapInPandas(cut, schema).withColumn("doc_id", known_id("doc_id"))

@@ -25,8 +25,9 @@ from geoloom.llm.shared import drop_written, id_or_none, known_id, written
 from geoloom.llm.suffix_array import repeated_starts
 
 WIDTH, GRAM = 200, 100
-#: Windows in a record at most, different records of a key that go to one suffix array, and bytes sorted at once.
-MOST_RUN, CROWD, SORT_BYTES = 256, 64, 262_144
+#: Windows in a record at most; different records of a key that go to one suffix array (about 1.2 MB, some seconds: a
+#: row for each window costs some seventy times as much as one for the record); bytes sorted at once beyond one key.
+MOST_RUN, CROWD, SORT_BYTES = 256, 4096, 262_144
 BASE = 0x9E3779B97F4A7C15
 
 

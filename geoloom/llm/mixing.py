@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.llm.shared import WORD
+from geoloom.llm.shared import WORD, written
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -61,13 +61,13 @@ def with_copies(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     `most`. Documents draw by the hash of their id. Those that hold over 1 / HEAVY of their source's size, of which no
     source can have more than HEAVY, draw by one hashed number per source instead, moved on by the fraction from each to
     the next smaller: the probability is the same, and large documents can't all be drawn, or none. Only they are
-    shuffled; sizes are pre-aggregated per source, and the table of sources joins back (Spark broadcasts it while its
-    measured size is below the session's threshold and splits a hot source in a sort-merge join beyond it). Null sources
-    are one source; empty texts take part and contribute nothing; an empty table gives an empty table. Other columns
+    shuffled; sizes are pre-aggregated per source, and the table of sources is written, so that Spark knows its size
+    before it plans the join: it broadcasts it below the session's threshold, without shuffling documents first, and
+    splits a hot source in a sort-merge join beyond it. Null sources are one source; empty texts take part and contribute nothing; an empty table gives an empty table. Other columns
     pass through.
     """
     sizes = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
-    targets = source_targets(sizes, weights, most).select(F.struct("source", "source_size", "target").alias("target_of_source"))
+    targets = written(source_targets(sizes, weights, most).select(F.struct("source", "source_size", "target").alias("target_of_source")), "targets")
     own = targets["target_of_source"]
     joined = docs.join(targets, docs[source].eqNullSafe(own["source"]))
     rate = F.when(own["source_size"] > 0, own["target"] / own["source_size"]).otherwise(F.lit(0.0))

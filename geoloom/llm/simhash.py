@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.shared import components, written
+from geoloom.llm.shared import NO_ID, components, hash_sample, id_or_none, known_id, written
 
 SHINGLE, BITS, SEED = 3, 2, 42
 #: Fingerprints in a shard before its boundary copies, shards at most, sampled fingerprints per shard.
@@ -165,12 +165,12 @@ def fingerprint_links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     """Distinct fingerprints (fp long) -> links (a, b) whose components are those of all pairs within `bits`.
 
     Each shard gives a spanning forest of its links, fewer than it has fingerprints, however dense it is. The tree
-    comes from a sample of at most MOST_SHARDS * SAMPLE_ROWS fingerprints in hash order; all fingerprints go through it.
+    comes from a hash sample of about SAMPLE_ROWS fingerprints for each of at most MOST_SHARDS shards; all fingerprints go through it.
     """
     n = fps.count()
     shards = min(MOST_SHARDS, max(1, -(-n // SHARD_ROWS)))
     depth = (shards - 1).bit_length()
-    sample = fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE_ROWS * 2**depth).collect() if depth else []
+    sample = sorted(hash_sample(fps, "fp", SAMPLE_ROWS * 2**depth, n).collect()) if depth else []
     points = np.array([r.fp for r in sample], np.int64).view(np.uint64)
     nodes = grown(points, depth, np.random.default_rng(7)) if depth else [None, None]
     dealt_rows = fps.mapInPandas(lambda b: spread(b, nodes, bits), "shard long, fp long")
@@ -181,18 +181,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, fingerprint, component_id): one row per document, of whole texts.
 
     Documents with equal fingerprints are one class; classes within `bits` are linked, and component_id is the smallest
-    doc_id of what is reachable. Null, empty and blank texts have fingerprint zero and link like any other. Repeated
+    doc_id of what is reachable, null where all ids are. Null, empty and blank texts have fingerprint zero and link like any other. Repeated
     rows stay; an empty table gives an empty one; other columns are left out.
     """
-    rows = docs.selectExpr(f"cast(`{doc_id}` as long) as doc_id", f"`{text}` as text")
+    rows = docs.select(id_or_none(doc_id).alias("doc_id"), F.col(text).alias("text"))
     fps = written(rows.mapInPandas(lambda b: fingerprinted(b, shingle, seed), "doc_id long, fp long"), "fingerprints")
-    classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    classes = written(fps.groupBy("fp").agg(F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).alias("least")), "classes")
     ends = components(fingerprint_links(classes.select("fp"), bits))
     rooted = written(classes.join(ends.select(F.col("id").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
     first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = rooted.join(first, "root").select(F.col("fp").alias("class_fp"), "component_id")
     joined = fps.join(of_class, fps.fp == of_class.class_fp)
-    return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return joined.select(known_id("doc_id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -247,6 +247,7 @@ PAGE = "<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var
         ("<article><p>Text</p><div id='comments'><p>Nice</p></div><div class='cookie-notice'>Ok</div></article>", "Text"),
         ("<article><p>A &lt;tag&gt; &#233; &eacute; &am</p><!-- no --><ul><li>x</li><li>y</li></ul><table><tr><td>1</td><td>2</td></tr></table>", "A <tag> é é &am\nx\ny\n1 2"),
         ("<article><p>Open", "Open"),
+        ("<div class='page has-sidebar'><article class='post has-comments'><div class='post-header'><h1>H</h1></div><p>T</p></article><article class='comment'><p>Hi</p></article></div>", "H\nT"),
         ("", ""),
     ],
 )

@@ -68,9 +68,14 @@ def test_pipeline(spark, sf):
         stopped |= more
     coder = bpe.Coder(bpe.tokenizer_path())
     wanted = Counter()
-    for d in docs:
+    drawn = lambda x: int(hashlib.md5(f"{mixing.SEED}:{x}".encode()).hexdigest()[:13], 16) / 2**52
+    place = Counter()
+    for d in sorted(docs, key=lambda d: (-len(d["text"].split()), drawn(d["doc_id"]), d["doc_id"])):
         rate = 3.0 if d["source"] in stopped else level * weight[d["source"]] / sizes[d["source"]]
-        u = int(hashlib.md5(f"{mixing.SEED}:{d['doc_id']}".encode()).hexdigest()[:13], 16) / 2**52
+        u = drawn(d["doc_id"])
+        if len(d["text"].split()) * mixing.HEAVY > sizes[d["source"]]:
+            place[d["source"]] += 1
+            u = (drawn("source:" + d["source"]) + place[d["source"]] * (rate - int(rate))) % 1
         ids = coder.exact.encode(d["text"], add_special_tokens=False).ids
         copies = int(rate) + (u < rate - int(rate))
         if copies:

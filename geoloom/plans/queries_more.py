@@ -218,7 +218,7 @@ def cover_cells(spark, sf_dir):
 
 @query(f"""
 WITH s AS (SELECT s_suppkey, {XY.format(k="s_suppkey")} FROM supplier)
-SELECT s_suppkey, round(6.0 + s_suppkey % 5, 4) AS area, round(x + (4 + s_suppkey % 5 * 0) / 3.0, 4) AS cx, round(12 + 0.0, 4) AS legs FROM (SELECT s_suppkey, x, y FROM s) WHERE s_suppkey % 5 = 0
+SELECT s_suppkey, 6.0::DOUBLE AS area, round(x + 4.0::DOUBLE / 3, 4) AS cx, 12.0::DOUBLE AS legs FROM s WHERE s_suppkey % 5 = 0
 """)
 def polygon_measures(spark, sf_dir):
     """Area, centroid and outline of triangles (GEO-06, GEO-07, GEO-08, GEO-14)."""

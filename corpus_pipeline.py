@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import bpe, compression_quality, line_dedup, mixing, simhash
+from geoloom.llm import bpe, compression_quality, jaccard_dedup, line_dedup, mixing
 from geoloom.llm.shared import drop_written, written
 
 
@@ -25,8 +25,11 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group. Rows without an id belong to no group and stay."""
-    return simhash.representatives(docs)
+    """The document with the smallest id of each group linked by a Jaccard of 0.8 or more over five-word shingles.
+
+    Rows without an id belong to no group and stay.
+    """
+    return jaccard_dedup.representatives(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +50,7 @@ STAGES = [
     ("bpe", tokens),
 ]
 
-#: No SQL: trained dictionaries, SimHash and BPE. tests/llm holds run() against a brute-force version.
+#: No SQL: trained dictionaries, MinHash and BPE. tests/llm holds run() against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -20,8 +20,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without multi-line chunks that stand elsewhere first."""
-    return line_dedup.deduplicated(docs)
+    """Documents without multi-line chunks, and passages of over 50 words, that stand elsewhere first."""
+    return line_dedup.deduplicated(docs, words=line_dedup.PASSAGE_WORDS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,15 +51,16 @@ def features(text: str | None, compressors: list[zstandard.ZstdCompressor]) -> l
     return [1.0, gap, low, low * low, bare, gap * size, size, low * size]
 
 
-def fitted(rows: np.ndarray, labels: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:
-    """Weights of a logistic regression by Newton steps, classes weighed as they occur."""
+def fitted(rows: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:
+    """Weights of a logistic regression by Newton steps; `weights` says what each row counts, one without."""
     w = np.zeros(rows.shape[1])
+    each = np.ones(len(rows)) if weights is None else weights
     penalty = ridge * len(rows) * np.eye(rows.shape[1]) / 10
     penalty[0, 0] = 1e-9
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(rows @ w, -30, 30)))
-        grad = rows.T @ (p - labels) + penalty @ w
-        hess = (rows * (p * (1 - p))[:, None]).T @ rows + penalty + 1e-9 * np.eye(len(w))
+        grad = rows.T @ (each * (p - labels)) + penalty @ w
+        hess = (rows * (each * p * (1 - p))[:, None]).T @ rows + penalty + 1e-9 * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
         w -= step
         if np.abs(step).max() < 1e-8:
@@ -81,14 +82,18 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Learn from labelled documents.
 
     At most FIT_ROWS texts of each class, of at most FIT_CHARS code points, in hash order of their ids; every second one
-    builds the dictionaries, the others calibrate. Ids and lengths are joined, then only the chosen texts are fetched. `learn_from` is a SQL condition on `id`. Null texts and labels teach
+    builds the dictionaries, the others calibrate, each class with the weight of all its labels, chosen or not, so that a
+    score means the same at every size. Ids and lengths are joined, then only the chosen texts are fetched. `learn_from` is a SQL condition on `id`. Null texts and labels teach
     nothing; without both classes every text scores the share of good labels, one half without any.
     """
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("good")).where("good in (0, 1)").distinct()
     if learn_from:
         known = known.where(learn_from)
-    sizes = docs.select(F.col(doc_id).alias("id"), F.length(text).alias("n")).where(F.col("n").between(1, FIT_CHARS)).distinct()
-    pairs = known.join(sizes, "id")
+    sizes = docs.select(F.col(doc_id).alias("id"), F.length(text).alias("n")).where("n >= 1").distinct()
+    labelled = known.join(sizes, "id")
+    counted = {r.good: r.n for r in labelled.groupBy("good").agg(F.count_distinct("id").alias("n")).collect()}
+    total = sum(counted.values())
+    pairs = labelled.where(F.col("n") <= FIT_CHARS)
     chosen = {r.id: good for good in (0, 1) for r in pairs.where(F.col("good") == good).orderBy(F.md5(F.col("id").cast("string")), "id").limit(FIT_ROWS).select("id").collect()}
     sample: dict[int, list[str]] = {0: [], 1: []}
     if chosen:
@@ -99,15 +104,15 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         for i in chosen:
             sample[chosen[i]].append(bodies[i])
     if min(map(len, sample.values())) < 4:
-        n = sum(map(len, sample.values()))
-        share = (len(sample[1]) + 0.5) / (n + 1)
+        share = (counted.get(1, 0) + 0.5) / (total + 1)
         return Model(b"\n" * 16, b"\n" * 16, [math.log(share / (1 - share))] + [0.0] * 7)
     model = Model(dictionary(sample[1][::2]), dictionary(sample[0][::2]), [])
     compressors = model.opened()
     rest = [(t, g) for g in (0, 1) for t in sample[g][1::2]]
     rows = np.array([features(t, compressors) for t, _ in rest])
     marks = np.array([float(g) for _, g in rest])
-    model.weights = fitted(rows, marks).tolist()
+    of_class = {g: counted[g] / total * len(rest) / len(sample[g][1::2]) for g in (0, 1)}
+    model.weights = fitted(rows, marks, np.array([of_class[g] for _, g in rest])).tolist()
     return model
 
 

@@ -39,7 +39,7 @@ def repeat_words(tokens: Column) -> Column:
         steps = F.transform(p, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(p, i + 1) - x, F.lit(3))))
         return F.aggregate(steps, F.lit(0), lambda a, b: a + b)
 
-    counted = let(tokens, lambda w: F.when(F.size(w) < 6, F.lit(0)).otherwise(let(F.array_sort(F.transform(marked(w), lambda x: x["i"])), covered)))
+    counted = let(tokens, lambda w: F.when(F.size(w) < 4, F.lit(0)).otherwise(let(F.array_sort(F.transform(marked(w), lambda x: x["i"])), covered)))
     return counted
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -40,18 +41,43 @@ def words(text: Column) -> Column:
     return F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, SPACE_RUN))
 
 
+#: Tables and archives written in this process and not removed yet, by path.
+REMAINING: dict[str, SparkSession] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else a new local one (single machine)."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Unset, a local session gets a new local one;
+    on a cluster executors wouldn't see that, so there it is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: it has to name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="geoloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing uses yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing uses yet; what is still there goes when the driver ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    REMAINING[path] = spark
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    REMAINING.pop(path, None)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@atexit.register
+def remove_remaining() -> None:
+    """Results are lazy, so the last tables of a query have to outlive it; they go with the driver, if its session is up."""
+    for path, spark in list(REMAINING.items()):
+        if spark.sparkContext._jsc is None:
+            return
+        remove(spark, path)
 
 
 def written(frame: DataFrame, name: str) -> DataFrame:
@@ -77,9 +103,7 @@ def drop_written(frame: DataFrame) -> None:
     """Remove a table made by written() that nothing reads any more."""
     path = getattr(frame, "_written_at", None)
     if path:
-        spark = frame.sparkSession
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        remove(frame.sparkSession, path)
 
 
 def hash_sample(frame: DataFrame, column: str, rows: int, total: int) -> DataFrame:

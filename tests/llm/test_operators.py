@@ -207,8 +207,8 @@ def vectors():
     return rows
 
 
-@pytest.mark.parametrize("window", [512, 16])
-def test_embedding_links(spark, window):
+@pytest.mark.parametrize(("window", "block", "tile"), [(256, 2048, 4096), (16, 64, 40)])
+def test_embedding_links(spark, window, block, tile):
     rows = vectors()
     df = spark.createDataFrame([(i, v, 0, 1) for i, v in rows], "vec_id long, embedding array<float>, label int, id int")
     good = [(i, np.array(v, np.float32).astype(float)) for i, v in rows if v and None not in v and np.isfinite(v).all() and any(v)]
@@ -223,15 +223,35 @@ def test_embedding_links(spark, window):
             if linked(a, b):
                 degree[good[a][0]] += 1
                 degree[good[b][0]] += 1
-    found = {r.vec_id: r for r in embedding_dedup.near_duplicates(df, window=window).collect()}
+    found = {r.vec_id: r for r in embedding_dedup.near_duplicates(df, window=window, block=block, tile=tile).collect()}
     assert len(found) == len(rows) and all(found[i].n_links <= degree[i] for i, _ in rows)
     assert sum(r.n_links for r in found.values()) >= 0.9 * sum(degree.values())
     assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
-    if window == 512:
+    if window == 256:
         comp = dict(zip([i for i, _ in good], brute_components([i for i, _ in good], linked), strict=True))
         assert all(found[i].n_links == degree[i] and found[i].component_id == comp.get(i, i) for i, _ in rows)
 
 
+def test_embedding_recall_over_thousands_of_vectors(spark):
+    """Pairs right above the threshold, and a group of 900 that is denser than any window."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((3000, 24))
+    noise = rng.standard_normal((3000, 24))
+    noise -= base * (noise * base).sum(1, keepdims=True) / (base * base).sum(1, keepdims=True)
+    noise *= np.linalg.norm(base, axis=1, keepdims=True) / np.linalg.norm(noise, axis=1, keepdims=True)
+    angle = np.arccos(rng.uniform(0.9, 0.93, (3000, 1)))
+    points = np.vstack([base, np.cos(angle) * base + np.sin(angle) * noise, rng.standard_normal(24) + 0.06 * rng.standard_normal((900, 24))]).astype(np.float32)
+    unit = points.astype(float) / np.linalg.norm(points.astype(float), axis=1, keepdims=True)
+    degree = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    rows = spark.createDataFrame(enumerate(points.tolist()), "vec_id long, embedding array<float>")
+    found = {r.vec_id: r for r in embedding_dedup.near_duplicates(rows, window=64, block=256, tile=200).collect()}
+    assert all(found[i].n_links <= degree[i] for i in found)
+    pairs = [i for i in range(6000) if degree[i]]
+    assert sum(found[i].n_links for i in pairs) >= 0.9 * sum(degree[i] for i in pairs)
+    assert all(found[i].n_links >= 0.99 * degree[i] for i in range(6000, 6900))
+    assert {found[i].component_id for i in range(6000, 6900)} == {found[6000].component_id}
+
+
 def test_embeddings_of_an_empty_table(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 

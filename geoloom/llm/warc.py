@@ -15,11 +15,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm.shared import id_or_none, known_id, new_folder
+from geoloom.llm.shared import drop_written, id_or_none, known_id, new_folder, remove, written
 
 LEAST_REVISIT = 1000
-#: Records in a file at most, a multiple of three: it bounds what the reader holds at once.
-FILE_RECORDS = 3000
+#: Bytes of payloads in a file on average: pages are dealt by a hash to as many files, so that what the reader holds at
+#: once is this and, at most, some pages that are larger themselves.
+FILE_BYTES = 32_000_000
+#: Records in a file at most, a multiple of three.
+FILE_RECORDS = 30_000
 END = "\r\n\r\n"
 RECORD = "record_id string, record_type string, target_uri string, concurrent_to string, refers_to string, payload_digest string, payload_bytes long, computed_digest string, computed_bytes long, payload string"
 
@@ -27,12 +30,13 @@ RECORD = "record_id string, record_type string, target_uri string, concurrent_to
 def revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """(page_id, id, digest, bytes) -> (again_id, refers_to), ids of the pages that repeat a payload of at least `least` bytes.
 
-    The page with the largest id keeps the payload. Digests are counted before they are shuffled; only pages of repeated
+    The page with the largest page_id keeps the payload, of equal ones that with the largest id. Digests are counted before they are shuffled; only pages of repeated
     digests travel, as ids, and Spark can split a digest that many pages share, since nothing above the join groups.
     """
     large = pages.where(F.col("bytes") >= least)
-    kept = large.groupBy("digest").agg(F.max(F.struct("page_id", "id")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", F.col("kept.id").alias("refers_to"))
-    return large.select("id", "digest").join(kept, "digest").where("id <> refers_to").select(F.col("id").alias("again_id"), "refers_to").distinct()
+    kept = large.groupBy("digest").agg(F.max(F.struct("page_id", "id")).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", F.col("kept.id").alias("kept_id"), F.col("kept.page_id").alias("kept_page"))
+    named = F.concat_ws(":", F.col("kept_page").cast("string"), F.col("kept_id").cast("string"))
+    return large.select("id", "digest").join(kept, "digest").where("id <> kept_id").select(F.col("id").alias("again_id"), named.alias("refers_to"))
 
 
 def record(kind: str, own_id: str, uri, date, headers: list, body):
@@ -47,13 +51,19 @@ def write_archive(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     """Three records a page: request, response or revisit (without payload, referring to the page that has it), metadata.
 
     Null html is an empty payload and null urls an empty target; line ends in urls become %0D and %0A so that a header
-    stays one line. An identifier has the page's id and a hash of its URL and payload, so that pages that share an id are
-    captures of their own; an empty table writes no records.
+    stays one line. An identifier has the page's id and a number of its row, so that repeated rows, and pages that share
+    an id, are captures of their own; an empty table writes no records. Rows are numbered in a table of their own: the
+    numbers have to be the same wherever a page is read again.
     """
+    spark = pages.sparkSession
     p = pages.select(id_or_none(page_id).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    p = p.select("page_id", F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A").alias("url"), "html", F.sha1(F.col("html").cast("binary")).alias("digest"), F.octet_length("html").cast("long").alias("bytes"), F.concat_ws(":", F.col("page_id").cast("string"), F.xxhash64("url", "html").cast("string")).alias("id"))
-    again = revisits(p.select("page_id", "id", "digest", "bytes"), least)
-    p = p.join(again, p.id == again.again_id, "left")
+    p = p.select("page_id", F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A").alias("url"), "html", F.sha1(F.col("html").cast("binary")).alias("digest"), F.octet_length("html").cast("long").alias("bytes"), F.monotonically_increasing_id().alias("number"))
+    staged = written(p, "pages")
+    again = revisits(staged.select("page_id", F.col("number").alias("id"), "digest", "bytes"), least)
+    files = 1 + (staged.agg(F.sum("bytes")).first()[0] or 0) // FILE_BYTES
+    parts = max(files, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    p = staged.repartition(parts, "number").join(again.hint("merge"), F.col("number") == F.col("again_id"), "left")
+    p = p.withColumn("id", F.concat_ws(":", F.col("page_id").cast("string"), F.col("number").cast("string")))
     digest, size = F.concat(F.lit("sha1:"), F.col("digest")), F.col("bytes").cast("string")
     own = [("WARC-Payload-Digest", digest)]
     ok = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n")
@@ -67,6 +77,7 @@ def write_archive(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     three = F.array(request, F.when(F.col("refers_to").isNull(), response).otherwise(revisit), meta)
     text = p.select(F.explode(three).alias("value"))
     text.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(folder)
+    drop_written(staged)
 
 
 def records_of(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -135,9 +146,9 @@ def assembled(records: DataFrame) -> DataFrame:
 
 
 def captures(pages: DataFrame) -> DataFrame:
-    """Write pages as archives in the shared folder, read these back, and return one row per page.
+    """Write pages as archives in the shared folder, read these back, and return one row per row of pages.
 
-    (page_id, payload_bytes, payload_digest, record_type, refers_to): digests and sizes of responses are computed from
+    The archives are removed once they are read. (page_id, payload_bytes, payload_digest, record_type, refers_to): digests and sizes of responses are computed from
     the payload read; revisits have those that their headers and metadata carry.
     """
     spark = pages.sparkSession
@@ -146,10 +157,13 @@ def captures(pages: DataFrame) -> DataFrame:
     number = lambda c: F.regexp_extract(c, r"response:(-?\d+):", 1).cast("long")
     c = assembled(read_archive(spark, folder, payloads=False))
     r = F.col("response")
-    return c.select(
+    out = c.select(
         known_id(number("capture_id")).alias("page_id"),
         F.coalesce(r["computed_bytes"], F.col("metadata")["payload_bytes"]).alias("payload_bytes"),
         F.coalesce(r["computed_digest"], F.regexp_replace(r["payload_digest"], "^sha1:", "")).alias("payload_digest"),
         r["record_type"].alias("record_type"),
         known_id(number(r["refers_to"])).alias("refers_to"),
     )
+    read = written(out, "captures")
+    remove(spark, folder)
+    return read

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -288,6 +289,25 @@ def test_common_lines():
         assert len(found) == best[-1][-1] and all(x in rest for x in found)
 
 
+def test_alignment_of_many_equal_lines():
+    same, mixed = ["x"] * 20_000, ["a", "b"] * 10_000
+    began = time.perf_counter()
+    assert html_extract.common(same, same[1:]) == set(range(19_999)) or len(html_extract.common(same, same[1:])) == 19_999
+    assert len(html_extract.common(mixed, mixed[1:] + ["c"])) >= 19_990
+    assert time.perf_counter() - began < 1
+
+
+def test_near_copies_of_a_page_are_no_partners(spark):
+    body = "<html><body><div>Site</div>{}<div>Imprint</div></body></html>"
+    story = "".join(f"<div>line {i} of the story</div>" for i in range(20))
+    rows = [(1, "http://h/a/1", body.format(story)), (2, "http://h/a/2", body.format(story + "<div>and one more</div>")), (3, "http://h/a/3", body.format("<div>quite another</div><div>story</div>"))]
+    rows += [(None, "http://h/b", None)] * 40
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text.split("\n") for r in html_extract.main_texts(df).collect()}
+    assert found[2] == [*(f"line {i} of the story" for i in range(20)), "and one more"] and found[3] == ["quite another", "story"]
+    assert found[1] == ["Site", *found[2][:20], "Imprint"]
+
+
 def test_pages_are_differenced(spark):
     plain = "<html><body><div>Site name</div><div>{}</div><div>{}</div><div>Imprint</div></body></html>"
     rows = [(i, f"http://Host/a/{i:03d}?q={i}", plain.format(f"story {i}", f"more {i}")) for i in range(40)]

@@ -23,9 +23,9 @@ from geoloom.llm.shared import components, drop_written, id_or_none, known_id, w
 from geoloom.llm.simhash import Forest
 
 COSINE = 0.9
-WINDOW, REACH, SEED = 256, 0.97, 11
+WINDOW, REACH, SEED = 1024, 0.95, 11
 #: Vectors of a block of the order before its guests, and of a tile of a run: what a task holds at most is twice a tile.
-BLOCK, TILE = 2048, 4096
+BLOCK, TILE = 4096, 4096
 #: Hash bits of a pass; more than any table needs to tell its vectors apart.
 KEY_BITS = 48
 #: Passes whose vectors are shuffled at once.
@@ -46,15 +46,15 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def unit_rows(vectors: pd.Series) -> np.ndarray:
-    """Vectors of one length as rows of length one, in double precision; scaled first, so that no square overflows."""
-    m = np.stack([np.asarray(v, np.float64) for v in vectors])
+def unit_rows(m: np.ndarray) -> np.ndarray:
+    """Rows brought to length one in double precision; scaled first, so that no square overflows."""
+    m = m.astype(np.float64)
     m /= np.abs(m).max(axis=1, keepdims=True)
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
 def hashed(batches: Iterator[pd.DataFrame], passes: int, seed: int) -> Iterator[pd.DataFrame]:
-    """(id, copies, vector, size, keys) of (id, copies, vector): the hash string of each pass as a number."""
+    """(id, copies, vector, size, keys) of (id, copies, vector): the vector's bytes, and the hash string of each pass as a number."""
     planes: dict[int, np.ndarray] = {}
     weights = 1 << np.arange(KEY_BITS, dtype=np.int64)[::-1]
     for rows in batches:
@@ -66,9 +66,9 @@ def hashed(batches: Iterator[pd.DataFrame], passes: int, seed: int) -> Iterator[
                 planes[size] = np.random.default_rng([seed, size]).standard_normal((size, passes * KEY_BITS))
             for at in range(0, len(own), 1024):
                 part = own[at : at + 1024]
-                signs = (unit_rows(rows["vector"].iloc[part]) @ planes[size] > 0).reshape(len(part), passes, KEY_BITS)
+                signs = (unit_rows(np.stack(rows["vector"].iloc[part].tolist())) @ planes[size] > 0).reshape(len(part), passes, KEY_BITS)
                 keys[part] = (signs * weights).sum(axis=2)
-        yield rows.assign(size=lengths.astype(np.int32), keys=list(keys))
+        yield rows.assign(vector=[v.tobytes() for v in rows["vector"]], size=lengths.astype(np.int32), keys=list(keys))
 
 
 def ordered(rows: DataFrame, bits: int) -> DataFrame:
@@ -109,21 +109,23 @@ def near_each_other(group: pd.DataFrame, window: int) -> Iterator[tuple[np.ndarr
     """Index pairs that a group has to compare, as (rows, rows) rectangles to be masked by place."""
     n = len(group)
     if group["kind"].iloc[0] == 0:
-        for first in range(0, n, window):
-            yield np.arange(first, min(first + window, n)), np.arange(first, min(first + 2 * window, n))
+        step = max(1, window // 4)
+        for first in range(0, n, step):
+            yield np.arange(first, min(first + step, n)), np.arange(first, min(first + step + window, n))
         return
     low, high = (np.flatnonzero(group["home"] == group[side]) for side in "ab")
     for first in range(0, len(low), 1024):
         yield low[first : first + 1024], high
 
 
-def verified(group: pd.DataFrame, cosine: float, window: int) -> pd.DataFrame:
+def verified(group: pd.DataFrame, dtype: str, cosine: float, window: int) -> pd.DataFrame:
     """Links of one group that no earlier pass has found, summed per vector, with a spanning forest of all: (id, other, links)."""
     names = ["id", "other", "links"]
     out = []
-    for _, rows in group.groupby("size"):
+    for size, rows in group.groupby("size"):
         rows = rows.sort_values("at", kind="stable").reset_index(drop=True)
-        vectors, ids, copies, at = unit_rows(rows["vector"]), rows["id"].to_numpy(), rows["copies"].to_numpy(), rows["at"].to_numpy()
+        vectors = unit_rows(np.frombuffer(b"".join(rows["vector"]), dtype).reshape(-1, int(size)))
+        ids, copies, at = rows["id"].to_numpy(), rows["copies"].to_numpy(), rows["at"].to_numpy()
         number, kind = int(rows["pass"].iloc[0]), int(rows["kind"].iloc[0])
         ats, runs = (np.stack(rows[c].to_numpy())[:, :number] for c in ("ats", "runs"))
         home = (rows["home"] == rows["a"]).to_numpy()
@@ -150,8 +152,10 @@ def verified(group: pd.DataFrame, cosine: float, window: int) -> pd.DataFrame:
 def class_links(classes: DataFrame, cosine: float, window: int, reach: float, seed: int, block: int, tile: int) -> DataFrame:
     """Distinct vectors (id, copies, vector) -> (id, other, links): links of a vector by part, and one link of the forest."""
     bits, passes = plan(classes.count(), cosine, window, reach)
-    kind = classes.schema["vector"].dataType.simpleString()
-    rows = written(classes.select("id", "copies", "vector").mapInPandas(lambda b: hashed(b, passes, seed), f"id long, copies long, vector {kind}, size int, keys array<long>"), "hashed")
+    single = classes.schema["vector"].dataType.simpleString() == "array<float>"
+    dtype = "f4" if single else "f8"
+    numbers = F.col("vector") if single else F.col("vector").cast("array<double>")
+    rows = written(classes.select("id", "copies", numbers.alias("vector")).mapInPandas(lambda b: hashed(b, passes, seed), "id long, copies long, vector binary, size int, keys array<long>"), "hashed")
     placed = ordered(rows, bits)
     laid = written(rows.drop("keys").join(dealt(placed, window, block, tile), "id"), "dealt")
     drop_written(placed)
@@ -161,7 +165,7 @@ def class_links(classes: DataFrame, cosine: float, window: int, reach: float, se
         some = F.slice("places", first + 1, AT_ONCE)
         sent = laid.select("id", "copies", "vector", "size", F.col("places.at").alias("ats"), F.col("places.run").alias("runs"), F.explode(some).alias("p"))
         sent = sent.select("id", "copies", "vector", "size", "ats", "runs", "p.pass", "p.at", F.explode("p.groups").alias("g")).select("*", "g.*").drop("g")
-        part = written(sent.groupBy("pass", "kind", "a", "b").applyInPandas(lambda x: verified(x, cosine, window), "id long, other long, links long"), "found")
+        part = written(sent.groupBy("pass", "kind", "a", "b").applyInPandas(lambda x: verified(x, dtype, cosine, window), "id long, other long, links long"), "found")
         found = part if found is None else found.unionAll(part)
     assert found is not None
     drop_written(laid)
@@ -177,17 +181,17 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     their own; an empty table gives an empty one; other columns, labels included, are ignored.
     """
     rows = vectors.select(id_or_none(vec_id).alias("vec_id"), F.col(embedding).alias("vector"))
-    rows = rows.withColumn("vector", F.when(usable(F.col("vector")), F.col("vector")))
-    equal = rows.where("vector is not null").groupBy("vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    rows = rows.withColumn("vector", F.when(usable(F.col("vector")), F.col("vector"))).withColumn("hash", F.xxhash64("vector"))
+    equal = rows.where("vector is not null").groupBy("hash", "vector").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
     classes = written(equal.select(F.monotonically_increasing_id().alias("id"), "*"), "classes")
     found = class_links(classes, cosine, window, reach, seed, block, tile)
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
-    rooted = written(classes.join(links, "id", "left").join(roots, "id", "left").select("vector", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "id").alias("root")), "rooted")
+    rooted = written(classes.join(links, "id", "left").join(roots, "id", "left").select("hash", "vector", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "id").alias("root")), "rooted")
     drop_written(classes)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    known = rooted.join(named, "root").select(F.col("vector").alias("class_vector"), "n_links", "component_id")
-    out = rows.join(known, rows.vector == known.class_vector, "left")
+    known = rooted.join(named, "root").select(F.col("hash").alias("class_hash"), F.col("vector").alias("class_vector"), "n_links", "component_id")
+    out = rows.join(known, (rows.hash == known.class_hash) & (rows.vector == known.class_vector), "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     # A null id counts as the smallest inside; as a name of a component it is null again.
     out = out.withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -16,29 +16,35 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.shared import NO_ID, components, hash_sample, id_or_none, known_id, written
+from geoloom.llm.shared import NO_ID, components, drop_written, hash_sample, id_or_none, known_id, written
 
 SHINGLE, BITS, SEED = 3, 2, 42
-#: Fingerprints in a shard before its boundary copies, shards at most, sampled fingerprints per shard.
-SHARD_ROWS, MOST_SHARDS, SAMPLE_ROWS = 2_000, 1024, 32
+#: Fingerprints in a shard before its boundary copies, shards at most (beyond 130 million fingerprints shards grow
+#: instead, at 10 thousand million to 150 000), sampled fingerprints per shard: 2 million, 17 MB, at most.
+SHARD_ROWS, MOST_SHARDS, SAMPLE_ROWS = 2_000, 65_536, 32
 LEAF_ROWS = 256
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """64-bit SimHash: a bit is one if it is set in over half of the shingles' XXH64; no words give zero.
-
-    bytes.lower() changes A-Z only and bytes.split() parts at exactly the six ASCII spaces.
-    """
+def words_of(text: str | None) -> tuple[list[bytes], bytes]:
+    """Words, and the text of them: bytes.lower() changes A-Z only and bytes.split() parts at exactly the six ASCII spaces."""
     tokens = (text or "").encode("utf-8").lower().split()
+    return tokens, b" ".join(tokens)
+
+
+def shingle_hashes(tokens: list[bytes], body: bytes, shingle: int, seed: int) -> np.ndarray:
+    """XXH64 of each shingle in order, repeats included; of fewer words than that the whole text is one."""
     if not tokens:
-        return 0
-    body = b" ".join(tokens)
+        return np.zeros(0, np.uint64)
     width = min(shingle, len(tokens))
     sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
     starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
     ends = (starts + sizes)[width - 1 :]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(body[a:b], seed) for a, b in zip(starts.tolist(), ends.tolist(), strict=False)), np.uint64, len(ends))
+    return np.fromiter((digest(body[a:b], seed) for a, b in zip(starts.tolist(), ends.tolist(), strict=False)), np.uint64, len(ends))
+
+
+def folded(hashes: np.ndarray) -> int:
+    """64-bit SimHash: a bit is one if it is set in over half of the hashes; none give zero."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 65536):
         part = hashes[at : at + 65536].astype("<u8")
@@ -46,6 +52,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The SimHash of a text's shingles; no words give zero."""
+    return folded(shingle_hashes(*words_of(text), shingle, seed))
+
+
 def fingerprinted(batches: Iterator[pd.DataFrame], shingle: int, seed: int) -> Iterator[pd.DataFrame]:
     """(doc_id, fp) of each (doc_id, text); fp is the fingerprint as a signed long."""
     for docs in batches:
@@ -170,13 +181,19 @@ def fingerprint_links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     n = fps.count()
     shards = min(MOST_SHARDS, max(1, -(-n // SHARD_ROWS)))
     depth = (shards - 1).bit_length()
-    sample = sorted(hash_sample(fps, "fp", SAMPLE_ROWS * 2**depth, n).collect()) if depth else []
-    points = np.array([r.fp for r in sample], np.int64).view(np.uint64)
+    sample = hash_sample(fps, "fp", SAMPLE_ROWS * 2**depth, n).toPandas()["fp"].to_numpy(np.int64) if depth else np.zeros(0, np.int64)
+    points = np.sort(sample).view(np.uint64)
     nodes = grown(points, depth, np.random.default_rng(7)) if depth else [None, None]
     dealt_rows = fps.mapInPandas(lambda b: spread(b, nodes, bits), "shard long, fp long")
     return dealt_rows.groupBy("shard").applyInPandas(lambda x: shard_links(x, bits), "a long, b long")
 
 
+def fingerprint_roots(fps: DataFrame, bits: int = BITS) -> DataFrame:
+    """Distinct fingerprints (fp long) -> (fp, root): fingerprints reachable from each other by links have one root."""
+    ends = components(fingerprint_links(fps, bits))
+    return fps.join(ends.select(F.col("id").alias("fp"), "root"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = BITS, seed: int = SEED) -> DataFrame:
     """(doc_id, fingerprint, component_id): one row per document, of whole texts.
 
@@ -187,8 +204,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(id_or_none(doc_id).alias("doc_id"), F.col(text).alias("text"))
     fps = written(rows.mapInPandas(lambda b: fingerprinted(b, shingle, seed), "doc_id long, fp long"), "fingerprints")
     classes = written(fps.groupBy("fp").agg(F.min(F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))).alias("least")), "classes")
-    ends = components(fingerprint_links(classes.select("fp"), bits))
-    rooted = written(classes.join(ends.select(F.col("id").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+    rooted = written(classes.join(fingerprint_roots(classes.select("fp"), bits), "fp"), "rooted")
+    drop_written(classes)
     first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = rooted.join(first, "root").select(F.col("fp").alias("class_fp"), "component_id")
     joined = fps.join(of_class, fps.fp == of_class.class_fp)

@@ -1,8 +1,14 @@
-"""Near-duplicates by similarity of word shingles: candidates from MinHash bands, each checked for its exact Jaccard.
+"""SimHash near-duplicates by similarity: documents whose word shingles have a Jaccard of 0.8 or more.
 
-Documents with equal words are one class, and one row each goes on. Classes that share a band meet in its bucket. First
-each member is checked against its bucket's least; then, in buckets whose members aren't all linked yet, all pairs of
-members that are still apart. So a large group costs one pair a member, and no pair of a bucket goes unchecked.
+A pair at 0.8 differs in some ten of the 64 bits of its fingerprints; at such a radius no branch of a vantage-point tree
+can be pruned, since unrelated fingerprints differ in 32 bits, give or take 4. So the tree links what lies within
+TREE_BITS, most of what copies are in practice, and bands of minima over the same shingle hashes bring together
+what lies further apart. Both only propose: every link is a pair whose exact Jaccard was checked.
+
+Documents with equal words are one class, and one row each goes on. Classes that the tree links, or that share a band,
+meet in a bucket. First each member is checked against the least of all its buckets, then, where they are still apart,
+against the least of each; then, in buckets whose members aren't all linked yet, all pairs of members that are still
+apart. So a large group costs one pair a member, and no pair of a bucket goes unchecked.
 """
 
 from __future__ import annotations
@@ -16,38 +22,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.shared import components, drop_written, written
+from geoloom.llm.simhash import fingerprint_roots, folded, shingle_hashes, words_of
 
 #: Words of a shingle, and the least similarity of a linked pair as a fraction.
 SHINGLE, SHARE = 5, (4, 5)
+#: Radius of the tree.
+TREE_BITS = 3
 #: A pair at 0.8 shares one of 24 bands of 4 minima but for 3 in a million: (1 - 0.8 ** 4) ** 24.
 BANDS, ROWS, SEED = 24, 4, 42
 FACTORS, TERMS = np.random.default_rng(SEED).integers(0, 2**64, (2, BANDS * ROWS), dtype=np.uint64) | np.array([[1], [0]], np.uint64)
 
 
-def body_of(text: str | None) -> tuple[list[bytes], bytes]:
-    """Words (parted at the six ASCII spaces, A-Z in lower case), and the text of them."""
-    tokens = (text or "").encode("utf-8").lower().split()
-    return tokens, b" ".join(tokens)
-
-
 def digest(body: bytes) -> tuple[int, int]:
     """128 bits of a body as two signed longs."""
     value = xxhash.xxh3_128_digest(body)
     return int.from_bytes(value[:8], "big", signed=True), int.from_bytes(value[8:], "big", signed=True)
 
 
-def shingles(tokens: list[bytes], body: bytes, shingle: int) -> np.ndarray:
-    """Distinct 64-bit hashes of the shingles, sorted; of fewer words than that the whole text is one."""
-    if not tokens:
-        return np.zeros(0, np.uint64)
-    width = min(shingle, len(tokens))
-    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
-    starts = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-    ends = (starts + sizes)[width - 1 :]
-    hashed = xxhash.xxh3_64_intdigest
-    return np.unique(np.fromiter((hashed(body[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=False)), np.uint64, len(ends)))
-
-
 def band_keys(hashes: np.ndarray) -> list[int]:
     """A signed long per band: equal for sets whose minima under the band's functions are equal."""
     if not len(hashes):
@@ -61,14 +52,16 @@ def band_keys(hashes: np.ndarray) -> list[int]:
 
 
 def signed(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
-    """(doc_id, c1, c2, n, keys) of each (doc_id, text): digest of the words, number of shingles, bands."""
+    """(doc_id, c1, c2, n, fp, keys) of each (doc_id, text): digest of the words, number of shingles, fingerprint, bands."""
     for docs in batches:
         rows = []
         for i, text in zip(docs["doc_id"].tolist(), docs["text"], strict=True):
-            tokens, body = body_of(text if isinstance(text, str) else None)
-            hashes = shingles(tokens, body, shingle)
-            rows.append((i, *digest(body), len(hashes), band_keys(hashes)))
-        yield pd.DataFrame(rows, columns=["doc_id", "c1", "c2", "n", "keys"])
+            tokens, body = words_of(text if isinstance(text, str) else None)
+            hashes = shingle_hashes(tokens, body, shingle, SEED)
+            distinct = np.unique(hashes)
+            fp = int(np.uint64(folded(hashes)).astype(np.int64))
+            rows.append((i, *digest(body), len(distinct), fp, band_keys(distinct)))
+        yield pd.DataFrame(rows, columns=["doc_id", "c1", "c2", "n", "fp", "keys"])
 
 
 def packed(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
@@ -76,9 +69,9 @@ def packed(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFra
     for docs in batches:
         rows = []
         for r in docs.itertuples(index=False):
-            tokens, body = body_of(r.text if isinstance(r.text, str) else None)
+            tokens, body = words_of(r.text if isinstance(r.text, str) else None)
             if digest(body) == (r.d1, r.d2):
-                rows.append((r.doc_id, shingles(tokens, body, shingle).astype("<u8").tobytes()))
+                rows.append((r.doc_id, np.unique(shingle_hashes(tokens, body, shingle, SEED)).astype("<u8").tobytes()))
         yield pd.DataFrame(rows, columns=["id", "hashes"])
 
 
@@ -100,37 +93,68 @@ def checked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(alike, "a long, b long")
 
 
+def bucketed(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """Classes (id, n, c1, c2) of documents with equal words, and their rows (key, low, id, n) in buckets of two or more."""
+    signs = written(docs.mapInPandas(lambda b: signed(b, shingle), "doc_id long, c1 long, c2 long, n long, fp long, keys array<long>"), "signs")
+    classes = written(signs.groupBy("c1", "c2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "classes")
+    drop_written(signs)
+    worded = classes.where("n > 0")
+    fps = written(worded.select("fp").distinct(), "fps")
+    trees = fingerprint_roots(fps, TREE_BITS).withColumnRenamed("fp", "tree_fp")
+    tree = worded.join(trees.hint("merge"), F.col("fp") == F.col("tree_fp")).select("id", "n", F.xxhash64(F.lit("tree"), "root").alias("key"))
+    placed = written(worded.select("id", "n", F.explode("keys").alias("key")).unionAll(tree), "placed")
+    drop_written(fps)
+    buckets = placed.groupBy("key").agg(F.min(F.struct("id", "n")).alias("low"), F.max("id").alias("high")).where("low.id <> high")
+    members = written(placed.join(buckets.select(F.col("key").alias("k"), "low").hint("merge"), F.col("key") == F.col("k")).drop("k"), "members")
+    drop_written(placed)
+    return classes, members
+
+
+def near(n, m):
+    """Whether sets of these sizes can have the similarity."""
+    return SHARE[1] * F.least(n, m) >= SHARE[0] * F.greatest(n, m)
+
+
 def roots(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """(least, root) of each class of documents with equal words: its smallest id and that of what is reachable from it.
 
     Ids may not be null. Texts without words are one class. Pairs of unlike numbers of shingles can't have the
-    similarity and aren't looked at; sets are 64-bit hashes of shingles.
+    similarity and aren't looked at; sets are 64-bit hashes of shingles. An empty table gives an empty one.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signs = written(rows.mapInPandas(lambda b: signed(b, shingle), "doc_id long, c1 long, c2 long, n long, keys array<long>"), "signs")
-    classes = written(signs.groupBy("c1", "c2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "classes")
-    drop_written(signs)
-    placed = written(classes.select("id", "n", "c1", "c2", F.explode("keys").alias("key")), "placed")
-    buckets = placed.groupBy("key").agg(F.min(F.struct("id", "n")).alias("low"), F.max("id").alias("high")).where("low.id <> high")
-    members = written(placed.join(buckets.select(F.col("key").alias("k"), "low").hint("merge"), F.col("key") == F.col("k")).drop("k"), "members")
-    drop_written(placed)
-    near = lambda n, m: SHARE[1] * F.least(n, m) >= SHARE[0] * F.greatest(n, m)
-    wanted = members.select(F.col("id").alias("w"), F.col("c1").alias("d1"), F.col("c2").alias("d2")).distinct()
-    found = rows.join(wanted.hint("merge"), rows.doc_id == wanted.w).select("doc_id", "text", "d1", "d2")
+    classes, members = bucketed(rows, shingle)
+    ids = classes.select(F.col("id").alias("w"), F.col("c1").alias("d1"), F.col("c2").alias("d2"))
+    wanted = ids.join(members.select(F.col("id").alias("m")).distinct().hint("merge"), F.col("w") == F.col("m"), "left_semi")
+    found = rows.join(wanted.hint("merge"), rows.doc_id == F.col("w")).select("doc_id", "text", "d1", "d2")
     sets = written(found.mapInPandas(lambda b: packed(b, shingle), "id long, hashes binary").dropDuplicates(["id", "hashes"]), "sets")
-    stars = members.where((F.col("id") != F.col("low.id")) & near(F.col("n"), F.col("low.n"))).select(F.col("low.id").alias("a"), F.col("id").alias("b")).distinct()
-    first = written(checked(stars, sets), "links")
-    ends = written(components(first), "ends")
-    rooted = written(members.join(ends.withColumnRenamed("id", "e").hint("merge"), F.col("id") == F.col("e"), "left").select("key", "id", "n", F.col("low.id").alias("low"), F.coalesce("root", "id").alias("root")), "rooted")
-    drop_written(members)
-    apart = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select(F.col("key").alias("k"))
+
+    def rooted(links: DataFrame) -> DataFrame:
+        ends = components(links).withColumnRenamed("id", "e")
+        joined = members.join(ends.hint("merge"), F.col("id") == F.col("e"), "left")
+        return written(joined.select("key", "id", "n", "low", F.coalesce("root", "id").alias("root")), "rooted")
+
+    stars = members.where((F.col("id") != F.col("low.id")) & near(F.col("n"), F.col("low.n")))
+    links = written(checked(stars.groupBy("id").agg(F.min("low.id").alias("a")).select("a", F.col("id").alias("b")), sets), "links")
+    now = rooted(links)
+    lows = now.groupBy("key").agg(F.min(F.struct("id", "root")).alias("first")).select(F.col("key").alias("k"), F.col("first.root").alias("low_root"))
+    apart = now.join(lows.hint("merge"), F.col("key") == F.col("k")).where((F.col("root") != F.col("low_root")) & near(F.col("n"), F.col("low.n")))
+    more = written(checked(apart.select(F.col("low.id").alias("a"), F.col("id").alias("b")).distinct(), sets), "links")
+    drop_written(now)
+    links = links.unionAll(more)
+    now = rooted(links)
+    open_keys = now.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select(F.col("key").alias("k"))
     # The least was checked against everyone; what it met is left out.
-    left = rooted.where("id <> low").join(apart.hint("merge"), F.col("key") == F.col("k"), "left_semi")
+    left = now.where("id <> low.id").join(open_keys.hint("merge"), F.col("key") == F.col("k"), "left_semi")
     one, two = left.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")), left.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     rest = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near(F.col("na"), F.col("nb"))).select("a", "b").distinct()
-    second = written(checked(rest, sets), "links")
-    ends = written(components(first.unionAll(second)), "ends")
-    return classes.select(F.col("id").alias("least")).distinct().join(ends.hint("merge"), F.col("least") == F.col("id"), "left").select("least", F.coalesce("root", "least").alias("root"))
+    last = written(checked(rest, sets), "links")
+    for done in (now, sets, members):
+        drop_written(done)
+    ends = components(links.unionAll(last)).withColumnRenamed("id", "e")
+    out = classes.select(F.col("id").alias("least")).distinct().join(ends.hint("merge"), F.col("least") == F.col("e"), "left")
+    out = written(out.select("least", F.coalesce("root", "least").alias("root")), "roots")
+    drop_written(classes)
+    return out
 
 
 def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:

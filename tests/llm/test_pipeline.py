@@ -7,7 +7,8 @@ from collections import Counter, defaultdict
 import pytest
 
 import corpus_pipeline
-from geoloom.llm import bpe, compression_quality, line_dedup, mixing, queries, simhash
+from geoloom.llm import bpe, compression_quality, line_dedup, mixing, queries
+from tests.llm.test_simhash_similar import brute_kept
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -26,34 +27,21 @@ def test_pipeline(spark, sf):
     score = {r.row: r.score for r in compression_quality.scores(table, model).collect()}
     docs = [d for d in docs if score[d["doc_id"]] >= 0.7]
 
-    places = defaultdict(list)
+    places = defaultdict(set)
     for d in docs:
-        lines = d["text"].encode().split(b"\n")
-        for a, b in line_dedup.chunk_bounds(lines):
-            if b - a > 1:
-                places[tuple(lines[a:b])].append((d["doc_id"], a))
+        for a, b, piece in line_dedup.pieces(d["text"].encode().split(b"\n"), 50):
+            places[piece].add((d["doc_id"], a, b))
     gone = defaultdict(set)
     for at in places.values():
-        for i, a in sorted(at)[1:]:
-            gone[i].add(a)
+        first = min(at)
+        for i, a, b in at:
+            if (i, a) != first[:2] and not (i == first[0] and a < first[2]):
+                gone[i].update(range(a, b))
     for d in docs:
-        d["text"] = line_dedup.kept_text(d["text"], gone[d["doc_id"]])
-
-    fps = [simhash.fingerprint(d["text"]) for d in docs]
-    root = list(range(len(docs)))
-    changed = True
-    while changed:
-        changed = False
-        for i in range(len(docs)):
-            for j in range(i):
-                if root[i] != root[j] and (fps[i] ^ fps[j]).bit_count() <= 2:
-                    old, new = max(root[i], root[j]), min(root[i], root[j])
-                    root = [new if r == old else r for r in root]
-                    changed = True
-    low = {}
-    for d, r in zip(docs, root, strict=True):
-        low[r] = min(low.get(r, d["doc_id"]), d["doc_id"])
-    docs = [d for d in docs if d["doc_id"] in set(low.values())]
+        d["text"] = b"\n".join(x for k, x in enumerate(d["text"].encode().split(b"\n")) if k not in gone[d["doc_id"]]).decode()
+
+    kept = set(brute_kept([(d["doc_id"], d["text"]) for d in docs]))
+    docs = [d for d in docs if d["doc_id"] in kept]
 
     sizes = Counter()
     for d in docs:
@@ -91,6 +79,24 @@ def test_stages_keep_columns(spark, sf):
         assert out.dtypes == docs.dtypes
 
 
+def test_pipeline_with_nulls_empties_and_clashing_columns(spark, sf, tmp_path):
+    long = " ".join(f"word{i}" for i in range(30_000))
+    rows = [(None, "no id at all", "a"), (1, None, "a"), (2, "", None), (3, " \n ", "b"), (4, long, "b"), (4, long, "b"), (5, "short", None), (6, "short", "a")]
+    extra = "doc_id long, text string, source string, mix string, key string, score double, size long, lang string"
+    table = spark.createDataFrame([(*r, "m", "k", 0.5, 9, "en") for r in rows], extra)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.dtypes == docs.dtypes and out.count() > 0
+    near = corpus_pipeline.one_of_each_group(spark, docs, "").collect()
+    assert sorted(r.doc_id or 0 for r in near) == [0, 1, 4, 5]
+    assert corpus_pipeline.run(spark, str(tmp_path)).columns[:2] == ["doc_id", "n_tokens"]
+    table.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_registered(spark):
     import __spark_entry__
 

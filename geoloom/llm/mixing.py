@@ -64,14 +64,15 @@ def with_copies(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     shuffled; sizes are pre-aggregated per source, and the table of sources is written, so that Spark knows its size
     before it plans the join: it broadcasts it below the session's threshold, without shuffling documents first, and
     splits a hot source in a sort-merge join beyond it. Null sources are one source; empty texts take part and contribute nothing; an empty table gives an empty table. Other columns
-    pass through.
+    pass through, but for one named `mix`, which is replaced. Rows that share an id, null included, draw alike.
     """
+    names = [c for c in docs.columns if c.lower() != "mix"]
     sizes = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"))
     targets = written(source_targets(sizes, weights, most).select(F.struct("source", "source_size", "target").alias("target_of_source")), "targets")
     own = targets["target_of_source"]
     joined = docs.join(targets, docs[source].eqNullSafe(own["source"]))
     rate = F.when(own["source_size"] > 0, own["target"] / own["source_size"]).otherwise(F.lit(0.0))
-    rated = joined.select(*[docs[c] for c in docs.columns], F.struct(own["source_size"].alias("source_size"), own["target"].alias("target"), rate.alias("rate")).alias("mix"))
+    rated = joined.select(*[docs[c] for c in names], F.struct(own["source_size"].alias("source_size"), own["target"].alias("target"), rate.alias("rate")).alias("mix"))
     heavy = F.col(size) * HEAVY > F.col("mix.source_size")
     fraction = F.col("mix.rate") - F.floor("mix.rate")
     order = Window.partitionBy(source).orderBy(F.col(size).desc(), draw(F.col(doc_id), seed), F.col(doc_id))
@@ -80,7 +81,7 @@ def with_copies(docs: DataFrame, doc_id: str = "doc_id", source: str = "source",
     def copied(rows: DataFrame, number: Column) -> DataFrame:
         copies = F.floor("mix.rate") + F.when(number < fraction, 1).otherwise(0)
         mix = F.struct("mix.source_size", "mix.target", F.least(copies, F.lit(most)).cast("long").alias("copies"))
-        return rows.select(*[F.col(c) for c in docs.columns], mix.alias("mix"))
+        return rows.select(*names, mix.alias("mix"))
 
     return copied(rated.where(~F.coalesce(heavy, F.lit(False))), draw(F.col(doc_id), seed)).unionAll(copied(rated.where(heavy), moved - F.floor(moved)))
 

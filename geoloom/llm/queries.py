@@ -50,7 +50,7 @@ def op7_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = compression_quality.scores(docs, model)
     return out.select(
         F.col("row").alias("doc_id"),
-        (F.crc32(F.col("row").cast("string").cast("binary")) % 4 == 2).alias("held_out"),
+        F.coalesce(F.crc32(F.col("row").cast("string").cast("binary")) % 4 == 2, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= compression_quality.CUT).cast("int").alias("predicted"),
     )

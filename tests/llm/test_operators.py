@@ -467,6 +467,8 @@ def test_mixing(spark):
         assert int(rate) <= r.copies <= min(3, int(rate) + 1)
         taken[r.source] += r.copies * r.size
     assert all(abs(taken[s] - t) <= 0.03 * t + 60 for s, (t, _) in target.items())
+    clash = mixing.with_copies(sized.withColumn("mix", F.lit("x")).limit(50))
+    assert clash.columns == [*sized.columns, "mix"] and clash.where("mix.copies >= 0").count() == 50
     mixed = mixing.mixed(df)
     assert mixed.columns == df.columns and Counter(r.doc_id for r in mixed.collect()) == Counter({r.doc_id: r.copies for r in out if r.copies})
     assert mixing.with_copies(sized.limit(0)).collect() == [] and mixing.mixed(df.limit(0)).collect() == []

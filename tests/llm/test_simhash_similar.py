@@ -2,7 +2,10 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline
+from geoloom.llm import simhash_similar
 
 
 def brute_kept(rows):
@@ -41,6 +44,24 @@ def test_near_duplicates_by_jaccard(spark):
     assert out.where("doc_id is null").count() == 1
 
 
+@pytest.mark.parametrize("tile", [1000, 20])
+def test_a_group_that_its_least_does_not_hold(spark, monkeypatch, tile):
+    """Copies that drift from a common text: many are unlike the least of their buckets, and linked through others."""
+    monkeypatch.setattr(simhash_similar, "LEAST_TILE", 4)
+    rng = random.Random(13)
+    base = [f"w{rng.randrange(4000)}" for _ in range(90)]
+    rows = []
+    for i in range(220):
+        copy = list(base)
+        for k in rng.sample(range(90), rng.choice((0, 1, 2, 3, 4))):
+            copy[k] = f"new{rng.randrange(40)}"
+        rows.append((i, " ".join(copy)))
+    rows[0] = (0, " ".join(base[:20] + ["other"] * 2 + base[20:60] + ["more"] * 2 + base[60:]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash_similar.representatives(docs, tile=tile)
+    assert sorted(r.doc_id for r in found.collect()) == brute_kept(rows)
+
+
 def test_near_duplicates_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert corpus_pipeline.one_of_each_group(spark, docs, "").collect() == []

@@ -20,10 +20,24 @@ def trigrams(text: Column) -> Column:
     return F.array_distinct(F.flatten(grams))
 
 
+def trigram_codes(text: Column) -> Column:
+    """The trigrams as numbers, one byte a character: arrays of numbers intersect without comparing strings."""
+    code = lambda g, i: F.ascii(F.substr(g, F.lit(i), F.lit(1)))
+    return F.transform(trigrams(text), lambda g: code(g, 1) * 65536 + code(g, 2) * 256 + code(g, 3))
+
+
 def trigram_overlap(a: Column, b: Column) -> Column:
-    """Shared trigrams over all trigrams of two trigram arrays; 0 where there are none or a side is null."""
-    total = F.size(F.array_union(a, b))
-    return F.coalesce(F.when(total > 0, F.size(F.array_intersect(a, b)) / total), F.lit(0.0))
+    """Shared trigrams over all trigrams of two arrays without repeats; 0 where there are none or a side is null."""
+    shared = F.size(F.array_intersect(a, b))
+    total = F.size(a) + F.size(b) - shared
+    return F.coalesce(F.when(total > 0, shared / total), F.lit(0.0))
+
+
+def may_overlap(a: Column, b: Column, threshold: float) -> Column:
+    """Whether two arrays without repeats can have an overlap of a threshold: first by their sizes alone, then by what
+    they share, which is looked up once; rounding is on the safe side, so the overlap itself has to be compared after it."""
+    sizes = F.least(F.size(a), F.size(b)) >= threshold * F.greatest(F.size(a), F.size(b)) - 1e-9
+    return sizes & (F.size(F.array_intersect(a, b)) * (1 + threshold) >= threshold * (F.size(a) + F.size(b)) - 1e-9)
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -107,3 +121,11 @@ def storeys(height: Column, each: float = 3.5) -> Column:
 def xml_escape(text: Column) -> Column:
     """Text for an XML attribute: quotes are dropped, the other marked-up characters escaped."""
     return F.replace(F.replace(F.replace(F.replace(text, F.lit('"'), F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def free_name(taken: Sequence[str], name: str) -> str:
+    """A column name that isn't among those taken."""
+    known = {x.lower() for x in taken}
+    while name.lower() in known:
+        name += "_"
+    return name

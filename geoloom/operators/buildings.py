@@ -138,9 +138,14 @@ def dominant_class(shares: DataFrame, key: str, category: str, overlap: str, tot
     return out.select(key, F.when(share > least, F.col("best.category")).otherwise(F.lit(otherwise)).alias(category))
 
 
-def reconciled(a: Column, b: Column) -> Column:
-    """One class from the verdicts of the first two sources (0 none, 1 residential, 2 mixed): their own if they agree, 1 if one says so, else 0."""
-    return F.when(a == b, a).when(a.isin(0, 2) & (b == 1), 1).when((a == 1) & b.isin(0, 2), 1).otherwise(0)
+def reconciled(a: Column, b: Column, c: Column | None = None) -> Column:
+    """One class from the verdicts of up to three sources in order (0 residential, 1 not residential, 2 no land use); null: no verdict.
+
+    A single verdict, or one that all give, stands; so does one that the first two share; 1 stands against 0 or 2;
+    anything else is 0.
+    """
+    single = b.isNull() if c is None else b.isNull() & c.isNull()
+    return F.when(single, a).when(a == b, a).when(a.isin(0, 2) & (b == 1), 1).when((a == 1) & b.isin(0, 2), 1).otherwise(0)
 
 
 def disaggregated(buildings: DataFrame, areas: DataFrame, area_id: str = "sub_study_area_id", weight: str = "gross_floor_area_residential") -> DataFrame:

@@ -8,9 +8,25 @@ from pyspark.sql import DataFrame
 
 
 def checkpointed(rows: DataFrame) -> DataFrame:
-    """The rows, computed now and kept in the folder that spark.checkpoint.dir names (a new local one where it is unset)."""
+    """The rows, computed now and kept in the folder that spark.checkpoint.dir names.
+
+    Where that is unset a local session gets a new local folder; on a cluster executors wouldn't see one, so there it is
+    an error.
+    """
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="geoloom-"))
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: it has to name a folder that driver and executors share")
+        context.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="geoloom-"))
     return rows.checkpoint()
+
+
+def forget(rows: DataFrame) -> None:
+    """Remove the files of a checkpoint that nothing reads any more."""
+    spark = rows.sparkSession
+    plan = rows._jdf.queryExecution().logical()
+    file = plan.rdd().getCheckpointFile() if plan.nodeName() == "LogicalRDD" else None
+    if file is not None and file.isDefined():
+        where = spark._jvm.org.apache.hadoop.fs.Path(file.get())
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import text as ft
 from geoloom.functions.geometry import distance, interpolated, legs, length, length_metres, point
-from geoloom.operators.lineage import checkpointed
+from geoloom.operators.lineage import checkpointed, forget
 from geoloom.operators.relational import numbered, running_total
 
 #: Effort added per percent of slope up and down; slopes beyond the limit count as these fixed efforts.
@@ -72,10 +72,17 @@ def end_nodes(ways: DataFrame, line: str = "geom") -> DataFrame:
 
 
 def crossings(points: DataFrame) -> DataFrame:
-    """Street crossings with one kind each: the crossing reference, else the crossing, signals made one kind, else the highway tag."""
-    kind = F.coalesce(F.col("tags")["crossing_ref"], F.col("tags")["crossing"], F.col("highway"))
-    signals = kind.isin("traffic_signals", "traffic_lights", "pelican", "toucan", "puffin")
-    return points.where((F.col("highway") == "crossing") | F.col("tags")["crossing"].isNotNull()).withColumn("crossing", F.when(signals, "traffic_signals").otherwise(kind))
+    """Street crossings with one kind each: objects tagged as a crossing or as signals, or whose signals are for pedestrians.
+
+    The kind is traffic_signals where the tag traffic_signals says crossing or pedestrian_crossing, else the crossing
+    reference, the crossing, or the highway tag, whichever is there first.
+    """
+    tag = lambda name: F.col("tags")[name]
+    found = tag("crossing").isNotNull() | F.coalesce(F.col("highway").isin("crossing", "traffic_signals"), F.lit(False)) | F.coalesce(tag("traffic_signals") == "pedestrian_crossing", F.lit(False))
+    signals = F.coalesce(tag("traffic_signals").isin("crossing", "pedestrian_crossing"), F.lit(False))
+    kind = F.when(signals, "traffic_signals").otherwise(F.coalesce(tag("crossing_ref"), tag("crossing"), F.col("highway")))
+    named = {x: tag(x) for x in ("traffic_signals", "kerb", "segregated", "supervised", "tactile_paving", "wheelchair")}
+    return points.where(found).withColumns({"crossing": kind, **named, "source": F.lit("osm")})
 
 
 def split_at_connectors(segments: DataFrame, shares: str = "shares") -> DataFrame:
@@ -88,10 +95,12 @@ def split_at_connectors(segments: DataFrame, shares: str = "shares") -> DataFram
 
 
 def between(line: Column, start: Column, stop: Column) -> Column:
-    """The part of a line between two shares of its length."""
-    total = length(line)
-    reach = F.transform(F.sequence(F.lit(1), F.size(line)), lambda i: length(F.slice(line, 1, i)) / total)
-    inner = F.filter(line, lambda p, i: (F.get(reach, i) > start) & (F.get(reach, i) < stop))
+    """The part of a line between two shares of its length: one running sum of its legs gives every vertex its share."""
+    steps = F.transform(legs(line), lambda s: distance(s["a"], s["b"]))
+    first = F.array(F.lit(0.0))
+    reach = F.aggregate(steps, first, lambda done, step: F.array_append(done, F.element_at(done, -1) + step))
+    shares = F.transform(F.array(reach), lambda r: F.transform(r, lambda x: F.try_divide(x, F.element_at(r, -1))))
+    inner = F.flatten(F.transform(shares, lambda r: F.filter(line, lambda p, i: (F.get(r, i) > start) & (F.get(r, i) < stop))))
     return F.concat(F.array(interpolated(line, start)), inner, F.array(interpolated(line, stop)))
 
 
@@ -137,10 +146,11 @@ def with_lengths(segments: DataFrame) -> DataFrame:
 def component_of(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component): the least node reachable from each, over undirected edges (source, target).
 
-    Alternating large-star and small-star rounds; each is checkpointed in the folder that spark.checkpoint.dir names.
+    Alternating large-star and small-star rounds; each is checkpointed in the folder that spark.checkpoint.dir names, in
+    place of the one before. Components that aren't settled after `most_rounds` are an error, never a result.
     """
-    now = edges.select(F.greatest("source", "target").alias("a"), F.least("source", "target").alias("b")).where("a <> b").distinct()
-    alone = edges.select(F.col("source").alias("node")).unionAll(edges.select(F.col("target").alias("node"))).distinct()
+    now = checkpointed(edges.select(F.greatest("source", "target").alias("a"), F.least("source", "target").alias("b")).where("a <> b").distinct())
+    alone = edges.select(F.col("source").alias("node")).unionAll(edges.select(F.col("target").alias("node"))).where("node is not null").distinct()
     before = None
     for _ in range(most_rounds):
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -148,13 +158,15 @@ def component_of(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.join(least, F.col("a") == F.col("n")).where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         root = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
         ends = F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
-        now = checkpointed(large.join(root, F.col("a") == F.col("n")).select(F.explode(ends).alias("e")).select("e.*").where("a <> b").distinct())
-        state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        after = checkpointed(large.join(root, F.col("a") == F.col("n")).select(F.explode(ends).alias("e")).select("e.*").where("a <> b").distinct())
+        state = after.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        forget(now)
+        now = after
         if state == before:
-            break
+            roots = now.groupBy("a").agg(F.min("b").alias("root"))
+            return alone.join(roots, F.col("node") == F.col("a"), "left").select("node", F.coalesce("root", "node").alias("component"))
         before = state
-    roots = now.groupBy("a").agg(F.min("b").alias("root"))
-    return alone.join(roots, F.col("node") == F.col("a"), "left").select("node", F.coalesce("root", "node").alias("component"))
+    raise RuntimeError(f"component_of: not settled after {most_rounds} rounds")
 
 
 def islands(edges: DataFrame, eligible: Column, island_class: int = 701) -> DataFrame:

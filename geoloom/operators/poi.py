@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import collections as fc
 from geoloom.functions import text as ft
-from geoloom.operators.spatial_joins import nearest, points_in_polygons, ranked_partners, within_distance, without_near
+from geoloom.operators.lineage import checkpointed
+from geoloom.operators.spatial_joins import nearest, points_in_polygons, within_distance, without_near
 
 
 @dataclass(frozen=True)
@@ -81,39 +82,78 @@ def cascade(rows: DataFrame, by_key: Mapping[str, CategoryRules], key: Column, n
     return rows.withColumn(name, out)
 
 
-def fixed_rules(rows: DataFrame, food_words: Sequence[str] = ("food", "bread", "milk", "eggs", "meat", "cheese", "fruit", "vegetables")) -> DataFrame:
-    """Categories that depend on several tags at once; of rules that hold, the later one counts.
+#: Words of a vending machine's tags that make it one for food.
+FOOD_WORDS = ("food", "bread", "milk", "eggs", "meat", "potato", "honey", "cheese")
 
-    Expects columns leisure, sport, amenity, shop, name, osm_type, and tags map<string,string>.
-    """
-    c = F.col
-    rules = [
-        ("playground", c("leisure") == "playground"),
-        ("bike_sharing", (c("amenity") == "bicycle_rental") & (c("osm_type") == "n") & c("shop").isNull()),
-        ("gym", (c("leisure") == "fitness_centre") | ((c("leisure") == "sports_centre") & ft.any_of(F.lower(c("name")), ["fitness", "gym"]) & ~F.coalesce(c("sport").isin("yoga"), F.lit(False)))),
-        ("yoga_studio", c("sport") == "yoga"),
-        ("water_park", c("leisure") == "water_park"),
-        ("swimming_pool", (c("leisure") == "swimming_pool") | ((c("leisure") == "sports_centre") & (c("sport") == "swimming"))),
-        ("farm_shop", c("shop") == "farm"),
-        ("charging_station", c("amenity") == "charging_station"),
-        ("ebike_charging_station", (c("amenity") == "charging_station") & fc.tag_flag(c("tags"), "bicycle")),
-        ("food_vending_machine", (c("amenity") == "vending_machine") & ft.any_of(F.lower(c("tags")["vending"]), food_words)),
-        ("religious_site", (c("amenity") == "place_of_worship") & c("tags")["wikidata"].isNotNull()),
-    ]
-    out = F.col("category") if "category" in rows.columns else F.lit(None).cast("string")
+
+def _overruled(rows: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
+    """The category of the last rule that holds, else that which a row has."""
+    out = F.col("category")
     for name, hit in rules:
         out = F.when(F.coalesce(hit, F.lit(False)), F.lit(name)).otherwise(out)
     return rows.withColumn("category", out)
 
 
+def _with_category(rows: DataFrame) -> DataFrame:
+    return rows if "category" in rows.columns else rows.withColumn("category", F.lit(None).cast("string"))
+
+
+def without_pools(rows: DataFrame, key: str = "osm_id") -> DataFrame:
+    """Objects but for swimming pools that no rule has classified: a facility counts, not its pools. Every row of such an object goes."""
+    pools = rows.where((F.col("leisure") == "swimming_pool") & F.col("category").isNull()).select(key).distinct()
+    return rows.join(pools, key, "left_anti")
+
+
+def fixed_rules(rows: DataFrame, food_words: Sequence[str] = FOOD_WORDS, key: str = "osm_id", transport: bool = False) -> DataFrame:
+    """Categories that depend on several tags at once; of rules that hold, the later one counts.
+
+    Expects columns leisure, sport, amenity, shop, name, osm_type, `key`, and tags map<string,string>; words are sought
+    in all keys and values of the tags. With `transport`, stop_rules come after sports and before water parks, and need
+    their columns. Swimming pools that no rule up to water parks has classified are left out.
+    """
+    c, tags = F.col, F.to_json("tags")
+    yoga = F.lower(c("name")).contains("yoga")
+    fitness = (c("leisure") == "sports_centre") & (c("sport") == "fitness") & ~yoga
+    out = _overruled(_with_category(rows), [
+        ("playground", (c("leisure") == "playground") | (c("amenity") == "playground")),
+        ("bike_sharing", (c("amenity") == "bicycle_rental") & c("shop").isNull() & (c("osm_type") == "n")),
+        ("gym", (c("leisure") == "fitness_centre") | fitness),
+        ("yoga", ((c("sport") == "yoga") | yoga) & c("shop").isNull()),
+    ])
+    if transport:
+        out = stop_rules(out)
+    out = without_pools(_overruled(out, [("water_park", c("leisure") == "water_park")]), key)
+    return _overruled(out, [
+        ("swimming", c("sport") == "swimming"),
+        ("farm_shop", c("shop").isin("farm", "honey")),
+        ("charging_station", c("amenity") == "charging_station"),
+        ("ebike_charging_station", (c("amenity") == "charging_station") & tags.contains('bicycle":"yes"')),
+        ("food_vending_machine", (c("amenity") == "vending_machine") & ft.any_of(tags, food_words)),
+        ("religious_site", c("amenity").isin("monastery", "place_of_worship") & tags.contains("wikidata")),
+    ])
+
+
 def stop_rules(rows: DataFrame) -> DataFrame:
-    """Bus stops and rail stations from highway, public_transport, railway and tags; others keep their category."""
+    """Bus stops, rail stations and subway entrances from highway, public_transport, railway and tags, all of them named.
+
+    Bus stops are sought among rows without a category; stations and entrances overrule what a row has. Stations are
+    neither disused nor for tourism only; a row without a railway tag isn't disused.
+    """
     c = F.col
-    bus = (c("highway") == "bus_stop") | ((c("public_transport") == "platform") & fc.tag_flag(c("tags"), "bus"))
-    disused = c("tags")["railway:disused"].isNotNull()
-    rail = c("railway").isin("station", "halt") & ~disused & F.coalesce(c("tags")["usage"] != "tourism", F.lit(True))
-    base = c("category") if "category" in rows.columns else F.lit(None).cast("string")
-    return rows.withColumn("category", F.when(F.coalesce(rail, F.lit(False)), "rail_station").when(F.coalesce(bus, F.lit(False)), "bus_stop").otherwise(base))
+    tag = lambda name: c("tags")[name]
+    yes = lambda x: F.coalesce(x, F.lit(False))
+    named, halts = c("name").isNotNull(), ("stop", "station", "stop_position")
+    in_use = named & tag("disused").isNull() & F.coalesce(tag("usage") != "tourism", F.lit(True))
+    bus = (c("highway") == "bus_stop") | ((c("public_transport") == "platform") & (tag("bus") == "yes"))
+    by_railway = (c("railway") == "station") & in_use & tag("railway:disused").isNull()
+    trains = (tag("train") == "yes") | (tag("rail") == "yes")
+    gone = yes(c("railway").isin("disused_station", "proposed"))
+    by_trains = (yes(c("railway").isin(*halts)) | yes(c("public_transport").isin(*halts))) & ~gone & trains & in_use
+    return _overruled(_with_category(rows), [
+        ("bus_stop", yes(bus) & named & c("category").isNull()),
+        ("rail_station", yes(by_railway) | yes(by_trains)),
+        ("subway_entrance", (c("railway") == "subway_entrance") & named),
+    ])
 
 
 def tram_stops(stops: DataFrame, platforms: DataFrame, apart: float = 100.0) -> DataFrame:
@@ -152,15 +192,28 @@ def places(rows: DataFrame, least: float = 0.6) -> DataFrame:
     return out.withColumns({"phone": fc.first_of_json_array(F.col("phones")), "website": fc.first_of_json_array(F.col("websites")), "name": ft.unquoted(F.col("names")), "tags": tags})
 
 
+def similar_pairs(left: DataFrame, right: DataFrame, radius: float, threshold: float, left_id: str = "id", right_id: str = "id", left_name: str = "name", right_name: str = "name") -> DataFrame:
+    """(a, b, sim): ids of rows within `radius` whose names share `threshold` of trigrams, or miss it by rounding alone.
+
+    Rows travel as id, point and trigram numbers; pairs of too unlike sizes are never intersected, others once before
+    they are pairs. The exact comparison belongs after an aggregate: as a condition Spark would move it into the join
+    and count each pair's trigrams several times over."""
+    side = lambda rows, key, name: rows.select(F.col(key).alias("id"), "x", "y", ft.trigram_codes(F.col(name)).alias("grams"))
+    x, y = F.col("l.grams"), F.col("r.grams")
+    near = within_distance(side(left, left_id, left_name), side(right, right_id, right_name), radius, also=ft.may_overlap(x, y, threshold), spread=True)
+    return near.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), ft.trigram_overlap(x, y).alias("sim"))
+
+
 def best_matches(left: DataFrame, right: DataFrame, radius: float, threshold: float, left_id: str = "id", right_id: str = "id", left_name: str = "name", right_name: str = "name") -> DataFrame:
-    """(l, r, sim, rank): for each left row the most similar right row within `radius` whose names share `threshold` of trigrams.
+    """(l, r, sim): for each left row the most similar right row within `radius` whose names share `threshold` of trigrams.
 
-    Trigrams are computed once per row, before the join; equal similarities go by id.
+    Ids are unique on either side; equal similarities go by the right id. The best partner is an aggregate, combined
+    before its shuffle; whole rows meet their ids after it.
     """
-    a = left.withColumn("grams", ft.trigrams(F.col(left_name)))
-    b = right.withColumn("grams", ft.trigrams(F.col(right_name)))
-    pairs = within_distance(a, b, radius).withColumn("sim", ft.trigram_overlap(F.col("l.grams"), F.col("r.grams"))).where(F.col("sim") >= threshold)
-    return ranked_partners(pairs, F.col(f"l.{left_id}"), [F.col("sim").desc(), F.col(f"r.{right_id}")], 1)
+    pairs = similar_pairs(left, right, radius, threshold, left_id, right_id, left_name, right_name)
+    best = pairs.groupBy("a").agg(F.min(F.struct((-F.col("sim")).alias("order"), "b", "sim")).alias("best")).select("a", "best.b", "best.sim").where(F.col("sim") >= threshold)
+    l, r = left.select(F.struct("*").alias("l")), right.select(F.struct("*").alias("r"))  # noqa: E741
+    return best.join(l, F.col("a") == F.col(f"l.{left_id}")).join(r, F.col("b") == F.col(f"r.{right_id}")).select("l", "r", "sim")
 
 
 def fused(left: DataFrame, right: DataFrame, radius: float, threshold: float, unmatched: str = "keep", matched: str = "keep", extra: str = "add", left_all: DataFrame | None = None, key: str = "id", name: str = "name") -> DataFrame:
@@ -168,10 +221,15 @@ def fused(left: DataFrame, right: DataFrame, radius: float, threshold: float, un
 
     unmatched left rows are kept or dropped; matched ones are kept, or take the right row's values: `combine` fills nulls
     from the right, `replace` prefers the right where it isn't null. Right rows without any similar left row in reach
-    (of `left_all`, all categories) are added or dropped.
+    (of `left_all`, all categories) are added or dropped. Pairs are computed once: what both sides need of them, the best
+    partner of a left row and whether a right row has one, is one aggregate, kept in the folder for checkpoints. Ids of
+    both sides have one type.
     """
-    best = best_matches(left, right, radius, threshold, key, key, name, name)
-    found = best.select(F.col(f"l.{key}").alias("found_key"), F.col("r").alias("partner"))
+    pairs = similar_pairs(left, right, radius, threshold, key, key, name, name)
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("own"), (-F.col("sim")).alias("order"), F.col("b").alias("other")), F.struct(F.lit(1).alias("side"), F.col("b").alias("own"), (-F.col("sim")).alias("order"), F.col("a").alias("other")))
+    met = checkpointed(pairs.select(F.explode(sides).alias("s")).select("s.*").groupBy("side", "own").agg(F.min(F.struct("order", "other")).alias("best")).where(F.col("best.order") <= -threshold))
+    partners = right.select(F.struct("*").alias("partner"))
+    found = met.where("side = 0").join(partners, F.col("best.other") == F.col(f"partner.{key}")).select(F.col("own").alias("found_key"), "partner")
     joined = left.join(found, left[key] == F.col("found_key"), "left")
     shared = [c for c in left.columns if c in right.columns and c not in (key, "x", "y")]
     values = []
@@ -186,16 +244,21 @@ def fused(left: DataFrame, right: DataFrame, radius: float, threshold: float, un
     if unmatched == "drop":
         out = out.where("decision <> 'unmatched'")
     if extra == "add":
-        out = out.unionByName(added(left if left_all is None else left_all, right, radius, threshold, name).withColumn("decision", F.lit("added")), allowMissingColumns=True)
+        if left_all is None:
+            new = right.join(met.where("side = 1").select(F.col("own").alias("met_key")), F.col(key) == F.col("met_key"), "left_anti")
+        else:
+            new = added(left_all, right, radius, threshold, name)
+        out = out.unionByName(new.withColumn("decision", F.lit("added")), allowMissingColumns=True)
     return out
 
 
 def added(left_all: DataFrame, right: DataFrame, radius: float, threshold: float, name: str = "name") -> DataFrame:
     """Right rows without a left row in reach whose name is similar."""
-    a = left_all.withColumn("grams", ft.trigrams(F.col(name)))
-    b = right.withColumn("grams", ft.trigrams(F.col(name)))
-    also = ft.trigram_overlap(F.col("l.grams"), F.col("r.grams")) >= threshold
-    return without_near(b, a, radius, also=also).drop("grams")
+    grams = ft.free_name(left_all.columns + right.columns, "grams")
+    a = left_all.withColumn(grams, ft.trigram_codes(F.col(name)))
+    b = right.withColumn(grams, ft.trigram_codes(F.col(name)))
+    x, y = F.col(f"l.{grams}"), F.col(f"r.{grams}")
+    return without_near(b, a, radius, also=ft.may_overlap(x, y, threshold) & (ft.trigram_overlap(x, y) >= threshold), spread=True).drop(grams)
 
 
 def recategorised(rows: DataFrame, top: str) -> DataFrame:

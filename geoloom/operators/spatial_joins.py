@@ -9,19 +9,21 @@ from geoloom.functions.cells import grid_around, grid_cell, grid_cover
 from geoloom.functions.geometry import envelope, in_polygon
 
 
-def within_distance(left: DataFrame, right: DataFrame, radius: float, left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y"), how: str = "inner", also: Column | None = None) -> DataFrame:
+def within_distance(left: DataFrame, right: DataFrame, radius: float, left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y"), how: str = "inner", also: Column | None = None, spread: bool = False) -> DataFrame:
     """Pairs of rows at most `radius` apart, in the coordinates' own unit; columns `l` and `r` hold the two rows.
 
     Cells are `radius` wide, so a partner lies in a point's cell or in one of the eight around it: the right side is
     copied nine times and the left side isn't. A pair meets in one cell only, so nothing repeats. Spark broadcasts a
-    small side, and splits a crowded cell in a sort-merge join. `also` is a further condition on l and r.
+    small side, and splits a crowded cell in a sort-merge join. `also` is a further condition on l and r. With `spread`
+    both sides are dealt by cell however small they are: where pairs cost more than rows, a broadcast would leave them
+    all to the few tasks that read the left side.
     """
     lx, ly = (F.col(f"l.{c}") for c in left_xy)
     rx, ry = (F.col(f"r.{c}") for c in right_xy)
     a = left.select(F.struct("*").alias("l")).withColumn("cell", grid_cell(lx, ly, radius))
     b = right.select(F.struct("*").alias("r")).withColumn("cell_r", F.explode(grid_around(rx, ry, radius)))
     near = (F.col("cell") == F.col("cell_r")) & (F.pow(lx - rx, 2) + F.pow(ly - ry, 2) <= radius * radius)
-    joined = a.join(b, near if also is None else near & also, how)
+    joined = a.join(b.hint("merge") if spread else b, near if also is None else near & also, how)
     return joined.drop("cell", "cell_r")
 
 
@@ -38,9 +40,9 @@ def nearest(left: DataFrame, right: DataFrame, radius: float, left_id: str, righ
     return ranked_partners(pairs, F.col(f"l.{left_id}"), [F.col("distance"), F.col(f"r.{right_id}")], most)
 
 
-def without_near(left: DataFrame, right: DataFrame, radius: float, left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y"), also: Column | None = None) -> DataFrame:
+def without_near(left: DataFrame, right: DataFrame, radius: float, left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y"), also: Column | None = None, spread: bool = False) -> DataFrame:
     """Left rows that have no right row within `radius`."""
-    return within_distance(left, right, radius, left_xy, right_xy, "left_anti", also).select("l.*")
+    return within_distance(left, right, radius, left_xy, right_xy, "left_anti", also, spread).select("l.*")
 
 
 def count_within(left: DataFrame, right: DataFrame, radius: float, left_id: str, name: str = "n", left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y")) -> DataFrame:

@@ -52,10 +52,10 @@ def service_days(calendar: DataFrame, exceptions: DataFrame, dates: DataFrame, d
     also where it was regular, unless dedupe_added. The few sampled dates are the small side of the range join.
     """
     flag = F.when(F.col("day_type") == "saturday", F.col("saturday")).when(F.col("day_type") == "sunday", F.col("sunday")).otherwise(F.col("weekday"))
-    regular = calendar.join(F.broadcast(dates), F.col("date").between(F.col("start_date"), F.col("end_date"))).where(flag.cast("int") == 1).select("service_id", "date", "day_type")
+    regular = calendar.join(dates, F.col("date").between(F.col("start_date"), F.col("end_date"))).where(flag.cast("int") == 1).select("service_id", "date", "day_type")
     removed = exceptions.where("exception_type = 2").select("service_id", "date")
     regular = regular.join(removed, ["service_id", "date"], "left_anti")
-    added = exceptions.where("exception_type = 1").join(F.broadcast(dates), "date").select("service_id", "date", "day_type")
+    added = exceptions.where("exception_type = 1").join(dates, "date").select("service_id", "date", "day_type")
     rows = regular.unionByName(added)
     rows = rows.distinct() if dedupe_added else rows
     return rows.groupBy("service_id", "date", "day_type").agg(F.count(F.lit(1)).alias("active"))

@@ -201,11 +201,12 @@ def dominant_class(spark, sf_dir):
     return buildings.dominant_class(q.join(total, "l_orderkey"), "l_orderkey", "cat", "q", "total")
 
 
-@query("SELECT c_custkey, CASE WHEN a = b THEN a WHEN a IN (0, 2) AND b = 1 THEN 1 WHEN a = 1 AND b IN (0, 2) THEN 1 ELSE 0 END::INTEGER AS class FROM (SELECT c_custkey, c_custkey % 3 AS a, c_custkey // 3 % 3 AS b FROM customer)")
+@query("SELECT c_custkey, CASE WHEN b IS NULL THEN a WHEN a = b THEN a WHEN a IN (0, 2) AND b = 1 THEN 1 WHEN b IN (0, 2) AND a = 1 THEN 1 ELSE 0 END::INTEGER AS class FROM (SELECT c_custkey, c_custkey % 3 AS a, CASE WHEN c_custkey // 3 % 4 < 3 THEN c_custkey // 3 % 4 END AS b FROM customer)")
 def reconcile_landuse(spark, sf_dir):
-    """One verdict of several (BLD-08)."""
+    """One verdict of several, or of one alone (BLD-08)."""
     k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select("c_custkey", buildings.reconciled(k % 3, F.floor(k / 3) % 3).cast("int").alias("class"))
+    second = F.floor(k / 3) % 4
+    return table(spark, sf_dir, "customer").select("c_custkey", buildings.reconciled(k % 3, F.when(second < 3, second)).cast("int").alias("class"))
 
 
 DIFF = """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.functions import cells, collections as fc, geometry as geo, lines, text as ft
@@ -51,16 +52,114 @@ def place_extraction(spark, sf_dir):
     return poi.places(rows).select("event_id", "phone", F.round("confidence", 6).alias("confidence"))
 
 
-@query("""
-SELECT p_partkey, CASE WHEN p_size % 7 = 0 THEN 'religious_site' WHEN p_size % 5 = 0 AND p_partkey % 2 = 0 THEN 'ebike_charging_station' WHEN p_size % 5 = 0 THEN 'charging_station' WHEN p_size % 3 = 0 THEN 'playground' END AS category FROM part
+def _sql_values(rows) -> str:
+    """Rows of strings and nulls as a list of SQL values, each numbered."""
+    word = lambda x: "NULL" if x is None else "'" + x + "'"
+    return ", ".join("(" + ", ".join([str(i), *map(word, r)]) + ")" for i, r in enumerate(rows))
+
+
+def _dealt(spark, sf_dir, name: str, key: str, rows, columns: str) -> DataFrame:
+    """A table's keys, each with one of the rows in turn; `tags` is JSON there and a map here."""
+    cases = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "case_id long, " + columns)
+    found = table(spark, sf_dir, name).select(key).join(cases, F.col(key) % len(rows) == F.col("case_id")).drop("case_id")
+    return found.withColumn("tags", F.from_json("tags", "map<string,string>"))
+
+
+OBJECTS = "leisure string, sport string, amenity string, shop string, name string, osm_type string, tags string"
+#: One object for every branch of the rules.
+OBJECT_CASES = [
+    ("playground", None, None, None, None, "n", "{}"),
+    (None, None, "playground", None, None, "w", "{}"),
+    (None, None, "bicycle_rental", None, None, "n", "{}"),
+    (None, None, "bicycle_rental", "bicycle", None, "n", "{}"),
+    (None, None, "bicycle_rental", None, None, "w", "{}"),
+    ("fitness_centre", None, None, None, "Yoga and more", "n", "{}"),
+    ("fitness_centre", "yoga", None, "sports", None, "n", "{}"),
+    ("sports_centre", "fitness", None, None, "Iron", "n", "{}"),
+    ("sports_centre", "fitness", None, None, None, "n", "{}"),
+    ("sports_centre", "fitness", None, "sports", "City YOGA", "n", "{}"),
+    ("sports_centre", "multi", None, None, "Iron", "n", "{}"),
+    (None, None, None, None, "Yogahaus", "n", "{}"),
+    (None, "yoga", None, None, None, "n", "{}"),
+    ("water_park", "swimming", None, None, None, "w", "{}"),
+    ("water_park", None, None, None, None, "w", "{}"),
+    ("swimming_pool", "swimming", None, None, None, "w", "{}"),
+    ("swimming_pool", "yoga", None, None, None, "w", "{}"),
+    ("sports_centre", "swimming", None, None, None, "w", "{}"),
+    (None, None, None, "farm", None, "n", "{}"),
+    (None, None, None, "honey", None, "n", "{}"),
+    (None, None, "charging_station", None, None, "n", '{"bicycle":"yes"}'),
+    (None, None, "charging_station", None, None, "n", '{"bicycle":"no"}'),
+    (None, None, "vending_machine", None, None, "n", '{"vending":"milk"}'),
+    (None, None, "vending_machine", None, None, "n", '{"vending":"parking","organic":"potatoes"}'),
+    (None, None, "vending_machine", None, None, "n", '{"vending":"fruit"}'),
+    (None, None, "monastery", None, None, "w", '{"brand:wikidata":"Q1"}'),
+    (None, None, "place_of_worship", None, None, "w", '{"wikidata":"Q1"}'),
+    (None, None, "place_of_worship", None, None, "w", "{}"),
+]
+
+
+@query(f"""
+WITH cases(k, leisure, sport, amenity, shop, name, osm_type, tags) AS (VALUES {_sql_values(OBJECT_CASES)}),
+early AS (
+  SELECT *, CASE WHEN leisure = 'water_park' THEN 'water_park'
+                 WHEN (sport = 'yoga' OR lower(name) LIKE '%yoga%') AND shop IS NULL THEN 'yoga'
+                 WHEN leisure = 'fitness_centre' OR (leisure = 'sports_centre' AND sport = 'fitness' AND lower(name) NOT LIKE '%yoga%') THEN 'gym'
+                 WHEN amenity = 'bicycle_rental' AND shop IS NULL AND osm_type = 'n' THEN 'bike_sharing'
+                 WHEN leisure = 'playground' OR amenity = 'playground' THEN 'playground' END AS first FROM cases)
+SELECT p_partkey, CASE WHEN amenity IN ('monastery', 'place_of_worship') AND contains(tags, 'wikidata') THEN 'religious_site'
+                       WHEN amenity = 'vending_machine' AND regexp_matches(tags, 'food|bread|milk|eggs|meat|potato|honey|cheese') THEN 'food_vending_machine'
+                       WHEN amenity = 'charging_station' AND contains(tags, 'bicycle":"yes"') THEN 'ebike_charging_station'
+                       WHEN amenity = 'charging_station' THEN 'charging_station'
+                       WHEN shop IN ('farm', 'honey') THEN 'farm_shop'
+                       WHEN sport = 'swimming' THEN 'swimming' ELSE first END AS category
+FROM part JOIN early ON k = p_partkey % {len(OBJECT_CASES)} WHERE NOT (coalesce(leisure, '') = 'swimming_pool' AND first IS NULL)
 """)
 def fixed_rule_cascade(spark, sf_dir):
-    """Rules over several tags, the later one counts (POI-08, FLT-08, FLT-15)."""
-    size, none = F.col("p_size"), F.lit(None).cast("string")
-    amenity = F.when(size % 7 == 0, "place_of_worship").when(size % 5 == 0, "charging_station")
-    tags = F.when(size % 7 == 0, F.create_map(F.lit("wikidata"), F.lit("Q"))).when(F.col("p_partkey") % 2 == 0, F.create_map(F.lit("bicycle"), F.lit("yes"))).otherwise(F.create_map().cast("map<string,string>"))
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.when(size % 3 == 0, "playground").alias("leisure"), none.alias("sport"), amenity.alias("amenity"), none.alias("shop"), none.alias("name"), F.lit("n").alias("osm_type"), tags.alias("tags"))
-    return poi.fixed_rules(rows).select("p_partkey", "category")
+    """Rules over several tags, the later one counts; unclassified pools go (POI-08, POI-09, FLT-08, FLT-15)."""
+    rows = _dealt(spark, sf_dir, "part", "p_partkey", OBJECT_CASES, OBJECTS)
+    return poi.fixed_rules(rows, key="p_partkey").select("p_partkey", "category")
+
+
+STOPS = "highway string, public_transport string, railway string, name string, category string, tags string"
+STOP_CASES = [
+    ("bus_stop", None, None, "A", None, "{}"),
+    ("bus_stop", None, None, None, None, "{}"),
+    ("bus_stop", None, None, "A", "gym", "{}"),
+    (None, "platform", None, "A", None, '{"bus":"yes"}'),
+    (None, "platform", None, "A", None, '{"bus":"no"}'),
+    (None, None, "station", "A", "gym", "{}"),
+    (None, None, "station", None, None, "{}"),
+    (None, None, "station", "A", None, '{"disused":"yes"}'),
+    (None, None, "station", "A", None, '{"railway:disused":"station"}'),
+    (None, None, "station", "A", None, '{"railway:disused":"station","train":"yes"}'),
+    (None, None, "station", "A", None, '{"usage":"tourism","train":"yes"}'),
+    (None, None, "station", "A", None, '{"usage":"main"}'),
+    (None, None, "stop", "A", None, '{"train":"yes"}'),
+    (None, None, "stop", "A", None, "{}"),
+    (None, "stop_position", "halt", "A", None, '{"rail":"yes"}'),
+    (None, "station", "disused_station", "A", None, '{"train":"yes"}'),
+    (None, None, "halt", "A", None, '{"train":"yes"}'),
+    (None, None, "subway_entrance", "A", None, "{}"),
+    (None, None, "subway_entrance", None, None, "{}"),
+]
+
+
+@query(f"""
+WITH cases(k, highway, public_transport, railway, name, category, tags) AS (VALUES {_sql_values(STOP_CASES)}),
+t AS (SELECT *, tags::JSON ->> '$.bus' AS bus, tags::JSON ->> '$.train' AS train, tags::JSON ->> '$.rail' AS rail, tags::JSON ->> '$.disused' AS disused,
+             tags::JSON ->> '$."railway:disused"' AS was, tags::JSON ->> '$.usage' AS usage FROM cases)
+SELECT s_suppkey, CASE WHEN name IS NULL THEN category
+    WHEN railway = 'subway_entrance' THEN 'subway_entrance'
+    WHEN (railway IN ('stop', 'station', 'stop_position') OR public_transport IN ('stop', 'station', 'stop_position')) AND coalesce(railway NOT IN ('disused_station', 'proposed'), TRUE)
+         AND (train = 'yes' OR rail = 'yes') AND disused IS NULL AND (usage <> 'tourism' OR usage IS NULL) THEN 'rail_station'
+    WHEN railway = 'station' AND disused IS NULL AND was IS NULL AND (usage <> 'tourism' OR usage IS NULL) THEN 'rail_station'
+    WHEN category IS NULL AND (highway = 'bus_stop' OR (public_transport = 'platform' AND bus = 'yes')) THEN 'bus_stop' ELSE category END AS category
+FROM supplier JOIN t ON k = s_suppkey % {len(STOP_CASES)}
+""")
+def stop_rules(spark, sf_dir):
+    """Bus stops, rail stations and entrances (POI-10, POI-12)."""
+    return poi.stop_rules(_dealt(spark, sf_dir, "supplier", "s_suppkey", STOP_CASES, STOPS)).select("s_suppkey", "category")
 
 
 @query("""
@@ -145,17 +244,23 @@ def segment_split(spark, sf_dir):
 
 
 @query(f"""
-WITH c AS (SELECT c_custkey, {XY.format(k="c_custkey")} FROM customer), e AS (SELECT c_custkey, x + 0.003 AS x, y + 0.007 AS y, x + 0.003 + c_custkey % 7 - 3 AS x2, y + 0.007 + c_custkey % 5 - 2 AS y2 FROM c WHERE c_custkey % 7 <> 3 OR c_custkey % 5 <> 2)
-SELECT c_custkey, round(sqrt(pow(x2 - x, 2) + pow(y2 - y, 2)), 6) AS length FROM e
+WITH c AS (SELECT c_custkey, {XY.format(k="c_custkey")} FROM customer), e AS (SELECT c_custkey, x + 0.003 AS x, y + 0.007 AS y, x + 0.003 + c_custkey % 7 - 3 AS x2, y + 0.007 + c_custkey % 5 - 2 AS y2 FROM c WHERE c_custkey % 7 <> 3 OR c_custkey % 5 <> 2),
+cuts AS (SELECT c_custkey, 0.0::DOUBLE AS t FROM e
+  UNION SELECT c_custkey, (g - x) / (x2 - x) FROM (SELECT *, unnest(range(floor(least(x, x2))::BIGINT + 1, ceil(greatest(x, x2))::BIGINT)) AS g FROM e)
+  UNION SELECT c_custkey, (g - y) / (y2 - y) FROM (SELECT *, unnest(range(floor(least(y, y2))::BIGINT + 1, ceil(greatest(y, y2))::BIGINT)) AS g FROM e)),
+pieces AS (SELECT c_custkey, t, lead(t, 1, 1.0::DOUBLE) OVER w AS u, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY c_custkey) AS n FROM cuts WINDOW w AS (PARTITION BY c_custkey ORDER BY t))
+SELECT 'e' || c_custkey || '_clip_' || i AS id, CASE WHEN i = 0 THEN 's' ELSE 'connector.e' || c_custkey || '_clip_' || (i - 1) END AS source,
+       CASE WHEN i = n - 1 THEN 't' ELSE 'connector.e' || c_custkey || '_clip_' || i END AS target,
+       floor(x + (x2 - x) * (t + u) / 2)::BIGINT AS cell_x, floor(y + (y2 - y) * (t + u) / 2)::BIGINT AS cell_y, round(sqrt(pow(x2 - x, 2) + pow(y2 - y, 2)) * (u - t), 6) AS length
+FROM pieces JOIN e USING (c_custkey)
 """)
 def grid_clip(spark, sf_dir):
-    """Segments cut at grid lines keep their length (NET-10, GEO-13, WN-01, WN-04)."""
+    """Segments cut at grid lines: names, ends, cells and lengths of all pieces (NET-10, GEO-13, WN-01, WN-04)."""
     k = F.col("c_custkey")
     c = coordinates(table(spark, sf_dir, "customer"), "c_custkey").where("c_custkey % 7 <> 3 or c_custkey % 5 <> 2")
     a, b = geo.point(F.col("x") + 0.003, F.col("y") + 0.007), geo.point(F.col("x") + 0.003 + k % 7 - 3, F.col("y") + 0.007 + k % 5 - 2)
     rows = c.select(F.concat(F.lit("e"), k).alias("id"), F.lit("s").alias("source"), F.lit("t").alias("target"), F.array(a, b).alias("geom"))
-    parts = networks.clipped_to_grid(rows, 1.0)
-    return parts.groupBy(F.regexp_extract("id", r"e(\d+)_", 1).cast("long").alias("c_custkey")).agg(F.round(F.sum("length"), 6).alias("length"))
+    return networks.clipped_to_grid(rows, 1.0).select("id", "source", "target", "cell_x", "cell_y", F.round("length", 6).alias("length"))
 
 
 @query("""
@@ -173,13 +278,30 @@ def way_attributes(spark, sf_dir):
     return out.select(F.col("osm_id").alias("p_partkey"), "foot", "wheelchair", "impedance_surface", "maxspeed_forward")
 
 
-@query("SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'zebra' WHEN 1 THEN 'traffic_signals' ELSE 'crossing' END AS crossing FROM supplier WHERE s_suppkey % 4 <> 3")
+CROSSING_CASES = [
+    ("crossing", '{"crossing_ref":"zebra","crossing":"marked"}'),
+    ("crossing", '{"crossing":"pelican"}'),
+    ("crossing", "{}"),
+    ("traffic_signals", "{}"),
+    ("traffic_signals", '{"traffic_signals":"crossing"}'),
+    (None, '{"traffic_signals":"pedestrian_crossing","crossing_ref":"toucan"}'),
+    (None, '{"traffic_signals":"crossing"}'),
+    (None, '{"crossing":"unmarked","kerb":"lowered"}'),
+    ("bus_stop", "{}"),
+    ("bus_stop", '{"crossing_ref":"zebra"}'),
+]
+
+
+@query(f"""
+WITH cases(k, highway, tags) AS (VALUES {_sql_values(CROSSING_CASES)}),
+t AS (SELECT *, tags::JSON ->> '$.crossing' AS c, tags::JSON ->> '$.crossing_ref' AS ref, tags::JSON ->> '$.traffic_signals' AS signals, tags::JSON ->> '$.kerb' AS kerb FROM cases)
+SELECT s_suppkey, CASE WHEN signals IN ('crossing', 'pedestrian_crossing') THEN 'traffic_signals' WHEN coalesce(ref, c) IS NULL THEN highway ELSE coalesce(ref, c) END AS crossing, kerb
+FROM supplier JOIN t ON k = s_suppkey % {len(CROSSING_CASES)} WHERE c IS NOT NULL OR highway IN ('crossing', 'traffic_signals') OR signals = 'pedestrian_crossing'
+""")
 def crossing_kinds(spark, sf_dir):
     """One kind for each street crossing (NET-06)."""
-    k = F.col("s_suppkey") % 4
-    tags = F.when(k == 0, F.create_map(F.lit("crossing_ref"), F.lit("zebra"))).when(k == 1, F.create_map(F.lit("crossing"), F.lit("pelican"))).otherwise(F.create_map().cast("map<string,string>"))
-    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.when(k == 3, "bus_stop").otherwise("crossing").alias("highway"), tags.alias("tags"))
-    return networks.crossings(rows).select("s_suppkey", "crossing")
+    rows = _dealt(spark, sf_dir, "supplier", "s_suppkey", CROSSING_CASES, "highway string, tags string")
+    return networks.crossings(rows).select("s_suppkey", "crossing", "kerb")
 
 
 @query(f"""
@@ -218,11 +340,11 @@ def cover_cells(spark, sf_dir):
 
 @query(f"""
 WITH s AS (SELECT s_suppkey, {XY.format(k="s_suppkey")} FROM supplier)
-SELECT s_suppkey, 6.0::DOUBLE AS area, round(x + 4.0::DOUBLE / 3, 4) AS cx, 12.0::DOUBLE AS legs FROM s WHERE s_suppkey % 5 = 0
+SELECT s_suppkey, 6.0::DOUBLE AS area, round(x + 4.0::DOUBLE / 3, 4) AS cx, 12.0::DOUBLE AS legs FROM s
 """)
 def polygon_measures(spark, sf_dir):
     """Area, centroid and outline of triangles (GEO-06, GEO-07, GEO-08, GEO-14)."""
-    s = coordinates(table(spark, sf_dir, "supplier"), "s_suppkey").where("s_suppkey % 5 = 0")
+    s = coordinates(table(spark, sf_dir, "supplier"), "s_suppkey")
     x, y = F.col("x"), F.col("y")
     ring = F.array(geo.point(x, y), geo.point(x + 4, y), geo.point(x, y + 3), geo.point(x, y))
     rows = s.select("s_suppkey", F.array(ring).alias("g"))

@@ -138,7 +138,7 @@ def test_fused_decisions(spark):
 def test_fixed_rules(spark):
     kind = "id long, leisure string, sport string, amenity string, shop string, name string, osm_type string, tags map<string,string>"
     rows = [(1, "fitness_centre", None, None, None, None, "n", {}), (2, None, None, "charging_station", None, None, "n", {"bicycle": "yes"}), (3, None, None, "place_of_worship", None, None, "w", {"wikidata": "Q1"}), (4, None, None, "bicycle_rental", "x", None, "n", {})]
-    out = {r.id: r.category for r in poi.fixed_rules(spark.createDataFrame(rows, kind)).collect()}
+    out = {r.id: r.category for r in poi.fixed_rules(spark.createDataFrame(rows, kind), key="id").collect()}
     assert out == {1: "gym", 2: "ebike_charging_station", 3: "religious_site", 4: None}
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from geoloom.functions.text import free_name
 from geoloom.operators.lineage import checkpointed
 
 
@@ -47,14 +48,15 @@ def running_total(rows: DataFrame, order: Sequence[str], value: Column, name: st
     moved on by the totals of the partitions before it: a table of one row per partition.
     """
     parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = rows.withColumn("part_value", value.cast("long")).repartitionByRange(parts, *order)
-    kept = checkpointed(ranged.withColumn("part_id", F.spark_partition_id()))
-    inside = Window.partitionBy("part_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    totals = kept.groupBy("part_id").agg(F.sum("part_value").alias("part_total"))
-    before = F.coalesce(F.sum("part_total").over(Window.orderBy("part_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = totals.select("part_id", before.alias("part_offset"))
-    out = kept.withColumn("part_sum", F.sum("part_value").over(inside)).join(offsets, "part_id")
-    return out.withColumn(name, F.col("part_offset") + F.col("part_sum")).drop("part_id", "part_value", "part_sum", "part_offset")
+    part, own, inside, before = (free_name(rows.columns, x) for x in ("part_id", "part_value", "part_sum", "part_offset"))
+    ranged = rows.withColumn(own, value.cast("long")).repartitionByRange(parts, *order)
+    kept = checkpointed(ranged.withColumn(part, F.spark_partition_id()))
+    within = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = kept.groupBy(part).agg(F.sum(own).alias("total"))
+    earlier = F.coalesce(F.sum("total").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = totals.select(part, earlier.alias(before))
+    out = kept.withColumn(inside, F.sum(own).over(within)).join(offsets, part)
+    return out.withColumn(name, F.col(before) + F.col(inside)).drop(*[x for x in (part, own, inside, before) if x != name])
 
 
 def numbered(rows: DataFrame, order: Sequence[str], name: str = "id", start: int = 1) -> DataFrame:
@@ -141,7 +143,8 @@ def allocated(parts: DataFrame, area: str, weight: str, total: str, name: str =
 
     Sums are combined before they are shuffled and join back, so one area may hold most parts.
     """
-    sums = parts.groupBy(F.col(area).alias("area_key")).agg(F.sum(weight).alias("area_weight"))
-    share = F.col(total) * F.try_divide(F.col(weight), F.col("area_weight"))
-    joined = parts.join(sums, parts[area] == F.col("area_key")).where("area_weight is not null and area_weight <> 0")
-    return joined.withColumn(name, F.round(share, digits) if digits is not None else share).drop("area_key", "area_weight")
+    key, sum_of = free_name(parts.columns, "area_key"), free_name(parts.columns, "area_weight")
+    sums = parts.groupBy(F.col(area).alias(key)).agg(F.sum(weight).alias(sum_of))
+    share = F.col(total) * F.try_divide(F.col(weight), F.col(sum_of))
+    joined = parts.join(sums, parts[area] == F.col(key)).where(F.col(sum_of).isNotNull() & (F.col(sum_of) != 0))
+    return joined.withColumn(name, F.round(share, digits) if digits is not None else share).drop(key, sum_of)

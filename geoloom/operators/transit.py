@@ -82,9 +82,19 @@ def trip_weekdays(trips: DataFrame, active: DataFrame, modal: DataFrame) -> Data
     return out.select("trip_id", "route_id", F.array(*[f"on_{d}" for d in days]).alias("weekdays"), F.array(*[f"at_{d}" for d in days]).alias("weekday_dates"))
 
 
+def trips_by_cell(trips: DataFrame, shapes: DataFrame, cell: str = "cell") -> DataFrame:
+    """Trips once for each cell that their shape runs through; trips without a known shape are left out."""
+    through = shapes.select(F.col("shape_id").alias("known_shape"), cell).distinct()
+    return trips.join(through, F.col("shape_id") == F.col("known_shape")).drop("known_shape")
+
+
 def optimised_stop_times(stop_times: DataFrame, trips: DataFrame, cell: str = "cell") -> DataFrame:
-    """Stop times of active trips; of equal (stop, arrival, weekdays, cell) the row of the least trip stays."""
-    joined = stop_times.join(trips, "trip_id")
+    """Stop times of active trips; of equal (stop, arrival, weekdays, cell) the row of the least trip stays.
+
+    Trips that are given by cell (trips_by_cell) meet the stop times of their cell alone. Rows of a group are combined
+    before the shuffle.
+    """
+    joined = stop_times.join(trips, ["trip_id", cell] if cell in trips.columns else ["trip_id"])
     keys = ["stop_id", "arrival_time", "weekdays", cell]
     return joined.groupBy(*keys).agg(F.min("trip_id").alias("trip_id"), F.min_by("route_id", "trip_id").alias("route_id"), F.min_by("route_type", "trip_id").alias("route_type"))
 

@@ -222,6 +222,25 @@ def station_classification(spark, sf_dir):
     return transit.classified_stations(stations, stops).select("stop_id", F.array_join("modes", ",").alias("modes"), "category")
 
 
+@query("""
+WITH trips AS (SELECT o_orderkey AS trip_id, o_custkey AS route_id, o_orderkey % 60 AS shape_id, o_custkey % 4 AS route_type, [o_orderstatus = 'O', o_orderstatus = 'F', o_custkey % 2 = 0] AS weekdays FROM orders),
+shapes AS (SELECT DISTINCT p_partkey % 50 AS shape_id, p_size % 3 AS cell FROM part),
+by_cell AS (SELECT trips.*, cell FROM trips JOIN shapes USING (shape_id)),
+stops AS (SELECT l_orderkey AS trip_id, l_partkey % 30 AS stop_id, l_shipdate::DATE AS arrival_time, l_suppkey % 3 AS cell FROM lineitem)
+SELECT stop_id, arrival_time, weekdays[1] AS on_weekday, weekdays[2] AS on_saturday, weekdays[3] AS on_sunday, cell, min(trip_id) AS trip_id, arg_min(route_id, trip_id) AS route_id, arg_min(route_type, trip_id) AS route_type
+FROM stops JOIN by_cell USING (trip_id, cell) GROUP BY stop_id, arrival_time, weekdays, cell
+""")
+def optimised_stop_times(spark, sf_dir):
+    """Trips dealt to the cells of their shapes, and their stop times without repeats (GTF-07, GTF-08, AG-13)."""
+    status, route = F.col("o_orderstatus"), F.col("o_custkey")
+    trips = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("trip_id"), route.alias("route_id"), (F.col("o_orderkey") % 60).alias("shape_id"), (route % 4).alias("route_type"), F.array(status == "O", status == "F", route % 2 == 0).alias("weekdays"))
+    shapes = table(spark, sf_dir, "part").select((F.col("p_partkey") % 50).alias("shape_id"), (F.col("p_size") % 3).cast("long").alias("cell"))
+    stops = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("trip_id"), (F.col("l_partkey") % 30).alias("stop_id"), F.to_date("l_shipdate").alias("arrival_time"), (F.col("l_suppkey") % 3).alias("cell"))
+    w = F.col("weekdays")
+    out = transit.optimised_stop_times(stops, transit.trips_by_cell(trips, shapes))
+    return out.select("stop_id", "arrival_time", w[0].alias("on_weekday"), w[1].alias("on_saturday"), w[2].alias("on_sunday"), "cell", "trip_id", "route_id", "route_type")
+
+
 @query("SELECT l_suppkey AS region_id, l_orderkey AS shape_id, l_linenumber AS cell, max(l_extendedprice) - min(l_extendedprice) AS shape_dist_traveled FROM lineitem GROUP BY ALL")
 def shape_extent(spark, sf_dir):
     """How far shapes run inside regions and cells (GTF-03, AG-02)."""
@@ -332,7 +351,7 @@ WITH s AS (SELECT s_suppkey, {XY.format(k="s_suppkey")} FROM supplier)
 SELECT s_suppkey, unnest(range(floor(x / 2)::BIGINT, floor((x + 3) / 2)::BIGINT + 1)) AS cx, floor(y / 2)::BIGINT AS cy FROM s
 """)
 def cover_cells(spark, sf_dir):
-    """Cells that an envelope touches (H3-02, H3-03, GEO-15, GEO-16, UDF-03)."""
+    """Cells that an envelope touches (GEO-15, GEO-16, UDF-03; square cells only)."""
     s = coordinates(table(spark, sf_dir, "supplier"), "s_suppkey")
     box = geo.envelope(F.array(geo.point(F.col("x"), F.col("y")), geo.point(F.col("x") + 3, F.col("y"))))
     return s.select("s_suppkey", F.explode(cells.grid_cover(box, 2.0)).alias("c")).select("s_suppkey", "c.cx", "c.cy")

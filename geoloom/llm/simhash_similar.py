@@ -148,7 +148,8 @@ def whole_buckets(members: DataFrame, sets: DataFrame, tile: int = TILE) -> Data
     sized = written(of_root.drop("w", "x").join(total.select(F.col("key").alias("k"), fit.alias("fit")).hint("merge"), F.col("key") == F.col("k")).drop("k"), "roots")
     pool = F.when(F.col("s") > F.col("fit"), F.col("root"))
     tiles = sized.groupBy("key", pool.alias("r")).agg(F.ceil(F.sum("s") / F.first("fit")).cast("int").alias("c"))
-    tiles = tiles.groupBy("key").agg(F.collect_list(F.struct("r", "c")).alias("tiles"))
+    # Written, so that the join below has nothing that needs a key's rows together, and a crowded bucket may be split.
+    tiles = written(tiles.groupBy("key").agg(F.collect_list(F.struct("r", "c")).alias("tiles")), "tiles")
     own = members.join(sized.select(F.col("key").alias("k"), F.col("root").alias("own"), pool.alias("r"), "s", "fit").hint("merge"), (F.col("key") == F.col("k")) & (F.col("root") == F.col("own"))).drop("k", "own", "s", "fit")
     own = own.join(tiles.withColumnRenamed("key", "k").hint("merge"), F.col("key") == F.col("k")).drop("k")
     count = F.element_at(F.filter("tiles", lambda t: t["r"].eqNullSafe(F.col("r"))), 1)["c"]
@@ -159,6 +160,7 @@ def whole_buckets(members: DataFrame, sets: DataFrame, tile: int = TILE) -> Data
     dealt = dealt.join(sets.select(F.col("id").alias("set_id"), "hashes").hint("merge"), F.col("id") == F.col("set_id")).drop("set_id")
     links = written(dealt.groupBy("key", "a", "b").applyInPandas(tile_links, "a long, b long").distinct(), "links")
     drop_written(sized)
+    drop_written(tiles)
     return links
 
 

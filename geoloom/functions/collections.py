@@ -42,6 +42,18 @@ def json_ints(text: Column) -> Column:
     return F.from_json(text, "array<int>")
 
 
+def json_kind(text: Column) -> Column:
+    """object, array, string, number, boolean or null, as the JSON text says; null for what is no JSON."""
+    first = F.substring(F.ltrim(text), 1, 1)
+    kind = F.when(first == "{", "object").when(first == "[", "array").when(first == '"', "string").when(first.isin("t", "f"), "boolean").when(first == "n", "null").otherwise("number")
+    return F.when(F.try_parse_json(text).isNotNull(), kind)
+
+
+def at_time(text: Column, time: str) -> Column:
+    """The whole number that a JSON object of times of day holds for "08:00" under h08_00."""
+    return F.get_json_object(text, "$.h" + time.replace(":", "_")).try_cast("int")
+
+
 def without_nul(text: Column) -> Column:
     """JSON text without escaped NUL characters, which some stores reject."""
     return F.replace(text, F.lit("\\u0000"), F.lit(""))

@@ -96,6 +96,39 @@ def is_convex(ring: list[tuple[float, float]]) -> bool:
     return all(t >= 0 for t in turns) or all(t <= 0 for t in turns)
 
 
+def _pieces(ring: list[tuple[float, float]], most: int, depth: int = 0) -> list[list[tuple[float, float]]]:
+    if len(ring) <= most or depth > 32:
+        return [ring] if ring_size(ring) > 0 else []
+    xs, ys = [p[0] for p in ring], [p[1] for p in ring]
+    low, high = (min(xs), min(ys)), (max(xs), max(ys))
+    axis = 0 if high[0] - low[0] >= high[1] - low[1] else 1
+    middle = (low[axis] + high[axis]) / 2
+    ends = ((low, (middle, high[1]) if axis == 0 else (high[0], middle)), ((middle, low[1]) if axis == 0 else (low[0], middle), high))
+    boxes = [[(a[0], a[1]), (b[0], a[1]), (b[0], b[1]), (a[0], b[1])] for a, b in ends]
+    return [piece for box in boxes for piece in _pieces(clipped(ring, box), most, depth + 1)]
+
+
+def subdivided(rows: DataFrame, key: str, most: int = 20, geom: str = "geom") -> DataFrame:
+    """(key, piece, geom): outer rings cut in halves of their envelopes until each has `most` corners at most.
+
+    Pieces cover the ring and share no area; a piece of a concave ring may touch itself along a cut. Rings without an
+    area give no pieces, holes are left out.
+    """
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for k, points in zip(batch["k"], batch["ring"], strict=True):
+                ring = [(p["x"], p["y"]) for p in points]
+                ring = ring[:-1] if len(ring) > 1 and ring[0] == ring[-1] else ring
+                for i, piece in enumerate(_pieces(ring, most)):
+                    found.append((k, i, [[{"x": x, "y": y} for x, y in [*piece, piece[0]]]]))
+            yield pd.DataFrame(found, columns=[key, "piece", geom])
+
+    kind = rows.schema[key].dataType.simpleString()
+    outer = rows.select(F.col(key).alias("k"), F.get(F.col(geom), F.lit(0)).alias("ring")).where("ring is not null")
+    return outer.mapInPandas(cut, f"`{key}` {kind}, piece int, `{geom}` array<array<struct<x:double,y:double>>>")
+
+
 def _shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def open_ring(points) -> list[tuple[float, float]]:
         ring = [(p["x"], p["y"]) for p in points]

@@ -11,6 +11,7 @@ from geoloom.functions import text as ft
 from geoloom.functions.geometry import distance, interpolated, legs, length, length_metres, point
 from geoloom.operators.lineage import checkpointed, forget
 from geoloom.operators.relational import numbered, running_total
+from geoloom.operators.spatial_joins import idw
 
 #: Effort added per percent of slope up and down; slopes beyond the limit count as these fixed efforts.
 UP_EFFORT, DOWN_EFFORT, SLOPE_LIMIT, STEEP_UP, STEEP_DOWN = 0.0430815, 0.0363248, 9, 3.0, 0.65
@@ -28,6 +29,29 @@ def slope_points(line: Column, metres: Column, interval: float = 10.0) -> Column
     return F.transform(sample_distances(metres, interval), lambda s: interpolated(line, s))
 
 
+def slope_profile(segments: DataFrame, pixels: DataFrame, radius: float, key: str = "id", line: str = "geom", metres: str = "length_m", interval: float = 10.0, pixel_id: str = "pixel", value: str = "val") -> DataFrame:
+    """Segments with impedance_slope, impedance_slope_reverse and slope_average from the heights along them.
+
+    Heights are weighted means of up to three pixels within `radius` of each sample. Segments with a sample that has no
+    pixel in reach have nulls.
+    """
+    at = F.posexplode(slope_points(F.col(line), F.col(metres), interval)).alias("i", "p")
+    samples = segments.select(F.col(key).alias("k"), at).select(F.struct("k", "i").alias("sample"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    heights = idw(samples, pixels, radius, "sample", pixel_id, value, name="height")
+    found = heights.groupBy(F.col("sample.k").alias("profile_key")).agg(F.array_sort(F.collect_list(F.struct("sample.i", "height"))).alias("profile"))
+    joined = segments.join(found, segments[key] == F.col("profile_key"), "left")
+    whole = F.size("profile") == F.size(sample_distances(F.col(metres), interval))
+    effort = F.when(whole, impedance(F.col("profile.height"), F.col(metres), interval))
+    done = joined.withColumn("profile", effort)
+    return done.withColumns({"impedance_slope": F.col("profile.up"), "impedance_slope_reverse": F.col("profile.down"), "slope_average": F.col("profile.average")}).drop("profile", "profile_key")
+
+
+def with_status(rows: DataFrame, valid: Column, results: Sequence[str], status: str = "preparation_status") -> DataFrame:
+    """Rows with status p, or e and no results where they aren't valid: one bad row takes no other along."""
+    fine = F.coalesce(valid, F.lit(False))
+    return rows.withColumns({c: F.when(fine, F.col(c)) for c in results} | {status: F.when(fine, "p").otherwise("e")})
+
+
 def section_effort(slope: Column) -> Column:
     """Relative effort of a section by its slope in percent, downhill negative; 1 on the level."""
     return F.when(slope > SLOPE_LIMIT, F.lit(STEEP_UP)).when(slope >= 0, 1 + slope * UP_EFFORT).when(slope >= -SLOPE_LIMIT, 1 + slope * DOWN_EFFORT).otherwise(F.lit(STEEP_DOWN))

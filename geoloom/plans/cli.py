@@ -9,8 +9,10 @@ from pathlib import Path
 
 import yaml
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geoloom.operators import buildings, poi, relational, transit
+from geoloom.functions import collections as fc
+from geoloom.operators import buildings, networks, poi, relational, selection, transit
 from geoloom.sources import readers, writers
 
 ACTIONS = ("collection", "preparation", "fusion", "export", "migration")
@@ -42,6 +44,87 @@ def prepare_gtfs(spark: SparkSession, s: Settings) -> DataFrame:
     return transit.optimised_stop_times(feed["stop_times"], trips)
 
 
+def _read(spark: SparkSession, s: Settings, name: str) -> DataFrame:
+    return spark.read.parquet(f"{s.source}/{name}")
+
+
+def prepare_stops(spark: SparkSession, s: Settings) -> DataFrame:
+    """Feed to stops with modes, category and wheelchair access; x and y are their degrees."""
+    feed = readers.read_gtfs(spark, s.source, tables=("stops", "routes", "trips", "stop_times"))
+    by_route = feed["stop_times"].select("stop_id", "trip_id").join(feed["trips"].select("trip_id", "route_id"), "trip_id").select("stop_id", "route_id").distinct()
+    types = by_route.join(feed["routes"].select("route_id", "route_type"), "route_id").select("stop_id", "route_type").distinct()
+    stops = feed["stops"].withColumns({"location_type": F.coalesce("location_type", F.lit("0")), "x": F.col("stop_lon"), "y": F.col("stop_lat")})
+    return transit.classified_stops(stops, types)
+
+
+def prepare_stations(spark: SparkSession, s: Settings) -> DataFrame:
+    """Feed to stations: its own with the modes of their stops, and stops without one by name in tiles of one degree."""
+    stops = prepare_stops(spark, s).withColumn("tile", F.concat_ws("_", F.floor("x"), F.floor("y")))
+    own = readers.read_gtfs(spark, s.source, tables=("stops",))["stops"].where("location_type = '1'")
+    named = own.select("stop_id", "stop_name", F.col("stop_lon").alias("x"), F.col("stop_lat").alias("y"))
+    return transit.classified_stations(named, stops).unionByName(transit.stations_from_orphans(stops), allowMissingColumns=True)
+
+
+def prepare_lines(spark: SparkSession, s: Settings) -> DataFrame:
+    """Route relations and their masters to lines."""
+    return transit.grouped_lines(_read(spark, s, "lines"), _read(spark, s, "masters"), s.values.get("include", ()), s.values.get("exclude", ()))
+
+
+def prepare_places(spark: SparkSession, s: Settings) -> DataFrame:
+    """Places to points with first phone and website, and tags."""
+    return poi.places(spark.read.parquet(s.source), float(s.values.get("confidence", 0.6)))
+
+
+def prepare_divisions(spark: SparkSession, s: Settings) -> DataFrame:
+    """Division areas with their primary name and distinct sources; `subtypes` limits them if given."""
+    rows = spark.read.parquet(s.source)
+    rows = rows.where(F.col("subtype").isin(list(s.values["subtypes"]))) if "subtypes" in s.values else rows
+    found = F.from_json(fc.without_nul(F.col("sources")), "array<struct<dataset:string>>")["dataset"]
+    return rows.withColumns({"name": F.get_json_object(fc.without_nul(F.col("names")), "$.primary"), "sources": F.array_join(F.array_sort(F.array_distinct(found)), ", ")}).drop("names")
+
+
+def prepare_landuse(spark: SparkSession, s: Settings) -> DataFrame:
+    """Tagged areas to land-use groups."""
+    return buildings.simplified_landuse(spark.read.parquet(s.source), s.values["tags"], s.values["groups"])
+
+
+def prepare_building(spark: SparkSession, s: Settings) -> DataFrame:
+    """Buildings with residential status by the first of the listed columns whose values match, levels and floor area.
+
+    The column that `subtract` names holds the levels in other use.
+    """
+    rules = [buildings.attribute_rule(column, values) for column, values in s.values["no_residents"].items()]
+    rows = buildings.first_rule(spark.read.parquet(s.source), rules)
+    return buildings.floor_area(buildings.residential_levels(rows, s.values["subtract"]))
+
+
+def prepare_network(spark: SparkSession, s: Settings) -> DataFrame:
+    """Ways with the attributes of their map lines; ways without a line keep no results and have status e."""
+    lines = _read(spark, s, "lines").withColumn("known_line", F.lit(True))
+    ways = networks.classified_ways(_read(spark, s, "ways"), lines, s.values["surfaces"], s.values.get("no_foot", ()))
+    results = ["foot", "wheelchair", "sidewalk_width", "impedance_surface", "maxspeed_forward", "maxspeed_backward"]
+    return networks.with_status(ways, F.col("known_line"), results).drop("known_line")
+
+
+def export_network(spark: SparkSession, s: Settings) -> DataFrame:
+    """Ways and the nodes of their lines as XML rows."""
+    return networks.ways_as_osm(spark.read.parquet(s.source))
+
+
+def subscribe_poi(spark: SparkSession, s: Settings) -> DataFrame:
+    """Points of one category from listed sources inside the subscribed areas."""
+    return poi.published(_read(spark, s, "points"), _read(spark, s, "areas"), s.values["category"], s.values["sources"], float(s.values.get("cell", 1.0)))
+
+
+def migrate_network(spark: SparkSession, s: Settings) -> DataFrame:
+    """A network table with what is new, without scenarios; another schema is an error."""
+    old, new = _read(spark, s, "old"), _read(spark, s, "new")
+    differ = {k: v for k, v in relational.same_schema(old, new).items() if v}
+    if differ:
+        raise ValueError(f"schemas differ: {differ}")
+    return selection.network_inserted(old, new)
+
+
 def prepare_poi(spark: SparkSession, s: Settings) -> DataFrame:
     """Tagged objects to classified, standardised points."""
     objects = readers.promoted(readers.tagged(spark.read.parquet(s.source), s.values["filters"]), s.values["columns"])
@@ -71,8 +154,19 @@ DATASETS: dict[tuple[str, str], Callable[[SparkSession, Settings], DataFrame]] =
     ("preparation", "gtfs"): prepare_gtfs,
     ("preparation", "poi"): prepare_poi,
     ("preparation", "population"): prepare_population,
+    ("preparation", "gtfs_stops"): prepare_stops,
+    ("preparation", "gtfs_stations"): prepare_stations,
+    ("preparation", "osm_pt_lines"): prepare_lines,
+    ("preparation", "poi_overture"): prepare_places,
+    ("preparation", "overture_division_area"): prepare_divisions,
+    ("preparation", "landuse"): prepare_landuse,
+    ("preparation", "building"): prepare_building,
+    ("preparation", "network"): prepare_network,
+    ("preparation", "subscription"): subscribe_poi,
+    ("export", "network"): export_network,
     ("fusion", "poi"): fuse_poi,
     ("migration", "table"): migrate,
+    ("migration", "network"): migrate_network,
 }
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
+from xml.etree import ElementTree
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,3 +188,22 @@ def envelope_of(rows: DataFrame, x: str = "x", y: str = "y") -> dict[str, float]
     """Bounds of all points."""
     r = rows.agg(F.min(x).alias("xmin"), F.min(y).alias("ymin"), F.max(x).alias("xmax"), F.max(y).alias("ymax")).first()
     return r.asDict()
+
+
+def file_timestamp(info: str) -> str | None:
+    """The timestamp=... of a description of a map extract; None without one."""
+    found = re.search(r"timestamp=(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z)", info)
+    return found.group(1) if found else None
+
+
+def code_list(text: str) -> dict[str, str]:
+    """Code to meaning from an XML dictionary whose entries hold definitions with two names each."""
+    gml = "{http://www.opengis.net/gml}"
+    names = ([n.text for n in definition.findall(f"{gml}name")] for definition in ElementTree.fromstring(text).findall(f"{gml}dictionaryEntry/*"))
+    return {found[0]: found[1] for found in names if len(found) > 1}
+
+
+def links_left(links: Sequence[str], others: Sequence[Sequence[str]]) -> list[str]:
+    """Links of a region in order, without those that the settings of other regions cover."""
+    covered = {x for other in others for x in other}
+    return [x for x in links if x not in covered]

@@ -32,6 +32,61 @@ def test_timetable(spark, tmp_path):
     assert [(r.stop_id, r.arrival_time, r.trip_id, r.weekdays, r.route_type) for r in rows] == [("a", 28800, "t", [True, False, False], 3)]
 
 
+def made(spark, tmp_path, action, dataset, values=None, source="in"):
+    cli.run(spark, action, dataset, cli.Settings(str(tmp_path / source), str(tmp_path / "out"), values or {}))
+    return spark.read.parquet(str(tmp_path / "out"))
+
+
+def test_stops_and_stations(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    files = {
+        "stops": "stop_id,stop_name,stop_lat,stop_lon,location_type,parent_station,wheelchair_boarding\nh,H,48.5,11.5,1,,1\na,A,48.1,11.5,0,h,0\nb,B,48.2,11.6,,,2\nc,B,48.4,11.8,,,\nd,D,48.4,11.8,,,\n",
+        "routes": "route_id,agency_id,route_type\nr,x,3\nt,x,0\n",
+        "trips": "trip_id,route_id,service_id\nt1,r,s\nt2,t,s\n",
+        "stop_times": "trip_id,arrival_time,departure_time,stop_id,stop_sequence\nt1,8:00:00,8:00:00,a,1\nt2,8:00:00,8:00:00,a,1\nt1,8:05:00,8:05:00,b,2\nt1,8:06:00,8:06:00,c,3\n",
+    }
+    for name, body in files.items():
+        (tmp_path / f"in/{name}.txt").write_text(body, encoding="utf-8")
+    stops = {r.stop_id: r for r in made(spark, tmp_path, "preparation", "gtfs_stops").collect()}
+    assert {k: (v.modes, v.wheelchair) for k, v in stops.items()} == {"a": (["bus", "tram"], "yes"), "b": (["bus"], "no"), "c": (["bus"], "unknown")}
+    stations = {r.stop_name: r for r in made(spark, tmp_path, "preparation", "gtfs_stations").collect()}
+    assert sorted(stations) == ["B", "H"]
+    assert stations["H"].modes == ["bus", "tram"] and stations["B"].children == ["b", "c"]
+    assert (round(stations["B"].x, 6), round(stations["B"].y, 6)) == (11.7, 48.3)
+
+
+def test_division_areas(spark, tmp_path):
+    names, sources = '{"primary": "A\\u0000b"}', '[{"dataset": "y"}, {"dataset": "x"}, {"dataset": "y"}]'
+    spark.createDataFrame([("1", names, "county", sources), ("2", names, "region", sources)], "id string, names string, subtype string, sources string").write.parquet(str(tmp_path / "in"))
+    rows = made(spark, tmp_path, "preparation", "overture_division_area", {"subtypes": ["county"]}).collect()
+    assert [(r.id, r.name, r.sources) for r in rows] == [("1", "Ab", "x, y")]
+
+
+def test_buildings(spark, tmp_path):
+    spark.createDataFrame([(1, "garage", 1, 0, 10.0), (2, "house", 3, 1, 10.0), (3, None, 1, 1, 10.0)], "id int, building_type string, building_levels int, shops int, area double").write.parquet(str(tmp_path / "in"))
+    rows = made(spark, tmp_path, "preparation", "building", {"no_residents": {"building_type": ["garage"]}, "subtract": "shops"}).collect()
+    assert {r.id: (r.residential_status, r.gross_floor_area_residential) for r in rows} == {1: ("no_residents", 0.0), 2: ("with_residents", 20.0), 3: ("no_residents", 0.0)}
+
+
+def test_network(spark, tmp_path):
+    spark.createDataFrame([(1, 10, 50, 50), (2, 11, 50, 30)], "gid int, osm_id long, maxspeed_forward int, maxspeed_backward int").write.parquet(str(tmp_path / "in/ways"))
+    spark.createDataFrame([(10, "steps", "no", "Gravel", {})], "osm_id long, highway string, foot string, surface string, tags map<string,string>").write.parquet(str(tmp_path / "in/lines"))
+    rows = {r.gid: r for r in made(spark, tmp_path, "preparation", "network", {"surfaces": {"gravel": 0.3}}).collect()}
+    assert (rows[1].preparation_status, rows[1].foot, rows[1].wheelchair, rows[1].impedance_surface, rows[1].maxspeed_forward) == ("p", "no", "no", 0.3, 50)
+    assert (rows[2].preparation_status, rows[2].foot, rows[2].maxspeed_backward) == ("e", None, None)
+
+
+def test_network_migration_keeps_no_scenarios(spark, tmp_path):
+    kind = "id long, scenario_id long"
+    spark.createDataFrame([(1, None), (2, 7)], kind).write.parquet(str(tmp_path / "in/old"))
+    spark.createDataFrame([(1, None), (2, None), (3, None)], kind).write.parquet(str(tmp_path / "in/new"))
+    assert sorted(r.id for r in made(spark, tmp_path, "migration", "network").collect()) == [1, 3]
+    spark.createDataFrame([(1,)], "id long").write.parquet(str(tmp_path / "other/old"))
+    spark.createDataFrame([(1, None)], kind).write.parquet(str(tmp_path / "other/new"))
+    with pytest.raises(ValueError, match="schemas differ"):
+        made(spark, tmp_path, "migration", "network", source="other")
+
+
 def test_unknown_dataset(spark):
     with pytest.raises(ValueError, match="no fusion of"):
         cli.run(spark, "fusion", "gtfs", cli.Settings("", ""))

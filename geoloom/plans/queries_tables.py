@@ -115,7 +115,7 @@ h AS (SELECT c_custkey, i, coalesce(max(CASE WHEN d = 0 THEN val END), sum(CASE
 g AS (SELECT a.c_custkey, CASE b.i WHEN 3 THEN 5 ELSE 10 END AS run, (b.h - a.h) / CASE b.i WHEN 3 THEN 5 ELSE 10 END * 100 AS slope, count(*) OVER (PARTITION BY a.c_custkey) AS n FROM h a JOIN h b ON a.c_custkey = b.c_custkey AND b.i = a.i + 1),
 f AS (SELECT c_custkey, sum(run / 25.0 * CASE WHEN slope > 9 THEN 3 WHEN slope >= 0 THEN 1 + slope * 0.0430815 WHEN slope >= -9 THEN 1 + slope * 0.0363248 ELSE 0.65 END) - 1 AS up,
   sum(run / 25.0 * CASE WHEN -slope > 9 THEN 3 WHEN -slope >= 0 THEN 1 - slope * 0.0430815 WHEN -slope >= -9 THEN 1 - slope * 0.0363248 ELSE 0.65 END) - 1 AS down FROM g WHERE n = 3 GROUP BY ALL)
-SELECT c_custkey AS id, round(up, 5) AS up, round(down, 5) AS down FROM customer LEFT JOIN f USING (c_custkey)
+SELECT c_custkey AS id, round(up, 5) + 0.0 AS up, round(down, 5) + 0.0 AS down FROM customer LEFT JOIN f USING (c_custkey)
 """)
 def slope_profiles(spark, sf_dir):
     """Heights sampled along lines and their effort in both directions (NET-04, NET-12, JN-14)."""

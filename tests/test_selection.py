@@ -77,6 +77,16 @@ def test_profile_without_pixels_is_null(spark):
     assert rows[2].impedance_slope is None and rows[2].slope_average is None
 
 
+def test_profile_by_hand(spark):
+    segments = spark.createDataFrame([(1, [(0.0, 0.0), (25.0, 0.0)], 25.0)], "id long, geom array<struct<x:double,y:double>>, length_m double")
+    pixels = spark.createDataFrame([(1, 0.0, 0.0, 0.0), (2, 10.0, 0.0, 1.0), (3, 20.0, 0.0, 2.0), (4, 25.0, 0.0, 2.0)], "pixel long, x double, y double, val double")
+    r = networks.slope_profile(segments, pixels, 1.0).first()
+    # Two sections of ten with 10 percent, which is beyond the limit, and a level one of five.
+    assert r.impedance_slope == pytest.approx(0.4 * 3 + 0.4 * 3 + 0.2 - 1)
+    assert r.impedance_slope_reverse == pytest.approx(0.4 * 0.65 + 0.4 * 0.65 + 0.2 - 1)
+    assert r.slope_average == 7
+
+
 def test_small_readers():
     assert readers.file_timestamp("a\ntimestamp=2024-01-02T03:04:05Z\nb") == "2024-01-02T03:04:05Z"
     assert readers.file_timestamp("no date") is None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.llm import bpe, compression_quality, embedding_dedup, html_extract, line_dedup, mixing, quality_rules, simhash, suffix_dedup, warc
+from geoloom.llm import bpe, clustering, compression_quality, embedding_dedup, html_extract, language_id, line_dedup, merkle, mixing, quality_rules, simhash, suffix_dedup, warc
 from geoloom.llm.shared import written
 
 
@@ -74,7 +74,37 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_simhash_near_duplicates, op3_line_chunk_dedup, op4_sorted_projection_dedup, op5_page_differencing, op6_warc_transactions, op7_compression_quality, op8_robust_outliers, op9_mix_to_targets, op10_bpe_round_trip)}
+def op11_language_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and score of every document, learned outside the held-out quarter."""
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    out = language_id.predictions(docs, language_id.fit(docs, learn_from=compression_quality.learnable()))
+    held_out = F.coalesce(F.crc32(F.col("row").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    return out.select(F.col("row").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op12_hamerly_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster, distance and inertia of every whole vector."""
+    return clustering.clustered(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and verification of every document."""
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_simhash_near_duplicates, op3_line_chunk_dedup, op4_sorted_projection_dedup, op5_page_differencing, op6_warc_transactions, op7_compression_quality, op8_robust_outliers, op9_mix_to_targets, op10_bpe_round_trip, op11_language_families, op12_hamerly_clusters, op13_merkle_manifest)}
+
+
+def _rounds_sql() -> str:
+    """Plain Lloyd rounds over whole numbers, each a pair of common table expressions."""
+    nearest = "(SELECT arg_min(c.cid, (list_sum(list_transform(list_zip(v.x, c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), c.cid)) FROM c{0} c)"
+    parts = []
+    for n in range(clustering.ROUNDS):
+        parts.append(f"a{n} AS MATERIALIZED (SELECT v.x, {nearest.format(n)} AS cid FROM v)")
+        parts.append(f"s{n} AS (SELECT cid, list((s - (((s % n) + n) % n)) // n ORDER BY pos) AS c FROM (SELECT cid, pos, sum(x[pos])::HUGEINT AS s, count(*)::HUGEINT AS n FROM a{n}, range(1, 65) r(pos) GROUP BY cid, pos) GROUP BY cid)")
+        parts.append(f"c{n + 1} AS MATERIALIZED (SELECT c.cid, coalesce(s.c, c.c) AS c FROM c{n} c LEFT JOIN s{n} s ON s.cid = c.cid)")
+    return ",\n".join(parts)
+
 
 ORACLES = {
     "op1_suffix_array_dedup": """
@@ -135,5 +165,54 @@ drawn AS (SELECT *, CASE WHEN heavy THEN moved - floor(moved) ELSE u END AS d FR
 SELECT doc_id, size, source, source_size, target,
        (least(floor(rate) + CASE WHEN d < rate - floor(rate) THEN 1 ELSE 0 END, 3) * size)::BIGINT AS taken
 FROM drawn
+""",
+    "op12_hamerly_clusters": f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::HUGEINT) AS x FROM embeddings
+           WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x)::INTEGER - 1 AS cid, x AS c FROM (SELECT sha256('3:' || coalesce(vec_id::VARCHAR, '')) AS h, x FROM v ORDER BY h, x LIMIT 8)),
+{_rounds_sql()},
+d AS (SELECT v.vec_id, c.cid, c.c, list_sum(list_transform(list_zip(v.x, c.c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance, row_number() OVER (PARTITION BY v.n ORDER BY distance, c.cid) AS place
+      FROM (SELECT *, row_number() OVER () AS n FROM v) v, c{clustering.ROUNDS} c)
+SELECT vec_id, cid AS cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY cid))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM d WHERE place = 1
+""",
+    "op13_merkle_manifest": """
+WITH RECURSIVE d AS (
+  SELECT *, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+                        lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))) % 2 = 1 AS tampered
+  FROM documents),
+fields AS (
+  SELECT doc_id, source, tampered, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+         || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head, text, replace(text, chr(10), '') AS flat FROM d),
+leaves AS (
+  SELECT doc_id, source, leaf, changed, (row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1)::BIGINT AS i, (count(*) OVER (PARTITION BY source))::BIGINT AS n
+  FROM (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+               CASE WHEN tampered THEN sha256(head || coalesce(strlen(flat) || ':' || flat, '-')) ELSE leaf END AS changed FROM fields)),
+tree(level, source, i, n, h) AS (
+  SELECT 0, source, i, n, leaf FROM leaves
+  UNION ALL
+  SELECT level + 1, source, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM tree WHERE n > 1 GROUP BY level, source, i // 3, (n + 2) // 3),
+runs AS (SELECT level, source, i // 3 AS p, list(h ORDER BY i) AS hs FROM tree WHERE n > 1 GROUP BY level, source, i // 3),
+fold(level, leaf_at, source, i, n, h, proof) AS (
+  SELECT 0, i, source, i, n, changed, '' FROM leaves
+  UNION ALL
+  SELECT f.level + 1, leaf_at, f.source, i // 3, (n + 2) // 3, sha256(array_to_string(hs[1:i % 3], '') || h || array_to_string(hs[i % 3 + 2:], '')),
+         proof || array_to_string(hs[1:i % 3], '') || array_to_string(hs[i % 3 + 2:], '')
+  FROM fold f JOIN runs r ON r.level = f.level AND r.source IS NOT DISTINCT FROM f.source AND r.p = f.i // 3 WHERE n > 1),
+subs AS (SELECT source, h, (row_number() OVER (ORDER BY source NULLS FIRST) - 1)::BIGINT AS i, (count(*) OVER ())::BIGINT AS n FROM tree WHERE n = 1),
+top(level, i, n, h) AS (
+  SELECT 0, i, n, h FROM subs
+  UNION ALL
+  SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 3, (n + 2) // 3),
+top_runs AS (SELECT level, i // 3 AS p, list(h ORDER BY i) AS hs FROM top WHERE n > 1 GROUP BY level, i // 3),
+top_fold(level, leaf_at, source, i, n, h, proof) AS (
+  SELECT 0, leaf_at, f.source, s.i, s.n, f.h, f.proof FROM fold f JOIN subs s ON s.source IS NOT DISTINCT FROM f.source WHERE f.n = 1
+  UNION ALL
+  SELECT f.level + 1, leaf_at, source, i // 3, (n + 2) // 3, sha256(array_to_string(hs[1:i % 3], '') || h || array_to_string(hs[i % 3 + 2:], '')),
+         proof || array_to_string(hs[1:i % 3], '') || array_to_string(hs[i % 3 + 2:], '')
+  FROM top_fold f JOIN top_runs r ON r.level = f.level AND r.p = f.i // 3 WHERE n > 1)
+SELECT l.doc_id, l.leaf, s.h AS subroot, (SELECT h FROM top WHERE n = 1) AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = (SELECT h FROM top WHERE n = 1) AS verified
+FROM leaves l JOIN subs s ON s.source IS NOT DISTINCT FROM l.source JOIN top_fold f ON f.source IS NOT DISTINCT FROM l.source AND f.leaf_at = l.i AND f.n = 1
 """,
 }

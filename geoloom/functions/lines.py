@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,3 +44,70 @@ def simplified(line: Column, tolerance: float) -> Column:
         return lines.map(one)
 
     return run(line)
+
+
+def points_at(line: Column, shares: Column) -> Column:
+    """The points at ascending shares of a line's planar length, with one running sum of its legs; null for a null line."""
+
+    @F.pandas_udf("array<struct<x:double,y:double>>")
+    def run(lines: pd.Series, at: pd.Series) -> pd.Series:
+        def one(points, wanted):
+            if points is None or wanted is None or not len(points):
+                return None
+            xs, ys = (np.array([p[c] for p in points]) for c in ("x", "y"))
+            reach = np.concatenate([[0.0], np.cumsum(np.hypot(np.diff(xs), np.diff(ys)))])
+            goal = np.asarray(wanted, dtype=float) * reach[-1]
+            return [{"x": float(x), "y": float(y)} for x, y in zip(np.interp(goal, reach, xs), np.interp(goal, reach, ys), strict=True)]
+
+        return pd.Series([one(p, w) for p, w in zip(lines, at, strict=True)])
+
+    return run(line, shares)
+
+
+#: Cuts closer than this share of a leg are one.
+SAME_CUT = 1e-12
+PIECES = "array<struct<cell_x:bigint,cell_y:bigint,geom:array<struct<x:double,y:double>>>>"
+
+
+def cut_line(xs: np.ndarray, ys: np.ndarray, cell: float) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(cell_x, cell_y, xs, ys) of the parts of a line between places where it goes from one square cell to another.
+
+    Legs are cut where they cross x = k * cell or y = k * cell, and neighbouring parts in one cell are joined again, so that
+    vertices inside a cell cut nothing; a part belongs to the cell of its legs' middles. Legs without a length go; a line
+    without a length is one part.
+    """
+    moves = np.flatnonzero((np.diff(xs) != 0) | (np.diff(ys) != 0))
+    if not len(moves):
+        return [(int(np.floor(xs[0] / cell)), int(np.floor(ys[0] / cell)), xs, ys)]
+    at_x, at_y = [xs[moves[0]]], [ys[moves[0]]]
+    for i in moves:
+        (ax, ay), (bx, by) = (xs[i], ys[i]), (xs[i + 1], ys[i + 1])
+        cuts = [0.0]
+        for a, b in ((ax, bx), (ay, by)):
+            if a != b:
+                cuts += ((np.arange(np.floor(min(a, b) / cell) + 1, np.ceil(max(a, b) / cell)) * cell - a) / (b - a)).tolist()
+        cuts = sorted(cuts)
+        inner = [t for before, t in zip(cuts, cuts[1:], strict=False) if SAME_CUT < t < 1 - SAME_CUT and t - before > SAME_CUT]
+        at_x += [ax + (bx - ax) * t for t in inner] + [bx]
+        at_y += [ay + (by - ay) * t for t in inner] + [by]
+    px, py = np.array(at_x), np.array(at_y)
+    cx, cy = (np.floor((v[1:] + v[:-1]) / 2 / cell).astype(np.int64) for v in (px, py))
+    starts = [0, *(np.flatnonzero((np.diff(cx) != 0) | (np.diff(cy) != 0)) + 1).tolist()]
+    stops = [*starts[1:], len(cx)]
+    return [(int(cx[a]), int(cy[a]), px[a : b + 1], py[a : b + 1]) for a, b in zip(starts, stops, strict=True)]
+
+
+def grid_pieces(line: Column, cell: float) -> Column:
+    """A line's parts by square cell, in order; empty for lines without a point."""
+
+    @F.pandas_udf(PIECES)
+    def run(lines: pd.Series) -> pd.Series:
+        def one(points):
+            if points is None or not len(points):
+                return []
+            xs, ys = (np.array([p[c] for p in points], dtype=float) for c in ("x", "y"))
+            return [{"cell_x": cx, "cell_y": cy, "geom": [{"x": float(x), "y": float(y)} for x, y in zip(px, py, strict=True)]} for cx, cy, px, py in cut_line(xs, ys, cell)]
+
+        return lines.map(one)
+
+    return run(line)

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.functions import text as ft
-from geoloom.functions.geometry import distance, interpolated, legs, length, length_metres, point
+from geoloom.functions.geometry import distance, interpolated, legs, length, length_metres, point, to_mercator
+from geoloom.functions.lines import grid_pieces, points_at
 from geoloom.operators.lineage import checkpointed, forget
-from geoloom.operators.relational import numbered, running_total
+from geoloom.operators.relational import numbered, rebased, running_total
 from geoloom.operators.spatial_joins import idw
 
 #: Effort added per percent of slope up and down; slopes beyond the limit count as these fixed efforts.
@@ -18,15 +19,17 @@ UP_EFFORT, DOWN_EFFORT, SLOPE_LIMIT, STEEP_UP, STEEP_DOWN = 0.0430815, 0.0363248
 
 
 def sample_distances(metres: Column, interval: float = 10.0) -> Column:
-    """Shares of a line's length at which its height is sampled: both ends, every `interval`, the middle of short ones."""
+    """Shares of a line's length at which its height is sampled: both ends, every `interval` of lines over two of them, the
+    middle of lines between one and two. A line of exactly two intervals has its ends only."""
     steps = F.floor(metres / interval).cast("int")
     inner = F.transform(F.sequence(F.lit(0), steps), lambda i: i * interval / metres)
-    return F.when(metres > 2 * interval, F.concat(F.filter(inner, lambda s: s < 1), F.array(F.lit(1.0)))).when(metres > interval, F.array(F.lit(0.0), F.lit(0.5), F.lit(1.0))).otherwise(F.array(F.lit(0.0), F.lit(1.0)))
+    middle = (metres > interval) & (metres < 2 * interval)
+    return F.when(metres > 2 * interval, F.concat(F.filter(inner, lambda s: s < 1), F.array(F.lit(1.0)))).when(middle, F.array(F.lit(0.0), F.lit(0.5), F.lit(1.0))).otherwise(F.array(F.lit(0.0), F.lit(1.0)))
 
 
 def slope_points(line: Column, metres: Column, interval: float = 10.0) -> Column:
     """Points along a line whose heights make its profile."""
-    return F.transform(sample_distances(metres, interval), lambda s: interpolated(line, s))
+    return points_at(line, sample_distances(metres, interval))
 
 
 def slope_profile(segments: DataFrame, pixels: DataFrame, radius: float, key: str = "id", line: str = "geom", metres: str = "length_m", interval: float = 10.0, pixel_id: str = "pixel", value: str = "val") -> DataFrame:
@@ -75,17 +78,38 @@ def impedance(heights: Column, metres: Column, interval: float) -> Column:
     return F.when(n >= 2, F.aggregate(rows, zero, add, done))
 
 
-def classified_ways(ways: DataFrame, lines: DataFrame, surface_effort: Mapping[str, float], no_foot: Sequence[str] = (), living_street_cap: int = 7) -> DataFrame:
-    """Ways with the attributes of their map line: who may use them, widths, surface effort, speeds."""
-    low = lambda c: F.lower(F.trim(F.col(c)))
-    tag = lambda k: F.lower(F.trim(F.col("tags")[k]))
-    known = F.create_map(*[F.lit(x) for pair in surface_effort.items() for x in pair])
-    joined = ways.join(lines, "osm_id", "left")
-    foot = F.when(low("foot").isin("no", "use_sidepath"), "no").when((low("highway") == "service") & tag("service").isin("psv", "bus"), "no").when(low("highway").isin([x.lower() for x in no_foot]), "no").otherwise(low("foot"))
-    incline = F.regexp_extract(F.coalesce(tag("incline"), F.lit("")), r"^-?([0-9.]+)\s*%?$", 1).try_cast("double")
-    wheelchair = F.when(low("highway") == "steps", "no").when(incline > 6, "no").otherwise(tag("wheelchair"))
-    cap = lambda c: F.when(low("highway") == "living_street", F.least(F.col(c), F.lit(living_street_cap))).otherwise(F.col(c))
-    return joined.withColumns({"foot": foot, "wheelchair": wheelchair, "sidewalk_width": ft.guarded_number(tag("sidewalk:both:width")), "impedance_surface": known[low("surface")], "maxspeed_forward": cap("maxspeed_forward"), "maxspeed_backward": cap("maxspeed_backward")})
+#: Attributes that a way takes from its map line as they are, by tag; in lower case; and numbers.
+TAGS = {"bicycle_road": "bicycle_road", "cycleway": "cycleway", "parking": "parking", "parking_lane_both": "parking:lane:both", "parking_lane_right": "parking:lane:right", "parking_lane_left": "parking:lane:left", "segregated": "segregated", "sidewalk": "sidewalk", "smoothness": "smoothness"}
+WAY_RESULTS = ("foot", "bicycle", "sidewalk_both_width", "sidewalk_left_width", "sidewalk_right_width", "highway", "surface", *TAGS, "lit", "wheelchair", "lanes", "incline_percent", "length_m", "length_3857", "coordinates_3857", "s_imp", "rs_imp", "impedance_surface", "maxspeed_forward", "maxspeed_backward")
+
+
+def classified_ways(ways: DataFrame, lines: DataFrame, surface_effort: Mapping[str, float], pixels: DataFrame | None = None, radius: float = 0.0, living_street_cap: int = 7, steepest: int = 6) -> DataFrame:
+    """Ways (key `gid`, line `geom` in degrees) with the attributes of their map line, lengths, and slopes if there are heights.
+
+    The pedestrian attribute is empty for bridleways, cycleways, footways and ways without a kind, and `no` on service ways
+    for buses. Sidewalk widths, of all sides, count where that of both sides is a number. Living streets are capped in both
+    directions where the forward speed is over the cap. Stairs, and slopes over `steepest` percent, are closed to
+    wheelchairs. A way without a line keeps its own columns and has nulls; lines that repeat an id count once.
+    """
+    col, tag = F.col, lambda k: F.col("line_tags")[k]
+    known = F.create_map(*[F.lit(x) for pair in surface_effort.items() for x in pair]) if surface_effort else F.create_map().cast("map<string,double>")
+    found = lines.select("osm_id", *[F.lower(c).alias(f"line_{c}") for c in ("highway", "foot", "bicycle", "surface")], col("highway").alias("line_kind"), col("tags").alias("line_tags")).dropDuplicates(["osm_id"])
+    rows = ways.withColumns({"length_m": length_metres(col("geom")), "length_3857": length(F.transform("geom", to_mercator)), "coordinates_3857": F.to_json(F.transform("geom", lambda p: F.array(to_mercator(p)["x"], to_mercator(p)["y"])))})
+    if pixels is None:
+        rows = rows.withColumns({"s_imp": F.lit(None).cast("double"), "rs_imp": F.lit(None).cast("double"), "incline_percent": F.lit(None).cast("int")})
+    else:
+        rows = slope_profile(rows, pixels, radius, key="gid").withColumnsRenamed({"impedance_slope": "s_imp", "impedance_slope_reverse": "rs_imp", "slope_average": "incline_percent"})
+    joined = rows.join(found, "osm_id", "left")
+    for_buses = (col("line_kind") == "service") & (tag("psv").isNotNull() | F.coalesce(tag("bus") == "yes", F.lit(False)))
+    foot = F.when(for_buses, "no").when(~col("line_kind").isin("bridleway", "cycleway", "footway"), col("line_foot"))
+    width = lambda side: F.when(tag("sidewalk:both:width").rlike("^[0-9.]*$"), ft.guarded_number(tag(f"sidewalk:{side}:width")))
+    closed = (col("line_highway") == "stairs") | (F.abs(col("incline_percent")) > steepest)
+    capped = (col("line_highway") == "living_street") & (col("maxspeed_forward") > living_street_cap)
+    cap = lambda c: F.when(capped, F.lit(living_street_cap)).otherwise(col(c))
+    out = {"foot": foot, "bicycle": col("line_bicycle"), "highway": col("line_highway"), "surface": col("line_surface"), "impedance_surface": known[col("line_surface")], "lit": F.lower(tag("lit")), "lanes": tag("lanes").try_cast("double")}
+    out |= {f"sidewalk_{side}_width": width(side) for side in ("both", "left", "right")} | {name: tag(key) for name, key in TAGS.items()}
+    out |= {"wheelchair": F.when(closed, "no").otherwise(F.lower(tag("wheelchair"))), "maxspeed_forward": cap("maxspeed_forward"), "maxspeed_backward": cap("maxspeed_backward")}
+    return joined.withColumns(out).drop(*[c for c in joined.columns if c.startswith("line_")])
 
 
 def end_nodes(ways: DataFrame, line: str = "geom") -> DataFrame:
@@ -95,6 +119,17 @@ def end_nodes(ways: DataFrame, line: str = "geom") -> DataFrame:
     return first.unionByName(last).groupBy("id").agg(F.min("geom").alias("geom"))
 
 
+def with_new_ids(ways: DataFrame, last_node: int, last_edge: int, key: str = "gid") -> DataFrame:
+    """Ways with ids, and ids of their end nodes, that go on from the last ones in use; the way's old id stays as `old_<key>`."""
+    ends = ways.select(F.explode(F.array("source", "target")).alias("end_id")).where("end_id is not null").distinct()
+    nodes = numbered(ends, ["end_id"], "new_end", last_node + 1)
+    out = rebased(ways, key, last_edge)
+    for end in ("source", "target"):
+        own = nodes.select(F.col("end_id").alias(f"{end}_old"), F.col("new_end").alias(f"{end}_new"))
+        out = out.join(own, F.col(end) == F.col(f"{end}_old"), "left").withColumn(end, F.col(f"{end}_new")).drop(f"{end}_old", f"{end}_new")
+    return out
+
+
 def crossings(points: DataFrame) -> DataFrame:
     """Street crossings with one kind each: objects tagged as a crossing or as signals, or whose signals are for pedestrians.
 
@@ -129,36 +164,23 @@ def between(line: Column, start: Column, stop: Column) -> Column:
 
 
 def clipped_to_grid(segments: DataFrame, cell: float) -> DataFrame:
-    """Segments cut where they cross grid lines: pieces <id>_clip_<i> in order, with their cell.
+    """Segments cut where they go from one square cell to another, with their cell and length.
 
-    Each leg is cut at its crossings with the lines x = k * cell and y = k * cell; pieces of neighbouring legs in the same cell
-    stay apart, as legs do. New end points are connectors connector.<id>_clip_<i>; the outer ones stay.
+    A segment inside one cell stays as it is, with its id and ends, however many vertices it has. The pieces of others are
+    <id>_clip_<i>, counted from 1; where two meet, the connector is connector.<id>_clip_<i> of the first. Lines without a
+    length stay whole; those without a point are left out.
     """
-    def cuts(s: Column) -> Column:
-        def axis(a: Column, b: Column) -> Column:
-            low, high = F.least(a, b), F.greatest(a, b)
-            ks = F.sequence(F.floor(low / cell) + 1, F.ceil(high / cell) - 1)
-            none = F.array().cast("array<double>")
-            return F.when(F.floor(low / cell) + 1 <= F.ceil(high / cell) - 1, F.transform(ks, lambda k: (k * cell - a) / (b - a))).otherwise(none)
-
-        inner = F.array_sort(F.array_distinct(F.concat(axis(s["a"]["x"], s["b"]["x"]), axis(s["a"]["y"], s["b"]["y"]))))
-        stops = F.concat(F.array(F.lit(0.0)), inner, F.array(F.lit(1.0)))
-        at = lambda t: point(s["a"]["x"] + (s["b"]["x"] - s["a"]["x"]) * t, s["a"]["y"] + (s["b"]["y"] - s["a"]["y"]) * t)
-        return F.transform(F.sequence(F.lit(1), F.size(stops) - 1), lambda i: F.struct(at(F.get(stops, i - 1)).alias("a"), at(F.get(stops, i)).alias("b")))
-
-    pieces = F.flatten(F.transform(legs(F.col("geom")), cuts))
-    rows = segments.withColumn("pieces", pieces).select("*", F.size("pieces").alias("n"), F.posexplode("pieces").alias("i", "piece"))
-    middle = point((F.col("piece.a.x") + F.col("piece.b.x")) / 2, (F.col("piece.a.y") + F.col("piece.b.y")) / 2)
-    own = F.concat(F.col("id"), F.lit("_clip_"))
-    name = lambda i: F.concat(F.lit("connector."), own, i.cast("string"))
+    rows = segments.withColumn("pieces", grid_pieces(F.col("geom"), cell)).select("*", F.size("pieces").alias("n"), F.posexplode("pieces").alias("i", "piece"))
+    own = lambda i: F.concat(F.col("id"), F.lit("_clip_"), i.cast("string"))
+    name = lambda i: F.concat(F.lit("connector."), own(i))
     return rows.select(
-        F.concat(own, F.col("i").cast("string")).alias("id"),
-        F.when(F.col("i") == 0, F.col("source")).otherwise(name(F.col("i") - 1)).alias("source"),
-        F.when(F.col("i") == F.col("n") - 1, F.col("target")).otherwise(name(F.col("i"))).alias("target"),
-        F.array(F.col("piece.a"), F.col("piece.b")).alias("geom"),
-        F.floor(middle["x"] / cell).alias("cell_x"),
-        F.floor(middle["y"] / cell).alias("cell_y"),
-        distance(F.col("piece.a"), F.col("piece.b")).alias("length"),
+        F.when(F.col("n") == 1, F.col("id")).otherwise(own(F.col("i") + 1)).alias("id"),
+        F.when(F.col("i") == 0, F.col("source")).otherwise(name(F.col("i"))).alias("source"),
+        F.when(F.col("i") == F.col("n") - 1, F.col("target")).otherwise(name(F.col("i") + 1)).alias("target"),
+        F.col("piece.geom").alias("geom"),
+        F.col("piece.cell_x").alias("cell_x"),
+        F.col("piece.cell_y").alias("cell_y"),
+        length(F.col("piece.geom")).alias("length"),
     )
 
 

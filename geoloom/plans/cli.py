@@ -99,11 +99,30 @@ def prepare_building(spark: SparkSession, s: Settings) -> DataFrame:
 
 
 def prepare_network(spark: SparkSession, s: Settings) -> DataFrame:
-    """Ways with the attributes of their map lines; ways without a line keep no results and have status e."""
-    lines = _read(spark, s, "lines").withColumn("known_line", F.lit(True))
-    ways = networks.classified_ways(_read(spark, s, "ways"), lines, s.values["surfaces"], s.values.get("no_foot", ()))
-    results = ["foot", "wheelchair", "sidewalk_width", "impedance_surface", "maxspeed_forward", "maxspeed_backward"]
-    return networks.with_status(ways, F.col("known_line"), results).drop("known_line")
+    """Ways with the attributes of their map lines; ways without a line keep no results and have status e.
+
+    With a table `pixels` (pixel, x, y, val) and `radius` slopes are computed. With `last_node` and `last_edge` nodes and
+    edges get ids that go on from them, the old id of a way stays as `old_gid`. With `island_from`, a list of classes, ways
+    of other classes that aren't connected to the largest part by them get class `island_class`.
+    """
+    lines = _read(spark, s, "lines")
+    pixels = _read(spark, s, "pixels") if "radius" in s.values else None
+    ways = networks.classified_ways(_read(spark, s, "ways"), lines, s.values["surfaces"], pixels, float(s.values.get("radius", 0.0)))
+    known = lines.select(F.col("osm_id").alias("known_id")).distinct()
+    ways = ways.join(known, F.col("osm_id") == F.col("known_id"), "left")
+    ways = networks.with_status(ways, F.col("known_id").isNotNull(), [c for c in networks.WAY_RESULTS if c in ways.columns]).drop("known_id")
+    if "island_from" in s.values:
+        ways = ways.withColumnsRenamed({"gid": "id", "tag_id": "class_id"})
+        ways = networks.islands(ways, F.col("class_id").isin(list(s.values["island_from"])), int(s.values.get("island_class", 701)))
+        ways = ways.withColumnsRenamed({"id": "gid", "class_id": "tag_id"})
+    if "last_node" in s.values:
+        ways = networks.with_new_ids(ways, int(s.values["last_node"]), int(s.values["last_edge"]))
+    return ways
+
+
+def prepare_crossings(spark: SparkSession, s: Settings) -> DataFrame:
+    """Street crossings of tagged points, one kind each."""
+    return networks.crossings(spark.read.parquet(s.source))
 
 
 def export_network(spark: SparkSession, s: Settings) -> DataFrame:
@@ -161,6 +180,7 @@ DATASETS: dict[tuple[str, str], Callable[[SparkSession, Settings], DataFrame]] =
     ("preparation", "overture_division_area"): prepare_divisions,
     ("preparation", "landuse"): prepare_landuse,
     ("preparation", "building"): prepare_building,
+    ("preparation", "street_crossings"): prepare_crossings,
     ("preparation", "network"): prepare_network,
     ("preparation", "subscription"): subscribe_poi,
     ("export", "network"): export_network,

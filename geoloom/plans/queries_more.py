@@ -263,38 +263,85 @@ def segment_split(spark, sf_dir):
 
 
 @query(f"""
-WITH c AS (SELECT c_custkey, {XY.format(k="c_custkey")} FROM customer), e AS (SELECT c_custkey, x + 0.003 AS x, y + 0.007 AS y, x + 0.003 + c_custkey % 7 - 3 AS x2, y + 0.007 + c_custkey % 5 - 2 AS y2 FROM c WHERE c_custkey % 7 <> 3 OR c_custkey % 5 <> 2),
-cuts AS (SELECT c_custkey, 0.0::DOUBLE AS t FROM e
-  UNION SELECT c_custkey, (g - x) / (x2 - x) FROM (SELECT *, unnest(range(floor(least(x, x2))::BIGINT + 1, ceil(greatest(x, x2))::BIGINT)) AS g FROM e)
-  UNION SELECT c_custkey, (g - y) / (y2 - y) FROM (SELECT *, unnest(range(floor(least(y, y2))::BIGINT + 1, ceil(greatest(y, y2))::BIGINT)) AS g FROM e)),
-pieces AS (SELECT c_custkey, t, lead(t, 1, 1.0::DOUBLE) OVER w AS u, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY c_custkey) AS n FROM cuts WINDOW w AS (PARTITION BY c_custkey ORDER BY t))
-SELECT 'e' || c_custkey || '_clip_' || i AS id, CASE WHEN i = 0 THEN 's' ELSE 'connector.e' || c_custkey || '_clip_' || (i - 1) END AS source,
-       CASE WHEN i = n - 1 THEN 't' ELSE 'connector.e' || c_custkey || '_clip_' || i END AS target,
-       floor(x + (x2 - x) * (t + u) / 2)::BIGINT AS cell_x, floor(y + (y2 - y) * (t + u) / 2)::BIGINT AS cell_y, round(sqrt(pow(x2 - x, 2) + pow(y2 - y, 2)) * (u - t), 6) AS length
-FROM pieces JOIN e USING (c_custkey)
+WITH c AS (SELECT c_custkey, {XY.format(k="c_custkey")} FROM customer),
+v AS (SELECT c_custkey, 0 AS j, x + 0.003 AS x, y + 0.007 AS y FROM c
+  UNION ALL SELECT c_custkey, 1, x + 0.003 + (c_custkey % 7 - 3), y + 0.007 + (c_custkey % 5 - 2) FROM c
+  UNION ALL SELECT c_custkey, 2, x + 0.003 + (c_custkey % 7 - 3) + 0.25, y + 0.007 + (c_custkey % 5 - 2) + 0.125 FROM c
+  UNION ALL SELECT c_custkey, 3, x + 0.003 + (c_custkey % 7 - 3) + 0.25 + (c_custkey % 3 - 1) * 1.5, y + 0.007 + (c_custkey % 5 - 2) + 0.125 + 0.75 FROM c),
+e AS (SELECT * FROM (SELECT c_custkey, j, x, y, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM v WINDOW w AS (PARTITION BY c_custkey ORDER BY j)) WHERE x <> x2 OR y <> y2),
+cuts AS (SELECT c_custkey, j, 0.0::DOUBLE AS t FROM e
+  UNION SELECT c_custkey, j, (g - x) / (x2 - x) FROM (SELECT *, unnest(range(floor(least(x, x2))::BIGINT + 1, ceil(greatest(x, x2))::BIGINT)) AS g FROM e)
+  UNION SELECT c_custkey, j, (g - y) / (y2 - y) FROM (SELECT *, unnest(range(floor(least(y, y2))::BIGINT + 1, ceil(greatest(y, y2))::BIGINT)) AS g FROM e)),
+apart AS (SELECT c_custkey, j, t FROM cuts WHERE t < 1 - 1e-12 QUALIFY t = 0 OR t - lag(t) OVER (PARTITION BY c_custkey, j ORDER BY t) > 1e-12),
+legs AS (SELECT c_custkey, j, t, lead(t, 1, 1.0::DOUBLE) OVER (PARTITION BY c_custkey, j ORDER BY t) AS u FROM apart),
+placed AS (SELECT c_custkey, j, t, floor(x + (x2 - x) * (t + u) / 2)::BIGINT AS cell_x, floor(y + (y2 - y) * (t + u) / 2)::BIGINT AS cell_y, sqrt(pow(x2 - x, 2) + pow(y2 - y, 2)) * (u - t) AS len FROM legs JOIN e USING (c_custkey, j)),
+marked AS (SELECT *, (cell_x, cell_y) IS DISTINCT FROM lag((cell_x, cell_y)) OVER (PARTITION BY c_custkey ORDER BY j, t) AS opens FROM placed),
+runs AS (SELECT *, count_if(opens) OVER (PARTITION BY c_custkey ORDER BY j, t) AS i FROM marked),
+pieces AS (SELECT c_custkey, i, cell_x, cell_y, sum(len) AS len, count(*) OVER (PARTITION BY c_custkey) AS n FROM runs GROUP BY c_custkey, i, cell_x, cell_y)
+SELECT 'e' || c_custkey || CASE WHEN n > 1 THEN '_clip_' || i ELSE '' END AS id, CASE WHEN i = 1 THEN 's' ELSE 'connector.e' || c_custkey || '_clip_' || (i - 1) END AS source,
+       CASE WHEN i = n THEN 't' ELSE 'connector.e' || c_custkey || '_clip_' || i END AS target, cell_x, cell_y, round(len, 6) AS length
+FROM pieces
 """)
 def grid_clip(spark, sf_dir):
-    """Segments cut at grid lines: names, ends, cells and lengths of all pieces (NET-10, GEO-13, WN-01, WN-04)."""
+    """Lines of four points, some repeated, cut where they change cells: names, ends, cells and lengths of all pieces (NET-10, GEO-13, WN-01, WN-04)."""
     k = F.col("c_custkey")
-    c = coordinates(table(spark, sf_dir, "customer"), "c_custkey").where("c_custkey % 7 <> 3 or c_custkey % 5 <> 2")
-    a, b = geo.point(F.col("x") + 0.003, F.col("y") + 0.007), geo.point(F.col("x") + 0.003 + k % 7 - 3, F.col("y") + 0.007 + k % 5 - 2)
-    rows = c.select(F.concat(F.lit("e"), k).alias("id"), F.lit("s").alias("source"), F.lit("t").alias("target"), F.array(a, b).alias("geom"))
+    c = coordinates(table(spark, sf_dir, "customer"), "c_custkey")
+    x, y = F.col("x") + 0.003, F.col("y") + 0.007
+    x2, y2 = x + (k % 7 - 3), y + (k % 5 - 2)
+    x3, y3 = x2 + 0.25, y2 + 0.125
+    line = F.array(geo.point(x, y), geo.point(x2, y2), geo.point(x3, y3), geo.point(x3 + (k % 3 - 1) * 1.5, y3 + 0.75))
+    rows = c.select(F.concat(F.lit("e"), k).alias("id"), F.lit("s").alias("source"), F.lit("t").alias("target"), line.alias("geom"))
     return networks.clipped_to_grid(rows, 1.0).select("id", "source", "target", "cell_x", "cell_y", F.round("length", 6).alias("length"))
 
 
-@query("""
-SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'no' WHEN p_size % 5 = 0 THEN 'no' ELSE 'yes' END AS foot, CASE WHEN p_size % 4 = 1 THEN 'no' WHEN p_size > 30 THEN 'no' END AS wheelchair, CASE WHEN p_size % 2 = 0 THEN 0.4 END::DOUBLE AS impedance_surface, CASE WHEN p_size % 4 = 2 THEN 7 ELSE 50 END AS maxspeed_forward FROM part
+#: highway, foot, bicycle, surface and tags of map lines.
+WAY_CASES = [
+    ("residential", "Yes", "Designated", "Gravel", '{"lit":"Yes","lanes":"2","sidewalk:both:width":"1.5","sidewalk:left:width":"2","sidewalk:right:width":"x","smoothness":"good"}'),
+    ("residential", "no", None, "asphalt", '{"sidewalk:left:width":"2.5","lanes":"two","parking":"yes","parking:lane:both":"parallel"}'),
+    ("cycleway", "yes", "yes", "sand", '{"segregated":"yes","cycleway":"track","bicycle_road":"yes"}'),
+    ("footway", "designated", "no", None, '{"wheelchair":"Limited","sidewalk":"left"}'),
+    ("bridleway", "yes", None, "grass", "{}"),
+    ("service", "yes", "yes", "asphalt", '{"psv":"designated"}'),
+    ("service", "yes", "yes", "asphalt", '{"bus":"yes"}'),
+    ("service", "yes", "yes", "asphalt", '{"bus":"no"}'),
+    ("Service", "yes", "yes", "asphalt", '{"psv":"yes"}'),
+    ("stairs", "yes", "no", "paving", '{"wheelchair":"yes","parking:lane:left":"diagonal","parking:lane:right":"no_stopping"}'),
+    ("living_street", "yes", "yes", "sett", '{"sidewalk:both:width":"1,5","sidewalk:left:width":"3"}'),
+    ("Living_Street", None, "yes", "SETT", '{"lanes":"1.5"}'),
+    (None, "yes", "yes", "sett", '{"psv":"yes"}'),
+]
+_TAGS = ["bicycle_road", "cycleway", "parking", "segregated", "sidewalk", "smoothness"]
+
+
+@query(f"""
+WITH cases(k, highway, foot, bicycle, surface, tags) AS (VALUES {_sql_values(WAY_CASES)}),
+w AS (SELECT p_partkey, p_size % 14 AS k, p_size AS forward, p_size + 5 AS backward, {XY.format(k="p_partkey")} FROM part),
+t AS (SELECT w.*, highway, foot, bicycle, surface, tags::JSON ->> '$.psv' AS psv, tags::JSON ->> '$.bus' AS bus, tags::JSON ->> '$.lit' AS lit, tags::JSON ->> '$.lanes' AS lanes, tags::JSON ->> '$.wheelchair' AS chair,
+             tags::JSON ->> '$."sidewalk:both:width"' AS w_both, tags::JSON ->> '$."sidewalk:left:width"' AS w_left, tags::JSON ->> '$."sidewalk:right:width"' AS w_right,
+             tags::JSON ->> '$."parking:lane:both"' AS p_both, tags::JSON ->> '$."parking:lane:left"' AS p_left, tags::JSON ->> '$."parking:lane:right"' AS p_right,
+             {", ".join(f"tags::JSON ->> '$.{x}' AS {x}" for x in _TAGS)}
+      FROM w LEFT JOIN cases c ON c.k = w.k)
+SELECT p_partkey, CASE WHEN highway = 'service' AND (psv IS NOT NULL OR bus = 'yes') THEN 'no' WHEN highway NOT IN ('bridleway', 'cycleway', 'footway') THEN lower(foot) END AS foot,
+       lower(bicycle) AS bicycle, lower(highway) AS highway, lower(surface) AS surface, CASE lower(surface) WHEN 'gravel' THEN 0.3 WHEN 'sand' THEN 0.4 WHEN 'sett' THEN 0.3 END::DOUBLE AS impedance_surface,
+       CASE WHEN regexp_matches(w_both, '^[0-9.]*$') THEN try_cast(w_both AS DOUBLE) END AS sidewalk_both_width, CASE WHEN regexp_matches(w_both, '^[0-9.]*$') THEN try_cast(w_left AS DOUBLE) END AS sidewalk_left_width,
+       CASE WHEN regexp_matches(w_both, '^[0-9.]*$') THEN try_cast(w_right AS DOUBLE) END AS sidewalk_right_width, lower(lit) AS lit, try_cast(lanes AS DOUBLE) AS lanes,
+       CASE WHEN lower(highway) = 'stairs' THEN 'no' ELSE lower(chair) END AS wheelchair, {", ".join(_TAGS)}, p_both AS parking_lane_both, p_left AS parking_lane_left, p_right AS parking_lane_right,
+       CASE WHEN lower(highway) = 'living_street' AND forward > 7 THEN 7 ELSE forward END AS maxspeed_forward, CASE WHEN lower(highway) = 'living_street' AND forward > 7 THEN 7 ELSE backward END AS maxspeed_backward,
+       round(6378137 * sqrt(pow(radians(0.001), 2) + pow(ln(tan(pi() / 4 + radians(y + 0.001) / 2)) - ln(tan(pi() / 4 + radians(y) / 2)), 2)), 4) AS length_3857
+FROM t
 """)
 def way_attributes(spark, sf_dir):
-    """Attributes of ways from their map lines (NET-02, CA-02, AR-08)."""
-    size = F.col("p_size")
+    """All attributes of ways from their map lines, some without a line (NET-02, CA-02, AR-08)."""
     part = table(spark, sf_dir, "part")
-    ways = part.select(F.col("p_partkey").alias("osm_id"), F.lit(50).alias("maxspeed_forward"), F.lit(50).alias("maxspeed_backward"))
-    highway = F.when(size % 4 == 0, "Motorway").when(size % 4 == 1, "steps").when(size % 4 == 2, "living_street").otherwise("path")
-    tags = F.create_map(F.lit("incline"), F.when(size > 30, F.lit("10%")).otherwise(F.lit("2%")))
-    rows = part.select(F.col("p_partkey").alias("osm_id"), highway.alias("highway"), F.when(size % 5 == 0, "no").otherwise("yes").alias("foot"), F.when(size % 2 == 0, "Gravel").otherwise("asphalt").alias("surface"), tags.alias("tags"))
-    out = networks.classified_ways(ways, rows, {"gravel": 0.4}, no_foot=["motorway"])
-    return out.select(F.col("osm_id").alias("p_partkey"), "foot", "wheelchair", "impedance_surface", "maxspeed_forward")
+    at = coordinates(part, "p_partkey")
+    line = F.array(geo.point(F.col("x"), F.col("y")), geo.point(F.col("x") + 0.001, F.col("y") + 0.001))
+    ways = at.select(F.col("p_partkey").alias("gid"), F.col("p_partkey").alias("osm_id"), F.col("p_size").alias("maxspeed_forward"), (F.col("p_size") + 5).alias("maxspeed_backward"), line.alias("geom"))
+    cases = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(("highway", "foot", "bicycle", "surface", "tags"), case, strict=True)]) for case in WAY_CASES]
+    rows = part.withColumn("c", F.get(F.array(*cases), F.col("p_size") % 14)).where("c is not null")
+    lines = rows.select(F.col("p_partkey").alias("osm_id"), "c.highway", "c.foot", "c.bicycle", "c.surface", F.from_json("c.tags", "map<string,string>").alias("tags"))
+    out = networks.classified_ways(ways, lines, {"gravel": 0.3, "sand": 0.4, "sett": 0.3})
+    kept = ["foot", "bicycle", "highway", "surface", "impedance_surface", "sidewalk_both_width", "sidewalk_left_width", "sidewalk_right_width", "lit", "lanes", "wheelchair", *_TAGS, "parking_lane_both", "parking_lane_left", "parking_lane_right", "maxspeed_forward", "maxspeed_backward"]
+    return out.select(F.col("gid").alias("p_partkey"), *kept, F.round("length_3857", 4).alias("length_3857"))
 
 
 CROSSING_CASES = [

@@ -107,24 +107,31 @@ def way_status(spark, sf_dir):
 
 
 @query(f"""
-WITH c AS (SELECT c_custkey, {XY.format(k="c_custkey")} FROM customer), s AS (SELECT s_suppkey, s_acctbal / 1000 AS val, {XY.format(k="s_suppkey")} FROM supplier),
-p AS (SELECT c_custkey, i, x + u AS x, y FROM c, (VALUES (0, 0.0), (1, 0.4), (2, 0.8), (3, 1.0)) v(i, u)),
+WITH c AS (SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 10 WHEN 1 THEN 15 WHEN 2 THEN 20 WHEN 3 THEN 25 WHEN 4 THEN 30 ELSE 6 END::DOUBLE AS len, {XY.format(k="c_custkey")} FROM customer),
+s AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 5 ELSE s_acctbal / 1000 END AS val, {XY.format(k="s_suppkey")} FROM supplier),
+a AS (SELECT *, CASE WHEN len > 20 THEN list_transform(range(0, ceil(len / 10)::BIGINT), lambda i: i * 10 / len) || [1.0] WHEN len > 10 AND len < 20 THEN [0.0, 0.5, 1.0] ELSE [0.0, 1.0] END AS shares FROM c),
+p AS (SELECT c_custkey, len, i, len(shares) AS parts, shares[i] AS share, x + shares[i] AS x, y FROM a, range(1, 6) r(i) WHERE i <= len(shares)),
 n AS (SELECT c_custkey, i, sqrt(pow(p.x - s.x, 2) + pow(p.y - s.y, 2)) AS d, s_suppkey, val FROM p JOIN s ON pow(p.x - s.x, 2) + pow(p.y - s.y, 2) <= 4),
 t AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY c_custkey, i ORDER BY d, s_suppkey) <= 3),
 h AS (SELECT c_custkey, i, coalesce(max(CASE WHEN d = 0 THEN val END), sum(CASE WHEN d > 0 THEN val / d END) / sum(CASE WHEN d > 0 THEN 1 / d END)) AS h FROM t GROUP BY ALL),
-g AS (SELECT a.c_custkey, CASE b.i WHEN 3 THEN 5 ELSE 10 END AS run, (b.h - a.h) / CASE b.i WHEN 3 THEN 5 ELSE 10 END * 100 AS slope, count(*) OVER (PARTITION BY a.c_custkey) AS n FROM h a JOIN h b ON a.c_custkey = b.c_custkey AND b.i = a.i + 1),
-f AS (SELECT c_custkey, sum(run / 25.0 * CASE WHEN slope > 9 THEN 3 WHEN slope >= 0 THEN 1 + slope * 0.0430815 WHEN slope >= -9 THEN 1 + slope * 0.0363248 ELSE 0.65 END) - 1 AS up,
-  sum(run / 25.0 * CASE WHEN -slope > 9 THEN 3 WHEN -slope >= 0 THEN 1 - slope * 0.0430815 WHEN -slope >= -9 THEN 1 - slope * 0.0363248 ELSE 0.65 END) - 1 AS down FROM g WHERE n = 3 GROUP BY ALL)
+q AS (SELECT c_custkey, i, share, len, parts, h FROM p JOIN h USING (c_custkey, i)),
+g AS (SELECT a.c_custkey, a.parts, b.share - a.share AS part, (b.h - a.h) / ((b.share - a.share) * a.len) * 100 AS slope, count(*) OVER (PARTITION BY a.c_custkey) AS n FROM q a JOIN q b ON a.c_custkey = b.c_custkey AND b.i = a.i + 1),
+f AS (SELECT c_custkey, sum(part * CASE WHEN slope > 9 THEN 3 WHEN slope >= 0 THEN 1 + slope * 0.0430815 WHEN slope >= -9 THEN 1 + slope * 0.0363248 ELSE 0.65 END) - 1 AS up,
+  sum(part * CASE WHEN -slope > 9 THEN 3 WHEN -slope >= 0 THEN 1 - slope * 0.0430815 WHEN -slope >= -9 THEN 1 - slope * 0.0363248 ELSE 0.65 END) - 1 AS down FROM g WHERE n = parts - 1 GROUP BY ALL)
 SELECT c_custkey AS id, round(up, 5) + 0.0 AS up, round(down, 5) + 0.0 AS down FROM customer LEFT JOIN f USING (c_custkey)
 """)
 def slope_profiles(spark, sf_dir):
-    """Heights sampled along lines and their effort in both directions (NET-04, NET-12, JN-14)."""
+    """Heights sampled along lines of six lengths, below, at and above the interval and twice of it, and their effort in both
+    directions (NET-04, NET-12, JN-14)."""
+    kind = F.col("c_custkey") % 6
+    metres = F.when(kind == 0, 10.0).when(kind == 1, 15.0).when(kind == 2, 20.0).when(kind == 3, 25.0).when(kind == 4, 30.0).otherwise(6.0)
     c = coordinates(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
     line = F.array(geo.point(F.col("x"), F.col("y")), geo.point(F.col("x") + 1, F.col("y")))
-    segments = c.select(F.col("c_custkey").alias("id"), line.alias("geom"), F.lit(25.0).alias("length_m"))
-    heights = coordinates(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pixel"), (F.col("s_acctbal") / 1000).alias("val")), "pixel")
+    segments = c.select(F.col("c_custkey").alias("id"), line.alias("geom"), metres.alias("length_m"))
+    value = F.when(F.col("s_suppkey") % 3 == 0, 5.0).otherwise(F.col("s_acctbal") / 1000)
+    heights = coordinates(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("pixel"), value.alias("val")), "pixel")
     out = networks.slope_profile(segments, heights, 2.0)
-    return out.select("id", F.round("impedance_slope", 5).alias("up"), F.round("impedance_slope_reverse", 5).alias("down"))
+    return out.select("id", (F.round("impedance_slope", 5) + F.lit(0.0)).alias("up"), (F.round("impedance_slope_reverse", 5) + F.lit(0.0)).alias("down"))
 
 
 @query("SELECT s_suppkey, true AS small, round(20 * 2 * sin(pi() / 20), 6) AS area FROM supplier")

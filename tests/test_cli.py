@@ -69,11 +69,19 @@ def test_buildings(spark, tmp_path):
 
 
 def test_network(spark, tmp_path):
-    spark.createDataFrame([(1, 10, 50, 50), (2, 11, 50, 30)], "gid int, osm_id long, maxspeed_forward int, maxspeed_backward int").write.parquet(str(tmp_path / "in/ways"))
-    spark.createDataFrame([(10, "steps", "no", "Gravel", {})], "osm_id long, highway string, foot string, surface string, tags map<string,string>").write.parquet(str(tmp_path / "in/lines"))
+    kind = "gid int, osm_id long, source long, target long, tag_id int, maxspeed_forward int, maxspeed_backward int, geom array<struct<x:double,y:double>>"
+    line = [(0.0, 0.0), (0.0001, 0.0)]
+    spark.createDataFrame([(1, 10, 5, 6, 112, 50, 50, line), (2, 11, 6, 7, 112, 50, 30, line), (3, 10, 8, 9, 112, 50, 30, line), (4, 10, 6, 7, 104, 50, 30, line)], kind).write.parquet(str(tmp_path / "in/ways"))
+    spark.createDataFrame([(10, "stairs", "no", None, "Gravel", {})], "osm_id long, highway string, foot string, bicycle string, surface string, tags map<string,string>").write.parquet(str(tmp_path / "in/lines"))
+    spark.createDataFrame([(1, 0.0, 0.00001, 100.0), (2, 0.0001, 0.00001, 101.0)], "pixel int, x double, y double, val double").write.parquet(str(tmp_path / "in/pixels"))
     rows = {r.gid: r for r in made(spark, tmp_path, "preparation", "network", {"surfaces": {"gravel": 0.3}}).collect()}
     assert (rows[1].preparation_status, rows[1].foot, rows[1].wheelchair, rows[1].impedance_surface, rows[1].maxspeed_forward) == ("p", "no", "no", 0.3, 50)
     assert (rows[2].preparation_status, rows[2].foot, rows[2].maxspeed_backward) == ("e", None, None)
+    assert rows[1].s_imp is None and rows[1].length_m == pytest.approx(11.12, abs=0.01)
+    whole = {"surfaces": {"gravel": 0.3}, "radius": 0.00003, "island_from": [112], "last_node": 100, "last_edge": 1000}
+    rows = {r.old_gid: r for r in made(spark, tmp_path, "preparation", "network", whole).collect()}
+    assert {k: (r.gid, r.source, r.target, r.tag_id) for k, r in rows.items()} == {1: (1001, 101, 102, 112), 2: (1002, 102, 103, 112), 3: (1003, 104, 105, 701), 4: (1004, 102, 103, 104)}
+    assert rows[1].incline_percent is None and rows[2].preparation_status == "e"
 
 
 def test_network_migration_keeps_no_scenarios(spark, tmp_path):

@@ -6,7 +6,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom.functions import cells, collections as fc, geometry as geo, text as ft
+from geoloom.functions import cells, collections as fc, geometry as geo, lines, text as ft
 from geoloom.operators import buildings, networks, poi, relational as rel, spatial_joins as sj, transit
 from geoloom.sources import readers, writers
 
@@ -149,7 +149,7 @@ def test_segments(spark):
     parts = {r.id: (r.source, r.target, [tuple(p) for p in r.geom]) for r in networks.split_at_connectors(df).collect()}
     assert parts == {"s_0": ("a", "m", [(0, 0), (2, 0)]), "s_1": ("m", "b", [(2, 0), (4, 0)])}
     pieces = networks.clipped_to_grid(df, 1.5).collect()
-    assert sorted((r.source, r.target, round(r.length, 6)) for r in pieces) == [("a", "connector.s_clip_0", 1.5), ("connector.s_clip_0", "connector.s_clip_1", 1.5), ("connector.s_clip_1", "b", 1.0)]
+    assert sorted((r.source, r.target, round(r.length, 6)) for r in pieces) == [("a", "connector.s_clip_1", 1.5), ("connector.s_clip_1", "connector.s_clip_2", 1.5), ("connector.s_clip_2", "b", 1.0)]
 
 
 def test_islands(spark):
@@ -204,3 +204,36 @@ def test_modes(spark):
     types = {0: "tram", 1: "metro", 2: "rail", 3: "bus", 4: "other", 109: "rail", 401: "metro", 704: "bus", 900: "tram", None: None}
     df = spark.createDataFrame([(k,) for k in types], "t int")
     assert {r.t: r.m for r in df.select("t", transit.mode_of_route_type(F.col("t")).alias("m")).collect()} == types
+
+
+@pytest.mark.parametrize("metres", [5.0, 10.0, 15.0, 20.0, 30.0, 40.0])
+def test_level_lines_take_no_effort(spark, metres):
+    kind = "id int, geom array<struct<x:double,y:double>>, length_m double"
+    segments = spark.createDataFrame([(1, [(0.0, 0.0), (3.0, 4.0), (3.0, 9.0)], metres)], kind)
+    pixels = spark.createDataFrame([(i, float(i % 4), float(i // 4), 100.0) for i in range(44)], "pixel int, x double, y double, val double")
+    r = networks.slope_profile(segments, pixels, 3.0).first()
+    assert (r.impedance_slope, r.impedance_slope_reverse, r.slope_average) == (pytest.approx(0), pytest.approx(0), 0)
+
+
+def test_points_along_a_line(spark):
+    kind = "id int, geom array<struct<x:double,y:double>>, shares array<double>"
+    rows = spark.createDataFrame([(1, [(0.0, 0.0), (3.0, 4.0), (3.0, 9.0)], [0.0, 0.25, 0.5, 0.75, 1.0]), (2, None, [0.0]), (3, [(1.0, 1.0)], [0.0, 1.0])], kind)
+    out = {r.id: r.p and [(p.x, p.y) for p in r.p] for r in rows.select("id", lines.points_at(F.col("geom"), F.col("shares")).alias("p")).collect()}
+    assert out[2] is None and out[3] == [(1, 1), (1, 1)]
+    assert out[1] == [pytest.approx(p) for p in [(0, 0), (1.5, 2), (3, 4), (3, 6.5), (3, 9)]]
+
+
+def test_lines_inside_a_cell_stay_whole(spark):
+    kind = "id string, source string, target string, geom array<struct<x:double,y:double>>"
+    inside = [(0.1 + 0.08 * i, 0.2 + 0.05 * (i % 3)) for i in range(10)]
+    at_vertex = [(0.5, 0.5), (1.0, 0.5), (1.5, 0.5)]
+    corner = [(0.5, 0.5), (1.5, 1.5)]
+    rows = [("in", "a", "b", inside), ("v", "a", "b", at_vertex), ("c", "a", "b", corner), ("same", "a", "b", [(0.5, 0.5)] * 3), ("none", "a", "b", []), ("back", "a", "b", [(0.5, 0.5), (1.5, 0.5), (0.5, 0.5)])]
+    out = {r.id: (r.source, r.target, r.cell_x, r.cell_y, len(r.geom), round(r.length, 6)) for r in networks.clipped_to_grid(spark.createDataFrame(rows, kind), 1.0).collect()}
+    assert out.pop("in")[:5] == ("a", "b", 0, 0, 10)
+    assert out.pop("same") == ("a", "b", 0, 0, 3, 0)
+    assert out == {
+        "v_clip_1": ("a", "connector.v_clip_1", 0, 0, 2, 0.5), "v_clip_2": ("connector.v_clip_1", "b", 1, 0, 2, 0.5),
+        "c_clip_1": ("a", "connector.c_clip_1", 0, 0, 2, 0.707107), "c_clip_2": ("connector.c_clip_1", "b", 1, 1, 2, 0.707107),
+        "back_clip_1": ("a", "connector.back_clip_1", 0, 0, 2, 0.5), "back_clip_2": ("connector.back_clip_1", "connector.back_clip_2", 1, 0, 3, 1.0), "back_clip_3": ("connector.back_clip_2", "b", 0, 0, 2, 0.5),
+    }

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.functions import text as ft
 from geoloom.functions.cells import grid_cover
-from geoloom.functions.geometry import envelope
+from geoloom.functions.geometry import envelope, envelopes_meet
+from geoloom.functions.overlay import POLYGON_TYPE, Ring, as_value, clipped, is_convex, overlaid, overlay, ring_size, rings_of, shape_area, shapes_of, total_area, union_of, without_small
 from geoloom.operators.relational import allocated
 
 
@@ -64,103 +65,118 @@ def with_storeys(rows: DataFrame, height: str = "height") -> DataFrame:
     return rows.withColumn("building_levels", F.coalesce("building_levels", ft.storeys(F.col(height))))
 
 
-def clipped(subject: list[tuple[float, float]], window: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    """A ring cut to a convex ring (Sutherland and Hodgman, 1974); both open, any direction."""
-    turn = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(window, window[1:] + window[:1], strict=True))
-    edges = window if turn > 0 else window[::-1]
-    out = subject
-    for a, b in zip(edges, edges[1:] + edges[:1], strict=True):
-        side = lambda p, a=a, b=b: (b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0])
-        before, out = out, []
-        for p, q in zip(before, before[1:] + before[:1], strict=True):
-            sp, sq = side(p), side(q)
-            if sp >= 0:
-                out.append(p)
-            if sp * sq < 0:
-                t = sp / (sp - sq)
-                out.append((p[0] + t * (q[0] - p[0]), p[1] + t * (q[1] - p[1])))
-        if not out:
-            break
-    return out
-
-
-def ring_size(ring: list[tuple[float, float]]) -> float:
-    """Area of an open ring."""
-    return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1], strict=True))) / 2 if ring else 0.0
-
-
-def is_convex(ring: list[tuple[float, float]]) -> bool:
-    """Whether an open ring never turns both ways."""
-    n = len(ring)
-    turns = [(ring[(i + 1) % n][0] - ring[i][0]) * (ring[(i + 2) % n][1] - ring[(i + 1) % n][1]) - (ring[(i + 1) % n][1] - ring[i][1]) * (ring[(i + 2) % n][0] - ring[(i + 1) % n][0]) for i in range(n)]
-    return all(t >= 0 for t in turns) or all(t <= 0 for t in turns)
-
-
-def _pieces(ring: list[tuple[float, float]], most: int, depth: int = 0) -> list[list[tuple[float, float]]]:
-    if len(ring) <= most or depth > 32:
-        return [ring] if ring_size(ring) > 0 else []
-    xs, ys = [p[0] for p in ring], [p[1] for p in ring]
+def _pieces(rings: list[Ring], most: int, depth: int = 0) -> list[list[Ring]]:
+    xs, ys = ([p[axis] for ring in rings for p in ring] for axis in (0, 1))
+    if sum(map(len, rings)) <= most or depth > 32:
+        return overlay(rings, [], "union")
     low, high = (min(xs), min(ys)), (max(xs), max(ys))
     axis = 0 if high[0] - low[0] >= high[1] - low[1] else 1
     middle = (low[axis] + high[axis]) / 2
     ends = ((low, (middle, high[1]) if axis == 0 else (high[0], middle)), ((middle, low[1]) if axis == 0 else (low[0], middle), high))
     boxes = [[(a[0], a[1]), (b[0], a[1]), (b[0], b[1]), (a[0], b[1])] for a, b in ends]
-    return [piece for box in boxes for piece in _pieces(clipped(ring, box), most, depth + 1)]
+    return [piece for box in boxes for part in overlay(rings, [box]) for piece in _pieces(part, most, depth + 1)]
 
 
 def subdivided(rows: DataFrame, key: str, most: int = 20, geom: str = "geom") -> DataFrame:
-    """(key, piece, geom): outer rings cut in halves of their envelopes until each has `most` corners at most.
+    """(key, piece, geom): polygons cut in halves of their envelopes until each has `most` corners at most, holes included.
 
-    Pieces cover the ring and share no area; a piece of a concave ring may touch itself along a cut. Rings without an
-    area give no pieces, holes are left out.
+    Pieces cover the polygon and share no area. Null polygons, and polygons without an area, give no pieces.
     """
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for k, points in zip(batch["k"], batch["ring"], strict=True):
-                ring = [(p["x"], p["y"]) for p in points]
-                ring = ring[:-1] if len(ring) > 1 and ring[0] == ring[-1] else ring
-                for i, piece in enumerate(_pieces(ring, most)):
-                    found.append((k, i, [[{"x": x, "y": y} for x, y in [*piece, piece[0]]]]))
-            yield pd.DataFrame(found, columns=[key, "piece", geom])
+            for i, polygon in enumerate(shapes_of(batch.column(1))):
+                pieces = [p for part in overlay(polygon, [], "union") for p in _pieces(part, most)]
+                found += [(i, n, value) for n, value in enumerate(as_value(pieces))]
+            at, number, value = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.record_batch([batch.column(0).take(pa.array(at, pa.int64())), pa.array(number, pa.int32()), pa.array(value, POLYGON_TYPE)], names=[key, "piece", geom])
 
     kind = rows.schema[key].dataType.simpleString()
-    outer = rows.select(F.col(key).alias("k"), F.get(F.col(geom), F.lit(0)).alias("ring")).where("ring is not null")
-    return outer.mapInPandas(cut, f"`{key}` {kind}, piece int, `{geom}` array<array<struct<x:double,y:double>>>")
+    whole = rows.select(F.col(key).alias("k"), F.col(geom).alias("polygon")).where("polygon is not null")
+    return whole.mapInArrow(cut, f"`{key}` {kind}, piece int, `{geom}` array<array<struct<x:double,y:double>>>")
 
 
-def _shares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    def open_ring(points) -> list[tuple[float, float]]:
-        ring = [(p["x"], p["y"]) for p in points]
-        return ring[:-1] if len(ring) > 1 and ring[0] == ring[-1] else ring
+def overlap_area(a: list[Ring], b: list[Ring]) -> float:
+    """Area that two polygons share; clipping suffices where both have one ring and one of them is convex."""
+    if len(a) == len(b) == 1 and (is_convex(a[0]) or is_convex(b[0])):
+        return ring_size(clipped(a[0], b[0]) if is_convex(b[0]) else clipped(b[0], a[0]))
+    return shape_area(overlay(a, b))
 
+
+def _shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        sizes = []
-        for a, b in zip(rows["ring_a"], rows["ring_b"], strict=True):
-            a, b = open_ring(a), open_ring(b)
-            if not is_convex(b):
-                a, b = b, a
-            if not is_convex(b):
-                raise ValueError("overlap areas need at least one convex polygon of each pair")
-            sizes.append(ring_size(clipped(a, b)))
-        yield pd.DataFrame({"a_id": rows["a_id"], "b_id": rows["b_id"], "overlap": sizes})
+        sizes = [overlap_area(a, b) for a, b in zip(shapes_of(rows.column(2)), shapes_of(rows.column(3)), strict=True)]
+        yield pa.record_batch([rows.column(0), rows.column(1), pa.array(sizes, pa.float64())], names=["a_id", "b_id", "overlap"])
 
 
-def overlaps(a: DataFrame, b: DataFrame, a_id: str, b_id: str, cell: float, geom: str = "geom") -> DataFrame:
-    """(a_id, b_id, overlap): overlap areas of outer rings whose envelopes share a grid cell, one of each pair convex.
+def _near(a: DataFrame, b: DataFrame, a_id: str, b_id: str, cell: float, geom: str) -> DataFrame:
+    """(a_id, b_id, shape_a, shape_b) of polygons whose envelopes meet, each pair once, dealt out evenly.
 
-    Pairs meet by cell, once each, and clipping runs on Arrow batches: no expression of Spark's cuts polygons.
+    Pairs meet by cell and belong to the cell of the lower left corner of what their envelopes share. They are dealt by
+    pair afterwards, since outlines cost more than rows and crowded cells would leave most pairs to few tasks.
     """
-    box = lambda c: envelope(F.get(c, F.lit(0)))
-    left = a.select(F.col(a_id).alias("a_id"), F.get(F.col(geom), F.lit(0)).alias("ring_a"), F.explode(grid_cover(box(F.col(geom)), cell)).alias("cell"))
-    right = b.select(F.col(b_id).alias("b_id"), F.get(F.col(geom), F.lit(0)).alias("ring_b"), F.explode(grid_cover(box(F.col(geom)), cell)).alias("cell"))
-    pairs = left.join(right, "cell")
-    # The pair belongs to the cell of the lower left corner of what the envelopes share.
-    ea, eb = envelope(F.col("ring_a")), envelope(F.col("ring_b"))
+    sides = []
+    for rows, key, name in ((a, a_id, "a"), (b, b_id, "b")):
+        box = envelope(F.get(F.col(geom), F.lit(0)))
+        side = rows.select(F.col(key).alias(f"{name}_id"), F.col(geom).alias(f"shape_{name}"), box.alias(f"box_{name}"))
+        sides.append(side.withColumn("cell", F.explode(grid_cover(F.col(f"box_{name}"), cell))))
+    ea, eb = F.col("box_a"), F.col("box_b")
     owner = F.struct(F.floor(F.greatest(ea["xmin"], eb["xmin"]) / cell).alias("cx"), F.floor(F.greatest(ea["ymin"], eb["ymin"]) / cell).alias("cy"))
-    pairs = pairs.where(F.col("cell") == owner).select("a_id", "b_id", "ring_a", "ring_b")
+    pairs = sides[0].join(sides[1], "cell").where(envelopes_meet(ea, eb) & (F.col("cell") == owner))
+    return pairs.select("a_id", "b_id", "shape_a", "shape_b").repartition(_tasks(a), "a_id", "b_id")
+
+
+def _tasks(rows: DataFrame) -> int:
+    """As many partitions as a shuffle has: a number given isn't made less where rows are few but each takes long."""
+    return max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def overlaps(a: DataFrame, b: DataFrame, a_id: str, b_id: str, cell: float, geom: str = "geom") -> DataFrame:
+    """(a_id, b_id, overlap): areas that polygons share, holes left out, on Arrow batches; pairs without one are left out."""
     kinds = f"a_id {a.schema[a_id].dataType.simpleString()}, b_id {b.schema[b_id].dataType.simpleString()}, overlap double"
-    return pairs.mapInPandas(_shares, kinds).where("overlap > 0")
+    return _near(a, b, a_id, b_id, cell, geom).mapInArrow(_shares, kinds).where("overlap > 0")
+
+
+def covered(a: DataFrame, b: DataFrame, a_id: str, category: str, cell: float, geom: str = "geom", b_id: str = "id") -> DataFrame:
+    """(a_id, category, overlap): area of each polygon that all polygons of a category cover together, so that what two of
+    them cover counts once."""
+    kinds = b.select(F.col(b_id).alias("b_id"), F.col(category).alias(category)).distinct()
+    shared = _near(a, b, a_id, b_id, cell, geom).select("a_id", "b_id", rings_of(overlaid(F.col("shape_a"), F.col("shape_b"))).alias("part"))
+    found = shared.where(F.size("part") > 0).join(kinds, "b_id").repartition(_tasks(a), "a_id", category).groupBy("a_id", category).agg(F.collect_list("part").alias("parts"))
+    return found.select(F.col("a_id").alias(a_id), category, total_area(union_of(F.col("parts"))).alias("overlap"))
+
+
+def dissolved(rows: DataFrame, group: str, cell: float, geom: str = "geom", fan: int = 16, least_hole: float = 0.0) -> DataFrame:
+    """(group, geom array of polygons): the union of each group's polygons, without holes under an area.
+
+    A tree of partial unions: at first about `fan` polygons of one cell at a time, then `fan` results of a cell, then the
+    cells, four neighbours at a time, until a group is one. Equal polygons count once. No task holds more than `fan` shapes, or four; only the last
+    ones are as large as the result. Null polygons are left out, a null group is a group of its own.
+    """
+    corner = envelope(F.get("shape", F.lit(0)))
+    parts = rows.where(F.col(geom).isNotNull()).select(F.col(group).alias(group), F.col(geom).alias("shape")).withColumns({"cx": F.floor(corner["xmin"] / cell), "cy": F.floor(corner["ymin"] / cell)}).distinct()
+    counts = parts.groupBy(group, "cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+    most, low_x, high_x, low_y, high_y = counts.agg(F.max("n"), F.min("cx"), F.max("cx"), F.min("cy"), F.max("cy")).first()
+    salts = 1
+    while most is not None and salts * fan < most:
+        salts *= fan
+    if most is not None:
+        # Counted from the first cell on, halving ends in one cell.
+        parts = parts.withColumns({"cx": F.col("cx") - low_x, "cy": F.col("cy") - low_y})
+        width = max(high_x - low_x, high_y - low_y)
+    parts = parts.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(salts)))
+
+    def joined(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.repartition(_tasks(rows), group, *keys).groupBy(group, *keys).agg(F.collect_list("shape").alias("shapes")).select(group, *keys, rings_of(union_of(F.col("shapes"))).alias("shape"))
+
+    now = joined(parts, "cx", "cy", "salt")
+    while salts > 1:
+        salts //= fan
+        now = joined(now.withColumn("salt", F.floor(F.col("salt") / fan)), "cx", "cy", "salt")
+    while most is not None and width > 0:
+        now = joined(now.withColumns({"cx": F.floor(F.col("cx") / 2), "cy": F.floor(F.col("cy") / 2)}), "cx", "cy")
+        width //= 2
+    return now.select(group, without_small(union_of(F.array("shape")), 0.0, least_hole).alias(geom))
 
 
 def dominant_class(shares: DataFrame, key: str, category: str, overlap: str, total: str, least: float = 0.5, otherwise: int = 2) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from geoloom.functions import collections as fc, geometry as geo
+from geoloom.functions import collections as fc, geometry as geo, overlay
 from geoloom.operators import buildings, networks, rasters, selection
 from geoloom.plans.queries import XY, coordinates, query, table
 from geoloom.plans.queries_more import WHOLE, _whole
@@ -134,16 +134,112 @@ def slope_profiles(spark, sf_dir):
     return out.select("id", (F.round("impedance_slope", 5) + F.lit(0.0)).alias("up"), (F.round("impedance_slope_reverse", 5) + F.lit(0.0)).alias("down"))
 
 
-@query("SELECT s_suppkey, true AS small, round(20 * 2 * sin(pi() / 20), 6) AS area FROM supplier")
+@query("SELECT s_suppkey, true AS small, round(20 * 2 * sin(pi() / 20) - 0.25, 6) AS area, 1 AS holes FROM supplier")
 def subdivided_polygons(spark, sf_dir):
-    """Stars of forty corners in pieces of twenty at most, which cover them (GEO-17)."""
+    """Stars of forty corners around a square hole, in pieces of twenty corners at most, which cover them (GEO-17)."""
     s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")
     far = lambda i: 1 + i % 2
     angle = lambda i: i * F.lit(3.141592653589793) / 20
     ring = F.transform(F.sequence(F.lit(0), F.lit(40)), lambda i: geo.point(F.col("x") + far(i) * F.cos(angle(i)), F.col("y") + far(i) * F.sin(angle(i))))
-    pieces = buildings.subdivided(s.select("s_suppkey", F.array(ring).alias("geom")), "s_suppkey")
-    size, corners = F.abs(geo.ring_area(F.col("geom")[0])), F.size(F.col("geom")[0])
-    return pieces.groupBy("s_suppkey").agg(F.bool_and(corners <= 21).alias("small"), F.round(F.sum(size), 6).alias("area"))
+    hole = _box(F.col("x") - 0.25, F.col("y") - 0.25, 0.5, 0.5)
+    polygon = s.select("s_suppkey", F.array(ring, hole).alias("geom"))
+    pieces = buildings.subdivided(polygon, "s_suppkey")
+    corners = F.aggregate("geom", F.lit(0), lambda t, r: t + F.size(r) - 1)
+    return pieces.join(polygon.select("s_suppkey", (F.size("geom") - 1).alias("holes")), "s_suppkey").groupBy("s_suppkey").agg(F.bool_and(corners <= 20).alias("small"), F.round(F.sum(geo.area(F.col("geom"))), 6).alias("area"), F.max("holes").alias("holes"))
+
+
+def _box(x, y, width, height):
+    """A closed rectangle as a ring."""
+    return F.array(geo.point(x, y), geo.point(x + width, y), geo.point(x + width, y + height), geo.point(x, y + height), geo.point(x, y))
+
+
+def _frames_and_combs(spark, sf_dir):
+    """Square frames, 4 wide with a hole of 2, and combs of three teeth that lie over them in different places, in halves."""
+    s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")
+    k, x, y = F.col("s_suppkey"), F.round(F.col("x")), F.round(F.col("y"))
+    a, b = x + (k % 9 - 4) / 2.0, y + (k % 7 - 3) / 2.0
+    corners = [(0, 0), (5, 0), (5, 4), (4, 4), (4, 1), (3, 1), (3, 4), (2, 4), (2, 1), (1, 1), (1, 4), (0, 4), (0, 0)]
+    comb = F.array(*[geo.point(a + u, b + v) for u, v in corners])
+    return s.select("s_suppkey", F.array(_box(x, y, 4, 4), _box(x + 1, y + 1, 2, 2)).alias("frame"), F.array(comb).alias("comb"))
+
+
+#: Half squares of frames (f) and combs (c) around the lower left corner of the frame.
+FRAMES_AND_COMBS = """halves AS (SELECT s_suppkey, i, j, i BETWEEN 0 AND 7 AND j BETWEEN 0 AND 7 AND NOT (i BETWEEN 2 AND 5 AND j BETWEEN 2 AND 5) AS f, i - (s_suppkey % 9 - 4) AS u, j - (s_suppkey % 7 - 3) AS v,
+  u BETWEEN 0 AND 9 AND v BETWEEN 0 AND 7 AND (v < 2 OR u % 4 < 2) AS c FROM supplier, range(-8, 24) a(i), range(-8, 24) b(j))"""
+
+
+@query(f"WITH {FRAMES_AND_COMBS} SELECT s_suppkey, count_if(f AND c) / 4.0 AS shared, count_if(f OR c) / 4.0 AS both, count_if(f AND NOT c) / 4.0 AS frame_only, count_if(f <> c) / 4.0 AS either FROM halves GROUP BY s_suppkey")
+def polygon_overlay(spark, sf_dir):
+    """Intersection, union and differences of concave polygons with holes that share edges and corners (GEO-09)."""
+    rows = _frames_and_combs(spark, sf_dir)
+    size = lambda operation: F.round(overlay.total_area(overlay.overlaid(F.col("frame"), F.col("comb"), operation)), 6)
+    return rows.select("s_suppkey", size("intersection").alias("shared"), size("union").alias("both"), size("difference").alias("frame_only"), size("symmetric_difference").alias("either"))
+
+
+@query(f"WITH {FRAMES_AND_COMBS} SELECT s_suppkey, s_suppkey AS b_id, count_if(f AND c) / 4.0 AS overlap FROM halves GROUP BY s_suppkey HAVING overlap > 0")
+def concave_overlaps(spark, sf_dir):
+    """Shares of concave polygons with holes that meet by cell (JN-16, BLD-04)."""
+    rows = _frames_and_combs(spark, sf_dir)
+    out = buildings.overlaps(rows.select("s_suppkey", F.col("frame").alias("geom")), rows.select("s_suppkey", F.col("comb").alias("geom")), "s_suppkey", "s_suppkey", 4.0)
+    return out.where("a_id = b_id").select(F.col("a_id").alias("s_suppkey"), "b_id", F.round("overlap", 6).alias("overlap"))
+
+
+SQUARES = f"""c0 AS (SELECT c_custkey, c_nationkey, c_custkey % 3 AS kind, {XY.format(k="c_custkey")} FROM customer),
+c AS (SELECT c_custkey, c_nationkey, kind, round(x * 2)::BIGINT AS i, round(y * 2)::BIGINT AS j FROM c0)"""
+
+
+def _squares(spark, sf_dir):
+    """Squares of three halves around the coordinates of customers, in halves."""
+    c = coordinates(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey")
+    return c.select(F.col("c_custkey").alias("id"), "c_nationkey", (F.col("c_custkey") % 3).alias("kind"), F.array(_box(F.round(F.col("x") * 2) / 2, F.round(F.col("y") * 2) / 2, 1.5, 1.5)).alias("geom"))
+
+
+@query(f"""WITH {SQUARES}, q AS (SELECT DISTINCT c_nationkey, i + u AS i, j + v AS j FROM c, range(3) a(u), range(3) b(v)),
+g AS (SELECT c_nationkey, i, j, EXISTS (FROM q p WHERE p.c_nationkey = q.c_nationkey AND p.i = q.i + 1 AND p.j = q.j) AS e, EXISTS (FROM q p WHERE p.c_nationkey = q.c_nationkey AND p.i = q.i AND p.j = q.j + 1) AS n FROM q)
+SELECT c_nationkey, count(*) / 4.0 AS area, (4 * count(*) - 2 * count_if(e) - 2 * count_if(n)) / 2.0 AS outline FROM g GROUP BY c_nationkey""")
+def dissolved_areas(spark, sf_dir):
+    """Squares of a nation as one shape: its area and the length of its outlines (AG-14, GEO-09)."""
+    out = buildings.dissolved(_squares(spark, sf_dir), "c_nationkey", 2.0)
+    outline = F.aggregate(F.flatten("geom"), F.lit(0.0), lambda t, r: t + geo.length(r))
+    return out.select("c_nationkey", F.round(overlay.total_area(F.col("geom")), 6).alias("area"), F.round(outline, 6).alias("outline"))
+
+
+@query(f"""WITH {SQUARES}, s AS (SELECT s_suppkey, round(({{x}}) * 2)::BIGINT AS a, round(({{y}}) * 2)::BIGINT AS b FROM supplier),
+m AS (SELECT DISTINCT s_suppkey, kind, c.i + u AS i, c.j + v AS j FROM s, c, range(3) p(u), range(3) q(v) WHERE c.i + u - a BETWEEN 0 AND 1 AND c.j + v - b BETWEEN 0 AND 1)
+SELECT s_suppkey, kind, count(*) / 4.0 AS overlap FROM m GROUP BY s_suppkey, kind""".replace("{x}", XY.format(k="s_suppkey").split(" AS x")[0]).replace("{y}", XY.format(k="s_suppkey").split("AS x, ")[1].split(" AS y")[0]))
+def covered_by_category(spark, sf_dir):
+    """Area of each square that the squares of a category cover together, counted once (BLD-09, JN-16)."""
+    s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")
+    own = s.select("s_suppkey", F.array(_box(F.round(F.col("x") * 2) / 2, F.round(F.col("y") * 2) / 2, 1.0, 1.0)).alias("geom"))
+    out = buildings.covered(own, _squares(spark, sf_dir), "s_suppkey", "kind", 2.0)
+    return out.select("s_suppkey", "kind", F.round("overlap", 6).alias("overlap"))
+
+
+@query("""
+WITH s AS (SELECT s_suppkey, 0.25 + s_suppkey % 4 / 4.0 AS d FROM supplier)
+SELECT s_suppkey, round(12 + 14 * d + 16 * sin(pi() / 16) * d * d, 6) AS block, round(8 + 14 * d + 1.25 * 16 * sin(pi() / 16) * d * d - d * d, 6) AS corner FROM s
+""")
+def buffered_polygons(spark, sf_dir):
+    """Surroundings of a rectangle and of a concave corner, with round corners of eight chords a quarter (GEO-09, GTF-14)."""
+    s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").withColumn("d", 0.25 + F.col("s_suppkey") % 4 / 4.0)
+    x, y = F.col("x"), F.col("y")
+    corner = F.array(*[geo.point(x + u, y + v) for u, v in ((0, 0), (4, 0), (4, 1), (1.333333333333333333, 1), (1.333333333333333333, 3), (0, 3), (0, 0))])
+    size = lambda shape: F.round(overlay.total_area(overlay.buffered(shape, F.col("d"))), 6)
+    return s.select("s_suppkey", size(F.array(_box(x, y, 4, 3))).alias("block"), F.round(overlay.total_area(overlay.buffered(F.array(corner), F.col("d"))) - geo.ring_area(corner) + 8, 6).alias("corner"))
+
+
+@query("""
+WITH s AS (SELECT s_suppkey, 0.25 + s_suppkey % 4 / 4.0 AS gap FROM supplier)
+SELECT s_suppkey, round(CASE WHEN gap <= 0.5 THEN 2 * gap ELSE 2 * 0.5 END, 6) AS gained FROM s
+""")
+def snapped_polygons(spark, sf_dir):
+    """How far squares grow across a gap towards a wall that surrounds them on the other sides (UTL-03)."""
+    s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").withColumn("gap", 0.25 + F.col("s_suppkey") % 4 / 4.0)
+    x, y, gap = F.col("x"), F.col("y"), F.col("gap")
+    wall = F.array(_box(x - 3, y - 3, gap + 8, F.lit(8.0)), _box(x, y, gap + 2, F.lit(2.0)))
+    own = F.array(_box(x, y, F.lit(2.0), F.lit(2.0)))
+    grown = overlay.snapped(own, wall, 0.5, 0.01)
+    return s.select("s_suppkey", F.round(overlay.total_area(grown) - 4, 6).alias("gained"))
 
 
 @query(f"""

@@ -130,32 +130,6 @@ def in_polygon(p: Column, polygon: Column) -> Column:
     return edge | (F.aggregate(polygon, F.lit(0), lambda t, ring: t + _crossings(p, ring)) % 2 == 1)
 
 
-def _turn(a: Column, b: Column, c: Column) -> Column:
-    return F.signum((b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"]))
-
-
-def legs_meet(s: Column, t: Column) -> Column:
-    """Whether two legs share a point, ends included."""
-    box = lambda v: F.struct(F.least(v["a"]["x"], v["b"]["x"]).alias("xmin"), F.least(v["a"]["y"], v["b"]["y"]).alias("ymin"), F.greatest(v["a"]["x"], v["b"]["x"]).alias("xmax"), F.greatest(v["a"]["y"], v["b"]["y"]).alias("ymax"))
-    across = lambda v, w: _turn(v["a"], v["b"], w["a"]) * _turn(v["a"], v["b"], w["b"]) <= 0
-    return envelopes_meet(box(s), box(t)) & across(s, t) & across(t, s)
-
-
-def _edges_meet(line: Column, polygon: Column) -> Column:
-    return F.exists(legs(line), lambda s: F.exists(polygon, lambda ring: F.exists(legs(ring), lambda t: legs_meet(s, t))))
-
-
-def line_meets_polygon(line: Column, polygon: Column) -> Column:
-    """Whether a line and a polygon share a point: a first point inside, or a leg that meets a ring."""
-    return in_polygon(F.get(line, F.lit(0)), polygon) | _edges_meet(line, polygon)
-
-
-def polygons_meet(a: Column, b: Column) -> Column:
-    """Whether two polygons share a point; a polygon in a hole of the other doesn't meet it. Cheap conditions come first."""
-    outer, first = F.get(a, F.lit(0)), lambda g: F.get(F.get(g, F.lit(0)), F.lit(0))
-    return in_polygon(first(a), b) | in_polygon(first(b), a) | _edges_meet(outer, b)
-
-
 def moved(p: Column, far: Column, azimuth: Column) -> Column:
     """A point moved by a planar distance in the direction of an azimuth in radians, clockwise from north."""
     return point(p["x"] + far * F.sin(azimuth), p["y"] + far * F.cos(azimuth))

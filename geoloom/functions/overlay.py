@@ -262,12 +262,12 @@ def split_at(values: list, lengths: pa.Array) -> list[list]:
     return [values[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def shapes_of(column: pa.Array) -> list[list[Ring] | None]:
-    """Each polygon of a column as its rings without their repeated last point; None for null."""
+def shapes_of(column: pa.Array, closed: bool = False) -> list[list[Ring] | None]:
+    """Each polygon of a column as its rings, without their repeated last point unless `closed`; None for null."""
     rings = column.flatten()
     points = rings.flatten()
     places = list(zip(*(points.field(c).to_pylist() for c in ("x", "y")), strict=True)) if len(points) else []
-    runs = [r[:-1] if len(r) > 1 and r[0] == r[-1] else r for r in split_at(places, rings.value_lengths())]
+    runs = [r[:-1] if not closed and len(r) > 1 and r[0] == r[-1] else r for r in split_at(places, rings.value_lengths())]
     return [x if known else None for x, known in zip(split_at(runs, column.value_lengths()), column.is_valid().to_pylist(), strict=True)]
 
 

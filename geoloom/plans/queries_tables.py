@@ -81,9 +81,7 @@ def selected_buildings(spark, sf_dir):
     x, y = F.col("x"), F.col("y")
     ring = F.array(geo.point(x, y), geo.point(x + 60, y), geo.point(x + 60, y + 60), geo.point(x, y + 60), geo.point(x, y))
     rows, areas = c.select(F.col("c_custkey").alias("id"), F.array(ring).alias("geom")), _areas(spark, sf_dir)
-    held = selection.selected("building", rows, areas, 250.0).select(F.col("id").alias("held_id"))
-    met = selection.selected("aoi", rows, areas, 250.0)
-    return met.join(held, F.col("id") == F.col("held_id"), "left").select("id", F.col("held_id").isNotNull().alias("central"))
+    return selection.meeting(rows, areas, "id", 250.0).select(F.col("row_id").alias("id"), F.col("held").alias("central"))
 
 
 @query("""

@@ -94,3 +94,33 @@ def test_small_readers():
     xml = '<g:Dictionary xmlns:g="http://www.opengis.net/gml">' + entry.format("31001_1000", "house") + entry.format("31001_2000", "barn") + "</g:Dictionary>"
     assert readers.code_list(xml) == {"31001_1000": "house", "31001_2000": "barn"}
     assert readers.links_left(["a", "b", "c"], [["b"], ["x"]]) == ["a", "c"]
+
+
+def test_meeting_equals_the_geometry_library(spark):
+    """Concave rows and areas with holes; pairs are dealt in a given number of partitions, which isn't made less."""
+    import math
+    import random
+
+    rng = random.Random(8)
+    ring = lambda x, y, low, high, n: [(x + r * math.cos(2 * math.pi * i / n), y + r * math.sin(2 * math.pi * i / n)) for i in range(n) for r in (rng.uniform(low, high),)]
+    close = lambda r: [*r, r[0]]
+    areas = [(k, [close(ring(x, y, 2, 4, 14)), close(ring(x, y, 0.8, 1.5, 9))]) for k in range(12) for x, y in ((rng.uniform(0, 20), rng.uniform(0, 20)),)]
+    shapes = [(k, [close(ring(rng.uniform(0, 20), rng.uniform(0, 20), 0.2, 0.6, 8))]) for k in range(300)]
+    kind = "id int, geom array<array<struct<x:double,y:double>>>"
+    rows, study = spark.createDataFrame([*shapes, (900, None), (901, [])], kind), spark.createDataFrame([*areas, (99, None)], kind)
+    out = selection.meeting(rows, study, "id", 3.0)
+    plan = out._jdf.queryExecution().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    read = spark._jvm.org.locationtech.jts.io.WKTReader().read
+    text = lambda g: read("POLYGON(" + ",".join("(" + ",".join(f"{x!r} {y!r}" for x, y in r) + ")" for r in g) + ")")
+    known = [text(g) for _, g in areas]
+    wanted = {}
+    for k, g in shapes:
+        own = text(g)
+        met = [a for a in known if a.intersects(own)]
+        if met:
+            wanted[k] = any(a.contains(own.getCentroid()) for a in met)
+    assert {r.row_id: r.held for r in out.collect()} == wanted
+    lines = spark.createDataFrame([(k, g[0][:5]) for k, g in shapes], "id int, geom array<struct<x:double,y:double>>")
+    met = {k for k, g in shapes for own in (read("LINESTRING(" + ",".join(f"{x!r} {y!r}" for x, y in g[0][:5]) + ")"),) if any(a.intersects(own) for a in known)}
+    assert {r.id for r in selection.selected("edge", lines, study, 3.0).collect()} == met

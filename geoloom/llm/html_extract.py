@@ -1,8 +1,9 @@
 """Main text of web pages by differencing each with its nearest page by URL path within its host.
 
 Pages go in order of (host, path, id); each is aligned, line by line, with whichever neighbour of its host shares more
-of the path, and lines of a longest common subsequence are the site's own and go. A neighbour with the very same lines
-tells nothing of what is the site's, and is no partner, nor does one that differs in a few lines only. Two things alignment can't know are decided by markup: lines
+of the path, and lines of a longest common subsequence are the site's own and go. A neighbour that has nearly all of the
+page's lines may be a copy of it, or another page of a site whose frame is most of every page: of what such a neighbour
+shares, only lines go that over two thirds of the host's different pages have. Two things alignment can't know are decided by markup: lines
 inside an article stay even if a copy of the page shares them, and menus, headers, footers, adverts and the like go even
 where they change from page to page. On a page with an article markup decides all lines, and alignment isn't computed:
 what neighbouring articles share is text that both of them quote.
@@ -10,6 +11,7 @@ what neighbouring articles share is text that both of them quote.
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
@@ -22,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.shared import hash_sample, id_or_none, known_id
+from geoloom.llm.shared import NO_ID, hash_sample, id_or_none, known_id
 
 OPEN, MAIN, FRAME = 0, 1, 2
 #: Elements whose content is no text of the page.
@@ -43,8 +45,13 @@ SPACES = re.compile(r"\s+")
 WORDS = re.compile(r"[a-z]+")
 #: Pages sampled per bucket to place the buckets' bounds.
 SAMPLE = 32
-#: Pages whose undecided lines are alike in over this share are copies of each other, and no partners.
-COPY = 0.8
+#: Pages whose undecided lines are alike in over this share may be copies of each other; what they share is then the
+#: site's only where over two thirds of the host's different pages have it, and the host has so many at least.
+COPY, LEAST_PAGES = 0.8, 3
+#: Markup of pages with an article, which are decided without alignment.
+ARTICLE = r"(?i)<(article|main)\b|\brole\s*=\s*[\"']?(article|main)\b"
+#: Rows of a bucket: pages, pages of the neighbouring bucket, and the site's lines of a host.
+PAGE, GUEST, SITE = 0, 1, 2
 #: A line of which two pages have more pairs than this is shared as often as both have it, wherever it stands.
 MOST_PAIRS = 4096
 
@@ -194,11 +201,16 @@ def common(a: list[str], b: list[str]) -> set[int]:
     return found
 
 
-def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | None) -> str:
-    """With an article, the article; else the lines that the partner doesn't share and markup doesn't rule out."""
+def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | None, site: set[int] | None = None) -> str:
+    """With an article, the article; else the lines that the partner doesn't share and markup doesn't rule out.
+
+    What a partner shares that may be a copy goes only as far as the site's lines, by their hashes, have it.
+    """
     if any(z == MAIN for _, z in lines):
         return "\n".join(x for x, z in lines if z == MAIN)
     shared = common([x for x, _ in lines], [x for x, _ in partner]) if partner else set()
+    if partner and copies(open_lines(lines), open_lines(partner)):
+        shared = {i for i in shared if line_hash(lines[i][0]) in (site or ())}
     return "\n".join(x for i, (x, z) in enumerate(lines) if z == OPEN and i not in shared)
 
 
@@ -213,6 +225,43 @@ def copies(a: list[str], b: list[str]) -> bool:
     return both >= COPY * max(len(a), len(b))
 
 
+def line_hash(line: str) -> int:
+    """64 bits of a line."""
+    return int.from_bytes(hashlib.blake2b(line.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def outlines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(host, page, hashes) of each page: the undecided lines as a set of hashes, and one hash of them in order."""
+    for pages in batches:
+        rows = []
+        for url, page in zip(pages["url"], pages["html"], strict=True):
+            own = open_lines(lines_of(page)) if isinstance(page, str) else []
+            rows.append((place(url if isinstance(url, str) else None)[0], line_hash("\n".join(own)), sorted({line_hash(x) for x in own})))
+        yield pd.DataFrame(rows, columns=["host", "page", "hashes"])
+
+
+def site_lines(pages: DataFrame) -> DataFrame:
+    """(host, hashes) of the lines that over two thirds of a host's different pages without an article have, of LEAST_PAGES such
+    pages or more. Equal pages count once. A host has at most 1.5 times as many of these lines as its pages have on average."""
+    open_pages = pages.where(F.col("html").isNotNull() & ~F.col("html").rlike(ARTICLE)).select("url", "html")
+    different = open_pages.mapInPandas(outlines, "host string, page long, hashes array<long>").dropDuplicates(["host", "page"])
+    totals = different.groupBy("host").agg(F.count(F.lit(1)).alias("total")).where(F.col("total") >= LEAST_PAGES).select(F.col("host").alias("of"), "total")
+    counts = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return counts.join(totals, F.col("host") == F.col("of")).where("3 * n > 2 * total").groupBy("host").agg(F.collect_list("hash").alias("hashes"))
+
+
+def laid_out(batches: Iterator[pd.DataFrame], bounds: list[tuple]) -> Iterator[pd.DataFrame]:
+    """A host's lines as rows for every bucket that may hold one of its pages, ahead of them."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for hosts in batches:
+        rows = []
+        for host, hashes in zip(hosts["host"], hosts["hashes"], strict=True):
+            packed = packer.compress(json.dumps([int(x) for x in hashes]).encode())
+            first, last = bisect_right(bounds, (host, "", NO_ID)), bisect_right(bounds, (host + "\0", "", NO_ID))
+            rows += [(b, host, "", NO_ID, None, packed, SITE) for b in range(first, last + 1)]
+        yield pd.DataFrame(rows, columns=["bucket", "host", "path", "page_id", "url", "packed", "kind"])
+
+
 def place(url: str | None) -> tuple[str, str]:
     """(host, path) of a URL, lower-case host, without query and fragment."""
     rest = (url or "").split("://", 1)[-1]
@@ -256,9 +305,9 @@ def dealt(batches: Iterator[pd.DataFrame], bounds: list[tuple], guests: dict[tup
             lines = lines_of(page) if isinstance(page, str) else []
             packed = packer.compress(json.dumps(lines, ensure_ascii=False).encode("utf-8", "replace"))
             url = url if isinstance(url, str) else None
-            rows.append((bisect_right(bounds, key), *key, url, packed, False))
-            rows += [(b, *key, None, packed, True) for b in guests.get(key, ())]
-        yield pd.DataFrame(rows, columns=["bucket", "host", "path", "page_id", "url", "packed", "guest"])
+            rows.append((bisect_right(bounds, key), *key, url, packed, PAGE))
+            rows += [(b, *key, None, packed, GUEST) for b in guests.get(key, ())]
+        yield pd.DataFrame(rows, columns=["bucket", "host", "path", "page_id", "url", "packed", "kind"])
 
 
 def differenced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -266,29 +315,34 @@ def differenced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     opener = zstandard.ZstdDecompressor()
 
     def rows() -> Iterator[tuple]:
+        site, of = set(), None
         for pages in batches:
             for r in pages.itertuples(index=False):
-                yield r.bucket, r.host, r.path, r.page_id, r.url, json.loads(opener.decompress(bytes(r.packed))), r.guest
+                held = json.loads(opener.decompress(bytes(r.packed)))
+                if r.kind == SITE:
+                    site, of = set(held), (r.bucket, r.host)
+                else:
+                    yield r.bucket, r.host, r.path, r.page_id, r.url, held, r.kind, site if of == (r.bucket, r.host) else None
 
     def result(before: tuple | None, now: tuple, after: tuple | None) -> tuple:
-        own = open_lines(now[5])
         if any(z == MAIN for _, z in now[5]):
             before = after = None
-        near = [x for x in (before, after) if x is not None and x[0] == now[0] and x[1] == now[1] and not copies(open_lines(x[5]), own)]
-        partner = max(near, key=lambda x: likeness(x[2], now[2]), default=None)
-        text = main_text(now[5], partner[5] if partner else None)
+        # Of two neighbours one that can't be a copy is a better partner, whatever its path.
+        near = [(not copies(open_lines(x[5]), open_lines(now[5])), likeness(x[2], now[2]), x) for x in (before, after) if x is not None and x[0] == now[0] and x[1] == now[1]]
+        partner = max(near, key=lambda x: x[:2], default=(None, None, None))[2]
+        text = main_text(now[5], partner[5] if partner else None, now[7])
         return now[3], now[4] if isinstance(now[4], str) else None, text, len(text)
 
     names, out = ["page_id", "url", "text", "n_chars"], []
     before = now = None
     for after in rows():
-        if now is not None and not now[6]:
+        if now is not None and now[6] == PAGE:
             out.append(result(before, now, after))
         before, now = now, after
         if len(out) >= 500:
             yield pd.DataFrame(out, columns=names)
             out = []
-    if now is not None and not now[6]:
+    if now is not None and now[6] == PAGE:
         out.append(result(before, now, None))
     yield pd.DataFrame(out, columns=names)
 
@@ -300,7 +354,9 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     a host with a third of all pages is many buckets; the pages next to a bound (two per bucket, from an aggregate over
     keys alone) go to both sides as guests, which makes every page's neighbours the same whatever the bounds. One
     shuffle of packed lines. Null html is an empty page; null urls share an empty host; a page alone on its host is
-    aligned with nothing, and so is one between two (near) copies of itself, which keeps its lines; an empty table gives an empty one.
+    aligned with nothing. Copies of a page don't blank it: beside a neighbour that has over COPY of its lines, only lines of
+    over two thirds of the host's different pages go, and none if there are fewer than LEAST_PAGES of them. An empty table gives
+    an empty one.
     """
     spark = pages.sparkSession
     own = pages.select(id_or_none(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"))
@@ -319,6 +375,8 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     for a, b in zip(order, order[1:], strict=False):
         guests.setdefault(ends[a][1], []).append(b)
         guests.setdefault(ends[b][0], []).append(a)
-    rows = own.mapInPandas(lambda b: dealt(b, bounds, guests), "bucket long, host string, path string, page_id long, url string, packed binary, guest boolean")
-    laid = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "host", "path", "page_id", "guest")
+    kind = "bucket long, host string, path string, page_id long, url string, packed binary, kind int"
+    rows = own.mapInPandas(lambda b: dealt(b, bounds, guests), kind)
+    rows = rows.unionAll(site_lines(own).mapInPandas(lambda b: laid_out(b, bounds), kind))
+    laid = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "host", "path", "page_id", "kind")
     return laid.mapInPandas(differenced, "page_id long, url string, text string, n_chars long").withColumn("page_id", known_id("page_id"))

@@ -66,7 +66,7 @@ def op9_mix_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     sized = written(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size")), "sizes")
     out = mixing.with_copies(sized)
-    return out.select("doc_id", "size", "source", F.col("mix.source_size").alias("source_size"), F.col("mix.target").alias("target"), (F.col("mix.copies") * F.col("size")).alias("taken"))
+    return out.select("doc_id", "size", F.col("mix.source_size").alias("source_size"), F.col("mix.target").alias("target"), (F.col("mix.copies") * F.col("size")).alias("taken"), "source")
 
 
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

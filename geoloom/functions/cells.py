@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -42,3 +44,20 @@ def grid_cover(box: Column, size: float) -> Column:
     xs = F.sequence(F.floor(box["xmin"] / size), F.floor(box["xmax"] / size))
     ys = F.sequence(F.floor(box["ymin"] / size), F.floor(box["ymax"] / size))
     return F.flatten(F.transform(xs, lambda cx: F.transform(ys, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
+
+
+def hilbert_key(x: Column, y: Column, box: Mapping[str, float], bits: int = 16) -> Column:
+    """Place of a point along a Hilbert curve through a box (xmin, ymin, xmax, ymax) of 2**bits squares a side: points with
+    near keys are near each other. Points outside the box count as the nearest ones inside; null for a null coordinate."""
+    n = 1 << bits
+    grid = lambda v, low, high: F.greatest(F.lit(0), F.least(F.lit(n - 1), F.floor((v - low) / ((high - low) or 1.0) * n))).cast("long")
+    start = F.struct(grid(x, box["xmin"], box["xmax"]).alias("x"), grid(y, box["ymin"], box["ymax"]).alias("y"), F.lit(0).cast("long").alias("d"))
+
+    def step(at: Column, s: Column) -> Column:
+        rx, ry = F.when(at["x"].bitwiseAND(s) > 0, 1).otherwise(0), F.when(at["y"].bitwiseAND(s) > 0, 1).otherwise(0)
+        flip = lambda v: F.when((ry == 0) & (rx == 1), n - 1 - v).otherwise(v)
+        turned = lambda v, w: F.when(ry == 0, flip(w)).otherwise(v)
+        return F.struct(turned(at["x"], at["y"]).alias("x"), turned(at["y"], at["x"]).alias("y"), (at["d"] + s * s * (rx * 3).bitwiseXOR(ry)).cast("long").alias("d"))
+
+    sides = F.array(*[F.lit(1 << b).cast("long") for b in reversed(range(bits))])
+    return F.when(x.isNotNull() & y.isNotNull(), F.aggregate(sides, start, step)["d"])

@@ -37,6 +37,11 @@ def first_of_json_array(text: Column) -> Column:
     return F.nullif(F.trim(F.get(F.from_json(text, "array<string>"), F.lit(0))), F.lit(""))
 
 
+def json_keys(text: Column) -> Column:
+    """Keys of a JSON object in their order; null for what is no object."""
+    return F.json_object_keys(text)
+
+
 def json_ints(text: Column) -> Column:
     """A JSON array as array<int>."""
     return F.from_json(text, "array<int>")

@@ -328,6 +328,104 @@ def buffered(polygon: Column, far: Column | float, arcs: int = 8) -> Column:
     return run(polygon, (far if isinstance(far, Column) else F.lit(float(far))).cast("double"))
 
 
+def nearest_parts(seeds: list[tuple[float, float]], box: Ring) -> list[Ring]:
+    """For each seed the part of a convex ring that is nearer to it than to any other; of equal seeds the first has it.
+
+    Other seeds come in order of distance; one that is more than twice as far as the part's farthest corner cuts nothing.
+    """
+    place = np.array(seeds, dtype=float).reshape(-1, 2)
+    parts = []
+    for i, (x, y) in enumerate(place):
+        ring = box
+        far = np.hypot(place[:, 0] - x, place[:, 1] - y)
+        for j in np.argsort(far, kind="stable"):
+            if j == i or not ring:
+                continue
+            if far[j] == 0:
+                ring = ring if i < j else []
+                continue
+            if far[j] > 2 * max(np.hypot(p[0] - x, p[1] - y) for p in ring):
+                break
+            nx, ny = (place[j] - place[i]) / far[j]
+            side = [(p[0] - x) * nx + (p[1] - y) * ny - far[j] / 2 for p in ring]
+            cut: Ring = []
+            for p, q, s, t in zip(ring, ring[1:] + ring[:1], side, side[1:] + side[:1], strict=True):
+                if s <= 0:
+                    cut.append(p)
+                if s * t < 0:
+                    cut.append((float(p[0] + (q[0] - p[0]) * s / (s - t)), float(p[1] + (q[1] - p[1]) * s / (s - t))))
+            ring = cut if len(cut) > 2 else []
+        parts.append(ring)
+    return parts
+
+
+def voronoi(seeds: Column, outline: Column) -> Column:
+    """For each of an array of points the polygons of an outline's part that is nearest to it; null for a null outline.
+
+    Parts cover the outline and share no area. One row holds one outline with its seeds; their number is meant to be small.
+    """
+
+    @F.arrow_udf(f"array<{MULTI}>")
+    def run(places: pa.Array, shapes: pa.Array) -> pa.Array:
+        out = []
+        for points, rings in zip(places.to_pylist(), shapes_of(shapes), strict=True):
+            corners = [p for r in rings or [] for p in r]
+            found = [[] for _ in points or []]
+            if corners and points:
+                (x0, y0), (x1, y1) = np.min(corners, axis=0), np.max(corners, axis=0)
+                box = [(float(x0), float(y0)), (float(x1), float(y0)), (float(x1), float(y1)), (float(x0), float(y1))]
+                found = [overlay(rings, [part]) if part else [] for part in nearest_parts([(p["x"], p["y"]) for p in points], box)]
+            out.append(None if rings is None or points is None else [as_value(x) for x in found])
+        return pa.array(out, pa.list_(MULTI_TYPE))
+
+    return run(seeds, outline)
+
+
+def strips(rings: list[Ring]) -> np.ndarray:
+    """Trapezoids (y, left, right, y, left, right) that make up a shape, between the heights of its corners."""
+    edges = _edges(rings)
+    edges = edges[edges[:, 1] != edges[:, 3]]
+    heights = np.unique(edges[:, [1, 3]])
+    out = []
+    for low, high in zip(heights, heights[1:], strict=False):
+        own = edges[(np.minimum(edges[:, 1], edges[:, 3]) <= low) & (np.maximum(edges[:, 1], edges[:, 3]) >= high)]
+        at = lambda y, e=own: e[:, 0] + (e[:, 2] - e[:, 0]) * ((y - e[:, 1]) / (e[:, 3] - e[:, 1]))
+        order = np.argsort(at((low + high) / 2), kind="stable")
+        bottom, top = at(low)[order], at(high)[order]
+        out += [(low, bottom[i], bottom[i + 1], high, top[i], top[i + 1]) for i in range(0, len(order) - 1, 2)]
+    return np.array(out, dtype=float).reshape(-1, 6)
+
+
+def scattered(rings: list[Ring], n: int, seed: int) -> list[tuple[float, float]]:
+    """n points spread evenly at random over a shape, the same for a seed; none for a shape without an area."""
+    t = strips(rings)
+    width0, width1 = t[:, 2] - t[:, 1], t[:, 5] - t[:, 4]
+    size = (width0 + width1) / 2 * (t[:, 3] - t[:, 0])
+    if n <= 0 or not size.sum() > 0:
+        return []
+    rng = np.random.default_rng(seed)
+    k = rng.choice(len(t), n, p=size / size.sum())
+    u, v = rng.random(n), rng.random(n)
+    # The share of height below which a share u of a trapezoid's area lies.
+    a, b = width0[k], width1[k] - width0[k]
+    level = np.where(np.abs(b) < 1e-12 * np.maximum(a, 1e-300), u, (np.sqrt(np.maximum(a * a + u * b * (2 * a + b), 0)) - a) / np.where(b == 0, 1, b))
+    y = t[k, 0] + level * (t[k, 3] - t[k, 0])
+    left = t[k, 1] + level * (t[k, 4] - t[k, 1])
+    x = left + v * (a + level * b)
+    return list(zip(x.tolist(), y.tolist(), strict=True))
+
+
+def generated_points(polygon: Column, n: Column, seed: Column) -> Column:
+    """n points spread evenly at random over a polygon, the same for a seed; null for a null polygon or number."""
+
+    @F.arrow_udf("array<struct<x:double,y:double>>")
+    def run(shapes: pa.Array, numbers: pa.Array, seeds: pa.Array) -> pa.Array:
+        found = [None if x is None or k is None else [{"x": a, "y": b} for a, b in scattered(x, k, abs(s or 0))] for x, k, s in zip(shapes_of(shapes), numbers.to_pylist(), seeds.to_pylist(), strict=True)]
+        return pa.array(found, pa.list_(POINT_TYPE))
+
+    return run(polygon, n.cast("int"), seed.cast("long"))
+
+
 def union_of(shapes: Column) -> Column:
     """The polygons of the union of an array of shapes; null members are left out."""
 

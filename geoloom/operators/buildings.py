@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.functions import text as ft
-from geoloom.functions.cells import grid_cover
-from geoloom.functions.geometry import envelope, envelopes_meet
-from geoloom.functions.overlay import POLYGON_TYPE, Ring, as_value, clipped, is_convex, overlaid, overlay, ring_size, rings_of, shape_area, shapes_of, total_area, union_of, without_small
-from geoloom.operators.relational import allocated
+from geoloom.functions.cells import grid_cover, hilbert_key
+from geoloom.functions.geometry import envelope, envelopes_meet, point
+from geoloom.functions.overlay import POLYGON_TYPE, Ring, as_value, buffered, clipped, is_convex, overlaid, overlay, ring_size, rings_of, shape_area, shapes_of, total_area, union_of, voronoi, without_small
+from geoloom.functions.text import free_name
+from geoloom.operators.relational import allocated, numbered
 
 
 @dataclass(frozen=True)
@@ -228,13 +229,37 @@ def per_inhabitants(areas: DataFrame, counts: DataFrame, key: str, area: str = "
     return joined.withColumns({"density": F.try_divide(F.col("n").cast("double"), F.col(area)), "per_10k": F.try_divide(F.col("n") * F.lit(10000.0), F.col(population))})
 
 
-def equal_areas(points: DataFrame, k: int, seed: int = 1) -> DataFrame:
-    """Points in k groups of nearby ones (k-means over x and y), as `unit`."""
+def equal_areas(points: DataFrame, k: int, key: str, unit: str = "unit") -> DataFrame:
+    """Points in k groups of nearby ones, as equal in size as they can be: runs of the order along a Hilbert curve.
+
+    k-means leaves sizes to chance; where points stand evenly over an area, equal numbers are equal areas. Points are
+    numbered by range partitions, so no task orders them all. Ties go by x, y and `key`; points without coordinates are
+    left out; with fewer points than groups some groups are empty.
+    """
+    rows = points.where("x is not null and y is not null")
+    about = rows.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{c}{n}") for c in "xy" for n, f in (("min", F.min), ("max", F.max))]).first()
+    if not about.n:
+        return rows.withColumn(unit, F.lit(None).cast("int"))
+    place, order = (free_name(rows.columns, x) for x in ("curve_place", "curve_number"))
+    keyed = rows.withColumn(place, hilbert_key(F.col("x"), F.col("y"), {c: about[c] for c in ("xmin", "ymin", "xmax", "ymax")}))
+    counted = numbered(keyed, [place, "x", "y", key], order, 0)
+    return counted.withColumn(unit, F.floor(F.col(order) * k / F.lit(about.n)).cast("int")).drop(place, order)
+
+
+def designed_regions(points: DataFrame, outline: DataFrame, k: int, far: float, seed: int = 1, geom: str = "geom") -> DataFrame:
+    """(region, geom, buffer_geom): an outline in k parts around the centres of its points, and each part's surroundings.
+
+    Points (x, y) go to k groups by k-means; parts hold the places nearest to each group's centre. The k centres are one
+    row; only points are many.
+    """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    rows = VectorAssembler(inputCols=["x", "y"], outputCol="xy").transform(points)
-    return KMeans(k=k, seed=seed, featuresCol="xy", predictionCol="unit").fit(rows).transform(rows).drop("xy")
+    rows = VectorAssembler(inputCols=["x", "y"], outputCol="xy").transform(points.select("x", "y").where("x is not null and y is not null"))
+    centres = sorted(tuple(map(float, c)) for c in KMeans(k=k, seed=seed, featuresCol="xy").fit(rows).clusterCenters())
+    seeds = F.array(*[point(F.lit(x), F.lit(y)) for x, y in centres])
+    cells = outline.select(F.posexplode(voronoi(seeds, F.col(geom))).alias("region", geom)).where(F.size(geom) > 0)
+    return cells.select("region", geom, buffered(rings_of(F.col(geom)), far).alias("buffer_geom"))
 
 
 def grid_units(rows: DataFrame, size: float = 5000.0) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions import text as ft
@@ -13,6 +13,7 @@ from geoloom.functions.lines import grid_pieces, points_at
 from geoloom.operators.lineage import checkpointed, forget
 from geoloom.operators.relational import numbered, rebased, running_total
 from geoloom.operators.spatial_joins import idw
+from geoloom.sources.writers import rewrite_partitions
 
 #: Effort added per percent of slope up and down; slopes beyond the limit count as these fixed efforts.
 UP_EFFORT, DOWN_EFFORT, SLOPE_LIMIT, STEEP_UP, STEEP_DOWN = 0.0430815, 0.0363248, 9, 3.0, 0.65
@@ -49,6 +50,18 @@ def slope_profile(segments: DataFrame, pixels: DataFrame, radius: float, key: st
     return done.withColumns({"impedance_slope": F.col("profile.up"), "impedance_slope_reverse": F.col("profile.down"), "slope_average": F.col("profile.average")}).drop("profile", "profile_key")
 
 
+def recomputed_slopes(spark: SparkSession, path: str, pixels: DataFrame, radius: float, cells: Sequence[int], cell: str = "cell", key: str = "id") -> None:
+    """Slopes of the segments of some cells worked out again, in a table partitioned by cell.
+
+    Only the partitions of those cells are read and replaced; doing it again changes nothing. A cell without segments is
+    left alone. Each partition is replaced as a whole when the job ends, so a job that fails leaves the table as it was.
+    """
+    own = spark.read.parquet(path)
+    order = own.columns
+    wanted = own.where(F.col(cell).isin(list(cells))).drop("impedance_slope", "impedance_slope_reverse", "slope_average")
+    rewrite_partitions(slope_profile(wanted, pixels, radius, key=key).select(*order), path, [cell])
+
+
 def with_status(rows: DataFrame, valid: Column, results: Sequence[str], status: str = "preparation_status") -> DataFrame:
     """Rows with status p, or e and no results where they aren't valid: one bad row takes no other along."""
     fine = F.coalesce(valid, F.lit(False))

@@ -49,10 +49,15 @@ def service_days(calendar: DataFrame, exceptions: DataFrame, dates: DataFrame, d
 
     calendar: service_id, start_date, end_date and flags weekday, saturday, sunday. exceptions: service_id, date,
     exception_type (1 added, 2 removed). A regular day counts once unless it is removed; an added day counts once more,
-    also where it was regular, unless dedupe_added. The few sampled dates are the small side of the range join.
+    also where it was regular, unless dedupe_added. Services meet dates by week, so that many services and dates make no
+    pairs but those of a week that both have.
     """
+    week = lambda day: F.floor(F.datediff(day, F.lit("1970-01-05")) / 7)
+    weeks = F.when(F.col("end_date") >= F.col("start_date"), F.sequence(week(F.col("start_date")), week(F.col("end_date"))))
+    by_week = dates.withColumn("service_week", week(F.col("date")))
     flag = F.when(F.col("day_type") == "saturday", F.col("saturday")).when(F.col("day_type") == "sunday", F.col("sunday")).otherwise(F.col("weekday"))
-    regular = calendar.join(dates, F.col("date").between(F.col("start_date"), F.col("end_date"))).where(flag.cast("int") == 1).select("service_id", "date", "day_type")
+    windows = calendar.withColumn("service_week", F.explode(weeks))
+    regular = windows.join(by_week, "service_week").where(F.col("date").between(F.col("start_date"), F.col("end_date"))).where(flag.cast("int") == 1).select("service_id", "date", "day_type")
     removed = exceptions.where("exception_type = 2").select("service_id", "date")
     regular = regular.join(removed, ["service_id", "date"], "left_anti")
     added = exceptions.where("exception_type = 1").join(dates, "date").select("service_id", "date", "day_type")

@@ -497,7 +497,7 @@ def polygon_overlaps(spark, sf_dir):
 
 @query("""
 WITH t AS (SELECT o_orderkey % 50 AS stop, o_orderkey % 12 AS kind FROM orders),
-m AS (SELECT DISTINCT stop, CASE WHEN kind IN (0, 5) THEN 'tram' WHEN kind = 1 THEN 'metro' WHEN kind = 2 THEN 'rail' WHEN kind IN (3, 11) THEN 'bus' ELSE 'other' END AS mode FROM t WHERE kind < 4 OR stop % 2 = 0)
+m AS (SELECT DISTINCT stop, CASE WHEN kind IN (0, 5) THEN 'tram' WHEN kind = 1 THEN 'metro' WHEN kind = 2 THEN 'rail' WHEN kind IN (3, 11) THEN 'bus' ELSE 'other' END AS mode FROM t)
 SELECT stop AS stop_id, array_to_string(list_sort(list(mode)), ',') AS modes,
        CASE WHEN list_contains(list(mode), 'metro') THEN 'subway_station' WHEN list_contains(list(mode), 'rail') THEN 'rail_station' WHEN list_contains(list(mode), 'tram') THEN 'tram_stop' WHEN list_contains(list(mode), 'bus') THEN 'bus_stop' ELSE 'other' END AS category,
        CASE WHEN stop % 3 = 1 THEN 'yes' WHEN stop % 3 = 2 THEN 'no' ELSE 'unknown' END AS wheelchair
@@ -505,7 +505,7 @@ FROM m WHERE stop % 10 <> 9 GROUP BY stop
 """)
 def stop_classification(spark, sf_dir):
     """Modes, category and access of stops (GTF-09, GTF-12, JN-21, JS-07)."""
-    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 50).alias("stop_id"), (F.col("o_orderkey") % 12).alias("route_type")).where("route_type < 4 or stop_id % 2 = 0").distinct()
+    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 50).alias("stop_id"), (F.col("o_orderkey") % 12).alias("route_type")).distinct()
     stops = o.select("stop_id").distinct().withColumns({"parent_station": F.lit(None).cast("long"), "location_type": F.when(F.col("stop_id") % 10 == 9, "1").otherwise("0"), "wheelchair_boarding": (F.col("stop_id") % 3).cast("string")})
     return transit.classified_stops(stops, o).select("stop_id", F.array_join("modes", ",").alias("modes"), "category", "wheelchair")
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.functions import cells, collections as fc, geometry as geo, lines, text as ft
-from geoloom.operators import buildings, networks, poi, relational as rel, transit
+from geoloom.functions import cells, collections as fc, geometry as geo, lines, overlay, text as ft
+from geoloom.operators import buildings, networks, poi, relational as rel, spatial_joins as sj, transit
 from geoloom.plans.queries import XY, coordinates, query, table
 from geoloom.sources import readers
 from geoloom.streaming import windows
@@ -484,10 +484,37 @@ def null_tolerant_filters(spark, sf_dir):
     return rows.select("event_id", F.when(F.col("event_type").rlike("^(click|view)"), "seen").otherwise(F.coalesce(F.nullif(F.col("event_type"), F.lit("x")), F.lit("y"))).alias("kind"))
 
 
-@query()
+CURVE = """list_reduce(list_prepend({'x': least(65535, floor((x - x0) / (x1 - x0) * 65536))::BIGINT, 'y': least(65535, floor((y - y0) / (y1 - y0) * 65536))::BIGINT, 'd': 0::BIGINT, 's': 0::BIGINT},
+  list_transform(range(15, -1, -1), lambda b: {'x': 0::BIGINT, 'y': 0::BIGINT, 'd': 0::BIGINT, 's': (1::BIGINT << b)})),
+  lambda t, e: {'x': CASE WHEN t.y & e.s > 0 THEN t.x WHEN t.x & e.s > 0 THEN 65535 - t.y ELSE t.y END, 'y': CASE WHEN t.y & e.s > 0 THEN t.y WHEN t.x & e.s > 0 THEN 65535 - t.x ELSE t.x END,
+                'd': t.d + e.s * e.s * CASE WHEN t.x & e.s > 0 THEN CASE WHEN t.y & e.s > 0 THEN 2 ELSE 3 END WHEN t.y & e.s > 0 THEN 1 ELSE 0 END, 's': e.s}).d"""
+
+
+@query(f"""
+WITH c AS (SELECT c_custkey, {XY.format(k="c_custkey")} FROM customer), b AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, count(*) AS n FROM c),
+o AS (SELECT c_custkey, n, row_number() OVER (ORDER BY {CURVE}, x, y, c_custkey) - 1 AS i FROM c, b)
+SELECT c_custkey, (i * 7 // n)::INTEGER AS unit, count(*) OVER (PARTITION BY i * 7 // n) AS size FROM o
+""")
 def equal_area_units(spark, sf_dir):
-    """Nearby points in groups by k-means (NET-01, GEO-18, GTF-14, WN-03)."""
-    return buildings.equal_areas(coordinates(table(spark, sf_dir, "supplier"), "s_suppkey").select("s_suppkey", "x", "y"), 4)
+    """Nearby points in groups that differ by one point at most (NET-01, GEO-18, WN-03, SO-07, SO-08)."""
+    out = buildings.equal_areas(coordinates(table(spark, sf_dir, "customer"), "c_custkey").select("c_custkey", "x", "y"), 7, "c_custkey")
+    sizes = out.groupBy("unit").agg(F.count(F.lit(1)).alias("size"))
+    return out.join(sizes, "unit").select("c_custkey", "unit", "size")
+
+
+@query(f"""
+WITH s AS (SELECT n_nationkey, {XY.format(k="(n_nationkey + 1)")} FROM nation), c AS (SELECT c_custkey, x + 0.00317 AS x, y + 0.00519 AS y FROM (SELECT c_custkey, {XY.format(k="c_custkey")} FROM customer))
+SELECT c_custkey, arg_min(n_nationkey, pow(c.x - s.x, 2) + pow(c.y - s.y, 2)) AS n_nationkey FROM c, s WHERE c.x < 10 AND c.y < 10 GROUP BY c_custkey
+""")
+def voronoi_cells(spark, sf_dir):
+    """Points in the parts of a square that are nearest to each seed (GEO-18, GTF-14)."""
+    seeds = coordinates(table(spark, sf_dir, "nation").select("n_nationkey", (F.col("n_nationkey").cast("long") + 1).alias("k")), "k")
+    square = F.array(F.array(*[geo.point(F.lit(x), F.lit(y)) for x, y in ((0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0), (0.0, 0.0))]))
+    held = seeds.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", geo.point(F.col("x"), F.col("y")).alias("p")))).alias("seeds"))
+    cells = held.select("seeds", F.posexplode(overlay.voronoi(F.col("seeds.p"), square)).alias("i", "geom"))
+    parts = cells.select(F.get("seeds.n_nationkey", F.col("i")).alias("n_nationkey"), F.explode("geom").alias("geom"))
+    moved = coordinates(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").withColumns({"x": F.col("x") + 0.00317, "y": F.col("y") + 0.00519})
+    return sj.points_in_polygons(moved, parts, 2.0).select(F.col("l.c_custkey").alias("c_custkey"), F.col("r.n_nationkey").alias("n_nationkey"))
 
 
 @query()

@@ -258,11 +258,11 @@ def raster_pixels(spark, sf_dir):
 
 @query("""
 WITH e AS (SELECT event_id, event_id % 7 AS k FROM events)
-SELECT event_id, CASE k WHEN 0 THEN 'object' WHEN 1 THEN 'array' WHEN 2 THEN 'string' WHEN 3 THEN 'number' WHEN 4 THEN 'boolean' WHEN 5 THEN 'null' END AS kind, CASE WHEN k = 0 THEN event_id % 100 END::INTEGER AS speed, 'a' || event_id AS clean FROM e
+SELECT event_id, CASE k WHEN 0 THEN 'object' WHEN 1 THEN 'array' WHEN 2 THEN 'string' WHEN 3 THEN 'number' WHEN 4 THEN 'boolean' WHEN 5 THEN 'null' END AS kind, CASE WHEN k = 0 THEN event_id % 100 END::INTEGER AS speed, 'a' || event_id AS clean, CASE WHEN k = 0 THEN 'h07_30,h08_00' END AS keys FROM e
 """)
 def json_texts(spark, sf_dir):
     """Kinds of JSON texts, speeds at a time of day, text without NUL escapes (JS-06, DT-05, JS-10)."""
     k, number = F.col("event_id") % 7, (F.col("event_id") % 100).cast("string")
     text = F.when(k == 0, F.concat(F.lit('{"h07_30":"x","h08_00":'), number, F.lit("}"))).when(k == 1, F.concat(F.lit(" ["), number, F.lit("]"))).when(k == 2, F.lit('"h"')).when(k == 3, F.lit("-1.5")).when(k == 4, F.lit("true")).when(k == 5, F.lit("null")).otherwise(F.lit("{no json"))
     dirty = F.concat(F.lit("a\\u0000"), F.col("event_id").cast("string"))
-    return table(spark, sf_dir, "events").select("event_id", fc.json_kind(text).alias("kind"), fc.at_time(F.when(k == 0, text), "08:00").alias("speed"), fc.without_nul(dirty).alias("clean"))
+    return table(spark, sf_dir, "events").select("event_id", fc.json_kind(text).alias("kind"), fc.at_time(F.when(k == 0, text), "08:00").alias("speed"), fc.without_nul(dirty).alias("clean"), F.array_join(fc.json_keys(F.when(k == 6, F.lit("[1]")).otherwise(text)), ",").alias("keys"))

@@ -8,6 +8,9 @@ from enum import Enum
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.functions.cells import hilbert_key
+from geoloom.functions.text import free_name
+
 
 class IfExists(Enum):
     """What to do where the table exists."""
@@ -31,6 +34,20 @@ def write_table(rows: DataFrame, path: str, if_exists: IfExists = IfExists.FAIL,
     rows.write.mode(if_exists.value).partitionBy(*partition_by).parquet(path)
 
 
+def write_by_place(rows: DataFrame, path: str, files: int, x: str = "x", y: str = "y", if_exists: IfExists = IfExists.FAIL) -> None:
+    """Parquet in about `files` files, each with rows that lie near each other (in order along a Hilbert curve), so that the
+    ranges of x and y kept with each file tell a reader of a box which files to leave out."""
+    box = rows.agg(*[f(c).alias(n) for n, f, c in (("xmin", F.min, x), ("ymin", F.min, y), ("xmax", F.max, x), ("ymax", F.max, y))]).first().asDict()
+    place = free_name(rows.columns, "curve_place")
+    keyed = rows.withColumn(place, hilbert_key(F.col(x), F.col(y), {k: v or 0.0 for k, v in box.items()}))
+    keyed.repartitionByRange(files, place).sortWithinPartitions(place).drop(place).write.mode(if_exists.value).parquet(path)
+
+
+def rewrite_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace those partitions of a table that the rows have; all others keep their files. The rows may come from the table."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def dump(rows: DataFrame, path: str, what: Dump = Dump.ALL) -> None:
     """A table's data, or its schema alone as a table without rows."""
     write_table(rows.limit(0) if what is Dump.SCHEMA else rows, path, IfExists.REPLACE)

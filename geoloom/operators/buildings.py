@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import text as ft
 from geoloom.functions.cells import grid_cover, hilbert_key
-from geoloom.functions.geometry import envelope, envelopes_meet, point
+from geoloom.functions.geometry import area, envelope, envelopes_meet, point, ring_area_metres
 from geoloom.functions.overlay import POLYGON_TYPE, Ring, as_value, buffered, clipped, is_convex, overlaid, overlay, ring_size, rings_of, shape_area, shapes_of, total_area, union_of, voronoi, without_small
 from geoloom.functions.text import free_name
 from geoloom.operators.relational import allocated, numbered
+from geoloom.operators.spatial_joins import points_in_polygons
 
 
 @dataclass(frozen=True)
@@ -46,8 +47,53 @@ def point_rule(counted: str, least: int, status: str = "no_residents") -> Rule:
 
 
 def share_rule(share: str, least: float, status: str = "no_residents") -> Rule:
-    """Holds where the covered share, 1 at most, reaches `least`."""
-    return Rule(f"share:{share}", F.least(F.col(share), F.lit(1.0)) >= least, status)
+    """Holds where the covered share, 1 at most, reaches `least`; not where it is unknown (least() would leave a null out)."""
+    return Rule(f"share:{share}", F.col(share).isNotNull() & (F.least(F.col(share), F.lit(1.0)) >= least), status)
+
+
+def with_point_count(rows: DataFrame, points: DataFrame, name: str, cell: float, key: str = "id", geom: str = "geom") -> DataFrame:
+    """Polygons with the number of points (x, y) inside, boundary included; 0 without any. Counts are combined before they join."""
+    inside = points_in_polygons(points.select("x", "y"), rows.select(F.col(key).alias("counted_id"), F.col(geom).alias("geom")), cell)
+    counts = inside.groupBy(F.col("r.counted_id").alias("counted_id")).agg(F.count(F.lit(1)).alias(name))
+    return rows.join(counts, F.col(key) == F.col("counted_id"), "left").withColumn(name, F.coalesce(name, F.lit(0))).drop("counted_id")
+
+
+def with_covered_share(rows: DataFrame, polygons: DataFrame, name: str, cell: float, key: str = "id", geom: str = "geom") -> DataFrame:
+    """Polygons with the share of their area under others, the shares of those summed and 1 at most; null without an area."""
+    cover = polygons.select(F.monotonically_increasing_id().alias("cover_id"), F.col("geom").alias(geom))
+    sums = overlaps(rows, cover, key, "cover_id", cell, geom).groupBy(F.col("a_id").alias("covered_id")).agg(F.sum("overlap").alias(name))
+    joined = rows.join(sums, F.col(key) == F.col("covered_id"), "left")
+    share = F.try_divide(F.coalesce(name, F.lit(0.0)), area(F.col(geom)))
+    return joined.withColumn(name, F.when(share.isNotNull(), F.least(share, F.lit(1.0)))).drop("covered_id")
+
+
+def classified(rows: DataFrame, rules: Sequence[Mapping], tables: Mapping[str, DataFrame], cell: float, subtract: str | None = None, key: str = "id") -> DataFrame:
+    """Buildings with residential status by the first rule that holds, levels, areas and floor areas.
+
+    Rules, in order: {"attribute": column, "values": [...]}, {"points": table, "count": n} (n points inside at least; 0:
+    none), {"polygons": table, "share": s}, each with a "status". `subtract` names a table of points, each of which takes a
+    level. Buildings without a shape match attributes only and have no areas. Areas are metres of outlines in degrees.
+    """
+    out, made, tried = rows, [], []
+    for i, rule in enumerate(rules):
+        status = rule.get("status", "no_residents")
+        if "attribute" in rule:
+            tried.append(attribute_rule(rule["attribute"], rule["values"], status))
+            continue
+        name = free_name(out.columns, f"rule_{i}")
+        made.append(name)
+        if "points" in rule:
+            out = with_point_count(out, tables[rule["points"]], name, cell, key)
+            tried.append(Rule(f"points:{rule['points']}", point_rule(name, rule["count"]).condition, status))
+        else:
+            out = with_covered_share(out, tables[rule["polygons"]], name, cell, key)
+            tried.append(Rule(f"share:{rule['polygons']}", share_rule(name, rule["share"]).condition, status))
+    out = first_rule(out, tried)
+    taken = free_name(out.columns, "levels_taken")
+    out = with_point_count(out, tables[subtract], taken, cell, key) if subtract else out.withColumn(taken, F.lit(0))
+    holes = F.slice("geom", 2, F.greatest(F.size("geom") - 1, F.lit(0)))
+    metres = ring_area_metres(F.get("geom", F.lit(0))) - F.aggregate(holes, F.lit(0.0), lambda t, r: t + ring_area_metres(r))
+    return floor_area(residential_levels(out, taken).withColumn("area", metres)).drop(taken, *made)
 
 
 def residential_levels(rows: DataFrame, subtract: str, levels: str = "building_levels") -> DataFrame:

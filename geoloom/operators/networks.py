@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -202,14 +203,43 @@ def with_lengths(segments: DataFrame) -> DataFrame:
     return segments.withColumn("length_m", length_metres(F.col("geom")))
 
 
-def component_of(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+#: Edges that one task joins by itself, some ten MB; more are settled in rounds.
+ONE_TASK = 1 << 17
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, component) of all nodes of edges (a, b), by union with the smaller root."""
+    root: dict = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    kind = None
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            low, high = sorted((find(a), find(b)))
+            root[high] = low
+    if kind is not None:
+        yield pa.record_batch([pa.array(list(root), kind), pa.array([find(x) for x in root], kind)], names=["node", "component"])
+
+
+def component_of(edges: DataFrame, most_rounds: int = 60, one_task: int = ONE_TASK) -> DataFrame:
     """(node, component): the least node reachable from each, over undirected edges (source, target).
 
-    Alternating large-star and small-star rounds; each is checkpointed in the folder that spark.checkpoint.dir names, in
-    place of the one before. Components that aren't settled after `most_rounds` are an error, never a result.
+    Up to `one_task` different edges, counted first, are one task's work. More go through alternating large-star and
+    small-star rounds; each is checkpointed in the folder that spark.checkpoint.dir names, in place of the one before.
+    Components that aren't settled after `most_rounds` are an error, never a result.
     """
     now = checkpointed(edges.select(F.greatest("source", "target").alias("a"), F.least("source", "target").alias("b")).where("a <> b").distinct())
     alone = edges.select(F.col("source").alias("node")).unionAll(edges.select(F.col("target").alias("node"))).where("node is not null").distinct()
+    if now.count() <= one_task:
+        kind = now.schema["a"].dataType.simpleString()
+        found = now.repartition(1).mapInArrow(_joined, f"node {kind}, component {kind}").select(F.col("node").alias("a"), "component")
+        return alone.join(found, F.col("node") == F.col("a"), "left").select("node", F.coalesce("component", "node").alias("component"))
     before = None
     for _ in range(most_rounds):
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -89,10 +89,16 @@ def prepare_landuse(spark: SparkSession, s: Settings) -> DataFrame:
 
 
 def prepare_building(spark: SparkSession, s: Settings) -> DataFrame:
-    """Buildings with residential status by the first of the listed columns whose values match, levels and floor area.
+    """Buildings with residential status by the first rule that holds, levels and floor area.
 
-    The column that `subtract` names holds the levels in other use.
+    With `rules` (attribute, points, polygons; tables of the source's folder) buildings are its table `building`, and
+    `subtract` names a table of points, each of which takes a level. Without, the source is the table of buildings,
+    `no_residents` lists columns with values, and `subtract` names the column of the levels in other use.
     """
+    if "rules" in s.values:
+        names = {r[k] for r in s.values["rules"] for k in ("points", "polygons") if k in r} | ({s.values["subtract"]} if "subtract" in s.values else set())
+        tables = {n: _read(spark, s, n) for n in names}
+        return buildings.classified(_read(spark, s, "building"), s.values["rules"], tables, float(s.values.get("cell", 0.05)), s.values.get("subtract"))
     rules = [buildings.attribute_rule(column, values) for column, values in s.values["no_residents"].items()]
     rows = buildings.first_rule(spark.read.parquet(s.source), rules)
     return buildings.floor_area(buildings.residential_levels(rows, s.values["subtract"]))

@@ -132,6 +132,21 @@ def slope_profiles(spark, sf_dir):
     return out.select("id", (F.round("impedance_slope", 5) + F.lit(0.0)).alias("up"), (F.round("impedance_slope_reverse", 5) + F.lit(0.0)).alias("down"))
 
 
+@query(f"""WITH {AREAS}, b0 AS (SELECT s_suppkey, s_nationkey, {XY.format(k="s_suppkey")} FROM supplier), b AS (SELECT s_suppkey, s_nationkey, {WHOLE.format(t="b0")} FROM b0),
+m AS (SELECT s_suppkey, s_nationkey, (SELECT count(*) FROM c WHERE c.x BETWEEN b.x AND b.x + 60 AND c.y BETWEEN b.y AND b.y + 60) AS n,
+  (SELECT least(1, sum(greatest(0, least(b.x + 60, a.x + 200) - greatest(b.x, a.x)) * greatest(0, least(b.y + 60, a.y + 200) - greatest(b.y, a.y))) / 3600.0) FROM a) AS share FROM b),
+s AS (SELECT s_suppkey, n, CASE WHEN s_nationkey IN (1, 2) THEN 'no_residents' WHEN n >= 8 THEN 'shops' WHEN share >= 0.5 THEN 'mixed' ELSE 'with_residents' END AS status, CASE WHEN s_nationkey IN (1, 2) THEN 'attribute:kind' WHEN n >= 8 THEN 'points:shop' WHEN share >= 0.5 THEN 'share:zone' ELSE 'default' END AS rule FROM m)
+SELECT s_suppkey, rule, greatest(s_suppkey % 9 - n, 0)::INTEGER AS levels, CASE WHEN greatest(s_suppkey % 9 - n, 0) = 0 THEN 'no_residents' ELSE status END AS status FROM s""")
+def classified_buildings(spark, sf_dir):
+    """Buildings by attribute, points inside and share under zones, less the levels that shops take (BLD-02 to BLD-06, API-10)."""
+    s = _whole(table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey")
+    rows = s.select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("kind"), (F.col("s_suppkey") % 9).cast("int").alias("building_levels"), F.array(_box(F.col("x"), F.col("y"), 60, 60)).alias("geom"))
+    shops = _whole(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select("x", "y")
+    rules = [{"attribute": "kind", "values": [1, 2]}, {"points": "shop", "count": 8, "status": "shops"}, {"polygons": "zone", "share": 0.5, "status": "mixed"}]
+    out = buildings.classified(rows, rules, {"shop": shops, "zone": _areas(spark, sf_dir)}, 250.0, "shop")
+    return out.select(F.col("id").alias("s_suppkey"), F.col("matched_rule").alias("rule"), F.col("building_levels_residential").cast("int").alias("levels"), F.col("residential_status").alias("status"))
+
+
 @query("SELECT s_suppkey, true AS small, round(20 * 2 * sin(pi() / 20) - 0.25, 6) AS area, 1 AS holes FROM supplier")
 def subdivided_polygons(spark, sf_dir):
     """Stars of forty corners around a square hole, in pieces of twenty corners at most, which cover them (GEO-17)."""

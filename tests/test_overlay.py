@@ -131,3 +131,32 @@ def test_snapping_closes_gaps(spark):
     rows = spark.createDataFrame([(1, "", closed([square(0, 0, 2.5)])), (2, "", closed([square(1, 0, 2.5)])), (3, "", closed([square(3.5, 0)]))], KIND)
     out = {r.id: r.g for r in rows.select("id", ov.snapped(F.col("geom"), wall, 0.75, 0.01).alias("g")).collect()}
     assert max(p.x for p in out[1][0][0]) == 3.0 and max(p.x for p in out[2][0][0]) == 3.0 and out[3] == []
+
+
+def test_buildings_by_rules_in_order(spark):
+    """Attribute, points, share of concave zones with holes; the first that holds wins, unknown shapes match attributes only."""
+    kind = "id int, kind string, building_levels int, geom array<array<struct<x:double,y:double>>>"
+    rows = [(1, "church", 2, closed([square(0, 0)])), (2, "house", 3, closed([square(2, 0)])), (3, "house", 2, closed([square(4, 0)])), (4, "house", 2, closed([square(6, 0)])), (5, "church", 1, None), (6, None, 1, None), (7, "house", 1, closed([square(50, 50), square(50.25, 50.25, 0.5)]))]
+    points = spark.createDataFrame([(2.5, 0.5), (2.5, 0.25), (3.0, 1.0), (4.5, 0.5)], "x double, y double")
+    zones = [[square(3.5, -1, 3), square(4, 0.5, 0.5)], [square(6, 0, 0.5)], [square(6, 0, 0.5)]]
+    shop = spark.createDataFrame([(3.0, 1.0), (2.5, 0.25), (4.5, 0.5)], "x double, y double")
+    tables = {"poi": points, "zone": spark.createDataFrame([(closed(z),) for z in zones], "geom array<array<struct<x:double,y:double>>>"), "shop": shop}
+    rules = [{"attribute": "kind", "values": ["church"]}, {"points": "poi", "count": 3, "status": "shops"}, {"polygons": "zone", "share": 0.7, "status": "mixed"}]
+    out = {r.id: r for r in buildings.classified(spark.createDataFrame(rows, kind), rules, tables, 2.0, "shop").collect()}
+    assert {k: (r.residential_status, r.matched_rule, r.building_levels_residential) for k, r in out.items()} == {
+        1: ("no_residents", "attribute:kind", 2), 2: ("shops", "points:poi", 1), 3: ("mixed", "share:zone", 1), 4: ("mixed", "share:zone", 2),
+        5: ("no_residents", "attribute:kind", 1), 6: ("with_residents", "default", 1), 7: ("with_residents", "default", 1),
+    }
+    assert out[6].area is None and 0 < out[7].area < out[1].area and out[7].gross_floor_area_residential == pytest.approx(out[7].area)
+    none = [{"points": "poi", "count": 0, "status": "empty"}]
+    assert {r.id for r in buildings.classified(spark.createDataFrame(rows, kind), none, tables, 2.0).where("residential_status = 'empty'").collect()} == {1, 4, 5, 6, 7}
+
+
+def test_components_in_rounds_and_in_one_task(spark):
+    from geoloom.operators import networks
+
+    rng = random.Random(4)
+    edges = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(180)] + [(400, 400), (None, 500), (501, None)]
+    df = spark.createDataFrame(edges, "source long, target long")
+    few, many = (sorted(map(tuple, networks.component_of(df, one_task=n).collect())) for n in (1 << 17, 0))
+    assert few == many and len({c for _, c in few}) > 20

@@ -58,3 +58,38 @@ def centroid(ring: Ring) -> tuple[float, float]:
     twice = cross.sum()
     place = ((a + b) * cross[:, None]).sum(axis=0) / (3 * twice) if abs(twice) > 0 else v.mean(axis=0)
     return float(place[0]), float(place[1])
+
+
+def cover_of(rings: list[Ring], size: float, most: int) -> list[tuple[int, int, int, bool]]:
+    """Square cells (level, x, y, whole) that cover a polygon, boundary included: cells of `size` times 2**level.
+
+    Cells that no leg touches are whole (all inside) or left out; others are quartered, the largest first, down to `size` or
+    until there are about `most`. Boxes count as a little wider than they are, so that rounding loses no point.
+    """
+    legs = legs_of(rings)
+    if not len(legs):
+        return []
+    low, high = np.minimum(legs[:, :2], legs[:, 2:]), np.maximum(legs[:, :2], legs[:, 2:])
+    normal = np.stack([legs[:, 1] - legs[:, 3], legs[:, 2] - legs[:, 0]], axis=1)
+    bottom, top = low.min(axis=0), high.max(axis=0)
+    level = 0
+    while (np.floor(top / (size * 2**level)) - np.floor(bottom / (size * 2**level))).max() > 1:
+        level += 1
+    first, last = (np.floor(v / (size * 2**level)).astype(int) for v in (bottom, top))
+    todo = [(level, x, y, np.arange(len(legs))) for x in range(first[0], last[0] + 1) for y in range(first[1], last[1] + 1)]
+    out: list[tuple[int, int, int, bool]] = []
+    while todo:
+        level, x, y, near = todo.pop(0)
+        side = size * 2**level
+        centre, half = np.array([(x + 0.5) * side, (y + 0.5) * side]), side * (0.5 + 1e-9)
+        near = near[((low[near] <= centre + half) & (high[near] >= centre - half)).all(axis=1)]
+        off = np.abs((normal[near] * (centre - legs[near, :2])).sum(axis=1))
+        near = near[off <= np.abs(normal[near]).sum(axis=1) * half * (1 + 1e-9)]
+        if not len(near):
+            if holds(legs, (float(centre[0]), float(centre[1]))):
+                out.append((level, int(x), int(y), True))
+        elif level == 0 or len(out) + len(todo) + 4 > most:
+            out.append((level, int(x), int(y), False))
+        else:
+            todo += [(level - 1, 2 * x + i, 2 * y + j, near) for i in (0, 1) for j in (0, 1)]
+    return out

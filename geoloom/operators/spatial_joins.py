@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.functions.cells import grid_around, grid_cell, grid_cover
-from geoloom.functions.geometry import envelope, in_polygon
+from geoloom.functions.cells import grid_around, grid_cell
+from geoloom.functions.geometry import in_polygon
+from geoloom.functions.overlay import shapes_of
+from geoloom.functions.predicates import cover_of
+from geoloom.operators.lineage import checkpointed
 
 
 def within_distance(left: DataFrame, right: DataFrame, radius: float, left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y"), how: str = "inner", also: Column | None = None, spread: bool = False) -> DataFrame:
@@ -51,16 +55,46 @@ def count_within(left: DataFrame, right: DataFrame, radius: float, left_id: str,
     return left.join(counts, left[left_id] == counts.counted_id, "left").withColumn(name, F.coalesce("counted", F.lit(0)).cast("long")).drop("counted_id", "counted")
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, polygon: str = "geom", xy: tuple[str, str] = ("x", "y"), how: str = "inner") -> DataFrame:
-    """Pairs (l: point row, r: polygon row) where the polygon holds the point, its boundary included.
+def covered_cells(polygon: Column, cell: float, most: int = 128) -> Column:
+    """Cells struct<level,cx,cy,whole> that cover a polygon: few large ones inside, small ones along its outline."""
 
-    Polygons are copied to the cells that their envelopes touch; choose `cell` near their usual extent.
+    @F.arrow_udf("array<struct<level:int,cx:bigint,cy:bigint,whole:boolean>>")
+    def run(shapes: pa.Array) -> pa.Array:
+        names = ("level", "cx", "cy", "whole")
+        kind = pa.list_(pa.struct([("level", pa.int32()), ("cx", pa.int64()), ("cy", pa.int64()), ("whole", pa.bool_())]))
+        return pa.array([[dict(zip(names, c, strict=True)) for c in cover_of(x, cell, most)] if x else [] for x in shapes_of(shapes, closed=True)], kind)
+
+    return run(polygon)
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, polygon: str = "geom", xy: tuple[str, str] = ("x", "y"), how: str = "inner", most: int = 128) -> DataFrame:
+    """Pairs (l: point row, r: polygon row) where the polygon holds the point, its boundary included; with `left_semi` each
+    point row (l) that a polygon holds, once, with `left_anti` each that none holds.
+
+    Outlines become about `most` cells of several sizes, the smallest `cell` wide, whatever their extent; cells carry no
+    outlines. A point meets cells of each size that there is; in a cell that lies wholly inside it isn't compared with the
+    outline. Outlines join back by two hashes of them, so that equal ones are covered once.
     """
-    x, y = (F.col(f"l.{c}") for c in xy)
-    a = points.select(F.struct("*").alias("l")).withColumn("cell", grid_cell(x, y, cell))
-    b = polygons.select(F.struct("*").alias("r")).withColumn("cell_r", F.explode(grid_cover(envelope(F.get(F.col(f"r.{polygon}"), F.lit(0))), cell)))
-    inside = in_polygon(F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")), F.col(f"r.{polygon}"))
-    return a.join(b, (F.col("cell") == F.col("cell_r")) & inside, how).drop("cell", "cell_r")
+    x, y = (F.col(f"l.{c}").cast("double") for c in xy)
+    outline = lambda g: F.struct(F.xxhash64(F.lit(1), g).alias("a"), F.xxhash64(F.lit(2), g).alias("b"))
+    held = polygons.where(F.size(polygon) > 0).select(F.struct("*").alias("r")).withColumn("outline", outline(F.col(f"r.{polygon}")))
+    shapes = held.select("outline", F.col(f"r.{polygon}").alias("shape")).dropDuplicates(["outline"])
+    tasks = max(1, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cover = checkpointed(shapes.repartition(tasks, "outline").select("outline", F.explode(covered_cells(F.col("shape"), cell, most)).alias("c")).select("outline", "c.*"))
+    levels = sorted(r.level for r in cover.select("level").distinct().collect())
+    own = F.array(*[F.struct(F.lit(k).alias("level"), F.floor(x / (cell * 2.0**k)).alias("cx"), F.floor(y / (cell * 2.0**k)).alias("cy")) for k in levels]) if levels else F.array().cast("array<struct<level:int,cx:bigint,cy:bigint>>")
+    rows = points.select(F.struct("*").alias("l")).withColumn("number", F.monotonically_increasing_id())
+    inside = F.col("whole") | in_polygon(F.struct(x.alias("x"), y.alias("y")), F.col(f"r.{polygon}"))
+    if how == "inner":
+        near = rows.withColumn("at", F.explode(own)).select("l", "at.*").join(cover, ["level", "cx", "cy"]).select("l", "outline", "whole")
+        return near.join(held, "outline").where(inside).select("l", "r")
+    if how not in ("left_semi", "left_anti"):
+        raise ValueError(f"no {how} join of points with polygons")
+    # Rows keep their number through one plan, from the scan to the aggregate.
+    near = rows.withColumn("at", F.explode_outer(own)).select("l", "number", "at.*").join(cover, ["level", "cx", "cy"], "left").select("l", "number", "outline", "whole")
+    met = near.join(held, "outline", "left").select("l", "number", F.coalesce(inside, F.lit(False)).alias("held"))
+    met = met.groupBy("number").agg(F.any_value("l").alias("l"), F.bool_or("held").alias("held"))
+    return met.where("held" if how == "left_semi" else "not held").select("l")
 
 
 def idw(points: DataFrame, pixels: DataFrame, radius: float, point_id: str, pixel_id: str, value: str, most: int = 3, name: str = "value") -> DataFrame:

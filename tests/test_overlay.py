@@ -160,3 +160,33 @@ def test_components_in_rounds_and_in_one_task(spark):
     df = spark.createDataFrame(edges, "source long, target long")
     few, many = (sorted(map(tuple, networks.component_of(df, one_task=n).collect())) for n in (1 << 17, 0))
     assert few == many and len({c for _, c in few}) > 20
+
+
+def test_covers_are_few_and_exact(spark):
+    from geoloom.functions.predicates import cover_of, holds, legs_of
+    from geoloom.operators import spatial_joins as sj
+
+    rng = random.Random(12)
+    wide = [[*star(rng, 0, 0, 40, 300, 500), None], [*star(rng, 0, 0, 12, 50, 100), None]]
+    wide = [[*r[:-1], r[0]] for r in wide]
+    cells = cover_of(wide, 1.0, 200)
+    assert len(cells) <= 200 and any(whole for *_, whole in cells)
+    size = sum(4.0**level for level, *_ in cells)
+    assert size < 1.5 * (ov.signed_area(wide[0][:-1]) - ov.signed_area(wide[1][:-1]))
+    legs = legs_of(wide)
+    for _ in range(2000):
+        p = (rng.uniform(-500, 500), rng.uniform(-500, 500))
+        met = [whole for level, x, y, whole in cells if (math.floor(p[0] / 2**level), math.floor(p[1] / 2**level)) == (x, y)]
+        assert (len(met) == 1) if holds(legs, p) else (met in ([], [False]))
+    shapes = [(1, "a", [[{"x": x, "y": y} for x, y in r] for r in wide]), (2, "b", closed([square(0, 0, 10)])), (3, "c", closed([square(0, 0, 10)])), (4, "d", None), (5, "e", [])]
+    df = spark.createDataFrame(shapes, KIND)
+    points = [(i, rng.uniform(-500, 500), rng.uniform(-500, 500)) for i in range(300)] + [(900, 5.0, 5.0), (900, 5.0, 5.0), (901, 10.0, 10.0), (902, 0.0, 3.0), (903, None, 1.0)]
+    table = spark.createDataFrame(points, "id int, x double, y double")
+    wanted = sorted((i, k) for i, x, y in points if x is not None for k, _, g in shapes if g and holds(legs_of([[(p["x"], p["y"]) for p in r] for r in g]), (x, y)))
+    assert sorted((r.l.id, r.r.id) for r in sj.points_in_polygons(table, df, 1.0).collect()) == wanted and len(wanted) > 60
+    once = sj.points_in_polygons(table, df, 1.0, how="left_semi").collect()
+    assert sorted(r.l.id for r in once) == sorted(i for i, x, y in points if i in {a for a, _ in wanted})
+    none = sj.points_in_polygons(table, df, 1.0, how="left_anti").collect()
+    assert sorted(r.l.id for r in none) == sorted(i for i, x, y in points if i not in {a for a, _ in wanted})
+    assert sj.points_in_polygons(table, df.limit(0), 1.0).collect() == []
+    assert sj.points_in_polygons(table, df.limit(0), 1.0, how="left_anti").count() == len(points)

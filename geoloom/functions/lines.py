@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -64,9 +67,31 @@ def points_at(line: Column, shares: Column) -> Column:
     return run(line, shares)
 
 
+def located(line: Column, at: Column) -> Column:
+    """Share of a line's length at which it comes nearest to a point, the first of equals; null without a line or a point."""
+
+    @F.pandas_udf("double")
+    def run(lines: pd.Series, points: pd.DataFrame) -> pd.Series:
+        def one(points, x, y):
+            if points is None or not len(points) or x is None or y is None or x != x or y != y:
+                return None
+            v = np.array([(p["x"], p["y"]) for p in points], dtype=float)
+            step = np.diff(v, axis=0)
+            long = np.hypot(step[:, 0], step[:, 1])
+            if not long.sum() > 0:
+                return 0.0
+            own = np.where(long > 0, ((np.array([x, y]) - v[:-1]) * step).sum(axis=1) / np.where(long > 0, long * long, 1), 0).clip(0, 1)
+            near = np.hypot(*(v[:-1] + step * own[:, None] - (x, y)).T)
+            k = int(np.argmin(near))
+            return float((long[:k].sum() + own[k] * long[k]) / long.sum())
+
+        return pd.Series([one(line, x, y) for line, x, y in zip(lines, points["x"], points["y"], strict=True)], dtype=float)
+
+    return run(line, at)
+
+
 #: Cuts closer than this share of a leg are one.
 SAME_CUT = 1e-12
-PIECES = "array<struct<cell_x:bigint,cell_y:bigint,geom:array<struct<x:double,y:double>>>>"
 
 
 def cut_line(xs: np.ndarray, ys: np.ndarray, cell: float) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -97,17 +122,25 @@ def cut_line(xs: np.ndarray, ys: np.ndarray, cell: float) -> list[tuple[int, int
     return [(int(cx[a]), int(cy[a]), px[a : b + 1], py[a : b + 1]) for a, b in zip(starts, stops, strict=True)]
 
 
-def grid_pieces(line: Column, cell: float) -> Column:
-    """A line's parts by square cell, in order; empty for lines without a point."""
-
-    @F.pandas_udf(PIECES)
-    def run(lines: pd.Series) -> pd.Series:
-        def one(points):
-            if points is None or not len(points):
-                return []
-            xs, ys = (np.array([p[c] for p in points], dtype=float) for c in ("x", "y"))
-            return [{"cell_x": cx, "cell_y": cy, "geom": [{"x": float(x), "y": float(y)} for x, y in zip(px, py, strict=True)]} for cx, cy, px, py in cut_line(xs, ys, cell)]
-
-        return lines.map(one)
-
-    return run(line)
+def grid_pieces(rows: DataFrame, line: str, cell: float) -> DataFrame:
+    """(row, n, i, cell_x, cell_y, piece): every row with each part of its line by square cell, in order; rows whose line has no
+    point are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, n, number, cx, cy, pieces = [], [], [], [], [], []
+            for k, points in enumerate(batch.column(1).to_pylist()):
+                found = cut_line(*(np.array([p[c] for p in points], dtype=float) for c in ("x", "y")), cell) if points else []
+                for i, (x, y, xs, ys) in enumerate(found):
+                    at.append(k)
+                    n.append(len(found))
+                    number.append(i)
+                    cx.append(x)
+                    cy.append(y)
+                    pieces.append([{"x": a, "y": b} for a, b in zip(xs.tolist(), ys.tolist(), strict=True)])
+            place = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+            whole = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(n, pa.int32()), pa.array(number, pa.int32()), pa.array(cx, pa.int64()), pa.array(cy, pa.int64()), pa.array(pieces, place)]
+            yield pa.record_batch(whole, names=["row", "n", "i", "cell_x", "cell_y", "piece"])
+
+    held = rows.select(F.struct("*").alias("row"), F.col(line).alias("line"))
+    return held.mapInArrow(run, f"row {held.schema['row'].dataType.simpleString()}, n int, i int, cell_x long, cell_y long, piece array<struct<x:double,y:double>>")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import text as ft
 from geoloom.functions.geometry import distance, interpolated, legs, length, length_metres, point, to_mercator
-from geoloom.functions.lines import grid_pieces, points_at
+from geoloom.functions.lines import grid_pieces, located, points_at
 from geoloom.operators.lineage import checkpointed, forget
 from geoloom.operators.relational import numbered, rebased, running_total
 from geoloom.operators.spatial_joins import idw
@@ -184,20 +184,76 @@ def clipped_to_grid(segments: DataFrame, cell: float) -> DataFrame:
     <id>_clip_<i>, counted from 1; where two meet, the connector is connector.<id>_clip_<i> of the first. Lines without a
     length stay whole; those without a point are left out.
     """
-    rows = segments.withColumn("pieces", grid_pieces(F.col("geom"), cell)).select("*", F.size("pieces").alias("n"), F.posexplode("pieces").alias("i", "piece"))
-    own = lambda i: F.concat(F.col("id"), F.lit("_clip_"), i.cast("string"))
+    rows = grid_pieces(segments, "geom", cell)
+    own = lambda i: F.concat(F.col("row.id"), F.lit("_clip_"), i.cast("string"))
     name = lambda i: F.concat(F.lit("connector."), own(i))
+    kept = [c for c in segments.columns if c not in ("id", "source", "target", "geom", "cell_x", "cell_y", "length")]
     return rows.select(
-        F.when(F.col("n") == 1, F.col("id")).otherwise(own(F.col("i") + 1)).alias("id"),
-        F.when(F.col("i") == 0, F.col("source")).otherwise(name(F.col("i"))).alias("source"),
-        F.when(F.col("i") == F.col("n") - 1, F.col("target")).otherwise(name(F.col("i") + 1)).alias("target"),
-        F.col("piece.geom").alias("geom"),
-        F.col("piece.cell_x").alias("cell_x"),
-        F.col("piece.cell_y").alias("cell_y"),
-        length(F.col("piece.geom")).alias("length"),
+        F.when(F.col("n") == 1, F.col("row.id")).otherwise(own(F.col("i") + 1)).alias("id"),
+        F.when(F.col("i") == 0, F.col("row.source")).otherwise(name(F.col("i"))).alias("source"),
+        F.when(F.col("i") == F.col("n") - 1, F.col("row.target")).otherwise(name(F.col("i") + 1)).alias("target"),
+        F.col("piece").alias("geom"),
+        "cell_x",
+        "cell_y",
+        length(F.col("piece")).alias("length"),
+        *[F.col(f"row.`{c}`").alias(c) for c in kept],
     )
 
 
+def sub_segments(segments: DataFrame, connectors: DataFrame) -> DataFrame:
+    """Segments (id, connectors, geom) between their connectors (id, geom) in order: <id>_sub_<i>, counted from 1, with source
+    and target; those with two connectors at most stay whole. Connectors that aren't known are left out; other columns stay.
+    """
+    places = connectors.select(F.col("id").alias("place_id"), F.col("geom").alias("place"))
+    steps = segments.select("id", "geom", F.posexplode("connectors").alias("i", "c")).join(places, F.col("c") == F.col("place_id"))
+    steps = steps.select(F.col("id").alias("of"), F.struct("i", F.col("c").alias("id"), located(F.col("geom"), F.col("place")).alias("share")).alias("step"))
+    ordered = steps.groupBy("of").agg(F.array_sort(F.collect_list("step")).alias("steps"))
+    rows = segments.join(ordered, F.col("id") == F.col("of"), "left").drop("of")
+    n = F.coalesce(F.size("steps"), F.lit(0))
+    pairs = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.struct(F.get("steps", i - 1).alias("a"), F.get("steps", i).alias("b")))
+    whole = F.array(F.struct(F.get("steps", F.lit(0)).alias("a"), F.when(n > 1, F.get("steps", n - 1)).alias("b")))
+    cut = rows.withColumn("many", n > 2).select("*", F.posexplode(F.when(n > 2, pairs).otherwise(whole)).alias("part", "ends"))
+    low, high = F.least("ends.a.share", "ends.b.share"), F.greatest("ends.a.share", "ends.b.share")
+    out = {
+        "geom": F.when(F.col("many"), between(F.col("geom"), low, high)).otherwise(F.col("geom")),
+        "source": F.col("ends.a.id"),
+        "target": F.col("ends.b.id"),
+        "id": F.when(F.col("many"), F.concat(F.col("id"), F.lit("_sub_"), (F.col("part") + 1).cast("string"))).otherwise(F.col("id")),
+    }
+    return cut.withColumns(out).drop("steps", "many", "part", "ends", "connectors")
+
+
+def prepared_segments(segments: DataFrame, connectors: DataFrame, surface_effort: Mapping[str, float], fine: float, coarse: float, pixels: DataFrame | None = None, radius: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """Routable segments and connectors, both with consecutive ids, of segments (id, connectors, geom in degrees, road as JSON).
+
+    Segments are split at their connectors, and where they leave a cell of the fine grid, then of the coarse one. Each has
+    its class, flags, first speed limit, effort of its surface (unless that varies along it), lengths, coordinates in
+    metres, cells of its middle, and slopes if there are heights. Pieces' ends inside a segment are connectors of their own.
+    """
+    surface = F.get_json_object("road", "$.surface")
+    known = F.create_map(*[F.lit(x) for pair in surface_effort.items() for x in pair]) if surface_effort else F.create_map().cast("map<string,double>")
+    own = segments.select("id", "connectors", "geom", F.get_json_object("road", "$.class").alias("class_"), F.get_json_object("road", "$.flags").alias("tags"), F.get_json_object("road", "$.restrictions.speedLimits.maxSpeed[0]").try_cast("int").alias("maxspeed_forward"), known[surface].alias("impedance_surface"))
+    cut = clipped_to_grid(sub_segments(own, connectors), fine)
+    cut = clipped_to_grid(cut, coarse).withColumnsRenamed({"cell_x": "coarse_x", "cell_y": "coarse_y"})
+    metric = F.transform("geom", to_mercator)
+    middle = F.get(points_at(F.col("geom"), F.array(F.lit(0.5))), F.lit(0))
+    cut = cut.withColumns({"length_m": length_metres(F.col("geom")), "length_3857": length(metric), "coordinates_3857": F.to_json(F.transform(metric, lambda p: F.array(p["x"], p["y"]))), "middle": middle})
+    cut = cut.withColumns({"fine_x": F.floor(F.col("middle.x") / fine), "fine_y": F.floor(F.col("middle.y") / fine)}).drop("middle", "length")
+    if pixels is not None:
+        cut = slope_profile(cut, pixels, radius)
+    cut = checkpointed(cut)
+    ends = F.array(F.struct(F.col("source").alias("id"), F.get("geom", F.lit(0)).alias("geom")), F.struct(F.col("target").alias("id"), F.element_at("geom", -1).alias("geom")))
+    used = cut.select(F.explode(ends).alias("e")).select("e.*").where("id is not null").groupBy("id").agg(F.min("geom").alias("end_geom"))
+    known_places = connectors.select(F.col("id").alias("known_id"), F.col("geom").alias("known_geom"))
+    nodes = used.join(known_places, F.col("id") == F.col("known_id"), "left").select(F.col("id").alias("name"), F.coalesce("known_geom", "end_geom").alias("geom"))
+    nodes = checkpointed(numbered(nodes, ["name"], "id"))
+    out = numbered(cut.withColumnRenamed("id", "name"), ["name"], "id")
+    for end in ("source", "target"):
+        place = nodes.select(F.col("name").alias(f"{end}_name"), F.col("id").alias(f"{end}_id"))
+        out = out.join(place, F.col(end) == F.col(f"{end}_name"), "left").withColumn(end, F.col(f"{end}_id")).drop(f"{end}_name", f"{end}_id")
+    return out, nodes
+
+
 def with_lengths(segments: DataFrame) -> DataFrame:
     """Lengths in metres of lines in degrees."""
     return segments.withColumn("length_m", length_metres(F.col("geom")))

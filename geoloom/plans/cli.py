@@ -126,6 +126,21 @@ def prepare_network(spark: SparkSession, s: Settings) -> DataFrame:
     return ways
 
 
+def _overture(spark: SparkSession, s: Settings) -> tuple[DataFrame, DataFrame]:
+    pixels = _read(spark, s, "pixels") if "radius" in s.values else None
+    return networks.prepared_segments(_read(spark, s, "segments"), _read(spark, s, "connectors"), s.values["surfaces"], float(s.values.get("fine", 0.05)), float(s.values.get("coarse", 1.0)), pixels, float(s.values.get("radius", 0.0)))
+
+
+def prepare_overture_network(spark: SparkSession, s: Settings) -> DataFrame:
+    """Segments of a road network, split, clipped and attributed; with a table `pixels` and `radius` slopes too."""
+    return _overture(spark, s)[0]
+
+
+def prepare_overture_connectors(spark: SparkSession, s: Settings) -> DataFrame:
+    """Connectors of those segments, with the ids that segments name."""
+    return _overture(spark, s)[1].drop("name")
+
+
 def prepare_crossings(spark: SparkSession, s: Settings) -> DataFrame:
     """Street crossings of tagged points, one kind each."""
     return networks.crossings(spark.read.parquet(s.source))
@@ -187,6 +202,8 @@ DATASETS: dict[tuple[str, str], Callable[[SparkSession, Settings], DataFrame]] =
     ("preparation", "landuse"): prepare_landuse,
     ("preparation", "building"): prepare_building,
     ("preparation", "street_crossings"): prepare_crossings,
+    ("preparation", "overture_network"): prepare_overture_network,
+    ("preparation", "overture_connectors"): prepare_overture_connectors,
     ("preparation", "network"): prepare_network,
     ("preparation", "subscription"): subscribe_poi,
     ("export", "network"): export_network,

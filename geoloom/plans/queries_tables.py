@@ -132,6 +132,33 @@ def slope_profiles(spark, sf_dir):
     return out.select("id", (F.round("impedance_slope", 5) + F.lit(0.0)).alias("up"), (F.round("impedance_slope_reverse", 5) + F.lit(0.0)).alias("down"))
 
 
+@query(f"""
+WITH s AS (SELECT s_suppkey AS k, {XY.format(k="s_suppkey")} FROM supplier),
+parts AS (SELECT k, y, 'r' || k || '_sub_1' AS sub, x AS a, x + 0.75 AS b, 'c' || k || '_0' AS source, 'c' || k || '_1' AS target FROM s WHERE k % 4 <> 0
+  UNION ALL SELECT k, y, 'r' || k || '_sub_2', x + 0.75, x + 2.25, 'c' || k || '_1', 'c' || k || '_2' FROM s WHERE k % 4 <> 0
+  UNION ALL SELECT k, y, 'r' || k, x, x + 2.25, 'c' || k || '_0', 'c' || k || '_2' FROM s WHERE k % 4 = 0),
+cuts AS (SELECT k, y, sub, source, target, unnest(list_distinct([a, b] || list_transform(range(floor(a)::BIGINT + 1, ceil(b)::BIGINT), lambda g: g::DOUBLE))) AS t FROM parts),
+legs AS (SELECT *, lead(t) OVER w AS u, row_number() OVER w AS i, count(*) OVER (PARTITION BY sub) - 1 AS n FROM cuts WINDOW w AS (PARTITION BY sub ORDER BY t)),
+named AS (SELECT *, sub || CASE WHEN n > 1 THEN '_clip_' || i ELSE '' END AS name, CASE WHEN i = 1 THEN source ELSE 'connector.' || sub || '_clip_' || (i - 1) END AS s, CASE WHEN i = n THEN target ELSE 'connector.' || sub || '_clip_' || i END AS e FROM legs WHERE u IS NOT NULL),
+nodes AS (SELECT name, row_number() OVER (ORDER BY name) AS id FROM (SELECT s AS name FROM named UNION SELECT e FROM named))
+SELECT row_number() OVER (ORDER BY n.name) AS id, n.name, p.id AS source, q.id AS target, CASE k % 3 WHEN 0 THEN 'primary' WHEN 1 THEN 'path' END AS class_, CASE WHEN k % 3 = 2 THEN NULL WHEN k % 2 = 0 THEN 0.3 END::DOUBLE AS impedance_surface,
+       CASE WHEN k % 3 <> 2 THEN k % 5 * 10 END::INTEGER AS maxspeed_forward, round(6378137 * radians(u - t), 3) AS length_3857, floor((t + u) / 2)::BIGINT AS fine_x, floor((t + u) / 8)::BIGINT AS coarse_x
+FROM named n JOIN nodes p ON p.name = n.s JOIN nodes q ON q.name = n.e
+""")
+def overture_segments(spark, sf_dir):
+    """Segments split at connectors, clipped at two grids, attributed and numbered with their connectors (NET-09 to NET-12, API-15)."""
+    s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")
+    k, x, y = F.col("s_suppkey"), F.col("x"), F.col("y")
+    name = lambda i: F.concat(F.lit("c"), k.cast("string"), F.lit(f"_{i}"))
+    road = F.when(k % 3 != 2, F.to_json(F.struct(F.when(k % 3 == 0, "primary").otherwise("path").alias("class"), F.when(k % 2 == 0, "gravel").otherwise("paved").alias("surface"), F.struct(F.struct(F.array(k % 5 * 10).alias("maxSpeed")).alias("speedLimits")).alias("restrictions"))))
+    line = F.array(geo.point(x, y), geo.point(x + 1, y), geo.point(x + 2.25, y))
+    segments = s.select(F.concat(F.lit("r"), k.cast("string")).alias("id"), F.when(k % 4 == 0, F.array(name(0), name(2))).otherwise(F.array(name(0), name(1), name(2))).alias("connectors"), line.alias("geom"), road.alias("road"))
+    places = F.array(*[F.struct(name(i).alias("id"), geo.point(x + far, y).alias("geom")) for i, far in enumerate((0.0, 0.75, 2.25))])
+    connectors = s.select(F.explode(places).alias("c")).select("c.*")
+    out, _ = networks.prepared_segments(segments, connectors, {"gravel": 0.3}, 1.0, 4.0)
+    return out.select("id", "name", "source", "target", "class_", "impedance_surface", "maxspeed_forward", F.round("length_3857", 3).alias("length_3857"), "fine_x", "coarse_x")
+
+
 @query(f"""WITH {AREAS}, b0 AS (SELECT s_suppkey, s_nationkey, {XY.format(k="s_suppkey")} FROM supplier), b AS (SELECT s_suppkey, s_nationkey, {WHOLE.format(t="b0")} FROM b0),
 m AS (SELECT s_suppkey, s_nationkey, (SELECT count(*) FROM c WHERE c.x BETWEEN b.x AND b.x + 60 AND c.y BETWEEN b.y AND b.y + 60) AS n,
   (SELECT least(1, sum(greatest(0, least(b.x + 60, a.x + 200) - greatest(b.x, a.x)) * greatest(0, least(b.y + 60, a.y + 200) - greatest(b.y, a.y))) / 3600.0) FROM a) AS share FROM b),

@@ -98,3 +98,22 @@ def test_network_migration_keeps_no_scenarios(spark, tmp_path):
 def test_unknown_dataset(spark):
     with pytest.raises(ValueError, match="no fusion of"):
         cli.run(spark, "fusion", "gtfs", cli.Settings("", ""))
+
+
+def test_overture_network(spark, tmp_path):
+    segment = "id string, connectors array<string>, geom array<struct<x:double,y:double>>, road string"
+    line = [(0.0, 0.0), (0.0, 0.01), (0.0, 0.02)]
+    rows = [("s", ["a", "b", "c"], line, '{"class":"path","surface":"gravel","flags":["is_bridge"],"restrictions":{"speedLimits":{"maxSpeed":[30,"km/h"]}}}'), ("t", ["a", "missing"], line, '{"class":"road","surface":[{"value":"gravel"}]}'), ("u", [], line, None)]
+    spark.createDataFrame(rows, segment).write.parquet(str(tmp_path / "in/segments"))
+    spark.createDataFrame([("a", (0.0, 0.0)), ("b", (0.0, 0.012)), ("c", (0.0, 0.02))], "id string, geom struct<x:double,y:double>").write.parquet(str(tmp_path / "in/connectors"))
+    spark.createDataFrame([(1, 0.0, 0.0, 10.0), (2, 0.0, 0.02, 12.0)], "pixel int, x double, y double, val double").write.parquet(str(tmp_path / "in/pixels"))
+    values = {"surfaces": {"gravel": 0.3}, "fine": 0.01, "coarse": 1.0, "radius": 0.03}
+    out = {r.name: r for r in made(spark, tmp_path, "preparation", "overture_network", values).collect()}
+    # The line runs along x = 0 from cell (0, 0) on; the fine grid cuts it at y = 0.01.
+    assert sorted(out) == ["s_sub_1_clip_1", "s_sub_1_clip_2", "s_sub_2", "t_clip_1", "t_clip_2", "u_clip_1", "u_clip_2"]
+    assert (out["s_sub_2"].class_, out["s_sub_2"].maxspeed_forward, out["s_sub_2"].impedance_surface, out["s_sub_2"].tags) == ("path", 30, 0.3, '["is_bridge"]')
+    assert (out["t_clip_1"].impedance_surface, out["u_clip_1"].class_, out["u_clip_1"].source) == (None, None, None)
+    assert out["s_sub_1_clip_1"].target == out["s_sub_1_clip_2"].source and out["s_sub_1_clip_2"].target == out["s_sub_2"].source
+    assert out["s_sub_2"].impedance_slope > 0 and out["s_sub_2"].length_m == pytest.approx(889.6, abs=0.5)
+    nodes = {r.id: r.geom for r in made(spark, tmp_path, "preparation", "overture_connectors", values).collect()}
+    assert nodes[out["s_sub_2"].source] == (0.0, 0.012) and nodes[out["t_clip_1"].target].y == pytest.approx(0.01)

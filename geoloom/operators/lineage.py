@@ -3,8 +3,31 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names. Unset, a local session gets a new local one; on a cluster that is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: it has to name a folder that driver and executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="geoloom-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def through_files(spark: SparkSession, passed: Callable[[str], DataFrame]) -> DataFrame:
+    """What a function that writes and reads below a new shared folder returns, kept as a checkpoint; its files are removed."""
+    folder = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    try:
+        return checkpointed(passed(folder))
+    finally:
+        where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def checkpointed(rows: DataFrame) -> DataFrame:
@@ -15,10 +38,7 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     """
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = rows.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir isn't set: it has to name a folder that driver and executors share")
-        context.setCheckpointDir(folder or "file://" + tempfile.mkdtemp(prefix="geoloom-"))
+        context.setCheckpointDir(shared_folder(rows.sparkSession))
     return rows.checkpoint()
 
 

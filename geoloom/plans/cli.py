@@ -165,6 +165,31 @@ def migrate_network(spark: SparkSession, s: Settings) -> DataFrame:
     return selection.network_inserted(old, new)
 
 
+def migrate_networks(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
+    """Tables node and edge after a migration, nodes first, and the scenarios to work out again.
+
+    Tables of the source: old_node, old_edge, new_node, new_edge; with `cell` also areas, whose nodes and edges alone are taken
+    along; with `modified` a table with the scenario_id of each change. Another schema of either is an error before
+    anything is written. Rows of scenarios go, rows whose id is new are added.
+    """
+    old, new = ({n: _read(spark, s, f"{age}_{n}") for n in ("node", "edge")} for age in ("old", "new"))
+    differ = {n: d for n in old if any((d := relational.same_schema(old[n], new[n])).values())}
+    if differ:
+        raise ValueError(f"schemas differ: {differ}")
+    if "cell" in s.values:
+        areas, cell = _read(spark, s, "areas"), float(s.values["cell"])
+        new = {"node": selection.selected("node", new["node"], areas, cell, edges=new["edge"]), "edge": selection.selected("edge", new["edge"], areas, cell)}
+    out = {n: selection.network_inserted(old[n], new[n]) for n in ("node", "edge")}
+    if s.values.get("modified"):
+        out["scenario"] = _read(spark, s, s.values["modified"]).select("scenario_id").where("scenario_id is not null").distinct()
+    return out
+
+
+def migrate_gtfs(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
+    """Prepared feed tables, in the order that `tables` lists them, in place of those at the target."""
+    return {n: _read(spark, s, n) for n in s.values.get("tables", ["stops"])}
+
+
 def prepare_poi(spark: SparkSession, s: Settings) -> DataFrame:
     """Tagged objects to classified, standardised points."""
     objects = readers.promoted(readers.tagged(spark.read.parquet(s.source), s.values["filters"]), s.values["columns"])
@@ -210,14 +235,18 @@ DATASETS: dict[tuple[str, str], Callable[[SparkSession, Settings], DataFrame]] =
     ("fusion", "poi"): fuse_poi,
     ("migration", "table"): migrate,
     ("migration", "network"): migrate_network,
+    ("migration", "networks"): migrate_networks,
+    ("migration", "gtfs"): migrate_gtfs,
 }
 
 
 def run(spark: SparkSession, action: str, dataset: str, settings: Settings) -> None:
-    """One action on one dataset; the result replaces what is at the target."""
+    """One action on one dataset; the result replaces what is at the target, several tables each their own folder of it."""
     if (action, dataset) not in DATASETS:
         raise ValueError(f"no {action} of {dataset!r}; known: {sorted(DATASETS)}")
-    writers.write_table(DATASETS[action, dataset](spark, settings), settings.target, writers.IfExists.REPLACE)
+    result = DATASETS[action, dataset](spark, settings)
+    for name, rows in result.items() if isinstance(result, dict) else [("", result)]:
+        writers.write_table(rows, f"{settings.target}/{name}".rstrip("/"), writers.IfExists.REPLACE)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from geoloom.plans import queries as queries_
-from geoloom.plans import queries_more, queries_tables  # noqa: F401  register further queries
+from geoloom.plans import queries_more, queries_sources, queries_tables  # noqa: F401  register further queries
 
 FLAGSHIP = "fuzzy_spatial_fusion"
 

@@ -117,3 +117,25 @@ def test_overture_network(spark, tmp_path):
     assert out["s_sub_2"].impedance_slope > 0 and out["s_sub_2"].length_m == pytest.approx(889.6, abs=0.5)
     nodes = {r.id: r.geom for r in made(spark, tmp_path, "preparation", "overture_connectors", values).collect()}
     assert nodes[out["s_sub_2"].source] == (0.0, 0.012) and nodes[out["t_clip_1"].target].y == pytest.approx(0.01)
+
+
+def test_network_migration_of_nodes_and_edges(spark, tmp_path):
+    node, edge = "id long, scenario_id long", "id long, source long, target long, geom array<struct<x:double,y:double>>, scenario_id long"
+    line = lambda x: [(x, 0.0), (x + 0.5, 0.0)]
+    tables = {
+        "old_node": ([(1, None), (2, None), (50, 7)], node), "new_node": ([(1, None), (2, None), (3, None), (4, None), (5, None)], node),
+        "old_edge": ([(10, 1, 2, line(0.0), None), (90, 1, 50, line(0.0), 7)], edge), "new_edge": ([(10, 1, 2, line(0.0), None), (11, 2, 3, line(0.5), None), (12, 4, 5, line(70.0), None)], edge),
+        "areas": ([(1, [[(-1.0, -1.0), (3.0, -1.0), (3.0, 1.0), (-1.0, 1.0), (-1.0, -1.0)]])], "id long, geom array<array<struct<x:double,y:double>>>"),
+        "way_modified": ([(7,), (7,), (9,), (None,)], "scenario_id long"),
+    }
+    for name, (rows, kind) in tables.items():
+        spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / f"in/{name}"))
+    cli.run(spark, "migration", "networks", cli.Settings(str(tmp_path / "in"), str(tmp_path / "out"), {"cell": 2.0, "modified": "way_modified"}))
+    ids = lambda name, column="id": sorted(r[0] for r in spark.read.parquet(str(tmp_path / f"out/{name}")).select(column).collect())
+    assert (ids("node"), ids("edge"), ids("scenario", "scenario_id")) == ([1, 2, 3], [10, 11], [7, 9])
+    spark.createDataFrame([(1,)], "id long").write.parquet(str(tmp_path / "bad/new_node"))
+    for name in ("old_node", "old_edge", "new_edge"):
+        spark.createDataFrame(*tables[name]).write.parquet(str(tmp_path / f"bad/{name}"))
+    with pytest.raises(ValueError, match="schemas differ"):
+        cli.run(spark, "migration", "networks", cli.Settings(str(tmp_path / "bad"), str(tmp_path / "other"), {}))
+    assert not (tmp_path / "other").exists()

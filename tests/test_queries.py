@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from geoloom.plans import queries as q
-from geoloom.plans import queries_more, queries_tables  # noqa: F401
+from geoloom.plans import queries_more, queries_sources, queries_tables  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents".split()

@@ -244,6 +244,15 @@ def reconciled(a: Column, b: Column, c: Column | None = None) -> Column:
     return F.when(single, a).when(a == b, a).when(a.isin(0, 2) & (b == 1), 1).when((a == 1) & b.isin(0, 2), 1).otherwise(0)
 
 
+def footprints(surfaces: DataFrame, key: str, cell: float, least_hole: float = 1.0, height: str = "height", geom: str = "geom") -> DataFrame:
+    """(key, geom array of polygons, height, building_levels): the outline of each building's surfaces, small holes closed, its
+    greatest height and the levels that it gives. A building without surfaces is left out."""
+    outline = dissolved(surfaces, key, cell, geom, least_hole=least_hole)
+    tallest = surfaces.groupBy(F.col(key).alias("tallest_of")).agg(F.max(height).alias(height))
+    joined = outline.join(tallest, F.col(key).eqNullSafe(F.col("tallest_of"))).drop("tallest_of")
+    return joined.withColumn("building_levels", ft.storeys(F.col(height)))
+
+
 def disaggregated(buildings: DataFrame, areas: DataFrame, area_id: str = "sub_study_area_id", weight: str = "gross_floor_area_residential") -> DataFrame:
     """Population of each area shared among its buildings by floor area."""
     rows = buildings.join(areas.select(F.col("id").alias(area_id), "population"), area_id)

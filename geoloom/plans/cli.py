@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import collections as fc
 from geoloom.operators import buildings, networks, poi, relational, selection, transit
-from geoloom.sources import readers, writers
+from geoloom.sources import map_extracts, readers, writers
 
 ACTIONS = ("collection", "preparation", "fusion", "export", "migration")
 
@@ -33,6 +33,37 @@ class Settings:
         return cls(raw.pop("source"), raw.pop("target"), raw)
 
 
+def collect_gtfs(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
+    """A feed's text files as typed tables with cells, and their problems: rows (rule, keys) of repeated keys and dead links."""
+    feed = readers.read_gtfs(spark, s.source, float(s.values.get("cell", 0.1)), tuple(s.values.get("tables", readers.GTFS)))
+    problems = None
+    for rule, rows in readers.feed_problems(feed).items():
+        found = rows.select(F.lit(rule).alias("rule"), F.to_json(F.struct("*")).alias("keys"))
+        problems = found if problems is None else problems.unionAll(found)
+    return feed if problems is None else feed | {"problems": problems}
+
+
+def collect_theme(spark: SparkSession, s: Settings) -> DataFrame:
+    """One type of a theme inside a box (`box` with xmin, ymin, xmax, ymax), nested columns as JSON."""
+    return readers.flattened(readers.read_theme(spark, s.source, s.values["theme"], s.values["type"], s.values.get("box")))
+
+
+def collect_extract(spark: SparkSession, s: Settings) -> dict[str, DataFrame]:
+    """Points, lines, closed outlines and relations of a map extract that have one of the tags (`filters`), with tags as columns
+    (`columns`); with `outline`, a table with one polygon, only objects with a node inside."""
+    extract = map_extracts.read_extract(spark, s.source)
+    if "outline" in s.values:
+        extract = map_extracts.cropped(extract, spark.read.parquet(s.values["outline"]), float(s.values.get("cell", 0.01)))
+    wanted = lambda rows: readers.promoted(readers.tagged(rows, s.values["filters"]), s.values.get("columns", []))
+    ways = map_extracts.with_lines(extract)
+    return {
+        "point": wanted(extract.where("kind = 'node'").select("id", "tags", "x", "y")),
+        "line": wanted(ways.where("not closed").drop("closed")),
+        "polygon": wanted(ways.where("closed").select("id", "tags", F.array("line").alias("geom"))),
+        "relation": wanted(extract.where("kind = 'relation'").select("id", "tags", "members")),
+    }
+
+
 def prepare_gtfs(spark: SparkSession, s: Settings) -> DataFrame:
     """Feed to stop times of the trips that run on modal days."""
     feed = readers.read_gtfs(spark, s.source)
@@ -216,6 +247,9 @@ def migrate(spark: SparkSession, s: Settings) -> DataFrame:
 
 
 DATASETS: dict[tuple[str, str], Callable[[SparkSession, Settings], DataFrame]] = {
+    ("collection", "gtfs"): collect_gtfs,
+    ("collection", "overture"): collect_theme,
+    ("collection", "extract"): collect_extract,
     ("preparation", "gtfs"): prepare_gtfs,
     ("preparation", "poi"): prepare_poi,
     ("preparation", "population"): prepare_population,

@@ -159,6 +159,53 @@ def overture_segments(spark, sf_dir):
     return out.select("id", "name", "source", "target", "class_", "impedance_surface", "maxspeed_forward", F.round("length_3857", 3).alias("length_3857"), "fine_x", "coarse_x")
 
 
+@query("""
+SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 16.0 ELSE 16.0 - 2.25 END::DOUBLE AS area, CASE WHEN s_suppkey % 2 = 0 THEN 0 ELSE 1 END AS holes, (s_suppkey % 5 * 3 + 2)::DOUBLE AS height, CASE WHEN s_suppkey % 5 * 3 + 2 > 3.5 THEN floor((s_suppkey % 5 * 3 + 2) / 3.5) ELSE 1 END::INTEGER AS levels FROM supplier
+""")
+def building_footprints(spark, sf_dir):
+    """Outlines of four surfaces around a gap, which is closed where it is small, with height and levels (BLD-10, AG-14)."""
+    s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")
+    k, x, y = F.col("s_suppkey"), F.round(F.col("x")), F.round(F.col("y"))
+    gap = F.when(k % 2 == 0, 0.5).otherwise(1.5)
+    low, high = 2 - gap / 2, 2 + gap / 2
+    sides = [(x, y, F.lit(4.0), low), (x, y + high, F.lit(4.0), 4 - high), (x, y, low, F.lit(4.0)), (x + high, y, 4 - high, F.lit(4.0))]
+    parts = F.explode(F.array(*[F.struct(F.array(_box(*side)).alias("geom"), (k % 5 * 3 + 2 - i).cast("double").alias("height")) for i, side in enumerate(sides)]))
+    out = buildings.footprints(s.select("s_suppkey", parts.alias("p")).select("s_suppkey", "p.*"), "s_suppkey", 8.0)
+    return out.select("s_suppkey", F.round(overlay.total_area(F.col("geom")), 6).alias("area"), (F.size(F.flatten("geom")) - F.size("geom")).alias("holes"), "height", F.col("building_levels").cast("int").alias("levels"))
+
+
+@query("""
+SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_nationkey % 5 <> 0 AND c_custkey NOT IN (SELECT s_suppkey FROM supplier) UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey % 5 <> 0)
+UNION ALL SELECT c_custkey, c_name FROM customer JOIN supplier ON s_suppkey = c_custkey WHERE c_nationkey % 5 <> 0
+""")
+def replaced_buildings(spark, sf_dir):
+    """Rows outside the replaced states, and the new ones whose id isn't taken (BLD-11)."""
+    old = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), (F.col("c_nationkey") % 5 == 0).alias("inside"))
+    new = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    return buildings.replaced_inside(old, new, "id", F.col("inside")).select("id", "name")
+
+
+@query(f"""WITH {AREAS}, e0 AS (SELECT c_custkey AS k, x, y FROM c), hit AS (SELECT DISTINCT k FROM e0 JOIN a ON e0.x BETWEEN a.x AND a.x + 200 AND e0.y BETWEEN a.y AND a.y + 200),
+ways AS (SELECT o_orderkey AS k, [o_custkey, o_custkey % 7 + 1] AS refs FROM orders), w AS (SELECT k, refs FROM ways WHERE refs[1] IN (FROM hit) OR refs[2] IN (FROM hit)),
+taken AS (FROM hit UNION SELECT unnest(refs) FROM w)
+SELECT 'node' AS kind, count(*) AS n, sum(k)::BIGINT AS ids FROM taken UNION ALL SELECT 'way', count(*), sum(k)::BIGINT FROM w
+UNION ALL SELECT 'relation', count(*), sum(n_nationkey)::BIGINT FROM nation WHERE n_nationkey + 1 IN (FROM taken)
+""")
+def cropped_extract(spark, sf_dir):
+    """Nodes inside areas, ways with one of them and all their nodes, relations with such a member (NET-18, SRC-09)."""
+    from geoloom.sources import map_extracts
+
+    c = _whole(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey")
+    none = lambda name, kind: F.lit(None).cast(kind).alias(name)
+    tags, refs, members = none("tags", "map<string,string>"), none("refs", "array<bigint>"), none("members", "array<struct<kind:string,id:bigint,role:string>>")
+    nodes = c.select(F.lit("node").alias("kind"), F.col("c_custkey").alias("id"), tags, "x", "y", refs, members)
+    ways = table(spark, sf_dir, "orders").select(F.lit("way").alias("kind"), F.col("o_orderkey").alias("id"), tags, none("x", "double"), none("y", "double"), F.array("o_custkey", F.col("o_custkey") % 7 + 1).alias("refs"), members)
+    member = F.array(F.struct(F.lit("node").alias("kind"), (F.col("n_nationkey").cast("long") + 1).alias("id"), F.lit("").alias("role")))
+    relations = table(spark, sf_dir, "nation").select(F.lit("relation").alias("kind"), F.col("n_nationkey").cast("long").alias("id"), tags, none("x", "double"), none("y", "double"), refs, member.alias("members"))
+    out = map_extracts.cropped(nodes.unionByName(ways).unionByName(relations), _areas(spark, sf_dir), 50.0)
+    return out.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
 @query(f"""WITH {AREAS}, b0 AS (SELECT s_suppkey, s_nationkey, {XY.format(k="s_suppkey")} FROM supplier), b AS (SELECT s_suppkey, s_nationkey, {WHOLE.format(t="b0")} FROM b0),
 m AS (SELECT s_suppkey, s_nationkey, (SELECT count(*) FROM c WHERE c.x BETWEEN b.x AND b.x + 60 AND c.y BETWEEN b.y AND b.y + 60) AS n,
   (SELECT least(1, sum(greatest(0, least(b.x + 60, a.x + 200) - greatest(b.x, a.x)) * greatest(0, least(b.y + 60, a.y + 200) - greatest(b.y, a.y))) / 3600.0) FROM a) AS share FROM b),

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from geoloom.operators.lineage import checkpointed
+from geoloom.operators.spatial_joins import points_in_polygons
+
 SCHEMA = "kind string, id long, tags map<string,string>, x double, y double, refs array<long>, members array<struct<kind:string,id:long,role:string>>"
 MEMBERS = pa.list_(pa.struct([("kind", pa.string()), ("id", pa.int64()), ("role", pa.string())]))
 ARROW = pa.schema([("kind", pa.string()), ("id", pa.int64()), ("tags", pa.map_(pa.string(), pa.string())), ("x", pa.float64()), ("y", pa.float64()), ("refs", pa.list_(pa.int64())), ("members", MEMBERS)])
@@ -215,3 +218,19 @@ def with_lines(extract: DataFrame) -> DataFrame:
     lines = steps.groupBy(F.col("id").alias("way_id")).agg(F.array_sort(F.collect_list(F.struct("i", "p"))).alias("steps"))
     closed = (F.size("refs") > 3) & (F.get("refs", F.lit(0)) == F.element_at("refs", -1))
     return ways.join(lines, F.col("id") == F.col("way_id"), "left").select("id", "tags", F.coalesce(F.col("steps.p"), F.array().cast("array<struct<x:double,y:double>>")).alias("line"), closed.alias("closed"))
+
+
+def cropped(extract: DataFrame, outline: DataFrame, cell: float) -> DataFrame:
+    """The part of an extract that an area (polygons `geom`) takes: nodes inside, ways with one of them, whole, with all their
+    nodes, and relations with one of these nodes or ways among their members."""
+    nodes, ways, relations = (extract.where(F.col("kind") == k) for k in KINDS)
+    inside = checkpointed(points_in_polygons(nodes.select("id", "x", "y"), outline, cell, how="left_semi").select(F.col("l.id").alias("near_id")).distinct())
+    links = ways.select("id", F.explode("refs").alias("ref"))
+    taken = links.join(inside, F.col("ref") == F.col("near_id"), "left_semi").select(F.col("id").alias("way_id")).distinct()
+    kept = checkpointed(ways.join(taken, F.col("id") == F.col("way_id"), "left_semi"))
+    of_ways = kept.select(F.explode("refs").alias("near_id"))
+    held = nodes.join(inside.unionAll(of_ways).distinct(), F.col("id") == F.col("near_id"), "left_semi")
+    ids = held.select("kind", "id").unionAll(kept.select("kind", "id")).select(F.col("kind").alias("own_kind"), F.col("id").alias("own_id"))
+    members = relations.select("id", F.explode("members").alias("m")).select("id", "m.kind", F.col("m.id").alias("member"))
+    met = members.join(ids, (F.col("kind") == F.col("own_kind")) & (F.col("member") == F.col("own_id")), "left_semi").select(F.col("id").alias("relation_id")).distinct()
+    return held.unionByName(kept).unionByName(relations.join(met, F.col("id") == F.col("relation_id"), "left_semi"))

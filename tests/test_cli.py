@@ -139,3 +139,19 @@ def test_network_migration_of_nodes_and_edges(spark, tmp_path):
     with pytest.raises(ValueError, match="schemas differ"):
         cli.run(spark, "migration", "networks", cli.Settings(str(tmp_path / "bad"), str(tmp_path / "other"), {}))
     assert not (tmp_path / "other").exists()
+
+
+def test_collected_feed_and_theme(spark, tmp_path):
+    files = {"stops": "stop_id,stop_name,stop_lat,stop_lon,parent_station\na,A,48.1,11.5,zz\na,A,48.1,11.5,\n", "routes": "route_id,route_type\nr,3\n", "trips": "trip_id,route_id,service_id\nt,x,s\n"}
+    (tmp_path / "in").mkdir()
+    for name, body in files.items():
+        (tmp_path / f"in/{name}.txt").write_text(body, encoding="utf-8")
+    cli.run(spark, "collection", "gtfs", cli.Settings(str(tmp_path / "in"), str(tmp_path / "out"), {"tables": ["stops", "routes", "trips"]}))
+    read = lambda name: spark.read.parquet(str(tmp_path / f"out/{name}")).collect()
+    assert [(r.stop_id, r.stop_lat, r.cell.cx) for r in read("stops")] == [("a", 48.1, 115)] * 2 and read("trips")[0].service_id == "s"
+    assert sorted(r.rule for r in read("problems")) == ["stops.parent_station: no such stops", "stops: repeated key", "trips.route_id: no such routes"]
+    kind = "id string, names struct<primary:string>, bbox struct<xmin:double,xmax:double,ymin:double,ymax:double>"
+    spark.createDataFrame([("p", ("P",), (1.0, 1.0, 1.0, 1.0)), ("q", ("Q",), (5.0, 5.0, 1.0, 1.0))], kind).write.parquet(str(tmp_path / "lake/theme=places/type=place"))
+    values = {"theme": "places", "type": "place", "box": {"xmin": 0, "ymin": 0, "xmax": 2, "ymax": 2}}
+    cli.run(spark, "collection", "overture", cli.Settings(str(tmp_path / "lake"), str(tmp_path / "places"), values))
+    assert [(r.id, r.names) for r in spark.read.parquet(str(tmp_path / "places")).collect()] == [("p", '{"primary":"P"}')]

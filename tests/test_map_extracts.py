@@ -85,3 +85,18 @@ def test_packing_that_is_not_read(spark, tmp_path):
         m.read_extract(spark, str(tmp_path / "y.pbf")).collect()
     (tmp_path / "z.pbf").write_bytes(b"")
     assert m.read_extract(spark, str(tmp_path / "z.pbf")).collect() == []
+
+
+def test_collected_extract(spark, extract, tmp_path):
+    from geoloom.plans import cli
+
+    values = {"filters": {"highway": True, "amenity": ["Café"], "name": True}, "columns": ["highway", "name"]}
+    cli.run(spark, "collection", "extract", cli.Settings(extract, str(tmp_path / "out"), values))
+    back = {n: spark.read.parquet(str(tmp_path / f"out/{n}")).collect() for n in ("point", "line", "polygon", "relation")}
+    assert sorted((r.id, r.highway, r.name) for r in back["point"]) == [(-7, None, None), (5, None, "Café"), (10_000_000_000, "path", None)]
+    assert back["line"] == [] and [(r.id, r.highway, len(r.geom[0])) for r in back["polygon"]] == [(77, "path", 4)]
+    assert [(r.id, r.name) for r in back["relation"]] == [(88, "Café")]
+    corner = [[(10.0, 47.0), (12.0, 47.0), (12.0, 49.0), (10.0, 49.0), (10.0, 47.0)]]
+    spark.createDataFrame([(corner,)], "geom array<array<struct<x:double,y:double>>>").write.parquet(str(tmp_path / "area"))
+    part = m.cropped(m.read_extract(spark, extract), spark.read.parquet(str(tmp_path / "area")), 0.5)
+    assert sorted((r.kind, r.id) for r in part.collect()) == [("node", 3), ("node", 5), ("node", 10_000_000_000), ("relation", 88), ("way", 77)]

@@ -437,6 +437,21 @@ def union_of(shapes: Column) -> Column:
     return run(shapes)
 
 
+def merged(shapes: Column, clean: bool) -> Column:
+    """The rings of the union of an array of shapes; with `clean` a single shape stays as it is."""
+
+    @F.arrow_udf("array<array<struct<x:double,y:double>>>")
+    def run(lists: pa.Array) -> pa.Array:
+        out = []
+        for found in split_at(shapes_of(lists.flatten()), lists.value_lengths()):
+            known = [x for x in found if x is not None]
+            polygons = [known[0]] if clean and len(known) == 1 else united(known)
+            out.append([ring for polygon in as_value(polygons) for ring in polygon])
+        return pa.array(out, POLYGON_TYPE)
+
+    return run(shapes)
+
+
 def without_small(polygons: Column, least: float, least_hole: float = 0.0) -> Column:
     """Polygons of at least an area, without their holes under one."""
     whole = F.transform(polygons, lambda p: F.filter(p, lambda ring, i: (i == 0) | (ring_area(ring) >= least_hole)))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from geoloom.functions import text as ft
 from geoloom.functions.cells import grid_cover, hilbert_key
 from geoloom.functions.geometry import area, envelope, envelopes_meet, point, ring_area_metres
-from geoloom.functions.overlay import POLYGON_TYPE, Ring, as_value, buffered, clipped, is_convex, overlaid, overlay, ring_size, rings_of, shape_area, shapes_of, total_area, union_of, voronoi, without_small
+from geoloom.functions.overlay import POLYGON_TYPE, Ring, as_value, buffered, clipped, is_convex, merged, overlaid, overlay, ring_size, rings_of, shape_area, shapes_of, total_area, union_of, voronoi, without_small
 from geoloom.functions.text import free_name
 from geoloom.operators.relational import allocated, numbered
 from geoloom.operators.spatial_joins import points_in_polygons
@@ -73,6 +73,7 @@ def classified(rows: DataFrame, rules: Sequence[Mapping], tables: Mapping[str, D
     Rules, in order: {"attribute": column, "values": [...]}, {"points": table, "count": n} (n points inside at least; 0:
     none), {"polygons": table, "share": s}, each with a "status". `subtract` names a table of points, each of which takes a
     level. Buildings without a shape match attributes only and have no areas. Areas are metres of outlines in degrees.
+    `cell` is about as wide as the polygons that rules name; points meet buildings in cells of a sixteenth.
     """
     out, made, tried = rows, [], []
     for i, rule in enumerate(rules):
@@ -83,14 +84,14 @@ def classified(rows: DataFrame, rules: Sequence[Mapping], tables: Mapping[str, D
         name = free_name(out.columns, f"rule_{i}")
         made.append(name)
         if "points" in rule:
-            out = with_point_count(out, tables[rule["points"]], name, cell, key)
+            out = with_point_count(out, tables[rule["points"]], name, cell / 16, key)
             tried.append(Rule(f"points:{rule['points']}", point_rule(name, rule["count"]).condition, status))
         else:
             out = with_covered_share(out, tables[rule["polygons"]], name, cell, key)
             tried.append(Rule(f"share:{rule['polygons']}", share_rule(name, rule["share"]).condition, status))
     out = first_rule(out, tried)
     taken = free_name(out.columns, "levels_taken")
-    out = with_point_count(out, tables[subtract], taken, cell, key) if subtract else out.withColumn(taken, F.lit(0))
+    out = with_point_count(out, tables[subtract], taken, cell / 16, key) if subtract else out.withColumn(taken, F.lit(0))
     holes = F.slice("geom", 2, F.greatest(F.size("geom") - 1, F.lit(0)))
     metres = ring_area_metres(F.get("geom", F.lit(0))) - F.aggregate(holes, F.lit(0.0), lambda t, r: t + ring_area_metres(r))
     return floor_area(residential_levels(out, taken).withColumn("area", metres)).drop(taken, *made)
@@ -184,12 +185,12 @@ def overlaps(a: DataFrame, b: DataFrame, a_id: str, b_id: str, cell: float, geom
     return _near(a, b, a_id, b_id, cell, geom).mapInArrow(_shares, kinds).where("overlap > 0")
 
 
-def covered(a: DataFrame, b: DataFrame, a_id: str, category: str, cell: float, geom: str = "geom", b_id: str = "id") -> DataFrame:
+def covered(a: DataFrame, b: DataFrame, a_id: str, category: str, cell: float, geom: str = "geom") -> DataFrame:
     """(a_id, category, overlap): area of each polygon that all polygons of a category cover together, so that what two of
-    them cover counts once."""
-    kinds = b.select(F.col(b_id).alias("b_id"), F.col(category).alias(category)).distinct()
-    shared = _near(a, b, a_id, b_id, cell, geom).select("a_id", "b_id", rings_of(overlaid(F.col("shape_a"), F.col("shape_b"))).alias("part"))
-    found = shared.where(F.size("part") > 0).join(kinds, "b_id").repartition(_tasks(a), "a_id", category).groupBy("a_id", category).agg(F.collect_list("part").alias("parts"))
+    them cover counts once. Equal polygons of a category meet once, equal parts are united once."""
+    kinds = b.select(category, geom).distinct()
+    shared = _near(a, kinds, a_id, category, cell, geom).select("a_id", F.col("b_id").alias(category), rings_of(overlaid(F.col("shape_a"), F.col("shape_b"))).alias("part"))
+    found = shared.where(F.size("part") > 0).repartition(_tasks(a), "a_id", category).groupBy("a_id", category).agg(F.collect_set("part").alias("parts"))
     return found.select(F.col("a_id").alias(a_id), category, total_area(union_of(F.col("parts"))).alias("overlap"))
 
 
@@ -213,10 +214,10 @@ def dissolved(rows: DataFrame, group: str, cell: float, geom: str = "geom", fan:
         width = max(high_x - low_x, high_y - low_y)
     parts = parts.withColumn("salt", F.pmod(F.xxhash64("shape"), F.lit(salts)))
 
-    def joined(rows: DataFrame, *keys: str) -> DataFrame:
-        return rows.repartition(_tasks(rows), group, *keys).groupBy(group, *keys).agg(F.collect_list("shape").alias("shapes")).select(group, *keys, rings_of(union_of(F.col("shapes"))).alias("shape"))
+    def joined(rows: DataFrame, *keys: str, clean: bool = True) -> DataFrame:
+        return rows.repartition(_tasks(rows), group, *keys).groupBy(group, *keys).agg(F.collect_list("shape").alias("shapes")).select(group, *keys, merged(F.col("shapes"), clean).alias("shape"))
 
-    now = joined(parts, "cx", "cy", "salt")
+    now = joined(parts, "cx", "cy", "salt", clean=False)
     while salts > 1:
         salts //= fan
         now = joined(now.withColumn("salt", F.floor(F.col("salt") / fan)), "cx", "cy", "salt")

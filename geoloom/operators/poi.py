@@ -274,7 +274,8 @@ def matching_key(source: Column, extended: Column) -> Column:
 
 
 def in_area(points: DataFrame, areas: DataFrame, cell: float, rule: str = "rule") -> DataFrame:
-    """Points that lie in a subscribed area and in no excluded one; `cell` is about as wide as the areas."""
+    """Points that lie in a subscribed area and in no excluded one; `cell` is the least width of the cells
+    that cover areas, a small part of theirs."""
     yes = points_in_polygons(points, areas.where(F.col(rule) == "subscribe"), cell, how="left_semi").select("l.*")
     return points_in_polygons(yes, areas.where(F.col(rule) == "exclude"), cell, how="left_anti").select("l.*")
 

@@ -224,7 +224,7 @@ def classified_buildings(spark, sf_dir):
 @query("SELECT s_suppkey, true AS small, round(20 * 2 * sin(pi() / 20) - 0.25, 6) AS area, 1 AS holes FROM supplier")
 def subdivided_polygons(spark, sf_dir):
     """Stars of forty corners around a square hole, in pieces of twenty corners at most, which cover them (GEO-17)."""
-    s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")
+    s = _spread(coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey"))
     far = lambda i: 1 + i % 2
     angle = lambda i: i * F.lit(3.141592653589793) / 20
     ring = F.transform(F.sequence(F.lit(0), F.lit(40)), lambda i: geo.point(F.col("x") + far(i) * F.cos(angle(i)), F.col("y") + far(i) * F.sin(angle(i))))
@@ -240,10 +240,16 @@ def _box(x, y, width, height):
     return F.array(geo.point(x, y), geo.point(x + width, y), geo.point(x + width, y + height), geo.point(x, y + height), geo.point(x, y))
 
 
+def _spread(rows):
+    """Rows of a small table over as many partitions as a shuffle has: each takes long."""
+    return rows.repartition(max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _frames_and_combs(spark, sf_dir):
-    """Square frames, 4 wide with a hole of 2, and combs of three teeth that lie over them in different places, in halves."""
-    s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")
-    k, x, y = F.col("s_suppkey"), F.round(F.col("x")), F.round(F.col("y"))
+    """Square frames, 4 wide with a hole of 2, each with a comb of three teeth that lies over it somewhere, in halves; no other
+    comb comes near it."""
+    s = _spread(coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey"))
+    k, x, y = F.col("s_suppkey"), F.round(F.col("x")) + F.col("s_suppkey") * 32.0, F.round(F.col("y"))
     a, b = x + (k % 9 - 4) / 2.0, y + (k % 7 - 3) / 2.0
     corners = [(0, 0), (5, 0), (5, 4), (4, 4), (4, 1), (3, 1), (3, 4), (2, 4), (2, 1), (1, 1), (1, 4), (0, 4), (0, 0)]
     comb = F.array(*[geo.point(a + u, b + v) for u, v in corners])
@@ -268,7 +274,7 @@ def concave_overlaps(spark, sf_dir):
     """Shares of concave polygons with holes that meet by cell (JN-16, BLD-04)."""
     rows = _frames_and_combs(spark, sf_dir)
     out = buildings.overlaps(rows.select("s_suppkey", F.col("frame").alias("geom")), rows.select("s_suppkey", F.col("comb").alias("geom")), "s_suppkey", "s_suppkey", 4.0)
-    return out.where("a_id = b_id").select(F.col("a_id").alias("s_suppkey"), "b_id", F.round("overlap", 6).alias("overlap"))
+    return out.select(F.col("a_id").alias("s_suppkey"), "b_id", F.round("overlap", 6).alias("overlap"))
 
 
 SQUARES = f"""c0 AS (SELECT c_custkey, c_nationkey, c_custkey % 3 AS kind, {XY.format(k="c_custkey")} FROM customer),
@@ -303,16 +309,16 @@ def covered_by_category(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT s_suppkey, 0.25 + s_suppkey % 4 / 4.0 AS d FROM supplier)
-SELECT s_suppkey, round(12 + 14 * d + 16 * sin(pi() / 16) * d * d, 6) AS block, round(8 + 14 * d + 1.25 * 16 * sin(pi() / 16) * d * d - d * d, 6) AS corner FROM s
+WITH s AS (SELECT s_suppkey, 0.25 + s_suppkey // 2 % 4 / 4.0 AS d FROM supplier)
+SELECT s_suppkey, round(CASE WHEN s_suppkey % 2 = 0 THEN 14 * d + 16 * sin(pi() / 16) * d * d ELSE 14 * d + 1.25 * 16 * sin(pi() / 16) * d * d - d * d END, 6) AS grown FROM s
 """)
 def buffered_polygons(spark, sf_dir):
-    """Surroundings of a rectangle and of a concave corner, with round corners of eight chords a quarter (GEO-09, GTF-14)."""
-    s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").withColumn("d", 0.25 + F.col("s_suppkey") % 4 / 4.0)
+    """What rectangles and concave corners grow by with round corners of eight chords a quarter (GEO-09, GTF-14)."""
+    s = _spread(coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")).withColumn("d", 0.25 + F.floor(F.col("s_suppkey") / 2) % 4 / 4.0)
     x, y = F.col("x"), F.col("y")
-    corner = F.array(*[geo.point(x + u, y + v) for u, v in ((0, 0), (4, 0), (4, 1), (1.333333333333333333, 1), (1.333333333333333333, 3), (0, 3), (0, 0))])
-    size = lambda shape: F.round(overlay.total_area(overlay.buffered(shape, F.col("d"))), 6)
-    return s.select("s_suppkey", size(F.array(_box(x, y, 4, 3))).alias("block"), F.round(overlay.total_area(overlay.buffered(F.array(corner), F.col("d"))) - geo.ring_area(corner) + 8, 6).alias("corner"))
+    corner = F.array(*[geo.point(x + u, y + v) for u, v in ((0, 0), (4, 0), (4, 1), (1, 1), (1, 3), (0, 3), (0, 0))])
+    shape = F.array(F.when(F.col("s_suppkey") % 2 == 0, _box(x, y, 4, 3)).otherwise(corner))
+    return s.select("s_suppkey", F.round(overlay.total_area(overlay.buffered(shape, F.col("d"))) - geo.area(shape), 6).alias("grown"))
 
 
 @query("""
@@ -321,7 +327,7 @@ SELECT s_suppkey, round(CASE WHEN gap <= 0.5 THEN 2 * gap ELSE 2 * 0.5 END, 6) A
 """)
 def snapped_polygons(spark, sf_dir):
     """How far squares grow across a gap towards a wall that surrounds them on the other sides (UTL-03)."""
-    s = coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey").withColumn("gap", 0.25 + F.col("s_suppkey") % 4 / 4.0)
+    s = _spread(coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")).withColumn("gap", 0.25 + F.col("s_suppkey") % 4 / 4.0)
     x, y, gap = F.col("x"), F.col("y"), F.col("gap")
     wall = F.array(_box(x - 3, y - 3, gap + 8, F.lit(8.0)), _box(x, y, gap + 2, F.lit(2.0)))
     own = F.array(_box(x, y, F.lit(2.0), F.lit(2.0)))

@@ -50,3 +50,11 @@ def forget(rows: DataFrame) -> None:
     if file is not None and file.isDefined():
         where = spark._jvm.org.apache.hadoop.fs.Path(file.get())
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def spread_if_small(rows: DataFrame, most_bytes: int = 64 << 20) -> DataFrame:
+    """Rows dealt to as many partitions as a shuffle has, where Spark's estimate of them is small: a small table is often one
+    file, whose work would be one task's. Larger ones stay where they are."""
+    if int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > most_bytes:
+        return rows
+    return rows.repartition(max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))

@@ -10,7 +10,7 @@ from geoloom.functions.cells import grid_around, grid_cell
 from geoloom.functions.geometry import in_polygon
 from geoloom.functions.overlay import shapes_of
 from geoloom.functions.predicates import cover_of
-from geoloom.operators.lineage import checkpointed
+from geoloom.operators.lineage import checkpointed, spread_if_small
 
 
 def within_distance(left: DataFrame, right: DataFrame, radius: float, left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y"), how: str = "inner", also: Column | None = None, spread: bool = False) -> DataFrame:
@@ -83,7 +83,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, poly
     cover = checkpointed(shapes.repartition(tasks, "outline").select("outline", F.explode(covered_cells(F.col("shape"), cell, most)).alias("c")).select("outline", "c.*"))
     levels = sorted(r.level for r in cover.select("level").distinct().collect())
     own = F.array(*[F.struct(F.lit(k).alias("level"), F.floor(x / (cell * 2.0**k)).alias("cx"), F.floor(y / (cell * 2.0**k)).alias("cy")) for k in levels]) if levels else F.array().cast("array<struct<level:int,cx:bigint,cy:bigint>>")
-    rows = points.select(F.struct("*").alias("l")).withColumn("number", F.monotonically_increasing_id())
+    rows = spread_if_small(points.select(F.struct("*").alias("l"))).withColumn("number", F.monotonically_increasing_id())
     inside = F.col("whole") | in_polygon(F.struct(x.alias("x"), y.alias("y")), F.col(f"r.{polygon}"))
     if how == "inner":
         near = rows.withColumn("at", F.explode(own)).select("l", "at.*").join(cover, ["level", "cx", "cy"]).select("l", "outline", "whole")

@@ -43,7 +43,7 @@ def slope_profile(segments: DataFrame, pixels: DataFrame, radius: float, key: st
     at = F.posexplode(slope_points(F.col(line), F.col(metres), interval)).alias("i", "p")
     samples = segments.select(F.col(key).alias("k"), at).select(F.struct("k", "i").alias("sample"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
     heights = idw(samples, pixels, radius, "sample", pixel_id, value, name="height")
-    found = heights.groupBy(F.col("sample.k").alias("profile_key")).agg(F.array_sort(F.collect_list(F.struct("sample.i", "height"))).alias("profile"))
+    found = heights.groupBy(F.col("sample.k").alias("profile_key")).agg(F.array_sort(F.collect_set(F.struct("sample.i", "height"))).alias("profile"))
     joined = segments.join(found, segments[key] == F.col("profile_key"), "left")
     whole = F.size("profile") == F.size(sample_distances(F.col(metres), interval))
     effort = F.when(whole, impedance(F.col("profile.height"), F.col(metres), interval))

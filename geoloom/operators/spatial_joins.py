@@ -36,12 +36,34 @@ def ranked_partners(pairs: DataFrame, key: Column, order: list[Column], most: in
     return pairs.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rank") <= most)
 
 
+def _places(rows: DataFrame, xy: tuple[str, str]) -> DataFrame:
+    """The different points (x, y) of rows."""
+    return rows.select(*[F.col(c).alias(n) for c, n in zip(xy, "xy", strict=True)]).where("x is not null and y is not null").distinct()
+
+
+def _at_places(left: DataFrame, found: DataFrame, xy: tuple[str, str], how: str = "inner") -> DataFrame:
+    """Left rows as `l` with what was found for their point (place_x, place_y)."""
+    here = (F.col(f"l.{xy[0]}") == F.col("place_x")) & (F.col(f"l.{xy[1]}") == F.col("place_y"))
+    return left.select(F.struct("*").alias("l")).join(found, here, how).drop("place_x", "place_y")
+
+
+def _nearest_of_places(left: DataFrame, right: DataFrame, radius: float, right_id: str, most: int, left_xy: tuple[str, str], right_xy: tuple[str, str]) -> DataFrame:
+    """(place_x, place_y, r, distance, rank): the `most` nearest right rows of each different point of the left side.
+
+    Rows at one point have the same partners, and of right rows at one point only the first `most` ids can be among
+    them: points are compared once, however many rows share them.
+    """
+    first = ranked_partners(right.select(F.struct("*").alias("r")), F.struct(*[F.col(f"r.{c}") for c in right_xy]), [F.col(f"r.{right_id}")], most)
+    first = first.select("r", F.col(f"r.{right_xy[0]}").alias("x"), F.col(f"r.{right_xy[1]}").alias("y"))
+    pairs = within_distance(_places(left, left_xy), first, radius)
+    d = F.sqrt(F.pow(F.col("l.x") - F.col("r.x"), 2) + F.pow(F.col("l.y") - F.col("r.y"), 2))
+    pairs = pairs.select(F.col("l.x").alias("place_x"), F.col("l.y").alias("place_y"), F.col("r.r").alias("r"), d.alias("distance"))
+    return ranked_partners(pairs, F.struct("place_x", "place_y"), [F.col("distance"), F.col(f"r.{right_id}")], most)
+
+
 def nearest(left: DataFrame, right: DataFrame, radius: float, left_id: str, right_id: str, most: int = 1, left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y")) -> DataFrame:
     """(l, r, distance, rank): the `most` nearest right rows within `radius` of each left row; equal distances go by id."""
-    pairs = within_distance(left, right, radius, left_xy, right_xy)
-    d = F.sqrt(F.pow(F.col(f"l.{left_xy[0]}") - F.col(f"r.{right_xy[0]}"), 2) + F.pow(F.col(f"l.{left_xy[1]}") - F.col(f"r.{right_xy[1]}"), 2))
-    pairs = pairs.withColumn("distance", d)
-    return ranked_partners(pairs, F.col(f"l.{left_id}"), [F.col("distance"), F.col(f"r.{right_id}")], most)
+    return _at_places(left, _nearest_of_places(left, right, radius, right_id, most, left_xy, right_xy), left_xy)
 
 
 def without_near(left: DataFrame, right: DataFrame, radius: float, left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y"), also: Column | None = None, spread: bool = False) -> DataFrame:
@@ -98,8 +120,13 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, poly
 
 
 def idw(points: DataFrame, pixels: DataFrame, radius: float, point_id: str, pixel_id: str, value: str, most: int = 3, name: str = "value") -> DataFrame:
-    """(point_id, name): inverse-distance weighted mean of the `most` nearest pixels; a pixel at the point itself decides alone."""
-    near = nearest(points, pixels, radius, point_id, pixel_id, most)
+    """(point_id, name): inverse-distance weighted mean of the `most` nearest pixels; a pixel at the point itself decides alone.
+
+    Of several such pixels the first id decides. Points of one place have one mean, which is worked out once.
+    """
+    near = _nearest_of_places(points, pixels, radius, pixel_id, most, ("x", "y"), ("x", "y"))
     v, d = F.col(f"r.{value}"), F.col("distance")
     mean = F.sum(F.when(d > 0, v / d)) / F.sum(F.when(d > 0, 1 / d))
-    return near.groupBy(F.col(f"l.{point_id}").alias(point_id)).agg(F.coalesce(F.min_by(F.when(d == 0, v), F.when(d == 0, F.col("rank"))), mean).alias(name))
+    here = F.min_by(F.when(d == 0, v), F.when(d == 0, F.col("rank")))
+    means = near.groupBy("place_x", "place_y").agg(F.coalesce(here, mean).alias("mean"))
+    return _at_places(points, means, ("x", "y")).select(F.col(f"l.{point_id}").alias(point_id), F.col("mean").alias(name))

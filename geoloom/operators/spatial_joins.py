@@ -72,9 +72,12 @@ def without_near(left: DataFrame, right: DataFrame, radius: float, left_xy: tupl
 
 
 def count_within(left: DataFrame, right: DataFrame, radius: float, left_id: str, name: str = "n", left_xy: tuple[str, str] = ("x", "y"), right_xy: tuple[str, str] = ("x", "y")) -> DataFrame:
-    """Left rows with the number of right rows within `radius`, zero included."""
-    counts = within_distance(left, right, radius, left_xy, right_xy).groupBy(F.col(f"l.{left_id}").alias("counted_id")).agg(F.count(F.lit(1)).alias("counted"))
-    return left.join(counts, left[left_id] == counts.counted_id, "left").withColumn(name, F.coalesce("counted", F.lit(0)).cast("long")).drop("counted_id", "counted")
+    """Left rows with the number of right rows within `radius`, zero included. Points are compared once, with how many right
+    rows stand there."""
+    counted = right.select(*[F.col(c).alias(n) for c, n in zip(right_xy, "xy", strict=True)]).groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+    pairs = within_distance(_places(left, left_xy), counted, radius)
+    counts = pairs.groupBy(F.col("l.x").alias("place_x"), F.col("l.y").alias("place_y")).agg(F.sum("r.n").alias("counted"))
+    return _at_places(left, counts, left_xy, "left").select("l.*", F.coalesce("counted", F.lit(0)).cast("long").alias(name))
 
 
 def covered_cells(polygon: Column, cell: float, most: int = 128) -> Column:

@@ -53,3 +53,9 @@ def test_idw_at_crowded_places(spark, compared):
     wanted = {i: min(v for d, _, v in near if d == 0) if near[0][0] == 0 else mean(near) for i, (_, near) in brute(3).items() if near}
     assert found == pytest.approx(wanted)
     assert max(compared) <= 4 * 8
+
+
+def test_count_within_counts_places_once(spark, compared):
+    found = {r.id: r.n for r in sj.count_within(*sides(spark), 1.0, "id").collect()}
+    assert found == {i: n for i, (n, _) in brute(0).items()}
+    assert max(compared) <= 4 * 3

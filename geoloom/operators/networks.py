@@ -37,12 +37,12 @@ def slope_points(line: Column, metres: Column, interval: float = 10.0) -> Column
 def slope_profile(segments: DataFrame, pixels: DataFrame, radius: float, key: str = "id", line: str = "geom", metres: str = "length_m", interval: float = 10.0, pixel_id: str = "pixel", value: str = "val") -> DataFrame:
     """Segments with impedance_slope, impedance_slope_reverse and slope_average from the heights along them.
 
-    Heights are weighted means of up to three pixels within `radius` of each sample. Segments with a sample that has no
-    pixel in reach have nulls.
+    Heights are weighted means of up to three pixels within `radius` of each sample; of pixels at the sample itself the
+    greatest decides. Segments with a sample that has no pixel in reach have nulls.
     """
     at = F.posexplode(slope_points(F.col(line), F.col(metres), interval)).alias("i", "p")
     samples = segments.select(F.col(key).alias("k"), at).select(F.struct("k", "i").alias("sample"), F.col("p.x").alias("x"), F.col("p.y").alias("y"))
-    heights = idw(samples, pixels, radius, "sample", pixel_id, value, name="height")
+    heights = idw(samples, pixels, radius, "sample", pixel_id, value, name="height", greatest=True)
     found = heights.groupBy(F.col("sample.k").alias("profile_key")).agg(F.array_sort(F.collect_set(F.struct("sample.i", "height"))).alias("profile"))
     joined = segments.join(found, segments[key] == F.col("profile_key"), "left")
     whole = F.size("profile") == F.size(sample_distances(F.col(metres), interval))

@@ -122,14 +122,15 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, poly
     return met.where("held" if how == "left_semi" else "not held").select("l")
 
 
-def idw(points: DataFrame, pixels: DataFrame, radius: float, point_id: str, pixel_id: str, value: str, most: int = 3, name: str = "value") -> DataFrame:
+def idw(points: DataFrame, pixels: DataFrame, radius: float, point_id: str, pixel_id: str, value: str, most: int = 3, name: str = "value", greatest: bool = False) -> DataFrame:
     """(point_id, name): inverse-distance weighted mean of the `most` nearest pixels; a pixel at the point itself decides alone.
 
-    Of several such pixels the first id decides. Points of one place have one mean, which is worked out once.
+    Of several such pixels among the nearest the first id decides, or with `greatest` the greatest value. Points of one
+    place have one mean, which is worked out once.
     """
     near = _nearest_of_places(points, pixels, radius, pixel_id, most, ("x", "y"), ("x", "y"))
     v, d = F.col(f"r.{value}"), F.col("distance")
     mean = F.sum(F.when(d > 0, v / d)) / F.sum(F.when(d > 0, 1 / d))
-    here = F.min_by(F.when(d == 0, v), F.when(d == 0, F.col("rank")))
+    here = F.max(F.when(d == 0, v)) if greatest else F.min_by(F.when(d == 0, v), F.when(d == 0, F.col("rank")))
     means = near.groupBy("place_x", "place_y").agg(F.coalesce(here, mean).alias("mean"))
     return _at_places(points, means, ("x", "y")).select(F.col(f"l.{point_id}").alias(point_id), F.col("mean").alias(name))

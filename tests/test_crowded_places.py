@@ -4,6 +4,7 @@ import math
 
 import pytest
 
+from geoloom.operators import networks
 from geoloom.operators import spatial_joins as sj
 
 
@@ -49,9 +50,10 @@ def test_nearest_compares_places_once(spark, compared):
 def test_idw_at_crowded_places(spark, compared):
     left, right = sides(spark)
     mean = lambda near: sum(v / d for d, _, v in near) / sum(1 / d for d, _, _ in near)
-    found = {r.id: r.value for r in sj.idw(left, right, 1.0, "id", "rid", "v").collect()}
-    wanted = {i: min(v for d, _, v in near if d == 0) if near[0][0] == 0 else mean(near) for i, (_, near) in brute(3).items() if near}
-    assert found == pytest.approx(wanted)
+    for greatest in (False, True):
+        found = {r.id: r.value for r in sj.idw(left, right, 1.0, "id", "rid", "v", greatest=greatest).collect()}
+        wanted = {i: (max if greatest else min)(v for d, _, v in near if d == 0) if near[0][0] == 0 else mean(near) for i, (_, near) in brute(3).items() if near}
+        assert found == pytest.approx(wanted)
     assert max(compared) <= 4 * 8
 
 
@@ -59,3 +61,10 @@ def test_count_within_counts_places_once(spark, compared):
     found = {r.id: r.n for r in sj.count_within(*sides(spark), 1.0, "id").collect()}
     assert found == {i: n for i, (n, _) in brute(0).items()}
     assert max(compared) <= 4 * 3
+
+
+def test_greatest_of_pixels_at_a_sample(spark):
+    segments = spark.sql("select 1L as id, array(named_struct('x', 0D, 'y', 0D), named_struct('x', 5D, 'y', 0D)) as geom, 5D as length_m")
+    pixels = spark.createDataFrame([(1, 0.0, 0.0, 1.0), (2, 0.0, 0.0, 1.5), (3, 5.0, 0.0, 1.6), (4, 5.0, 0.0, 1.0)], "pixel long, x double, y double, val double")
+    up = 2.0 * networks.UP_EFFORT
+    assert networks.slope_profile(segments, pixels, 1.0).first().impedance_slope == pytest.approx(up)

@@ -204,16 +204,31 @@ def similar_pairs(left: DataFrame, right: DataFrame, radius: float, threshold: f
     return near.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), ft.trigram_overlap(x, y).alias("sim"))
 
 
+def alike(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """(x, y, name, rep): the least id of all rows at one point with one name; rows without either are left out."""
+    known = rows.where(F.col("x").isNotNull() & F.col("y").isNotNull() & F.col(name).isNotNull())
+    return known.groupBy("x", "y", F.col(name).alias("name")).agg(F.min(key).alias("rep"))
+
+
+def with_alike(rows: DataFrame, found: DataFrame, name: str, how: str = "inner") -> DataFrame:
+    """Rows as `l` with what was found for their point and name (x, y, name)."""
+    at = found.withColumnsRenamed({"x": "alike_x", "y": "alike_y", "name": "alike_name"})
+    here = (F.col("l.x") == F.col("alike_x")) & (F.col("l.y") == F.col("alike_y")) & (F.col(f"l.{name}") == F.col("alike_name"))
+    return rows.select(F.struct("*").alias("l")).join(at, here, how).drop("alike_x", "alike_y", "alike_name")
+
+
 def best_matches(left: DataFrame, right: DataFrame, radius: float, threshold: float, left_id: str = "id", right_id: str = "id", left_name: str = "name", right_name: str = "name") -> DataFrame:
     """(l, r, sim): for each left row the most similar right row within `radius` whose names share `threshold` of trigrams.
 
-    Ids are unique on either side; equal similarities go by the right id. The best partner is an aggregate, combined
-    before its shuffle; whole rows meet their ids after it.
+    Ids are unique on either side; equal similarities go by the right id. Rows with one point and one name have the same
+    partner and are compared once, as their least id. The best partner is an aggregate, combined before its shuffle; whole
+    rows meet their ids after it.
     """
-    pairs = similar_pairs(left, right, radius, threshold, left_id, right_id, left_name, right_name)
+    own = alike(left, left_id, left_name)
+    pairs = similar_pairs(own, alike(right, right_id, right_name), radius, threshold, "rep", "rep")
     best = pairs.groupBy("a").agg(F.min(F.struct((-F.col("sim")).alias("order"), "b", "sim")).alias("best")).select("a", "best.b", "best.sim").where(F.col("sim") >= threshold)
-    l, r = left.select(F.struct("*").alias("l")), right.select(F.struct("*").alias("r"))  # noqa: E741
-    return best.join(l, F.col("a") == F.col(f"l.{left_id}")).join(r, F.col("b") == F.col(f"r.{right_id}")).select("l", "r", "sim")
+    found = own.join(best, F.col("rep") == F.col("a")).join(right.select(F.struct("*").alias("r")), F.col("b") == F.col(f"r.{right_id}"))
+    return with_alike(left, found.select("x", "y", "name", "r", "sim"), left_name).select("l", "r", "sim")
 
 
 def fused(left: DataFrame, right: DataFrame, radius: float, threshold: float, unmatched: str = "keep", matched: str = "keep", extra: str = "add", left_all: DataFrame | None = None, key: str = "id", name: str = "name") -> DataFrame:
@@ -221,15 +236,18 @@ def fused(left: DataFrame, right: DataFrame, radius: float, threshold: float, un
 
     unmatched left rows are kept or dropped; matched ones are kept, or take the right row's values: `combine` fills nulls
     from the right, `replace` prefers the right where it isn't null. Right rows without any similar left row in reach
-    (of `left_all`, all categories) are added or dropped. Pairs are computed once: what both sides need of them, the best
+    (of `left_all`, all categories) are added or dropped. Rows with one point and one name are compared once, as their least
+    id. Pairs are computed once: what both sides need of them, the best
     partner of a left row and whether a right row has one, is one aggregate, kept in the folder for checkpoints. Ids of
     both sides have one type.
     """
-    pairs = similar_pairs(left, right, radius, threshold, key, key, name, name)
+    own, others = alike(left, key, name), alike(right, key, name)
+    pairs = similar_pairs(own, others, radius, threshold, "rep", "rep")
     sides = F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("own"), (-F.col("sim")).alias("order"), F.col("b").alias("other")), F.struct(F.lit(1).alias("side"), F.col("b").alias("own"), (-F.col("sim")).alias("order"), F.col("a").alias("other")))
     met = checkpointed(pairs.select(F.explode(sides).alias("s")).select("s.*").groupBy("side", "own").agg(F.min(F.struct("order", "other")).alias("best")).where(F.col("best.order") <= -threshold))
     partners = right.select(F.struct("*").alias("partner"))
-    found = met.where("side = 0").join(partners, F.col("best.other") == F.col(f"partner.{key}")).select(F.col("own").alias("found_key"), "partner")
+    best = met.where("side = 0").join(partners, F.col("best.other") == F.col(f"partner.{key}")).join(own, F.col("own") == F.col("rep"))
+    found = with_alike(left, best.select("x", "y", "name", "partner"), name).select(F.col(f"l.{key}").alias("found_key"), "partner")
     joined = left.join(found, left[key] == F.col("found_key"), "left")
     shared = [c for c in left.columns if c in right.columns and c not in (key, "x", "y")]
     values = []
@@ -245,7 +263,8 @@ def fused(left: DataFrame, right: DataFrame, radius: float, threshold: float, un
         out = out.where("decision <> 'unmatched'")
     if extra == "add":
         if left_all is None:
-            new = right.join(met.where("side = 1").select(F.col("own").alias("met_key")), F.col(key) == F.col("met_key"), "left_anti")
+            reached = others.join(met.where("side = 1").select("own"), F.col("rep") == F.col("own"), "left_semi")
+            new = with_alike(right, reached, name, "left_anti").select("l.*")
         else:
             new = added(left_all, right, radius, threshold, name)
         out = out.unionByName(new.withColumn("decision", F.lit("added")), allowMissingColumns=True)
@@ -253,12 +272,12 @@ def fused(left: DataFrame, right: DataFrame, radius: float, threshold: float, un
 
 
 def added(left_all: DataFrame, right: DataFrame, radius: float, threshold: float, name: str = "name") -> DataFrame:
-    """Right rows without a left row in reach whose name is similar."""
-    grams = ft.free_name(left_all.columns + right.columns, "grams")
-    a = left_all.withColumn(grams, ft.trigram_codes(F.col(name)))
-    b = right.withColumn(grams, ft.trigram_codes(F.col(name)))
-    x, y = F.col(f"l.{grams}"), F.col(f"r.{grams}")
-    return without_near(b, a, radius, also=ft.may_overlap(x, y, threshold) & (ft.trigram_overlap(x, y) >= threshold), spread=True).drop(grams)
+    """Right rows without a left row in reach whose name is similar; rows with one point and one name are compared once."""
+    grams = lambda rows: rows.select("x", "y", "name").distinct().withColumn("grams", ft.trigram_codes(F.col("name")))
+    side = lambda rows: grams(rows.select("x", "y", F.col(name).alias("name")).where("x is not null and y is not null and name is not null"))
+    x, y = F.col("l.grams"), F.col("r.grams")
+    near = within_distance(side(right), side(left_all), radius, how="left_semi", also=ft.may_overlap(x, y, threshold) & (ft.trigram_overlap(x, y) >= threshold), spread=True)
+    return with_alike(right, near.select("l.x", "l.y", "l.name"), name, "left_anti").select("l.*")
 
 
 def recategorised(rows: DataFrame, top: str) -> DataFrame:

@@ -4,7 +4,7 @@ import math
 
 import pytest
 
-from geoloom.operators import networks
+from geoloom.operators import networks, poi
 from geoloom.operators import spatial_joins as sj
 
 
@@ -68,3 +68,46 @@ def test_greatest_of_pixels_at_a_sample(spark):
     pixels = spark.createDataFrame([(1, 0.0, 0.0, 1.0), (2, 0.0, 0.0, 1.5), (3, 5.0, 0.0, 1.6), (4, 5.0, 0.0, 1.0)], "pixel long, x double, y double, val double")
     up = 2.0 * networks.UP_EFFORT
     assert networks.slope_profile(segments, pixels, 1.0).first().impedance_slope == pytest.approx(up)
+
+
+NAMES = ["red bolt", "red bolts", "cold gear", None]
+
+
+def named(spark, n, more):
+    return spark.createDataFrame([(more + i, NAMES[i % 4], float(i % 3), 0.0) for i in range(n)] + [(more + n, "red bolt", None, 0.0)], "id long, name string, x double, y double")
+
+
+@pytest.fixture
+def matched(monkeypatch):
+    """Numbers of pairs that comparisons of names gave."""
+    found, join = [], poi.within_distance
+
+    def counted(*args, **kwargs):
+        out = join(*args, **kwargs)
+        found.append(out.count())
+        return out
+
+    monkeypatch.setattr(poi, "within_distance", counted)
+    return found
+
+
+def test_names_at_crowded_places_are_compared_once(spark, matched):
+    left, right = named(spark, 240, 0), named(spark, 120, 1000)
+    best = {r.l.id: r.r.id for r in poi.best_matches(left, right, 0.5, 0.5).collect()}
+    wanted = {}
+    for i in range(240):
+        if NAMES[i % 4]:
+            wanted[i] = next(1000 + j for j in range(120) if j % 3 == i % 3 and NAMES[j % 4] == NAMES[i % 4])
+    assert best == wanted
+    assert max(matched) <= 3 * 9
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_fusion_at_crowded_places(spark, matched, whole):
+    left, right = named(spark, 240, 0).where("coalesce(name, '') <> 'cold gear'"), named(spark, 120, 1000)
+    out = poi.fused(left, right, 0.5, 0.5, left_all=left if whole else None)
+    found = {r.id: r.decision for r in out.collect()}
+    own = {i: "kept" if NAMES[i % 4] else "unmatched" for i in range(240) if NAMES[i % 4] != "cold gear"} | {240: "unmatched"}
+    new = {1000 + j: "added" for j in range(120) if NAMES[j % 4] in (None, "cold gear")} | {1120: "added"}
+    assert found == own | new and out.count() == len(found)
+    assert max(matched) <= 3 * 9

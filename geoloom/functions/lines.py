@@ -11,42 +11,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def simplified_points(points: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
-    """Douglas and Peucker's line: points farther than `tolerance` from the chord of their part stay."""
-    if len(points) < 3:
-        return points
-    keep = [False] * len(points)
-    keep[0] = keep[-1] = True
+def _kept(points: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which points (x, y) of a line are farther than `tolerance` from the chord of their part, or its ends."""
+    keep = np.zeros(len(points), dtype=bool)
+    keep[:1] = keep[-1:] = True
     todo = [(0, len(points) - 1)]
     while todo:
         a, b = todo.pop()
-        (ax, ay), (bx, by) = points[a], points[b]
+        if b - a < 2:
+            continue
+        (ax, ay), (bx, by) = points[a].tolist(), points[b].tolist()
+        x, y = points[a + 1 : b].T
         length = ((bx - ax) ** 2 + (by - ay) ** 2) ** 0.5
-        far, at = 0.0, -1
-        for i in range(a + 1, b):
-            x, y = points[i]
-            d = abs((bx - ax) * (ay - y) - (ax - x) * (by - ay)) / length if length else ((x - ax) ** 2 + (y - ay) ** 2) ** 0.5
-            if d > far:
-                far, at = d, i
-        if far > tolerance:
-            keep[at] = True
-            todo += [(a, at), (at, b)]
-    return [p for p, k in zip(points, keep, strict=True) if k]
+        off = np.abs((bx - ax) * (ay - y) - (ax - x) * (by - ay)) / length if length else np.sqrt((x - ax) ** 2 + (y - ay) ** 2)
+        at = int(np.argmax(np.where(off > tolerance, off, 0.0)))
+        if off[at] > tolerance:
+            keep[a + 1 + at] = True
+            todo += [(a, a + 1 + at), (a + 1 + at, b)]
+    return keep
 
 
-def simplified(line: Column, tolerance: float) -> Column:
-    """A line with fewer points, nowhere farther than `tolerance` from the line given."""
+def simplified_points(points: list[tuple[float, float]], tolerance: float) -> list[tuple[float, float]]:
+    """Douglas and Peucker's line: points farther than `tolerance` from the chord of their part stay."""
+    return [p for p, k in zip(points, _kept(np.array(points, dtype=float).reshape(-1, 2), tolerance).tolist(), strict=True) if k]
 
-    @F.pandas_udf("array<struct<x:double,y:double>>")
-    def run(lines: pd.Series) -> pd.Series:
-        def one(points):
-            if points is None:
-                return None
-            return [{"x": x, "y": y} for x, y in simplified_points([(p["x"], p["y"]) for p in points], tolerance)]
 
-        return lines.map(one)
+def simplified(line: Column, tolerance: float) -> Column:
+    """A line with fewer points, nowhere farther than `tolerance` from the line given; null for a null line.
 
-    return run(line)
+    Of points that follow each other at one place the first goes to Python, besides the last of the line: the others never
+    stay. There they are numbers in arrays, not an object each, however many lines a batch has.
+    """
+    n = F.size(line)
+    moved = F.filter(line, lambda p, i: (i == 0) | (i == n - 1) | ~p.eqNullSafe(F.get(line, i - 1)))
+
+    @F.arrow_udf("array<struct<x:double,y:double>>")
+    def run(lines: pa.Array) -> pa.Array:
+        points = lines.flatten()
+        xy = np.column_stack([points.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("x", "y")])
+        ends = np.cumsum(lines.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+        keep = [_kept(xy[a:b], tolerance) for a, b in zip([0, *ends], ends, strict=False)]
+        xy = xy[np.concatenate(keep)] if keep else xy
+        offsets = pa.array([None if gone else at for gone, at in zip([*lines.is_null().to_pylist(), False], np.cumsum([0, *map(np.sum, keep)]).tolist(), strict=True)], pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], names=["x", "y"]))
+
+    return run(moved)
 
 
 def points_at(line: Column, shares: Column) -> Column:

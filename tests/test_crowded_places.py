@@ -2,8 +2,11 @@
 
 import math
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from geoloom.functions import lines
 from geoloom.operators import networks, poi
 from geoloom.operators import spatial_joins as sj
 
@@ -111,3 +114,23 @@ def test_fusion_at_crowded_places(spark, matched, whole):
     new = {1000 + j: "added" for j in range(120) if NAMES[j % 4] in (None, "cold gear")} | {1120: "added"}
     assert found == own | new and out.count() == len(found)
     assert max(matched) <= 3 * 9
+
+
+def test_simplified_lines_with_points_that_repeat(spark):
+    line = [(0.0, 0.0)] * 3 + [(1.0, 0.05)] * 2 + [(2.0, 0.0)] + [(3.0, 2.0)] * 4 + [(4.0, 0.0)] * 3
+    cases = [line, None, [], [(1.0, 1.0)] * 3, [(1.0, 1.0)], line[::-1], [(0.0, 0.0), (1.0, 1.0), (0.0, 0.0), (0.0, 0.0)]]
+    rows = spark.createDataFrame(list(enumerate(cases)), "i int, g array<struct<x:double,y:double>>").coalesce(1)
+    found = {r.i: r.s and [tuple(p) for p in r.s] for r in rows.select("i", lines.simplified(F.col("g"), 0.1).alias("s")).collect()}
+    assert found == {i: g and lines.simplified_points(g, 0.1) for i, g in enumerate(cases)}
+    assert found[0] == [(0.0, 0.0), (2.0, 0.0), (3.0, 2.0), (4.0, 0.0)] and found[3] == [(1.0, 1.0)] * 2
+
+
+def test_simplified_lines_are_arrays_in_python():
+    import tracemalloc
+
+    xy = np.column_stack([np.arange(200_000.0), np.zeros(200_000)])
+    tracemalloc.start()
+    assert lines._kept(xy, 0.1).sum() == 2
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 * len(xy)

@@ -92,6 +92,11 @@ def covered_cells(polygon: Column, cell: float, most: int = 128) -> Column:
     return run(polygon)
 
 
+def outline(polygon: Column) -> Column:
+    """Two hashes of a polygon, by which equal ones are told."""
+    return F.struct(F.xxhash64(F.lit(1), polygon).alias("a"), F.xxhash64(F.lit(2), polygon).alias("b"))
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, polygon: str = "geom", xy: tuple[str, str] = ("x", "y"), how: str = "inner", most: int = 128) -> DataFrame:
     """Pairs (l: point row, r: polygon row) where the polygon holds the point, its boundary included; with `left_semi` each
     point row (l) that a polygon holds, once, with `left_anti` each that none holds.
@@ -101,7 +106,6 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, poly
     outline. Outlines join back by two hashes of them, so that equal ones are covered once.
     """
     x, y = (F.col(f"l.{c}").cast("double") for c in xy)
-    outline = lambda g: F.struct(F.xxhash64(F.lit(1), g).alias("a"), F.xxhash64(F.lit(2), g).alias("b"))
     held = polygons.where(F.size(polygon) > 0).select(F.struct("*").alias("r")).withColumn("outline", outline(F.col(f"r.{polygon}")))
     shapes = held.select("outline", F.col(f"r.{polygon}").alias("shape")).dropDuplicates(["outline"])
     tasks = max(1, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")))

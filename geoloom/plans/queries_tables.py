@@ -240,9 +240,9 @@ def _box(x, y, width, height):
     return F.array(geo.point(x, y), geo.point(x + width, y), geo.point(x + width, y + height), geo.point(x, y + height), geo.point(x, y))
 
 
-def _spread(rows):
-    """Rows of a small table over as many partitions as a shuffle has: each takes long."""
-    return rows.repartition(max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+def _spread(rows, *alike):
+    """Rows of a small table over as many partitions as a shuffle has: each takes long. Rows alike in columns go to one."""
+    return rows.repartition(max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), *alike)
 
 
 def _frames_and_combs(spark, sf_dir):
@@ -314,7 +314,7 @@ SELECT s_suppkey, round(CASE WHEN s_suppkey % 2 = 0 THEN 14 * d + 16 * sin(pi()
 """)
 def buffered_polygons(spark, sf_dir):
     """What rectangles and concave corners grow by with round corners of eight chords a quarter (GEO-09, GTF-14)."""
-    s = _spread(coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")).withColumn("d", 0.25 + F.floor(F.col("s_suppkey") / 2) % 4 / 4.0)
+    s = _spread(coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey"), "x", "y").withColumn("d", 0.25 + F.floor(F.col("s_suppkey") / 2) % 4 / 4.0)
     x, y = F.col("x"), F.col("y")
     corner = F.array(*[geo.point(x + u, y + v) for u, v in ((0, 0), (4, 0), (4, 1), (1, 1), (1, 3), (0, 3), (0, 0))])
     shape = F.array(F.when(F.col("s_suppkey") % 2 == 0, _box(x, y, 4, 3)).otherwise(corner))
@@ -327,7 +327,7 @@ SELECT s_suppkey, round(CASE WHEN gap <= 0.5 THEN 2 * gap ELSE 2 * 0.5 END, 6) A
 """)
 def snapped_polygons(spark, sf_dir):
     """How far squares grow across a gap towards a wall that surrounds them on the other sides (UTL-03)."""
-    s = _spread(coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")).withColumn("gap", 0.25 + F.col("s_suppkey") % 4 / 4.0)
+    s = _spread(coordinates(table(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey"), "x", "y").withColumn("gap", 0.25 + F.col("s_suppkey") % 4 / 4.0)
     x, y, gap = F.col("x"), F.col("y"), F.col("gap")
     wall = F.array(_box(x - 3, y - 3, gap + 8, F.lit(8.0)), _box(x, y, gap + 2, F.lit(2.0)))
     own = F.array(_box(x, y, F.lit(2.0), F.lit(2.0)))

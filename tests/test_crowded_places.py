@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geoloom.functions import lines
+from geoloom.functions import lines, overlay
 from geoloom.operators import networks, poi
 from geoloom.operators import spatial_joins as sj
 
@@ -134,3 +134,10 @@ def test_simplified_lines_are_arrays_in_python():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 100 * len(xy)
+
+
+def test_equal_rows_of_a_batch_are_worked_out_once():
+    done = []
+    work = lambda x, y: done.append((x, y)) or [x, y]
+    assert list(overlay.each_once(work, [1, None, 1, 2], [[3], [3], [3], None])) == [[1, [3]], None, [1, [3]], None]
+    assert done == [(1, [3])]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil, floor
 
 import numpy as np
 import pandas as pd
@@ -103,32 +104,30 @@ def located(line: Column, at: Column) -> Column:
 SAME_CUT = 1e-12
 
 
-def cut_line(xs: np.ndarray, ys: np.ndarray, cell: float) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+def cut_line(xs: list[float], ys: list[float], cell: float) -> list[tuple[int, int, list[float], list[float]]]:
     """(cell_x, cell_y, xs, ys) of the parts of a line between places where it goes from one square cell to another.
 
     Legs are cut where they cross x = k * cell or y = k * cell, and neighbouring parts in one cell are joined again, so that
     vertices inside a cell cut nothing; a part belongs to the cell of its legs' middles. Legs without a length go; a line
     without a length is one part.
     """
-    moves = np.flatnonzero((np.diff(xs) != 0) | (np.diff(ys) != 0))
-    if not len(moves):
-        return [(int(np.floor(xs[0] / cell)), int(np.floor(ys[0] / cell)), xs, ys)]
-    at_x, at_y = [xs[moves[0]]], [ys[moves[0]]]
+    moves = [i for i in range(len(xs) - 1) if xs[i] != xs[i + 1] or ys[i] != ys[i + 1]]
+    if not moves:
+        return [(floor(xs[0] / cell), floor(ys[0] / cell), xs, ys)]
+    px, py = [xs[moves[0]]], [ys[moves[0]]]
     for i in moves:
-        (ax, ay), (bx, by) = (xs[i], ys[i]), (xs[i + 1], ys[i + 1])
+        ax, ay, bx, by = xs[i], ys[i], xs[i + 1], ys[i + 1]
         cuts = [0.0]
         for a, b in ((ax, bx), (ay, by)):
             if a != b:
-                cuts += ((np.arange(np.floor(min(a, b) / cell) + 1, np.ceil(max(a, b) / cell)) * cell - a) / (b - a)).tolist()
-        cuts = sorted(cuts)
+                cuts += [(k * cell - a) / (b - a) for k in range(floor(min(a, b) / cell) + 1, ceil(max(a, b) / cell))]
+        cuts.sort()
         inner = [t for before, t in zip(cuts, cuts[1:], strict=False) if SAME_CUT < t < 1 - SAME_CUT and t - before > SAME_CUT]
-        at_x += [ax + (bx - ax) * t for t in inner] + [bx]
-        at_y += [ay + (by - ay) * t for t in inner] + [by]
-    px, py = np.array(at_x), np.array(at_y)
-    cx, cy = (np.floor((v[1:] + v[:-1]) / 2 / cell).astype(np.int64) for v in (px, py))
-    starts = [0, *(np.flatnonzero((np.diff(cx) != 0) | (np.diff(cy) != 0)) + 1).tolist()]
-    stops = [*starts[1:], len(cx)]
-    return [(int(cx[a]), int(cy[a]), px[a : b + 1], py[a : b + 1]) for a, b in zip(starts, stops, strict=True)]
+        px += [ax + (bx - ax) * t for t in inner] + [bx]
+        py += [ay + (by - ay) * t for t in inner] + [by]
+    at = [(floor((px[i] + px[i + 1]) / 2 / cell), floor((py[i] + py[i + 1]) / 2 / cell)) for i in range(len(px) - 1)]
+    starts = [i for i in range(len(at)) if not i or at[i] != at[i - 1]]
+    return [(*at[a], px[a : b + 1], py[a : b + 1]) for a, b in zip(starts, [*starts[1:], len(at)], strict=True)]
 
 
 def grid_pieces(rows: DataFrame, line: str, cell: float) -> DataFrame:
@@ -139,14 +138,14 @@ def grid_pieces(rows: DataFrame, line: str, cell: float) -> DataFrame:
         for batch in batches:
             at, n, number, cx, cy, pieces = [], [], [], [], [], []
             for k, points in enumerate(batch.column(1).to_pylist()):
-                found = cut_line(*(np.array([p[c] for p in points], dtype=float) for c in ("x", "y")), cell) if points else []
+                found = cut_line([float(p["x"]) for p in points], [float(p["y"]) for p in points], cell) if points else []
                 for i, (x, y, xs, ys) in enumerate(found):
                     at.append(k)
                     n.append(len(found))
                     number.append(i)
                     cx.append(x)
                     cy.append(y)
-                    pieces.append([{"x": a, "y": b} for a, b in zip(xs.tolist(), ys.tolist(), strict=True)])
+                    pieces.append([{"x": a, "y": b} for a, b in zip(xs, ys, strict=True)])
             place = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
             whole = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(n, pa.int32()), pa.array(number, pa.int32()), pa.array(cx, pa.int64()), pa.array(cy, pa.int64()), pa.array(pieces, place)]
             yield pa.record_batch(whole, names=["row", "n", "i", "cell_x", "cell_y", "piece"])

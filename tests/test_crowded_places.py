@@ -141,3 +141,9 @@ def test_equal_rows_of_a_batch_are_worked_out_once():
     work = lambda x, y: done.append((x, y)) or [x, y]
     assert list(overlay.each_once(work, [1, None, 1, 2], [[3], [3], [3], None])) == [[1, [3]], None, [1, [3]], None]
     assert done == [(1, [3])]
+
+
+def test_cut_lines_are_plain_numbers():
+    found = lines.cut_line([0.5, 0.5, 2.5, 2.75], [0.5, 0.5, 0.5, 0.5], 1.0)
+    assert found == [(0, 0, [0.5, 1.0], [0.5, 0.5]), (1, 0, [1.0, 2.0], [0.5, 0.5]), (2, 0, [2.0, 2.5, 2.75], [0.5] * 3)]
+    assert lines.cut_line([-0.5], [1.5], 1.0) == [(-1, 1, [-0.5], [1.5])]

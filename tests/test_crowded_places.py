@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoloom.functions import lines, overlay
-from geoloom.operators import networks, poi
+from geoloom.operators import buildings, networks, poi
 from geoloom.operators import spatial_joins as sj
 
 
@@ -147,3 +147,18 @@ def test_cut_lines_are_plain_numbers():
     found = lines.cut_line([0.5, 0.5, 2.5, 2.75], [0.5, 0.5, 0.5, 0.5], 1.0)
     assert found == [(0, 0, [0.5, 1.0], [0.5, 0.5]), (1, 0, [1.0, 2.0], [0.5, 0.5]), (2, 0, [2.0, 2.5, 2.75], [0.5] * 3)]
     assert lines.cut_line([-0.5], [1.5], 1.0) == [(-1, 1, [-0.5], [1.5])]
+
+
+def test_equal_outlines_meet_points_and_squares_once(spark, monkeypatch):
+    met = {"points_in_polygons": [], "_near": []}
+    for name, found in met.items():
+        join = getattr(buildings, name)
+        monkeypatch.setattr(buildings, name, lambda *args, join=join, found=found: (out := join(*args), found.append(out.count()))[0])
+    ring = lambda x: [[(x, 0.0), (x + 1, 0.0), (x + 1, 1.0), (x, 1.0), (x, 0.0)]]
+    shape = "geom array<array<struct<x:double,y:double>>>"
+    rows = spark.createDataFrame([(i, ring(float(i % 2))) for i in range(40)] + [(40, None)], f"id long, {shape}")
+    points = spark.createDataFrame([(0.5, 0.5)] * 30 + [(1.5, 0.5)] * 20, "x double, y double")
+    assert {r.id: r.n for r in buildings.with_point_count(rows, points, "n", 1.0).collect()} == {i: 20 if i % 2 else 30 for i in range(40)} | {40: 0}
+    squares = spark.createDataFrame([(7, ring(0.5))] * 3, f"kind long, {shape}")
+    assert {(r.id, r.kind): r.overlap for r in buildings.covered(rows, squares, "id", "kind", 1.0).collect()} == pytest.approx({(i, 7): 0.5 for i in range(40)})
+    assert met["points_in_polygons"] == [2] and met["_near"] == [2]
